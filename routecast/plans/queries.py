@@ -14,9 +14,19 @@ from pyspark.sql import functions as F
 
 from routecast import schema as S
 from routecast.functions.contract import ingest_ns
-from routecast.operators.routing import decode, to_drain
+from routecast.functions.text import error_line, event_text
+from routecast.operators.bindings import bindings_from_text, check_bindings, current_bindings, route_as_of
+from routecast.operators.paging import drain_pages
+from routecast.operators.routing import decode, decode_routed, split_events, to_drain
+from routecast.operators.stats import dispatch_counts, event_rate, event_totals
 from routecast.plans import samples
-from routecast.sources.envelopes import read_documents, read_events
+from routecast.sources.envelopes import (
+    events_envelopes,
+    read_conversations,
+    read_documents,
+    read_events,
+    read_table,
+)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -50,27 +60,17 @@ env AS (
   FROM events
 )"""
 
-# Flagship decode of `events` in DuckDB: binding, then the decoders' answers
-# run through the contract.
-SQL_EVENT_DECODE = (
-    "WITH"
-    + SQL_EVENT_ENV
-    + """,
-routed AS (
-  SELECT env.*, CASE topic WHEN 'click' THEN 'default_decoder'
-                           WHEN 'view' THEN 'json_k'
-                           WHEN 'error' THEN 'skip_all'
-                           WHEN 'purchase' THEN 'short_only' END AS decoder
-  FROM env
-),
+# Decoders + contract in DuckDB, reading a CTE `routed` (envelope columns +
+# `decoder`). Mirrors the sample decoders of `samples.py`.
+SQL_DECODE_BODY = """
 dec AS (
   SELECT *,
     CASE
       WHEN decoder IS NULL THEN 'error'
       WHEN decoder = 'default_decoder' THEN 'data'
       WHEN decoder = 'json_k' THEN CASE WHEN json_extract_string(payload, '$.k') IS NULL THEN 'error' ELSE 'data' END
-      WHEN decoder = 'skip_all' THEN 'error'
       WHEN decoder = 'short_only' THEN CASE WHEN strlen(payload) > 8 THEN 'error' ELSE 'data' END
+      ELSE 'error'
     END AS kind,
     CASE
       WHEN decoder = 'default_decoder' THEN encode(payload)
@@ -84,7 +84,8 @@ dec AS (
       WHEN decoder = 'json_k' AND json_extract_string(payload, '$.k') IS NULL THEN 'field k missing'
       WHEN decoder = 'short_only' AND strlen(payload) > 8
         THEN left(rpad('payload too long: ' || CAST(strlen(payload) AS VARCHAR) || ' bytes', 120, '-'), 95)
-      ELSE ''
+      WHEN decoder IN ('default_decoder', 'json_k', 'short_only') THEN ''
+      ELSE 'decoder symbol not found: ' || decoder
     END AS err
   FROM routed
 ),
@@ -97,7 +98,19 @@ events_out AS (
          coalesce(decoder, topic) AS tbl
   FROM dec
 )"""
-)
+
+# Flagship routing of `events`: the fixed binding table plus the subscription
+# default for click; signup stays unbound.
+SQL_EVENT_ROUTED = """
+routed AS (
+  SELECT env.*, CASE topic WHEN 'click' THEN 'default_decoder'
+                           WHEN 'view' THEN 'json_k'
+                           WHEN 'error' THEN 'skip_all'
+                           WHEN 'purchase' THEN 'short_only' END AS decoder
+  FROM env
+)"""
+
+SQL_EVENT_DECODE = "WITH" + SQL_EVENT_ENV + "," + SQL_EVENT_ROUTED + "," + SQL_DECODE_BODY
 
 
 def event_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,3 +213,443 @@ def route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.octet_length("data")).cast("long").alias("data_bytes"),
         F.max(F.octet_length("err")).cast("int").alias("max_err_bytes"),
     )
+
+
+# ---------------------------------------------------------------------------
+# split data / error
+# ---------------------------------------------------------------------------
+
+
+def _drain_hex(df: DataFrame) -> DataFrame:
+    return df.select("tbl", "topic", "kind", F.hex("data").alias("data_hex"), "err")
+
+
+@register(
+    "split_data",
+    SQL_EVENT_DECODE + """
+SELECT tbl, topic, kind, hex(data) AS data_hex, err FROM events_out WHERE kind = 'data'""",
+)
+def split_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data, _ = split_events(to_drain(event_events(spark, sf_dir)))
+    return _drain_hex(data)
+
+
+@register(
+    "split_error",
+    SQL_EVENT_DECODE + """
+SELECT tbl, topic, kind, hex(data) AS data_hex, err FROM events_out WHERE kind = 'error'""",
+)
+def split_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, errors = split_events(to_drain(event_events(spark, sf_dir)))
+    return _drain_hex(errors)
+
+
+# ---------------------------------------------------------------------------
+# A1, A2, A3: totals, rate, dispatch counts
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "event_totals",
+    SQL_EVENT_DECODE + """
+SELECT count(*) AS total,
+       count(*) FILTER (WHERE kind = 'data') AS data,
+       count(*) FILTER (WHERE kind = 'error') AS error
+FROM events_out""",
+)
+def q_event_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_totals(event_events(spark, sf_dir))
+
+
+@register(
+    "event_totals_by_topic",
+    SQL_EVENT_DECODE + """
+SELECT topic, count(*) AS total,
+       count(*) FILTER (WHERE kind = 'data') AS data,
+       count(*) FILTER (WHERE kind = 'error') AS error
+FROM events_out GROUP BY topic""",
+)
+def q_event_totals_by_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_totals(event_events(spark, sf_dir), by=["topic"])
+
+
+RATE_INTERVAL_S = 3600
+
+_SQL_RATE_BUCKETS = SQL_EVENT_DECODE + f""",
+b AS (
+  SELECT ingest_ns // {RATE_INTERVAL_S * 1_000_000_000} AS bucket,
+         count(*) AS n,
+         count(*) FILTER (WHERE kind = 'data') AS nd,
+         count(*) FILTER (WHERE kind = 'error') AS ne
+  FROM events_out GROUP BY 1
+)"""
+
+_SQL_RATE_SELECT = f"""
+SELECT bucket * {RATE_INTERVAL_S * 1000} AS bucket_start_ms,
+       n AS delta,
+       CAST(sum(n) OVER (ORDER BY bucket) AS BIGINT) AS total,
+       CAST(sum(nd) OVER (ORDER BY bucket) AS BIGINT) AS data,
+       CAST(sum(ne) OVER (ORDER BY bucket) AS BIGINT) AS error,
+       n / {float(RATE_INTERVAL_S)} AS qps
+"""
+
+
+@register("event_rate", _SQL_RATE_BUCKETS + _SQL_RATE_SELECT + "FROM b")
+def q_event_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_rate(event_events(spark, sf_dir), RATE_INTERVAL_S)
+
+
+@register(
+    "event_rate_dense",
+    _SQL_RATE_BUCKETS
+    + """,
+g AS (SELECT unnest(generate_series(min(bucket), max(bucket))) AS bucket FROM b),
+d AS (SELECT g.bucket, coalesce(b.n, 0) AS n, coalesce(b.nd, 0) AS nd, coalesce(b.ne, 0) AS ne
+      FROM g LEFT JOIN b USING (bucket))"""
+    + _SQL_RATE_SELECT.replace("FROM b", "")
+    + "FROM d",
+)
+def q_event_rate_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_rate(event_events(spark, sf_dir), RATE_INTERVAL_S, dense=True)
+
+
+@register(
+    "dispatch_counts",
+    SQL_EVENT_DECODE + """
+SELECT tbl, count(*) AS dispatched FROM events_out WHERE kind = 'data' GROUP BY tbl""",
+)
+def q_dispatch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dispatch_counts(to_drain(event_events(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# Event text
+# ---------------------------------------------------------------------------
+
+CONVERSATION_TOPICS = ["user", "assistant", "system"]
+
+
+@register(
+    "event_text",
+    """
+WITH c AS (SELECT role AS topic, conv_id * 1000 + turn AS "offset", text FROM conversations)
+SELECT topic, "offset",
+       CASE WHEN topic = 'system' THEN 'error' ELSE 'data' END AS kind,
+       CASE WHEN topic = 'system' THEN '[ERROR] topic=' || topic || ' msg=decode failed'
+            ELSE '[DATA] topic=' || topic || ' len=' || CAST(strlen(text) AS VARCHAR)
+                 || CASE WHEN strlen(text) > 0 THEN ' payload=' || text ELSE '' END
+       END AS line,
+       CASE WHEN topic = 'system' THEN '[drain] system decode failed' ELSE '' END AS notice
+FROM c""",
+)
+def q_event_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    env = read_conversations(spark, sf_dir)
+    bindings = samples.bindings_df(spark, [("system", samples.SAMPLE_LIBRARY, "skip_all")])
+    events = decode(env, bindings, samples.sample_registry(), topics=CONVERSATION_TOPICS)
+    return events.select(
+        "topic",
+        "offset",
+        "kind",
+        event_text(F.col("topic"), F.col("kind"), F.col("data"), F.col("err")).alias("line"),
+        F.when(F.col("kind") == S.EVENT_ERROR, error_line(F.col("topic"), F.col("err")))
+        .otherwise(F.lit(""))
+        .alias("notice"),
+    )
+
+
+# ---------------------------------------------------------------------------
+# A4: current bindings after a control log derived from every event
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "current_bindings",
+    """
+WITH log AS (
+  SELECT epoch_us(ts) // 1000 AS effective_at, event_id AS seq,
+         CASE event_type WHEN 'click' THEN 'bind' WHEN 'view' THEN 'rebind'
+                         WHEN 'purchase' THEN 'unbind' WHEN 'signup' THEN 'subscribe' ELSE 'bind' END AS op,
+         'user_' || CAST(user_id AS VARCHAR) AS topic,
+         CASE WHEN event_type IN ('click', 'view', 'error') THEN 'samples' END AS library,
+         CASE WHEN event_type IN ('click', 'view', 'error')
+              THEN 'dec_' || CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) AS VARCHAR) END AS symbol,
+         event_type <> 'error' AS valid
+  FROM events
+),
+ch AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY topic ORDER BY effective_at DESC, seq DESC) AS rn
+    FROM log WHERE op IN ('bind', 'rebind', 'unbind') AND coalesce(valid, true)) WHERE rn = 1
+),
+sb AS (
+  SELECT * FROM (
+    SELECT topic, effective_at, seq,
+           row_number() OVER (PARTITION BY topic ORDER BY effective_at DESC, seq DESC) AS rn
+    FROM log WHERE op = 'subscribe') WHERE rn = 1
+)
+SELECT coalesce(ch.topic, sb.topic) AS topic,
+       CASE WHEN ch.op IN ('bind', 'rebind') THEN ch.library ELSE 'builtin' END AS library,
+       CASE WHEN ch.op IN ('bind', 'rebind') THEN ch.symbol ELSE 'default_decoder' END AS symbol
+FROM ch FULL OUTER JOIN sb ON ch.topic = sb.topic
+WHERE ch.op IN ('bind', 'rebind')
+   OR (sb.topic IS NOT NULL AND (ch.topic IS NULL OR sb.effective_at > ch.effective_at
+                                 OR (sb.effective_at = ch.effective_at AND sb.seq > ch.seq)))""",
+)
+def q_current_bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return current_bindings(samples.events_control_log(read_table(spark, sf_dir, "events")))
+
+
+# ---------------------------------------------------------------------------
+# Route as of a daily binding log
+# ---------------------------------------------------------------------------
+
+SQL_ASOF_ROUTED = """
+first_ev AS (
+  SELECT topic, day, ms AS effective_at, event_id AS seq FROM (
+    SELECT event_type AS topic, (epoch_us(ts) // 1000) // 86400000 AS day,
+           epoch_us(ts) // 1000 AS ms, event_id,
+           row_number() OVER (PARTITION BY event_type, (epoch_us(ts) // 1000) // 86400000
+                              ORDER BY epoch_us(ts) // 1000, event_id) AS rn
+    FROM events) WHERE rn = 1
+),
+log AS (
+  SELECT effective_at, seq, topic,
+         CASE day % 5 WHEN 0 THEN 'bind' WHEN 1 THEN 'rebind' WHEN 2 THEN 'unbind'
+                      WHEN 3 THEN 'subscribe' ELSE 'bind' END AS op,
+         CASE day % 5 WHEN 0 THEN 'json_k' WHEN 1 THEN 'short_only' WHEN 4 THEN 'skip_all' END AS symbol,
+         day % 5 <> 4 AS valid
+  FROM first_ev
+),
+ch AS (SELECT topic, effective_at, seq, op, symbol FROM log WHERE op IN ('bind', 'rebind', 'unbind') AND valid),
+sb AS (SELECT topic, effective_at, seq FROM log WHERE op = 'subscribe'),
+r0 AS (
+  SELECT env.*, ch.effective_at AS c_t, ch.seq AS c_s, ch.op AS c_op, ch.symbol AS c_sym
+  FROM env ASOF LEFT JOIN ch ON env.topic = ch.topic AND env.timestamp_ms >= ch.effective_at
+),
+r1 AS (
+  SELECT r0.*, sb.effective_at AS s_t, sb.seq AS s_s
+  FROM r0 ASOF LEFT JOIN sb ON r0.topic = sb.topic AND r0.timestamp_ms >= sb.effective_at
+),
+routed AS (
+  SELECT topic, "partition", "offset", timestamp_ms, "key", payload,
+         CASE WHEN c_op IN ('bind', 'rebind') THEN c_sym
+              WHEN s_t IS NOT NULL AND (c_t IS NULL OR s_t > c_t OR (s_t = c_t AND s_s > c_s))
+                THEN 'default_decoder' END AS decoder
+  FROM r1
+)"""
+
+
+@register(
+    "route_as_of",
+    "WITH" + SQL_EVENT_ENV + "," + SQL_ASOF_ROUTED + "," + SQL_DECODE_BODY + """
+SELECT topic, "offset", tbl, kind, hex(data) AS data_hex, err FROM events_out""",
+)
+def q_route_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read_table(spark, sf_dir, "events")
+    routed = route_as_of(events_envelopes(table), samples.daily_binding_log(table))
+    events = decode_routed(routed, samples.sample_registry())
+    return events.select(
+        "topic",
+        "offset",
+        F.coalesce("decoder", "topic").alias("tbl"),
+        "kind",
+        F.hex("data").alias("data_hex"),
+        "err",
+    )
+
+
+# ---------------------------------------------------------------------------
+# Check bind requests (one per event) against a catalog
+# ---------------------------------------------------------------------------
+
+
+def _sql_value(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return str(v)
+
+
+def _catalog_values_sql() -> str:
+    rows = samples.sample_registry(with_python=True).catalog_rows() + samples.EXTRA_CATALOG
+    body = ",\n  ".join("(" + ", ".join(_sql_value(x) for x in r) + ")" for r in rows)
+    return f"cat(library, contract_version, symbol) AS (VALUES\n  {body})"
+
+
+@register(
+    "check_bindings",
+    "WITH "
+    + _catalog_values_sql()
+    + """,
+req AS (
+  SELECT event_id AS "offset", event_type AS topic,
+         CASE user_id % 5 WHEN 0 THEN 'samples' WHEN 1 THEN 'pysamples' WHEN 2 THEN 'lib_old'
+                          WHEN 3 THEN 'lib_nover' ELSE 'lib_gone' END AS library,
+         CASE CAST(json_extract_string(props, '$.k') AS BIGINT) % 4
+              WHEN 0 THEN 'json_k' WHEN 1 THEN 'skip_all' WHEN 2 THEN 'py_line_count'
+              ELSE 'short_only' END AS symbol
+  FROM events
+),
+libs AS (SELECT library, max(contract_version) AS ver FROM cat GROUP BY library),
+syms AS (SELECT DISTINCT library, symbol FROM cat WHERE symbol IS NOT NULL),
+checked AS (
+  SELECT r."offset", r.topic, r.library, r.symbol,
+         CASE WHEN l.library IS NULL THEN r.library || ': cannot open shared object file: No such file or directory'
+              WHEN l.ver IS NULL THEN 'symbol decoder_abi_version not found'
+              WHEN l.ver <> 2 THEN 'decoder ABI version mismatch'
+              WHEN s.symbol IS NULL THEN 'decoder symbol not found: ' || r.symbol
+              ELSE '' END AS err
+  FROM req r
+  LEFT JOIN libs l ON r.library = l.library
+  LEFT JOIN syms s ON r.library = s.library AND r.symbol = s.symbol
+)
+SELECT "offset", topic, library, symbol, err = '' AS ok, err FROM checked""",
+)
+def q_check_bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests = samples.bind_requests(read_table(spark, sf_dir, "events"))
+    return check_bindings(requests, samples.check_catalog(spark))
+
+
+# ---------------------------------------------------------------------------
+# Binding file (one line per event)
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "binding_file",
+    "WITH "
+    + _catalog_values_sql()
+    + """,
+ks AS (SELECT event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+lines AS (
+  SELECT CASE WHEN k % 10 = 9 THEN '# ' || event_type
+              ELSE event_type || ' ' || CASE k % 4 WHEN 0 THEN '-' WHEN 1 THEN 'k' WHEN 2 THEN 'json_k'
+                                                   ELSE 'nope' || CAST(k AS VARCHAR) END END AS value
+  FROM ks
+),
+parsed AS (
+  SELECT split_part(trim(value), ' ', 1) AS topic, split_part(trim(value), ' ', 2) AS target
+  FROM lines WHERE trim(value) <> '' AND NOT starts_with(trim(value), '#')
+),
+wanted AS (SELECT topic, target, CASE WHEN target = '-' THEN 'decoder_entry' ELSE target END AS want FROM parsed),
+exported AS (SELECT DISTINCT symbol FROM cat WHERE library = 'samples' AND symbol IS NOT NULL),
+resolved AS (
+  SELECT topic, want,
+         CASE WHEN want IN (SELECT symbol FROM exported) THEN want
+              WHEN target <> '-' AND 'decode_' || target IN (SELECT symbol FROM exported) THEN 'decode_' || target
+         END AS symbol
+  FROM wanted
+)
+SELECT topic, 'samples' AS library, symbol, symbol IS NOT NULL AS ok,
+       CASE WHEN symbol IS NULL THEN 'decoder symbol not found: ' || want ELSE '' END AS err
+FROM resolved""",
+)
+def q_binding_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = samples.binding_file_lines(read_table(spark, sf_dir, "events"))
+    return bindings_from_text(lines, samples.SAMPLE_LIBRARY, samples.check_catalog(spark))
+
+
+# ---------------------------------------------------------------------------
+# Label at drain after a rebind / unbind
+# ---------------------------------------------------------------------------
+
+# The table as it stands at drain: view rebound, purchase unbound.
+DRAIN_TIME_BINDINGS = [
+    ("view", samples.SAMPLE_LIBRARY, "json_k_v2"),
+    ("error", samples.SAMPLE_LIBRARY, "skip_all"),
+    ("click", S.BUILTIN_LIBRARY, S.DEFAULT_SYMBOL),
+]
+
+
+@register(
+    "relabel_after_rebind",
+    SQL_EVENT_DECODE + """
+SELECT CASE topic WHEN 'view' THEN 'json_k_v2' WHEN 'error' THEN 'skip_all'
+                  WHEN 'click' THEN 'default_decoder' ELSE topic END AS tbl,
+       topic, kind, hex(data) AS data_hex, err
+FROM events_out""",
+)
+def q_relabel_after_rebind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at_drain = samples.bindings_df(spark, DRAIN_TIME_BINDINGS)
+    drained = to_drain(event_events(spark, sf_dir), label_bindings=at_drain)
+    return _drain_hex(drained)
+
+
+# ---------------------------------------------------------------------------
+# Drain pages of 4096
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "drain_pages",
+    SQL_EVENT_DECODE + """
+SELECT topic, "partition", "offset", tbl, kind,
+       row_number() OVER (ORDER BY topic, "partition", "offset") - 1 AS pos,
+       (row_number() OVER (ORDER BY topic, "partition", "offset") - 1) // 4096 AS page
+FROM events_out""",
+)
+def q_drain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paged = drain_pages(event_events(spark, sf_dir), limit=S.DRAIN_LIMIT_DEFAULT)
+    return paged.select(
+        "topic", "partition", "offset", F.coalesce("decoder", "topic").alias("tbl"), "kind", "pos", "page"
+    )
+
+
+@register(
+    "drain_page_sizes",
+    SQL_EVENT_DECODE + """
+SELECT page, count(*) AS n_rows FROM (
+  SELECT (row_number() OVER (ORDER BY topic, "partition", "offset") - 1) // 4096 AS page FROM events_out)
+GROUP BY page""",
+)
+def q_drain_page_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paged = drain_pages(event_events(spark, sf_dir), limit=S.DRAIN_LIMIT_DEFAULT)
+    return paged.groupBy("page").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# ---------------------------------------------------------------------------
+# Python decoders on documents (one Arrow UDF for all of them)
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "python_decoder",
+    """
+WITH d AS (SELECT lang AS topic, doc_id AS "offset", text FROM documents),
+o AS (
+  SELECT topic, "offset",
+    CASE topic WHEN 'en' THEN 'py_line_count' WHEN 'fr' THEN 'py_passthrough'
+               WHEN 'de' THEN 'py_strict' WHEN 'es' THEN 'default_decoder' END AS tbl,
+    CASE WHEN topic = 'en' AND strlen(text) = 0 THEN 'error'
+         WHEN topic = 'de' AND strlen(text) > 4096 THEN 'error'
+         ELSE 'data' END AS kind,
+    CASE topic
+      WHEN 'en' THEN CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS VARCHAR)
+      WHEN 'de' THEN split_part(text, chr(10), 1)
+      ELSE text END AS out_text,
+    CASE WHEN topic = 'en' AND strlen(text) = 0 THEN 'empty payload'
+         WHEN topic = 'de' AND strlen(text) > 4096
+           THEN 'ValueError: payload has ' || CAST(strlen(text) AS VARCHAR) || ' bytes'
+         ELSE '' END AS err
+  FROM d
+)
+SELECT topic, "offset", tbl, kind,
+       CAST(CASE WHEN kind = 'data' THEN strlen(out_text) ELSE 0 END AS BIGINT) AS data_len,
+       CASE WHEN kind = 'data' THEN md5(out_text) ELSE md5('') END AS data_md5,
+       err
+FROM o""",
+)
+def q_python_decoder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    env = read_documents(spark, sf_dir, topic="lang")
+    bindings = samples.bindings_df(spark, samples.DOCUMENT_BINDINGS)
+    events = decode(env, bindings, samples.sample_registry(with_python=True))
+    return events.select(
+        "topic",
+        "offset",
+        F.coalesce("decoder", "topic").alias("tbl"),
+        "kind",
+        F.octet_length("data").cast("long").alias("data_len"),
+        F.md5("data").alias("data_md5"),
+        "err",
+    )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from routecast import schema as S
 from routecast.functions.contract import decode_result
 from routecast.functions.decoders import DecodeOut, DecoderRegistry, Env, PyEnvelope
+from routecast.sources.envelopes import epoch_millis_ntz
 
 SAMPLE_LIBRARY = "samples"
 PY_LIBRARY = "pysamples"
@@ -90,6 +91,9 @@ def sample_registry(with_python: bool = False) -> DecoderRegistry:
     reg.register_column("json_k", json_k, library=SAMPLE_LIBRARY)
     reg.register_column("skip_all", skip_all, library=SAMPLE_LIBRARY)
     reg.register_column("short_only", short_only, library=SAMPLE_LIBRARY)
+    # Names a binding file resolves to: an alias target and the anchor.
+    reg.register_column(S.ALIAS_PREFIX + "k", json_k, library=SAMPLE_LIBRARY)
+    reg.register_column(S.ANCHOR_SYMBOL, json_k, library=SAMPLE_LIBRARY)
     if with_python:
         reg.register_python("py_line_count", py_line_count, library=PY_LIBRARY)
         reg.register_python("py_passthrough", py_passthrough, library=PY_LIBRARY)
@@ -112,3 +116,142 @@ def bindings_df(spark: SparkSession, rows) -> DataFrame:
 
 def event_bindings(spark: SparkSession) -> DataFrame:
     return bindings_df(spark, EVENT_BINDINGS)
+
+
+# ---------------------------------------------------------------------------
+# Control tables derived from `events` (so their size grows with the data)
+# ---------------------------------------------------------------------------
+
+def _k() -> Column:
+    return F.get_json_object(F.col("props"), "$.k").cast("long")
+
+
+def events_control_log(events_table: DataFrame) -> DataFrame:
+    """One control operation per event (for A4 at the size of the data).
+
+    topic = ``user_<user_id>``; click binds ``dec_<k>``, view rebinds
+    ``dec_<k>``, purchase unbinds, signup subscribes, error is a rejected
+    bind. Order = (event time in ms, event_id).
+    """
+    op = (
+        F.when(F.col("event_type") == "click", F.lit(S.OP_BIND))
+        .when(F.col("event_type") == "view", F.lit(S.OP_REBIND))
+        .when(F.col("event_type") == "purchase", F.lit(S.OP_UNBIND))
+        .when(F.col("event_type") == "signup", F.lit(S.OP_SUBSCRIBE))
+        .otherwise(F.lit(S.OP_BIND))
+    )
+    binds = F.col("op").isin(S.OP_BIND, S.OP_REBIND)
+    return (
+        events_table.select(
+            epoch_millis_ntz("ts").alias("effective_at"),
+            F.col("event_id").cast("long").alias("seq"),
+            op.alias("op"),
+            F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("topic"),
+            F.concat(F.lit("dec_"), _k().cast("string")).alias("_sym"),
+            (F.col("event_type") != "error").alias("valid"),
+        )
+        .select(
+            "effective_at",
+            "seq",
+            "op",
+            "topic",
+            F.when(binds, F.lit(SAMPLE_LIBRARY)).alias("library"),
+            F.when(binds, F.col("_sym")).alias("symbol"),
+            "valid",
+        )
+    )
+
+
+DAY_MS = 86_400_000
+
+# Daily cycle of the as-of log: (op, symbol, valid) by day number mod 5.
+DAILY_CYCLE = [
+    (S.OP_BIND, "json_k", True),
+    (S.OP_REBIND, "short_only", True),
+    (S.OP_UNBIND, None, True),
+    (S.OP_SUBSCRIBE, None, True),
+    (S.OP_BIND, "skip_all", False),
+]
+
+
+def daily_binding_log(events_table: DataFrame) -> DataFrame:
+    """A control log with one operation per (event_type, day) (for J2).
+
+    The operation takes effect at the first event of that topic and day;
+    which one follows the day number (``DAILY_CYCLE``). Its size grows with
+    topics x days, not with messages: a control log.
+    """
+    ms = epoch_millis_ntz("ts")
+    per_day = events_table.select(
+        F.col("event_type").alias("topic"), ms.alias("_ms"), F.col("event_id").alias("_id")
+    ).groupBy("topic", F.expr(f"_ms div {DAY_MS}").alias("_day")).agg(
+        F.min(F.struct("_ms", "_id")).alias("_first")
+    )
+    slot = F.pmod(F.col("_day"), F.lit(len(DAILY_CYCLE)))
+
+    def pick(i: int) -> Column:
+        expr = None
+        for n, row in enumerate(DAILY_CYCLE):
+            v = F.lit(row[i])
+            expr = F.when(slot == n, v) if expr is None else expr.when(slot == n, v)
+        return expr
+
+    symbol = pick(1)
+    return per_day.select(
+        F.col("_first._ms").alias("effective_at"),
+        F.col("_first._id").cast("long").alias("seq"),
+        pick(0).alias("op"),
+        "topic",
+        F.when(symbol.isNotNull(), F.lit(SAMPLE_LIBRARY)).alias("library"),
+        symbol.cast("string").alias("symbol"),
+        pick(2).alias("valid"),
+    )
+
+
+# Extra catalog rows: an old-contract library and one without a version.
+EXTRA_CATALOG = [
+    ("lib_old", 1, "json_k"),
+    ("lib_nover", None, "json_k"),
+]
+REQUEST_LIBRARIES = [SAMPLE_LIBRARY, PY_LIBRARY, "lib_old", "lib_nover", "lib_gone"]
+REQUEST_SYMBOLS = ["json_k", "skip_all", "py_line_count", "short_only"]
+
+
+def check_catalog(spark: SparkSession) -> DataFrame:
+    reg = sample_registry(with_python=True)
+    return spark.createDataFrame(reg.catalog_rows() + EXTRA_CATALOG, schema=S.CATALOG_SCHEMA)
+
+
+def _choose(index: Column, values: list[str]) -> Column:
+    expr = None
+    for n, v in enumerate(values):
+        expr = F.when(index == n, F.lit(v)) if expr is None else expr.when(index == n, F.lit(v))
+    return expr
+
+
+def bind_requests(events_table: DataFrame) -> DataFrame:
+    """One bind request per event (for J4): library by user, symbol by k."""
+    return events_table.select(
+        F.col("event_id").alias("offset"),
+        F.col("event_type").alias("topic"),
+        _choose(F.pmod(F.col("user_id"), F.lit(len(REQUEST_LIBRARIES))), REQUEST_LIBRARIES).alias("library"),
+        _choose(F.pmod(_k(), F.lit(len(REQUEST_SYMBOLS))), REQUEST_SYMBOLS).alias("symbol"),
+    )
+
+
+def binding_file_lines(events_table: DataFrame) -> DataFrame:
+    """Binding-file text, one line per event (for D5), in column ``value``:
+    ``<event_type> <target>`` with target ``-``, ``k`` (alias), ``json_k``
+    (exported name) or ``nope<k>`` (unknown) by k; k ending in 9 gives a
+    comment line."""
+    k = _k()
+    target = (
+        F.when(F.pmod(k, F.lit(4)) == 0, F.lit("-"))
+        .when(F.pmod(k, F.lit(4)) == 1, F.lit("k"))
+        .when(F.pmod(k, F.lit(4)) == 2, F.lit("json_k"))
+        .otherwise(F.concat(F.lit("nope"), k.cast("string")))
+    )
+    line = F.when(
+        F.pmod(k, F.lit(10)) == 9, F.concat(F.lit("# "), F.col("event_type"))
+    ).otherwise(F.concat(F.col("event_type"), F.lit(" "), target))
+    return events_table.select(line.alias("value"))

@@ -121,7 +121,7 @@ BINDING_SCHEMA = T.StructType(
 BINDING_LOG_SCHEMA = T.StructType(
     [
         T.StructField("effective_at", T.LongType(), False),
-        T.StructField("seq", T.IntegerType(), False),
+        T.StructField("seq", T.LongType(), False),
         T.StructField("op", T.StringType(), False),
         T.StructField("topic", T.StringType(), False),
         T.StructField("library", T.StringType(), True),
