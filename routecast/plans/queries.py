@@ -20,6 +20,18 @@ from routecast.operators.paging import drain_pages
 from routecast.operators.routing import decode, decode_routed, split_events, to_drain
 from routecast.operators.stats import dispatch_counts, event_rate, event_totals
 from routecast.plans import samples
+from routecast.streaming.stream import (
+    decode_stream,
+    file_stream,
+    latest_per_key,
+    live_rate,
+    live_totals,
+    read_routed,
+    start_routed,
+    start_table_sink,
+    stream_checkpoint,
+    table_stream,
+)
 from routecast.sources.envelopes import (
     events_envelopes,
     read_conversations,
@@ -653,3 +665,117 @@ def q_python_decoder(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.md5("data").alias("data_md5"),
         "err",
     )
+
+
+# ---------------------------------------------------------------------------
+# The same work as a stream (run to completion with
+# availableNow, read back from the sink, compared with the batch oracle)
+# ---------------------------------------------------------------------------
+
+
+def _event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    return events_envelopes(table_stream(spark, sf_dir, "events", max_files))
+
+
+def _constant_bindings(spark: SparkSession, batch_id: int) -> DataFrame:
+    return samples.event_bindings(spark)
+
+
+@register("stream_decode", SQL_EVENT_DECODE + """
+SELECT tbl, topic, kind, hex(data) AS data_hex, err FROM events_out""")
+def q_stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = stream_checkpoint(spark, "stream_decode")
+    events = decode_stream(
+        _event_stream(spark, sf_dir), samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS
+    )
+    q = start_table_sink(to_drain(events), base + "/out", base + "/ck", "append", available_now=True)
+    q.awaitTermination()
+    out = spark.read.option("basePath", base + "/out").parquet(base + "/out")
+    return _drain_hex(out)
+
+
+@register("routed_sink", SQL_EVENT_DECODE + """
+SELECT tbl, topic, kind, hex(data) AS data_hex, err FROM events_out""")
+def q_routed_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = stream_checkpoint(spark, "routed_sink")
+    q = start_routed(
+        _event_stream(spark, sf_dir),
+        base + "/out",
+        samples.sample_registry(),
+        _constant_bindings,
+        base + "/ck",
+        topics=samples.EVENT_TOPICS,
+        available_now=True,
+    )
+    q.awaitTermination()
+    return _drain_hex(read_routed(spark, base + "/out"))
+
+
+@register("stream_totals", SQL_EVENT_DECODE + """
+SELECT count(*) AS total,
+       count(*) FILTER (WHERE kind = 'data') AS data,
+       count(*) FILTER (WHERE kind = 'error') AS error
+FROM events_out""")
+def q_stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = stream_checkpoint(spark, "stream_totals")
+    events = decode_stream(
+        _event_stream(spark, sf_dir), samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS
+    )
+    q = start_table_sink(live_totals(events), base + "/out", base + "/ck", "complete", available_now=True)
+    q.awaitTermination()
+    return latest_per_key(spark, base + "/out", [])
+
+
+@register("stream_rate", SQL_EVENT_DECODE + f"""
+SELECT (ingest_ns // {RATE_INTERVAL_S * 1_000_000_000}) * {RATE_INTERVAL_S * 1000} AS window_start_ms,
+       count(*) AS total,
+       count(*) FILTER (WHERE kind = 'data') AS data,
+       count(*) FILTER (WHERE kind = 'error') AS error
+FROM events_out GROUP BY 1""")
+def q_stream_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = stream_checkpoint(spark, "stream_rate")
+    events = decode_stream(
+        _event_stream(spark, sf_dir), samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS
+    )
+    q = start_table_sink(
+        live_rate(events, RATE_INTERVAL_S), base + "/out", base + "/ck", "update", available_now=True
+    )
+    q.awaitTermination()
+    return latest_per_key(spark, base + "/out", ["window_start_ms"])
+
+
+# Binding versions by micro-batch (T2): version = batch_id mod 3.
+REBIND_VERSIONS = [
+    samples.EVENT_BINDINGS,
+    [("view", samples.SAMPLE_LIBRARY, "short_only")] + samples.EVENT_BINDINGS[1:],
+    samples.EVENT_BINDINGS[1:],
+]
+REBIND_FILES = 4
+
+
+def rebind_loader(spark: SparkSession, batch_id: int) -> DataFrame:
+    return samples.bindings_df(spark, REBIND_VERSIONS[batch_id % len(REBIND_VERSIONS)])
+
+
+@register("stream_rebind")
+def q_stream_rebind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several micro-batches; each sees the binding version of its
+    batch. Batch membership depends on file arrival, so there is no SQL
+    twin; tests check every row against its batch's version."""
+    base = stream_checkpoint(spark, "stream_rebind")
+    src = base + "/src"
+    table = read_table(spark, sf_dir, "events")
+    table.repartition(REBIND_FILES).write.parquet(src)
+    stream = events_envelopes(file_stream(spark, src, table.schema, max_files_per_trigger=1))
+    q = start_routed(
+        stream,
+        base + "/out",
+        samples.sample_registry(),
+        rebind_loader,
+        base + "/ck",
+        topics=samples.EVENT_TOPICS,
+        available_now=True,
+    )
+    q.awaitTermination()
+    out = read_routed(spark, base + "/out")
+    return out.select("batch_id", "tbl", "topic", "kind", F.hex("data").alias("data_hex"), "err")
