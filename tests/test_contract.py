@@ -1,0 +1,169 @@
+"""Decode contract (D3, D4) and envelope rules (P2), on inline edge rows.
+
+A *scripted* column decoder reads its answer from the payload (JSON), so each
+row of the truth table is one input row. Expected values are written out by
+hand from the contract.
+"""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from routecast import schema as S
+from routecast.functions.contract import decode_result
+from routecast.functions.decoders import DecoderRegistry
+from routecast.operators.routing import decode, to_drain
+
+SPEC = "rc int, kind string, data string, err string, need long, ok_at long"
+
+
+def scripted(env):
+    spec = F.from_json(env.payload.cast("string"), SPEC)
+    ok_now = spec["ok_at"].isNotNull() & (env.cap >= spec["ok_at"])
+    return F.when(ok_now, decode_result(kind=S.KIND_OK, data=F.encode(spec["data"], "UTF-8"))).otherwise(
+        decode_result(
+            rc=F.coalesce(spec["rc"], F.lit(0)),
+            kind=spec["kind"],
+            data=F.encode(F.coalesce(spec["data"], F.lit("")), "UTF-8"),
+            err=F.coalesce(spec["err"], F.lit("")),
+            need=F.coalesce(spec["need"], F.lit(0)),
+        )
+    )
+
+
+def registry():
+    reg = DecoderRegistry()
+    reg.register_column("scripted", scripted, may_need_more=True)
+    return reg
+
+
+def env_rows(spark, rows):
+    """rows: (topic, payload dict or bytes or None, key, timestamp_ms)"""
+    data = []
+    for i, (topic, payload, key, ts) in enumerate(rows):
+        if isinstance(payload, dict):
+            payload = json.dumps(payload).encode()
+        data.append((topic, 0, i, ts, key, payload))
+    return spark.createDataFrame(data, S.ENVELOPE_SCHEMA)
+
+
+def run(spark, rows, bindings, topics=None, skip_policy="error"):
+    env = env_rows(spark, rows)
+    b = spark.createDataFrame(bindings, S.BINDING_SCHEMA)
+    ev = decode(env, b, registry(), topics=topics, skip_policy=skip_policy)
+    return {r["offset"]: r for r in ev.orderBy("offset").collect()}
+
+
+def test_truth_table(spark):
+    long_err = "x" * 300
+    rows = [
+        ("t", {"rc": 0, "kind": "OK", "data": "abc", "err": "ignored"}, b"k", 5),  # 0 ok
+        ("t", {"rc": 1, "kind": "OK", "data": "abc"}, b"k", 5),  # 1 rc != 0
+        ("t", {"rc": 0, "kind": "ERR", "err": "bad thing"}, b"k", 5),  # 2 err message
+        ("t", {"rc": 0, "kind": "ERR"}, b"k", 5),  # 3 err without message
+        ("t", {"rc": 0, "kind": "SKIP"}, b"k", 5),  # 4 skip is an error
+        ("t", {"rc": 0, "kind": "NEED_MORE", "need": 10000, "ok_at": 10000, "data": "big"}, b"k", 5),  # 5 retry ok
+        ("t", {"rc": 0, "kind": "NEED_MORE", "need": 100}, b"k", 5),  # 6 need <= cap: no retry
+        ("t", {"rc": 0, "kind": "NEED_MORE", "need": 10000, "ok_at": 20000}, b"k", 5),  # 7 still need more
+        ("t", {"rc": 0, "kind": "WAT"}, b"k", 5),  # 8 unknown kind
+        ("t", {"rc": 0, "kind": "ERR", "err": "abc\u0000def"}, b"k", 5),  # 9 NUL cut
+        ("t", {"rc": 0, "kind": "ERR", "err": long_err}, b"k", 5),  # 10 long message
+        ("u", {"rc": 0, "kind": "OK", "data": "abc"}, b"k", 5),  # 11 unbound topic
+        ("v", {"rc": 0, "kind": "OK", "data": "abc"}, b"k", 5),  # 12 bound to a missing symbol
+        ("t", {"rc": -1, "kind": "NEED_MORE", "need": 10000, "ok_at": 10000, "data": "z"}, b"k", 5),  # 13 rc!=0: no retry
+    ]
+    out = run(spark, rows, [("t", "lib", "scripted"), ("v", "lib", "nope")])
+    exp = {
+        0: ("data", b"abc", ""),
+        1: ("error", b"", S.MSG_DECODE_FAILED),
+        2: ("error", b"", "bad thing"),
+        3: ("error", b"", S.MSG_DECODE_FAILED),
+        4: ("error", b"", S.MSG_DECODE_FAILED),
+        5: ("data", b"big", ""),
+        6: ("error", b"", S.MSG_DECODE_FAILED),
+        7: ("error", b"", S.MSG_DECODE_FAILED),
+        8: ("error", b"", S.MSG_DECODE_FAILED),
+        9: ("error", b"", "abc"),
+        10: ("error", b"", "x" * 95),
+        11: ("error", b"", S.MSG_NOT_BOUND),
+        12: ("error", b"", S.MSG_SYMBOL_NOT_FOUND + "nope"),
+        13: ("error", b"", S.MSG_DECODE_FAILED),
+    }
+    for i, (kind, data, err) in exp.items():
+        r = out[i]
+        assert (r["kind"], bytes(r["data"]), r["err"]) == (kind, data, err), i
+
+
+@pytest.mark.parametrize("n", [94, 95, 96, 255])
+def test_error_text_is_at_most_95_bytes(spark, n):
+    out = run(spark, [("t", {"kind": "ERR", "err": "m" * n}, b"", 1)], [("t", "lib", "scripted")])
+    assert out[0]["err"] == "m" * min(n, 95)
+
+
+def test_multibyte_character_cut_at_byte_95(spark):
+    msg = "a" * 94 + "é" + "b"
+    out = run(spark, [("t", {"kind": "ERR", "err": msg}, b"", 1)], [("t", "lib", "scripted")])
+    err = out[0]["err"]
+    assert err.startswith("a" * 94)
+    assert err[94:] == "�"
+
+
+def test_envelope_edge_rows(spark):
+    rows = [
+        ("t", b"payload", None, 1_700_000_000_000),  # null key
+        ("t", b"payload", b"", -1),  # empty key, no timestamp
+        ("t", None, b"k", 0),  # tombstone
+    ]
+    env = env_rows(spark, rows)
+    empty = spark.createDataFrame([], S.BINDING_SCHEMA)
+    ev = {r["offset"]: r for r in decode(env, empty, DecoderRegistry(), topics=["t"]).collect()}
+    assert bytes(ev[0]["key"]) == b"" and bytes(ev[1]["key"]) == b""
+    assert ev[0]["ingest_ns"] == 1_700_000_000_000 * 1_000_000
+    assert ev[1]["ingest_ns"] == 0 and ev[1]["timestamp_ms"] == -1
+    assert ev[2]["kind"] == "data" and bytes(ev[2]["data"]) == b"" and ev[2]["err"] == ""
+    assert all(r["decoder"] == S.DEFAULT_SYMBOL for r in ev.values())
+
+
+def test_default_only_for_subscribed_topics(spark):
+    rows = [("a", b"x", b"", 1), ("b", b"y", b"", 1)]
+    env = env_rows(spark, rows)
+    bindings = spark.createDataFrame([("b", "lib", "scripted")], S.BINDING_SCHEMA)
+    ev = {r["topic"]: r for r in decode(env, bindings, registry(), topics=["a", "b"]).collect()}
+    # subscribe after bind keeps the binding; unbound subscribed topic gets the default
+    assert ev["a"]["decoder"] == S.DEFAULT_SYMBOL and ev["a"]["kind"] == "data"
+    assert ev["b"]["decoder"] == "scripted"
+    ev2 = {r["topic"]: r for r in decode(env, bindings, registry(), topics=None).collect()}
+    assert ev2["a"]["decoder"] is None and ev2["a"]["err"] == S.MSG_NOT_BOUND
+
+
+def test_skip_policy_drop(spark):
+    rows = [("t", {"kind": "SKIP"}, b"", 1), ("t", {"kind": "OK", "data": "d"}, b"", 1)]
+    out = run(spark, rows, [("t", "lib", "scripted")], skip_policy="drop")
+    assert list(out) == [1]
+    with pytest.raises(ValueError):
+        run(spark, rows, [("t", "lib", "scripted")], skip_policy="nope")
+
+
+def test_drain_shape_and_label(spark):
+    rows = [("t", {"kind": "OK", "data": "d"}, b"", 1), ("u", {"kind": "OK"}, b"", 1)]
+    env = env_rows(spark, rows)
+    b = spark.createDataFrame([("t", "lib", "scripted")], S.BINDING_SCHEMA)
+    ev = decode(env, b, registry())
+    drained = to_drain(ev)
+    assert drained.columns == S.DRAIN_COLUMNS
+    got = {r["topic"]: r["tbl"] for r in drained.collect()}
+    assert got == {"t": "scripted", "u": "u"}
+    # rebind between decode and drain: label is the new symbol, bytes stay
+    later = spark.createDataFrame([("t", "lib", "scripted_v2")], S.BINDING_SCHEMA)
+    rows2 = {r["topic"]: r for r in to_drain(ev, label_bindings=later).collect()}
+    assert rows2["t"]["tbl"] == "scripted_v2" and bytes(rows2["t"]["data"]) == b"d"
+    # unbind before drain: label falls back to the topic
+    none = spark.createDataFrame([], S.BINDING_SCHEMA)
+    assert {r["tbl"] for r in to_drain(ev, label_bindings=none).collect()} == {"t", "u"}
+
+
+def test_duplicate_bindings_never_multiply_rows(spark):
+    env = env_rows(spark, [("t", {"kind": "OK", "data": "d"}, b"", 1)])
+    b = spark.createDataFrame([("t", "lib", "scripted"), ("t", "lib", "zzz")], S.BINDING_SCHEMA)
+    assert decode(env, b, registry()).count() == 1
