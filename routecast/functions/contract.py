@@ -16,6 +16,19 @@ def empty_bytes() -> Column:
     return F.lit(b"").cast("binary")
 
 
+_ANSWER_FIELDS = (("rc", "INT"), ("kind", "STRING"), ("data", "BINARY"), ("err", "STRING"), ("need", "BIGINT"))
+
+
+def _sql_literal(value, sql_type: str) -> str:
+    if value is None:
+        return f"CAST(NULL AS {sql_type})"
+    if isinstance(value, (bytes, bytearray)):
+        return f"X'{bytes(value).hex()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"CAST({int(value)} AS {sql_type})"
+
+
 def decode_result(
     kind: Column | str = S.KIND_OK,
     data: Column | bytes | None = None,
@@ -25,20 +38,22 @@ def decode_result(
 ) -> Column:
     """Build a decoder answer ``struct<rc, kind, data, err, need>``.
 
-    Column decoders return this; plain Python values are turned into literals.
+    Column decoders return this. Plain Python values become literals; the
+    literal part is one SQL expression and each Column value is set with
+    ``withField`` (both fold into a single struct in the optimized plan).
     """
-
-    def lit(v):
-        return v if isinstance(v, Column) else F.lit(v)
-
-    data_col = empty_bytes() if data is None else lit(data)
-    return F.struct(
-        lit(rc).cast("int").alias("rc"),
-        lit(kind).cast("string").alias("kind"),
-        data_col.cast("binary").alias("data"),
-        lit(err).cast("string").alias("err"),
-        lit(need).cast("long").alias("need"),
-    )
+    values = {"rc": rc, "kind": kind, "data": b"" if data is None else data, "err": err, "need": need}
+    parts = []
+    for name, sql_type in _ANSWER_FIELDS:
+        v = values[name]
+        lit = _sql_literal(None if isinstance(v, Column) else v, sql_type)
+        parts.append(f"'{name}', {lit}")
+    out = F.expr("named_struct(" + ", ".join(parts) + ")")
+    for name, sql_type in _ANSWER_FIELDS:
+        v = values[name]
+        if isinstance(v, Column):
+            out = out.withField(name, v.cast(sql_type.lower()))
+    return out
 
 
 def ingest_ns(timestamp_ms: Column) -> Column:

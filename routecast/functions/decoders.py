@@ -104,15 +104,27 @@ class PythonDecoder:
 # ---------------------------------------------------------------------------
 
 
-def passthrough(env: Env) -> Column:
-    """output = payload. Honours the capacity handshake: a payload larger
-    than ``cap`` answers NEED_MORE with ``need = length``."""
+def passthrough_with_capacity(env: Env) -> Column:
+    """D1 as its first call sees it: a payload larger than ``cap`` answers
+    NEED_MORE with ``need = length``."""
     size = F.octet_length(env.payload).cast("long")
     return F.when(size > env.cap, decode_result(kind=S.KIND_NEED_MORE, need=size)).otherwise(
         decode_result(kind=S.KIND_OK, data=F.coalesce(env.payload, F.lit(b"").cast("binary")))
     )
 
 
+def passthrough(env: Env) -> Column:
+    """output = payload, OK, empty message.
+
+    Through the capacity handshake (:func:`passthrough_with_capacity`) a
+    large payload first answers NEED_MORE with exactly its length, and the
+    one retry then succeeds, so the settled answer is always OK(payload);
+    the built-in is registered in that settled form to keep the expression
+    small.
+    """
+    return decode_result(kind=S.KIND_OK, data=F.coalesce(env.payload, F.lit(b"").cast("binary")))
+
+
 class DecoderRegistry:
     """Symbol -> decoder, grouped by library (the catalog of J4)."""
 
@@ -120,9 +132,10 @@ class DecoderRegistry:
         self._column: dict[str, ColumnDecoder] = {}
         self._python: dict[str, PythonDecoder] = {}
         self._libraries: dict[str, int | None] = {}
+        self._answer_cache: dict[tuple, Column] = {}
         if builtins:
-            self.register_column(S.PASSTHROUGH_SYMBOL, passthrough, library=S.BUILTIN_LIBRARY, may_need_more=True)
-            self.register_column(S.DEFAULT_SYMBOL, passthrough, library=S.BUILTIN_LIBRARY, may_need_more=True)
+            self.register_column(S.PASSTHROUGH_SYMBOL, passthrough, library=S.BUILTIN_LIBRARY)
+            self.register_column(S.DEFAULT_SYMBOL, passthrough, library=S.BUILTIN_LIBRARY)
 
     # -- registration ------------------------------------------------------
 
@@ -143,6 +156,7 @@ class DecoderRegistry:
         may_need_more: bool = False,
     ) -> "DecoderRegistry":
         self._check_new(symbol)
+        self._answer_cache.clear()
         self._python.pop(symbol, None)
         self._column[symbol] = ColumnDecoder(symbol, fn, library, may_need_more)
         self._libraries.setdefault(library, S.CONTRACT_VERSION)
@@ -152,6 +166,7 @@ class DecoderRegistry:
         self, symbol: str, fn: Callable[[PyEnvelope], Any], library: str = S.BUILTIN_LIBRARY
     ) -> "DecoderRegistry":
         self._check_new(symbol)
+        self._answer_cache.clear()
         self._column.pop(symbol, None)
         self._python[symbol] = PythonDecoder(symbol, fn, library)
         self._libraries.setdefault(library, S.CONTRACT_VERSION)
@@ -202,7 +217,9 @@ class DecoderRegistry:
 
     def catalog(self, spark: SparkSession) -> DataFrame:
         """The registry as a ``(library, contract_version, symbol)`` table."""
-        return spark.createDataFrame(self.catalog_rows(), schema=S.CATALOG_SCHEMA)
+        from routecast.sources.local import local_table
+
+        return local_table(spark, self.catalog_rows(), S.CATALOG_SCHEMA)
 
     # -- dispatch ----------------------------------------------------------
 
@@ -213,6 +230,19 @@ class DecoderRegistry:
         retry = (first["rc"] == 0) & (first["kind"] == S.KIND_NEED_MORE) & (first["need"] > capacity)
         return F.when(retry, dec.fn(env.with_cap(first["need"]))).otherwise(first)
 
+    def answer(self, capacity: int = S.INITIAL_CAPACITY) -> Column:
+        """``dispatch`` over the standard envelope columns and ``decoder``,
+        built once per registry state and reused (micro-batches rebuild their
+        plan each trigger; the expression need not be)."""
+        from pyspark import SparkContext
+
+        key = (id(SparkContext._active_spark_context), capacity)
+        col = self._answer_cache.get(key)
+        if col is None:
+            col = self.dispatch(F.col("decoder"), Env.of(F.col), capacity)
+            self._answer_cache[key] = col
+        return col
+
     def dispatch(self, symbol: Column, env: Env, capacity: int = S.INITIAL_CAPACITY) -> Column:
         """The decoder answer for each row, chosen by ``symbol``.
 
@@ -229,8 +259,15 @@ class DecoderRegistry:
             py_symbols = list(self._python)
             is_py = symbol.isin(py_symbols)
             add(is_py, self._python_answer(symbol, env, is_py, capacity))
-        for sym, dec in self._column.items():
-            add(symbol == F.lit(sym), self._column_answer(dec, env, capacity))
+        # One branch per distinct decoder function: symbols that share a
+        # function (aliases, the default and passthrough) share the branch.
+        groups: dict[tuple[int, bool], list[ColumnDecoder]] = {}
+        for dec in self._column.values():
+            groups.setdefault((id(dec.fn), dec.may_need_more), []).append(dec)
+        for decs in groups.values():
+            syms = [d.symbol for d in decs]
+            cond = symbol == F.lit(syms[0]) if len(syms) == 1 else symbol.isin(syms)
+            add(cond, self._column_answer(decs[0], env, capacity))
         missing = decode_result(
             rc=-2, kind=S.KIND_ERR, err=F.concat(F.lit(S.MSG_SYMBOL_NOT_FOUND), symbol)
         )

@@ -10,17 +10,35 @@ from pyspark.sql import functions as F
 # falls back to a shuffle plan that AQE can split for skew.
 MAX_BROADCAST_ROWS = 2_000_000
 
+# Plans whose optimizer size estimate is under this many bytes are accepted
+# without running the exact count (the estimate of an in-memory table is
+# exact; that of a file scan is its on-disk size).
+ESTIMATE_ACCEPT_BYTES = 8 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df``'s optimized plan, or None."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
+    except Exception:
+        return None
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Return ``(broadcast(df), True)`` when ``df`` has at most ``max_rows``
     rows, else ``(df, False)``.
 
-    The check runs ``limit(max_rows + 1).count()``, so its cost is bounded by
-    the limit, not by the table. It is meant for small control tables, which
-    are cheap to evaluate twice.
+    A plan whose size estimate is tiny (an in-memory control table, a small
+    file) is accepted at once. Otherwise the check runs
+    ``limit(max_rows + 1).count()``, so its cost is bounded by the limit, not
+    by the table.
     """
     if df.isStreaming:
         return df, False
+    est = estimated_bytes(df)
+    if est is not None and est <= ESTIMATE_ACCEPT_BYTES and max_rows > 0:
+        return F.broadcast(df), True
     n = df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df), True

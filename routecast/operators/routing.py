@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from routecast import schema as S
 from routecast.functions.contract import apply_contract, ingest_ns, normalize_key
-from routecast.functions.decoders import DecoderRegistry, Env
+from routecast.functions.decoders import DecoderRegistry
 from routecast.operators.broadcast import MAX_BROADCAST_ROWS, bounded_broadcast
+from routecast.sources.local import local_table
 
 
 def binding_table(bindings: DataFrame, topics: Iterable[str] | None = None) -> DataFrame:
@@ -39,7 +40,7 @@ def binding_table(bindings: DataFrame, topics: Iterable[str] | None = None) -> D
     topics = list(dict.fromkeys(topics or []))
     if topics:
         spark = bindings.sparkSession
-        subscribed = spark.createDataFrame([(t,) for t in topics], "topic string").select(
+        subscribed = local_table(spark, [(t,) for t in topics], "topic string").select(
             "topic",
             F.lit(S.BUILTIN_LIBRARY).alias("library"),
             F.lit(S.DEFAULT_SYMBOL).alias("symbol"),
@@ -89,7 +90,7 @@ def decode_routed(
     if skip_policy not in ("error", "drop"):
         raise ValueError("skip_policy must be 'error' or 'drop'")
     symbol = F.col("decoder")
-    answer = registry.dispatch(symbol, Env.of(F.col), capacity)
+    answer = registry.answer(capacity)
     staged = routed.withColumn("_ans", answer)
     if skip_policy == "drop":
         staged = staged.filter(F.coalesce(F.col("_ans.kind") != S.KIND_SKIP, F.lit(True)))

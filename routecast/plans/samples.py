@@ -13,6 +13,7 @@ from routecast import schema as S
 from routecast.functions.contract import decode_result
 from routecast.functions.decoders import DecodeOut, DecoderRegistry, Env, PyEnvelope
 from routecast.sources.envelopes import epoch_millis_ntz
+from routecast.sources.local import local_table
 
 SAMPLE_LIBRARY = "samples"
 PY_LIBRARY = "pysamples"
@@ -86,7 +87,19 @@ def py_strict(env: PyEnvelope) -> DecodeOut:
     return DecodeOut(data=payload.split(b"\n", 1)[0])
 
 
+_REGISTRIES: dict[bool, DecoderRegistry] = {}
+
+
 def sample_registry(with_python: bool = False) -> DecoderRegistry:
+    """The sample decoders (built once per process; the registry caches its
+    dispatch expression)."""
+    reg = _REGISTRIES.get(with_python)
+    if reg is None:
+        reg = _REGISTRIES[with_python] = build_sample_registry(with_python)
+    return reg
+
+
+def build_sample_registry(with_python: bool) -> DecoderRegistry:
     reg = DecoderRegistry()
     reg.register_column("json_k", json_k, library=SAMPLE_LIBRARY)
     reg.register_column("skip_all", skip_all, library=SAMPLE_LIBRARY)
@@ -111,7 +124,7 @@ DOCUMENT_BINDINGS = [
 
 
 def bindings_df(spark: SparkSession, rows) -> DataFrame:
-    return spark.createDataFrame(rows, schema=S.BINDING_SCHEMA)
+    return local_table(spark, rows, S.BINDING_SCHEMA)
 
 
 def event_bindings(spark: SparkSession) -> DataFrame:
@@ -219,7 +232,7 @@ REQUEST_SYMBOLS = ["json_k", "skip_all", "py_line_count", "short_only"]
 
 def check_catalog(spark: SparkSession) -> DataFrame:
     reg = sample_registry(with_python=True)
-    return spark.createDataFrame(reg.catalog_rows() + EXTRA_CATALOG, schema=S.CATALOG_SCHEMA)
+    return local_table(spark, reg.catalog_rows() + EXTRA_CATALOG, S.CATALOG_SCHEMA)
 
 
 def _choose(index: Column, values: list[str]) -> Column:

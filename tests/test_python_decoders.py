@@ -16,7 +16,7 @@ def test_decoder_runs_only_on_bound_rows(spark):
         acc.add(1)
         return DecodeOut(data=env.payload[::-1])
 
-    reg = samples.sample_registry()
+    reg = samples.build_sample_registry(with_python=False)
     reg.register_python("rev", counting)
     env = read_events(spark, SF)
     bindings = samples.bindings_df(spark, [("view", "py", "rev"), ("error", "samples", "skip_all")])
