@@ -53,7 +53,7 @@ def main() -> None:
         master=f"local[{cpus}]",
         app_name="routecast-bench",
         shuffle_partitions=cpus * 2,
-        conf={"spark.driver.memory": "16g"},
+        conf={"spark.driver.memory": "16g", "spark.routecast.decodePartitions": str(cpus)},
     )
     spark.sparkContext.setLogLevel("ERROR")
 

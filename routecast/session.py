@@ -15,6 +15,9 @@ _BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python decoders see whole payloads; bound an Arrow batch by records so
+    # large messages (documents reach ~130 KB) keep batches in the 100s of MB.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
 }
 
 

@@ -119,8 +119,31 @@ def conversations_envelopes(df: DataFrame) -> DataFrame:
     )
 
 
+# Session setting: least number of partitions a table scan should feed the
+# decode with (the table-source form of the consumer's decode parallelism).
+# Unset by default: many input files already give one task per split, and a
+# round-robin repartition would only add a shuffle.
+DECODE_PARTITIONS_CONF = "spark.routecast.decodePartitions"
+
+
+def decode_partitions(spark: SparkSession) -> int | None:
+    value = spark.conf.get(DECODE_PARTITIONS_CONF, None)
+    return int(value) if value else None
+
+
+def with_decode_partitions(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Spread a scan that yields fewer than ``partitions`` splits (e.g. one
+    file of one row group) over ``partitions`` tasks, round-robin."""
+    if not partitions or df.isStreaming:
+        return df
+    if df.rdd.getNumPartitions() >= partitions:
+        return df
+    return df.repartition(partitions)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return with_decode_partitions(df, decode_partitions(spark))
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
