@@ -252,3 +252,40 @@ def bindings_from_text(
         (err == "").alias("ok"),
         err.alias("err"),
     )
+
+
+# ---------------------------------------------------------------------------
+# J4 -> A4: checked control log
+# ---------------------------------------------------------------------------
+
+
+def validate_log(
+    log: DataFrame,
+    catalog: DataFrame,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Check every bind/rebind of a control log against the catalog (J4) and
+    set ``valid`` (and ``err``) from the result; other operations are valid.
+    Feeding the result to :func:`current_bindings` or :func:`route_as_of`
+    makes a rejected bind leave the earlier binding in place."""
+    is_bind = F.col("op").isin(S.OP_BIND, S.OP_REBIND)
+    checked = check_bindings(log.drop("valid"), catalog, max_broadcast_rows)
+    return checked.select(
+        *[c for c in log.columns if c != "valid"],
+        F.when(is_bind, F.col("ok")).otherwise(F.lit(True)).alias("valid"),
+        F.when(is_bind, F.col("err")).otherwise(F.lit("")).alias("err"),
+    )
+
+
+def binding_ops(spark, ops, first_seq: int = 0) -> DataFrame:
+    """A control log from driver-side operations ``(effective_at, op, topic,
+    library, symbol)``, in the order given (``seq`` = position). For the
+    handful of operations an operator issues; data-sized logs are tables."""
+    from routecast.sources.local import local_table
+
+    rows = []
+    for i, (at, op, topic, library, symbol) in enumerate(ops):
+        if op not in (S.OP_BIND, S.OP_REBIND, S.OP_UNBIND, S.OP_SUBSCRIBE):
+            raise ValueError(f"unknown binding operation {op!r}")
+        rows.append((int(at), first_seq + i, op, topic, library, symbol, True))
+    return local_table(spark, rows, S.BINDING_LOG_SCHEMA)

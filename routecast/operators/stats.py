@@ -43,6 +43,58 @@ def floor_div(df: DataFrame, column: Column, divisor: int, name: str) -> DataFra
     )
 
 
+# Intervals per block in the two-level running sum of A2.
+RATE_BLOCK = 4096
+
+
+def running_sums(
+    df: DataFrame,
+    key: str,
+    value_cols: list[str],
+    block: int = RATE_BLOCK,
+    max_broadcast_rows: int | None = None,
+) -> DataFrame:
+    """Add ``<c>_run`` = sum of ``c`` over all rows with a key <= this row's
+    key, for a table with a unique long ``key`` (a bucket table).
+
+    Two levels, so no single task sees the whole table: rows are grouped in
+    blocks of ``block`` consecutive keys; a window over the small block table
+    gives each block's starting sums; a window partitioned by block adds the
+    running sum inside it.
+    """
+    from routecast.operators.broadcast import MAX_BROADCAST_ROWS, bounded_broadcast
+
+    keyed = floor_div(df, F.col(key), block, "_blk")
+    sums = keyed.groupBy("_blk").agg(*[F.sum(c).alias(c) for c in value_cols])
+    before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select(
+        "_blk", *[F.coalesce(F.sum(c).over(before), F.lit(0)).cast("long").alias(f"_{c}_base") for c in value_cols]
+    )
+    side, _ = bounded_broadcast(bases, max_broadcast_rows or MAX_BROADCAST_ROWS)
+    inside = Window.partitionBy("_blk").orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = keyed.join(side, "_blk", "left")
+    for c in value_cols:
+        out = out.withColumn(f"{c}_run", (F.col(f"_{c}_base") + F.sum(c).over(inside)).cast("long"))
+    return out.drop("_blk", *[f"_{c}_base" for c in value_cols])
+
+
+def dense_grid(per_bucket: DataFrame, key: str = "bucket", block: int = RATE_BLOCK) -> DataFrame:
+    """Every key between the table's smallest and largest, generated block
+    by block in parallel (one row per block first, then the keys of each)."""
+    span = per_bucket.agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    blocks = span.select(
+        "lo",
+        "hi",
+        F.explode(
+            F.sequence(F.expr(f"(lo - pmod(lo, {block})) div {block}"), F.expr(f"(hi - pmod(hi, {block})) div {block}"))
+        ).alias("_blk"),
+    )
+    n = int(per_bucket.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    start = F.greatest(F.col("lo"), F.col("_blk") * block)
+    stop = F.least(F.col("hi"), F.col("_blk") * block + (block - 1))
+    return blocks.repartition(n, "_blk").select(F.explode(F.sequence(start, stop)).alias(key))
+
+
 def event_rate(
     events: DataFrame,
     interval_seconds: int = 1,
@@ -69,20 +121,19 @@ def event_rate(
         .agg(*_counters())
     )
     if dense:
-        span = per_bucket.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
-        grid = span.select(F.explode(F.sequence("lo", "hi")).alias("bucket"))
-        per_bucket = grid.join(per_bucket, "bucket", "left").select(
+        per_bucket = dense_grid(per_bucket).join(per_bucket, "bucket", "left").select(
             "bucket",
             *[F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in ("total", "data", "error")],
         )
-    # Running sums over the bucket table only (one row per interval).
-    w = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return per_bucket.select(
+    # Running sums over the bucket table only (one row per interval), in two
+    # levels so a long, fine-grained span is not one task.
+    run = running_sums(per_bucket, "bucket", ["total", "data", "error"])
+    return run.select(
         (F.col("bucket") * F.lit(interval_seconds * 1000)).alias("bucket_start_ms"),
         F.col("total").alias("delta"),
-        F.sum("total").over(w).alias("total"),
-        F.sum("data").over(w).alias("data"),
-        F.sum("error").over(w).alias("error"),
+        F.col("total_run").alias("total"),
+        F.col("data_run").alias("data"),
+        F.col("error_run").alias("error"),
         (F.col("total") / F.lit(float(interval_seconds))).alias("qps"),
     )
 

@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 from routecast import schema as S
 from routecast.functions.contract import ingest_ns
 from routecast.functions.text import error_line, event_text
-from routecast.operators.bindings import bindings_from_text, check_bindings, current_bindings, route_as_of
+from routecast.operators.bindings import (
+    bindings_from_text,
+    check_bindings,
+    current_bindings,
+    route_as_of,
+    validate_log,
+)
 from routecast.operators.paging import drain_pages
 from routecast.operators.routing import decode, decode_routed, split_events, to_drain
 from routecast.operators.stats import dispatch_counts, event_rate, event_totals
@@ -779,3 +785,40 @@ def q_stream_rebind(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.awaitTermination()
     out = read_routed(spark, base + "/out")
     return out.select("batch_id", "tbl", "topic", "kind", F.hex("data").alias("data_hex"), "err")
+
+
+# ---------------------------------------------------------------------------
+# J4 + A4: bind requests checked, then the last valid one per topic
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "validated_bindings",
+    "WITH "
+    + _catalog_values_sql()
+    + """,
+req AS (
+  SELECT epoch_us(ts) // 1000 AS effective_at, event_id AS seq, event_type AS topic,
+         CASE user_id % 5 WHEN 0 THEN 'samples' WHEN 1 THEN 'pysamples' WHEN 2 THEN 'lib_old'
+                          WHEN 3 THEN 'lib_nover' ELSE 'lib_gone' END AS library,
+         CASE CAST(json_extract_string(props, '$.k') AS BIGINT) % 4
+              WHEN 0 THEN 'json_k' WHEN 1 THEN 'skip_all' WHEN 2 THEN 'py_line_count'
+              ELSE 'short_only' END AS symbol
+  FROM events
+),
+libs AS (SELECT library, max(contract_version) AS ver FROM cat GROUP BY library),
+syms AS (SELECT DISTINCT library, symbol FROM cat WHERE symbol IS NOT NULL),
+ok_req AS (
+  SELECT r.* FROM req r
+  JOIN libs l ON r.library = l.library
+  JOIN syms s ON r.library = s.library AND r.symbol = s.symbol
+  WHERE l.ver = 2
+),
+last_ok AS (
+  SELECT *, row_number() OVER (PARTITION BY topic ORDER BY effective_at DESC, seq DESC) AS rn FROM ok_req
+)
+SELECT topic, library, symbol FROM last_ok WHERE rn = 1""",
+)
+def q_validated_bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = samples.bind_request_log(read_table(spark, sf_dir, "events"))
+    return current_bindings(validate_log(log, samples.check_catalog(spark)))

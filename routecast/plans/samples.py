@@ -252,6 +252,20 @@ def bind_requests(events_table: DataFrame) -> DataFrame:
     )
 
 
+def bind_request_log(events_table: DataFrame) -> DataFrame:
+    """The bind requests of :func:`bind_requests` as a control log (one
+    projection, ordered by event time and id), to be validated (J4)."""
+    return events_table.select(
+        epoch_millis_ntz("ts").alias("effective_at"),
+        F.col("event_id").cast("long").alias("seq"),
+        F.lit(S.OP_BIND).alias("op"),
+        F.col("event_type").alias("topic"),
+        _choose(F.pmod(F.col("user_id"), F.lit(len(REQUEST_LIBRARIES))), REQUEST_LIBRARIES).alias("library"),
+        _choose(F.pmod(_k(), F.lit(len(REQUEST_SYMBOLS))), REQUEST_SYMBOLS).alias("symbol"),
+        F.lit(True).alias("valid"),
+    )
+
+
 def binding_file_lines(events_table: DataFrame) -> DataFrame:
     """Binding-file text, one line per event (for D5), in column ``value``:
     ``<event_type> <target>`` with target ``-``, ``k`` (alias), ``json_k``
