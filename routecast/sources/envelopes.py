@@ -49,14 +49,26 @@ def envelopes_from_table(
     return df.select(*[cols[c].alias(c) for c in ENVELOPE_COLUMNS])
 
 
-def epoch_millis_ntz(ts_column: str) -> Column:
-    """Milliseconds since epoch of a TIMESTAMP_NTZ column, independent of the
-    session time zone (integer division of the microsecond count)."""
-    return F.expr(
-        f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts_column}`) div 1000"
+def epoch_micros_ntz(ts_column: str) -> str:
+    """SQL for the microseconds since epoch of a TIMESTAMP_NTZ column, read
+    from its wall-clock parts, so the session time zone plays no part (a cast
+    to TIMESTAMP would shift local times that do not exist in that zone)."""
+    c = f"`{ts_column}`"
+    return (
+        f"(CAST(unix_date(to_date({c})) AS BIGINT) * 86400000000"
+        f" + CAST(hour({c}) AS BIGINT) * 3600000000"
+        f" + CAST(minute({c}) AS BIGINT) * 60000000"
+        f" + CAST(date_part('SECOND', {c}) * 1000000 AS BIGINT))"
     )
 
 
+def epoch_millis_ntz(ts_column: str) -> Column:
+    """Milliseconds since epoch (floored) of a TIMESTAMP_NTZ column,
+    independent of the session time zone."""
+    us = epoch_micros_ntz(ts_column)
+    return F.expr(f"({us} - pmod({us}, 1000)) div 1000")
+
+
 def kafka_to_envelope(kafka_df: DataFrame) -> DataFrame:
     """A Kafka source row -> envelope; an absent timestamp gives -1."""
     return kafka_df.select(

@@ -54,3 +54,19 @@ def test_kafka_rows_to_envelopes(spark):
     env = {r["offset"]: r for r in kafka_to_envelope(kdf).collect()}
     assert env[42]["timestamp_ms"] == 1704067207179 and bytes(env[42]["payload"]) == b"v"
     assert env[43]["timestamp_ms"] == -1 and env[43]["payload"] is None and env[43]["partition"] == 0
+
+
+def test_epoch_millis_ignores_session_time_zone(spark):
+    from routecast.sources.envelopes import epoch_millis_ntz
+
+    df = spark.sql(
+        "SELECT * FROM VALUES (TIMESTAMP_NTZ'2024-03-10 02:30:00.5'), (TIMESTAMP_NTZ'2024-01-01 00:00:07.179575'),"
+        " (TIMESTAMP_NTZ'1969-12-31 23:59:59.9995') AS t(ts)"
+    )
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        got = [r[0] for r in df.select(epoch_millis_ntz("ts")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [1710037800500, 1704067207179, -1]
