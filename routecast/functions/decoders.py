@@ -230,40 +230,54 @@ class DecoderRegistry:
         retry = (first["rc"] == 0) & (first["kind"] == S.KIND_NEED_MORE) & (first["need"] > capacity)
         return F.when(retry, dec.fn(env.with_cap(first["need"]))).otherwise(first)
 
-    def answer(self, capacity: int = S.INITIAL_CAPACITY) -> Column:
+    def answer(self, capacity: int = S.INITIAL_CAPACITY, symbols: frozenset[str] | None = None) -> Column:
         """``dispatch`` over the standard envelope columns and ``decoder``,
-        built once per registry state and reused (micro-batches rebuild their
-        plan each trigger; the expression need not be)."""
+        built once per (registry state, symbol set) and reused: micro-batches
+        rebuild their plan each trigger, the expression need not be."""
         from pyspark import SparkContext
 
-        key = (id(SparkContext._active_spark_context), capacity)
+        key = (id(SparkContext._active_spark_context), capacity, symbols)
         col = self._answer_cache.get(key)
         if col is None:
-            col = self.dispatch(F.col("decoder"), Env.of(F.col), capacity)
+            col = self.dispatch(F.col("decoder"), Env.of(F.col), capacity, symbols)
             self._answer_cache[key] = col
         return col
 
-    def dispatch(self, symbol: Column, env: Env, capacity: int = S.INITIAL_CAPACITY) -> Column:
+    def dispatch(
+        self,
+        symbol: Column,
+        env: Env,
+        capacity: int = S.INITIAL_CAPACITY,
+        symbols: frozenset[str] | None = None,
+    ) -> Column:
         """The decoder answer for each row, chosen by ``symbol``.
 
         ``symbol`` NULL (unbound) yields NULL; the contract handles it. A
         symbol bound but not registered yields an ERR answer naming it.
+        ``symbols``, when known, is every symbol the rows can carry: decoders
+        outside it are left out of the expression, and with no Python decoder
+        among them the plan holds no Python UDF at all.
         """
+
+        def wanted(sym: str) -> bool:
+            return symbols is None or sym in symbols
+
         expr = None
 
         def add(cond: Column, value: Column):
             nonlocal expr
             expr = F.when(cond, value) if expr is None else expr.when(cond, value)
 
-        if self._python:
-            py_symbols = list(self._python)
+        py_symbols = [s for s in self._python if wanted(s)]
+        if py_symbols:
             is_py = symbol.isin(py_symbols)
-            add(is_py, self._python_answer(symbol, env, is_py, capacity))
+            add(is_py, self._python_answer(symbol, env, is_py, capacity, py_symbols))
         # One branch per distinct decoder function: symbols that share a
         # function (aliases, the default and passthrough) share the branch.
         groups: dict[tuple[int, bool], list[ColumnDecoder]] = {}
         for dec in self._column.values():
-            groups.setdefault((id(dec.fn), dec.may_need_more), []).append(dec)
+            if wanted(dec.symbol):
+                groups.setdefault((id(dec.fn), dec.may_need_more), []).append(dec)
         for decs in groups.values():
             syms = [d.symbol for d in decs]
             cond = symbol == F.lit(syms[0]) if len(syms) == 1 else symbol.isin(syms)
@@ -275,8 +289,10 @@ class DecoderRegistry:
             return F.when(symbol.isNotNull(), missing)
         return expr.when(symbol.isNotNull(), missing)
 
-    def _python_answer(self, symbol: Column, env: Env, is_py: Column, capacity: int) -> Column:
-        udf = _python_dispatch_udf({s: d.fn for s, d in self._python.items()}, capacity)
+    def _python_answer(
+        self, symbol: Column, env: Env, is_py: Column, capacity: int, py_symbols: list[str]
+    ) -> Column:
+        udf = _python_dispatch_udf({s: self._python[s].fn for s in py_symbols}, capacity)
 
         def masked(c: Column) -> Column:
             return F.when(is_py, c)

@@ -64,6 +64,20 @@ def _join_on_topic(big: DataFrame, small: DataFrame, max_rows: int) -> DataFrame
     return big.join(side, "topic", "left")
 
 
+# Up to this many distinct symbols are read back to the driver to trim the
+# decoder expression; a larger binding table keeps every decoder.
+MAX_SYMBOLS_TO_READ = 10_000
+
+
+def bound_symbols(table: DataFrame, column: str = "symbol") -> frozenset[str] | None:
+    """The distinct non-null symbols of a small control table, or None when
+    there are too many to read back (then no decoder is left out)."""
+    rows = table.select(column).where(F.col(column).isNotNull()).distinct().limit(MAX_SYMBOLS_TO_READ + 1).collect()
+    if len(rows) > MAX_SYMBOLS_TO_READ:
+        return None
+    return frozenset(r[0] for r in rows)
+
+
 def route(
     envelopes: DataFrame,
     bindings: DataFrame,
@@ -80,17 +94,31 @@ def route(
     return _join_on_topic(envelopes, table, max_broadcast_rows)
 
 
+def _route_with_symbols(
+    envelopes: DataFrame,
+    bindings: DataFrame,
+    topics: Iterable[str] | None,
+    max_broadcast_rows: int,
+) -> tuple[DataFrame, frozenset[str] | None]:
+    table = binding_table(bindings, topics).select("topic", F.col("symbol").alias("decoder"))
+    side, small = bounded_broadcast(table, max_broadcast_rows)
+    symbols = bound_symbols(table, "decoder") if small else None
+    return envelopes.join(side, "topic", "left"), symbols
+
+
 def decode_routed(
     routed: DataFrame,
     registry: DecoderRegistry,
     skip_policy: str = "error",
     capacity: int = S.INITIAL_CAPACITY,
+    symbols: frozenset[str] | None = None,
 ) -> DataFrame:
-    """D3 on envelopes that already carry a ``decoder`` column (J1 or J2)."""
+    """D3 on envelopes that already carry a ``decoder`` column (J1 or J2).
+    ``symbols``: every symbol ``decoder`` can hold, when known."""
     if skip_policy not in ("error", "drop"):
         raise ValueError("skip_policy must be 'error' or 'drop'")
     symbol = F.col("decoder")
-    answer = registry.answer(capacity)
+    answer = registry.answer(capacity, symbols)
     staged = routed.withColumn("_ans", answer)
     if skip_policy == "drop":
         staged = staged.filter(F.coalesce(F.col("_ans.kind") != S.KIND_SKIP, F.lit(True)))
@@ -125,8 +153,8 @@ def decode(
     ``skip_policy="error"`` (faithful) turns SKIP into an error row;
     ``"drop"`` removes those rows instead.
     """
-    routed = route(envelopes, bindings, topics, max_broadcast_rows)
-    return decode_routed(routed, registry, skip_policy, capacity)
+    routed, symbols = _route_with_symbols(envelopes, bindings, topics, max_broadcast_rows)
+    return decode_routed(routed, registry, skip_policy, capacity, symbols)
 
 
 def to_drain(

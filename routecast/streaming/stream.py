@@ -98,8 +98,19 @@ def batch_path(path: str, batch_id: int) -> str:
     return os.path.join(path, f"batch_id={int(batch_id)}")
 
 
-def write_routed(drained: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    """Write one drained batch, data and error rows in one pass."""
+def write_routed(
+    drained: DataFrame, path: str, batch_id: int, fmt: str = "parquet", rebalance: bool = True
+) -> None:
+    """Write one drained batch, data and error rows in one pass.
+
+    ``rebalance`` (default) asks AQE to group rows by ``(kind, tbl)`` into
+    evenly sized partitions before the write: one batch then makes a few
+    files per target table instead of one per task and table, and a hot table
+    is split over several tasks. It costs one shuffle of the batch; turn it
+    off for the lowest latency.
+    """
+    if rebalance:
+        drained = drained.hint("rebalance", "kind", "tbl")
     (
         drained.write.mode("overwrite")
         .partitionBy("kind", "tbl")
@@ -120,6 +131,7 @@ def routed_batch_writer(
     bindings_loader: BindingsLoader,
     topics: Iterable[str] | None = None,
     skip_policy: str = "error",
+    rebalance: bool = True,
 ) -> Callable[[DataFrame, int], None]:
     """T2 + S7: a ``foreachBatch`` function that re-reads the binding table
     for each micro-batch, decodes, drains and writes the batch."""
@@ -129,7 +141,7 @@ def routed_batch_writer(
         spark = batch.sparkSession
         bindings = bindings_loader(spark, batch_id)
         events = decode(batch, bindings, registry, topics=topic_list, skip_policy=skip_policy)
-        write_routed(to_drain(events, label_bindings=None), path, batch_id)
+        write_routed(to_drain(events, label_bindings=None), path, batch_id, rebalance=rebalance)
 
     return run
 
@@ -149,11 +161,12 @@ def start_routed(
     available_now: bool = False,
     processing_time: str | None = None,
     query_name: str | None = None,
+    rebalance: bool = True,
 ) -> StreamingQuery:
     """Start T1 + T2 + S7: decode every micro-batch with the bindings of that
     moment and write it to the routed sink."""
     writer = envelopes.writeStream.foreachBatch(
-        routed_batch_writer(path, registry, bindings_loader, topics)
+        routed_batch_writer(path, registry, bindings_loader, topics, rebalance=rebalance)
     ).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)

@@ -41,3 +41,24 @@ def test_python_decoders_use_one_arrow_udf(spark):
     plan = plan_text(decode(env, b, samples.sample_registry(with_python=True)))
     assert plan.count("ArrowEvalPython") == 1
     assert "BatchEvalPython" not in plan
+
+
+def test_unbound_python_decoders_stay_out_of_the_plan(spark):
+    env = read_documents(spark, SF)
+    b = samples.bindings_df(spark, [("en", "builtin", "default_decoder")])
+    plan = plan_text(decode(env, b, samples.sample_registry(with_python=True)))
+    assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
+    assert "py_line_count" not in plan and "json_k" not in plan
+
+
+def test_routed_sink_rebalances_before_the_write(spark):
+    from routecast.streaming.stream import stream_checkpoint, write_routed
+
+    drained = to_drain(queries.event_events(spark, SF))
+    base = stream_checkpoint(spark, "test_rebalance")
+    write_routed(drained, base, 0)
+    import glob
+
+    files = glob.glob(base + "/batch_id=0/kind=*/tbl=*/*.parquet")
+    dirs = {f.rsplit("/", 1)[0] for f in files}
+    assert len(dirs) == 6 and len(files) == len(dirs)  # one file per (kind, tbl) at this size
