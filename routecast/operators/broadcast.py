@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import deque
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,11 @@ MAX_BROADCAST_ROWS = 2_000_000
 # exact; that of a file scan is its on-disk size).
 ESTIMATE_ACCEPT_BYTES = 8 * 1024 * 1024
 
+# Control tables persisted by a size check, newest last; the oldest are
+# released so repeated checks (one per micro-batch) do not pile up.
+_KEEP_PERSISTED = 16
+_persisted: deque[DataFrame] = deque()
+
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df``'s optimized plan, or None."""
@@ -25,21 +33,33 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def _remember(df: DataFrame) -> None:
+    _persisted.append(df)
+    while len(_persisted) > _KEEP_PERSISTED:
+        _persisted.popleft().unpersist()
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Return ``(broadcast(df), True)`` when ``df`` has at most ``max_rows``
     rows, else ``(df, False)``.
 
     A plan whose size estimate is tiny (an in-memory control table, a small
-    file) is accepted at once. Otherwise the check runs
-    ``limit(max_rows + 1).count()``, so its cost is bounded by the limit, not
-    by the table.
+    file) is accepted at once. Otherwise the table is persisted and counted
+    with ``limit(max_rows + 1).count()``: the count is bounded by the limit,
+    and a table derived from large inputs (a log aggregated from messages) is
+    computed once for the check and the join alike (cached partitions and the
+    shuffle output behind them are reused). A table over the bound is
+    released again and left to the caller's shuffle plan.
     """
     if df.isStreaming:
         return df, False
     est = estimated_bytes(df)
     if est is not None and est <= ESTIMATE_ACCEPT_BYTES and max_rows > 0:
         return F.broadcast(df), True
-    n = df.limit(max_rows + 1).count()
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.limit(max_rows + 1).count()
     if n <= max_rows:
-        return F.broadcast(df), True
+        _remember(cached)
+        return F.broadcast(cached), True
+    cached.unpersist()
     return df, False

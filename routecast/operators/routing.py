@@ -99,10 +99,11 @@ def _route_with_symbols(
     bindings: DataFrame,
     topics: Iterable[str] | None,
     max_broadcast_rows: int,
+    read_symbols: bool,
 ) -> tuple[DataFrame, frozenset[str] | None]:
     table = binding_table(bindings, topics).select("topic", F.col("symbol").alias("decoder"))
     side, small = bounded_broadcast(table, max_broadcast_rows)
-    symbols = bound_symbols(table, "decoder") if small else None
+    symbols = bound_symbols(table, "decoder") if small and read_symbols else None
     return envelopes.join(side, "topic", "left"), symbols
 
 
@@ -153,7 +154,11 @@ def decode(
     ``skip_policy="error"`` (faithful) turns SKIP into an error row;
     ``"drop"`` removes those rows instead.
     """
-    routed, symbols = _route_with_symbols(envelopes, bindings, topics, max_broadcast_rows)
+    # Reading the bound symbols costs a small job; it pays when Python
+    # decoders are registered (an unbound one then leaves no UDF in the plan).
+    routed, symbols = _route_with_symbols(
+        envelopes, bindings, topics, max_broadcast_rows, read_symbols=bool(registry.python_symbols)
+    )
     return decode_routed(routed, registry, skip_policy, capacity, symbols)
 
 

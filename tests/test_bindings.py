@@ -179,3 +179,20 @@ def test_control_log_feeds_check_results(spark):
         F.col("ok").alias("valid"),
     )
     assert [tuple(r) for r in current_bindings(log).collect()] == [("a", "lib", "x")]
+
+
+def test_persisted_check_path(spark, monkeypatch):
+    """A table whose estimate is not small is persisted, counted and then
+    broadcast from the cache; results are unchanged."""
+    from routecast.operators import broadcast as B
+
+    monkeypatch.setattr(B, "ESTIMATE_ACCEPT_BYTES", -1)
+    rows = random_log(3)
+    log = spark.createDataFrame(rows, S.BINDING_LOG_SCHEMA)
+    env = _messages(spark, [(t, x) for t in TOPICS for x in (0, 10, 35, 80)])
+    side, small = B.bounded_broadcast(binding_intervals(log))
+    assert small and side.storageLevel.useMemory
+    got = {r["offset"]: r["decoder"] for r in route_as_of(env, log).collect()}
+    for i, (topic, t) in enumerate([(t, x) for t in TOPICS for x in (0, 10, 35, 80)]):
+        exp = model_state(rows, upto=t).get(topic)
+        assert got[i] == (exp[1] if exp else None)
