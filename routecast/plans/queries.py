@@ -822,3 +822,49 @@ SELECT topic, library, symbol FROM last_ok WHERE rn = 1""",
 def q_validated_bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = samples.bind_request_log(read_table(spark, sf_dir, "events"))
     return current_bindings(validate_log(log, samples.check_catalog(spark)))
+
+
+# ---------------------------------------------------------------------------
+# J1 with many topics: documents routed by source (20 topics)
+# ---------------------------------------------------------------------------
+
+SOURCE_SUBSCRIBED = [f"src{i}" for i in range(0, 10)]
+SOURCE_BINDINGS = [(f"src{i}", samples.SAMPLE_LIBRARY, "short_only") for i in range(10, 15)]
+
+
+@register(
+    "source_routing_counts",
+    """
+WITH d AS (
+  SELECT source AS topic, text,
+         CASE WHEN CAST(substr(source, 4) AS INTEGER) < 10 THEN 'default_decoder'
+              WHEN CAST(substr(source, 4) AS INTEGER) < 15 THEN 'short_only' END AS decoder
+  FROM documents
+),
+o AS (
+  SELECT coalesce(decoder, topic) AS tbl, topic,
+         CASE WHEN decoder = 'default_decoder' THEN 'data'
+              WHEN decoder = 'short_only' AND strlen(text) <= 8 THEN 'data'
+              ELSE 'error' END AS kind,
+         text, decoder
+  FROM d
+)
+SELECT tbl, topic, kind, count(*) AS n_rows,
+       CAST(sum(CASE WHEN kind = 'data' THEN strlen(text) ELSE 0 END) AS BIGINT) AS data_bytes,
+       CAST(max(CASE WHEN kind = 'data' THEN 0
+                     WHEN decoder IS NULL THEN strlen('decoder not bound')
+                     ELSE 95 END) AS INTEGER) AS max_err_bytes
+FROM o GROUP BY tbl, topic, kind""",
+)
+def q_source_routing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by source: ten subscribed (default decoder), five bound to
+    `short_only`, five neither (`decoder not bound`)."""
+    env = read_documents(spark, sf_dir, topic="source")
+    events = decode(
+        env, samples.bindings_df(spark, SOURCE_BINDINGS), samples.sample_registry(), topics=SOURCE_SUBSCRIBED
+    )
+    return to_drain(events).groupBy("tbl", "topic", "kind").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.octet_length("data")).cast("long").alias("data_bytes"),
+        F.max(F.octet_length("err")).cast("int").alias("max_err_bytes"),
+    )

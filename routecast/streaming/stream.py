@@ -99,7 +99,12 @@ def batch_path(path: str, batch_id: int) -> str:
 
 
 def write_routed(
-    drained: DataFrame, path: str, batch_id: int, fmt: str = "parquet", rebalance: bool = True
+    drained: DataFrame,
+    path: str,
+    batch_id: int,
+    fmt: str = "parquet",
+    rebalance: bool = True,
+    max_records_per_file: int | None = None,
 ) -> None:
     """Write one drained batch, data and error rows in one pass.
 
@@ -108,11 +113,18 @@ def write_routed(
     files per target table instead of one per task and table, and a hot table
     is split over several tasks. It costs one shuffle of the batch; turn it
     off for the lowest latency.
+
+    ``max_records_per_file`` bounds every output file (the sink-side form of
+    a bounded drain: a consumer reading file by file never gets more than
+    that many rows at once).
     """
     if rebalance:
         drained = drained.hint("rebalance", "kind", "tbl")
+    writer = drained.write
+    if max_records_per_file is not None:
+        writer = writer.option("maxRecordsPerFile", str(max(1, int(max_records_per_file))))
     (
-        drained.write.mode("overwrite")
+        writer.mode("overwrite")
         .partitionBy("kind", "tbl")
         .format(fmt)
         .save(batch_path(path, batch_id))
@@ -187,10 +199,19 @@ def live_totals(events: DataFrame, by: list[str] | None = None) -> DataFrame:
     return event_totals(events, by)
 
 
-def live_rate(events: DataFrame, interval_seconds: int = 1) -> DataFrame:
+def live_rate(events: DataFrame, interval_seconds: int = 1, watermark: str | None = None) -> DataFrame:
     """Per-interval total/data/error by message time (update output
-    mode; no watermark, so nothing is dropped as late)."""
+    mode).
+
+    By default there is no watermark, so nothing is dropped as late and the
+    state keeps one row per interval seen. ``watermark`` (e.g. ``"1 hour"``)
+    bounds that state for long-running streams, at the price of dropping
+    messages older than the watermark: an explicit choice, off by default.
+    """
     ts = F.expr("timestamp_micros(ingest_ns div 1000)")
+    if watermark:
+        events = events.withColumn("_event_time", ts).withWatermark("_event_time", watermark)
+        ts = F.col("_event_time")
     counted = events.groupBy(F.window(ts, f"{int(interval_seconds)} seconds").alias("w")).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("kind") == "data").alias("data"),

@@ -102,3 +102,30 @@ def test_live_totals_complete_mode(spark):
     assert totals == sorted(totals) and totals[-1] == table.count()
     assert len(totals) == 3
     assert F is not None
+
+
+def test_sink_files_are_bounded(spark):
+    import pyarrow.parquet as pq
+    import glob
+
+    base = stream_checkpoint(spark, "test_bounded_files")
+    env = events_envelopes(read_table(spark, SF, "events"))
+    drained = to_drain(decode(env, samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS))
+    write_routed(drained, base, 0, max_records_per_file=100)
+    files = glob.glob(base + "/batch_id=0/kind=*/tbl=*/*.parquet")
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in files]
+    assert max(sizes) <= 100 and sum(sizes) == env.count()
+
+
+def test_live_rate_with_watermark_keeps_in_order_rows(spark):
+    from routecast.streaming.stream import latest_per_key, live_rate
+
+    base = stream_checkpoint(spark, "test_rate_wm")
+    table, stream = _split_source(spark, base, n=2)
+    events = decode_stream(stream, samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS)
+    q = start_table_sink(
+        live_rate(events, 3600, watermark="10000 days"), base + "/out", base + "/ck", "update", available_now=True
+    )
+    q.awaitTermination()
+    got = latest_per_key(spark, base + "/out", ["window_start_ms"])
+    assert got.agg(F.sum("total")).first()[0] == table.count()
