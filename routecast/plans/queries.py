@@ -763,7 +763,7 @@ def rebind_loader(spark: SparkSession, batch_id: int) -> DataFrame:
     return samples.bindings_df(spark, REBIND_VERSIONS[batch_id % len(REBIND_VERSIONS)])
 
 
-@register("stream_rebind")
+@register("stream_rebind_per_batch")
 def q_stream_rebind(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several micro-batches; each sees the binding version of its
     batch. Batch membership depends on file arrival, so there is no SQL
@@ -868,3 +868,54 @@ def q_source_routing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.octet_length("data")).cast("long").alias("data_bytes"),
         F.max(F.octet_length("err")).cast("int").alias("max_err_bytes"),
     )
+
+
+# T2 with a deterministic cut: the binding table is rewritten between two
+# runs of the same stream (same checkpoint); messages arriving after the
+# change are decoded with the new table.
+REBIND_CUT = "2024-01-16 00:00:00"
+REBIND_CUT_MS = 1705363200000
+REBIND_BEFORE = samples.EVENT_BINDINGS
+REBIND_AFTER = [("view", samples.SAMPLE_LIBRARY, "short_only"), ("error", samples.SAMPLE_LIBRARY, "skip_all")]
+
+
+@register(
+    "stream_rebind",
+    "WITH" + SQL_EVENT_ENV + f""",
+routed AS (
+  SELECT env.*,
+         CASE WHEN timestamp_ms < {REBIND_CUT_MS}
+              THEN CASE topic WHEN 'click' THEN 'default_decoder' WHEN 'view' THEN 'json_k'
+                              WHEN 'error' THEN 'skip_all' WHEN 'purchase' THEN 'short_only' END
+              ELSE CASE topic WHEN 'click' THEN 'default_decoder' WHEN 'view' THEN 'short_only'
+                              WHEN 'error' THEN 'skip_all' WHEN 'purchase' THEN 'default_decoder' END
+         END AS decoder
+  FROM env
+),""" + SQL_DECODE_BODY + """
+SELECT tbl, topic, kind, hex(data) AS data_hex, err FROM events_out""",
+)
+def q_stream_rebind_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A running stream picks up a rewritten binding table without a
+    restart of its logic; rows that arrive after the rewrite use it."""
+    base = stream_checkpoint(spark, "stream_rebind")
+    src, table_path_, out, ck = base + "/src", base + "/bindings", base + "/out", base + "/ck"
+    table = read_table(spark, sf_dir, "events")
+    before = F.col("ts") < F.lit(REBIND_CUT).cast("timestamp_ntz")
+
+    def loader(s: SparkSession, batch_id: int) -> DataFrame:
+        return s.read.parquet(table_path_)
+
+    def run() -> None:
+        stream = events_envelopes(file_stream(spark, src, table.schema))
+        q = start_routed(
+            stream, out, samples.sample_registry(), loader, ck, topics=samples.EVENT_TOPICS, available_now=True
+        )
+        q.awaitTermination()
+
+    samples.bindings_df(spark, REBIND_BEFORE).write.mode("overwrite").parquet(table_path_)
+    table.filter(before).write.mode("append").parquet(src)
+    run()
+    samples.bindings_df(spark, REBIND_AFTER).write.mode("overwrite").parquet(table_path_)
+    table.filter(~before).write.mode("append").parquet(src)
+    run()
+    return _drain_hex(read_routed(spark, out))

@@ -73,7 +73,7 @@ def test_replayed_batch_is_idempotent(spark):
 
 
 def test_rebinding_reaches_later_batches(spark):
-    out = queries.q_stream_rebind(spark, SF)
+    out = queries.QUERIES["stream_rebind_per_batch"](spark, SF)
     rows = out.collect()
     assert len(rows) == read_table(spark, SF, "events").count()
     for r in rows:
