@@ -919,3 +919,34 @@ def q_stream_rebind_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     table.filter(~before).write.mode("append").parquet(src)
     run()
     return _drain_hex(read_routed(spark, out))
+
+
+# ---------------------------------------------------------------------------
+# D3: the output-capacity handshake on whole documents
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "capacity_retry",
+    """
+WITH d AS (SELECT lang AS topic, doc_id AS "offset", text, strlen(text) AS n FROM documents)
+SELECT topic, "offset", 'grow_twice' AS tbl,
+       CASE WHEN n <= 8192 THEN 'data' ELSE 'error' END AS kind,
+       CAST(CASE WHEN n <= 8192 THEN n ELSE 0 END AS BIGINT) AS data_len,
+       CASE WHEN n <= 8192 THEN md5(text) ELSE md5('') END AS data_md5,
+       CASE WHEN n <= 8192 THEN '' ELSE 'decode failed' END AS err
+FROM d""",
+)
+def q_capacity_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    env = read_documents(spark, sf_dir, topic="lang")
+    bindings = samples.bindings_df(spark, [(t, samples.SAMPLE_LIBRARY, "grow_twice") for t in ["en", "fr", "de", "es"]])
+    events = decode(env, bindings, samples.sample_registry())
+    return events.select(
+        "topic",
+        "offset",
+        F.coalesce("decoder", "topic").alias("tbl"),
+        "kind",
+        F.octet_length("data").cast("long").alias("data_len"),
+        F.md5("data").alias("data_md5"),
+        "err",
+    )

@@ -59,6 +59,16 @@ def short_only(env: Env) -> Column:
     )
 
 
+def grow_twice(env: Env) -> Column:
+    """Passthrough that asks for twice its capacity when the payload does
+    not fit: up to 4096 bytes succeed at once, up to 8192 after the one
+    retry, larger payloads stay NEED_MORE and become errors."""
+    size = F.octet_length(env.payload).cast("long")
+    return F.when(size > env.cap, decode_result(kind=S.KIND_NEED_MORE, need=env.cap * 2)).otherwise(
+        decode_result(kind=S.KIND_OK, data=F.coalesce(env.payload, F.lit(b"").cast("binary")))
+    )
+
+
 # -- Python decoders ---------------------------------------------------------
 
 
@@ -104,6 +114,7 @@ def build_sample_registry(with_python: bool) -> DecoderRegistry:
     reg.register_column("json_k", json_k, library=SAMPLE_LIBRARY)
     reg.register_column("skip_all", skip_all, library=SAMPLE_LIBRARY)
     reg.register_column("short_only", short_only, library=SAMPLE_LIBRARY)
+    reg.register_column("grow_twice", grow_twice, library=SAMPLE_LIBRARY, may_need_more=True)
     # Names a binding file resolves to: an alias target and the anchor.
     reg.register_column(S.ALIAS_PREFIX + "k", json_k, library=SAMPLE_LIBRARY)
     reg.register_column(S.ANCHOR_SYMBOL, json_k, library=SAMPLE_LIBRARY)
