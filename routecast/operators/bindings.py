@@ -70,28 +70,57 @@ def current_bindings(log: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def binding_intervals(log: DataFrame) -> DataFrame:
+# Width (in effective_at units, ms by default) of the time blocks the log is
+# cut into when building intervals: the windows run per (topic, block), so a
+# topic with a long log is spread over many tasks.
+LOG_BLOCK = 3_600_000
+
+
+def binding_intervals(
+    log: DataFrame, block_width: int = LOG_BLOCK, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
     """The log as non-overlapping ``[valid_from, valid_to)`` intervals per
     topic, ``(topic, valid_from, valid_to, library, symbol)``; ``valid_to``
     NULL = open; ``symbol`` NULL = unbound during the interval.
 
     Several operations at the same ``effective_at`` collapse: the last
-    ``seq`` decides. Runs a window over the control log only, never over
-    messages.
+    ``seq`` decides. Two levels, never a window over messages nor one over a
+    whole topic's log: a summary per ``(topic, block)`` (last change, last
+    subscribe, first time) is carried across blocks by a window over that
+    small table, then windows inside each ``(topic, block)`` finish the rows.
     """
-    w_upto = (
-        Window.partitionBy("topic")
-        .orderBy(F.col("effective_at"), F.col("seq"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    w_next = Window.partitionBy("topic").orderBy(F.col("effective_at"), F.col("seq"))
     change = F.when(_is_change(), F.struct(_order().alias("ord"), "op", "library", "symbol"))
-    staged = log.select(
+    subscribe = F.when(F.col("op") == S.OP_SUBSCRIBE, _order())
+    keyed = floor_div(log, F.col("effective_at"), block_width, "_blk")
+
+    summary = keyed.groupBy("topic", "_blk").agg(
+        F.max_by(change, F.when(_is_change(), _order())).alias("_blk_c"),
+        F.max(subscribe).alias("_blk_s"),
+        F.min(F.col("effective_at").cast("long")).alias("_blk_first"),
+    )
+    by_block = Window.partitionBy("topic").orderBy("_blk")
+    earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(
+        F.col("topic").alias("_carry_topic"),
+        F.col("_blk").alias("_carry_blk"),
+        F.last("_blk_c", ignorenulls=True).over(earlier).alias("_in_c"),
+        F.last("_blk_s", ignorenulls=True).over(earlier).alias("_in_s"),
+        F.lead("_blk_first").over(by_block).alias("_next_first"),
+    )
+    side, _ = bounded_broadcast(carry, max_broadcast_rows)
+    joined = keyed.join(
+        side, (F.col("topic") == F.col("_carry_topic")) & (F.col("_blk") == F.col("_carry_blk")), "left"
+    )
+    in_block = Window.partitionBy("topic", "_blk").orderBy(F.col("effective_at"), F.col("seq"))
+    upto = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    staged = joined.select(
         "topic",
         F.col("effective_at").cast("long").alias("valid_from"),
-        F.lead(F.col("effective_at").cast("long")).over(w_next).alias("valid_to"),
-        F.last(change, ignorenulls=True).over(w_upto).alias("_c"),
-        F.last(F.when(F.col("op") == S.OP_SUBSCRIBE, _order()), ignorenulls=True).over(w_upto).alias("_s"),
+        F.coalesce(F.lead(F.col("effective_at").cast("long")).over(in_block), F.col("_next_first")).alias(
+            "valid_to"
+        ),
+        F.coalesce(F.last(change, ignorenulls=True).over(upto), F.col("_in_c")).alias("_c"),
+        F.coalesce(F.last(subscribe, ignorenulls=True).over(upto), F.col("_in_s")).alias("_s"),
     )
     library, symbol = _state(F.col("_c"), F.col("_s"))
     return staged.select(
@@ -108,6 +137,7 @@ def route_as_of(
     at: Column | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     bucket_width: int = DEFAULT_BUCKET,
+    log_block: int = LOG_BLOCK,
 ) -> DataFrame:
     """Add ``decoder``: the symbol bound to the message's topic at time
     ``at`` (default ``timestamp_ms``; ``offset`` also works), by the log.
@@ -122,7 +152,7 @@ def route_as_of(
     bucket)`` plus the range, a shuffle join whose hot keys AQE can split.
     """
     at = at if at is not None else F.col("timestamp_ms")
-    iv = binding_intervals(log).select(
+    iv = binding_intervals(log, log_block, max_broadcast_rows).select(
         F.col("topic").alias("_iv_topic"), "valid_from", "valid_to", F.col("symbol").alias("_iv_symbol")
     )
     staged = envelopes.withColumn("_at", at.cast("long"))
