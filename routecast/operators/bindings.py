@@ -22,7 +22,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from routecast import schema as S
-from routecast.operators.broadcast import MAX_BROADCAST_ROWS, bounded_broadcast
+from routecast.operators.broadcast import (
+    ESTIMATE_ACCEPT_BYTES,
+    MAX_BROADCAST_ROWS,
+    bounded_broadcast,
+    estimated_bytes,
+)
 from routecast.operators.stats import floor_div
 
 
@@ -77,7 +82,10 @@ LOG_BLOCK = 3_600_000
 
 
 def binding_intervals(
-    log: DataFrame, block_width: int = LOG_BLOCK, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+    log: DataFrame,
+    block_width: int = LOG_BLOCK,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    two_level: bool | None = None,
 ) -> DataFrame:
     """The log as non-overlapping ``[valid_from, valid_to)`` intervals per
     topic, ``(topic, valid_from, valid_to, library, symbol)``; ``valid_to``
@@ -88,9 +96,25 @@ def binding_intervals(
     whole topic's log: a summary per ``(topic, block)`` (last change, last
     subscribe, first time) is carried across blocks by a window over that
     small table, then windows inside each ``(topic, block)`` finish the rows.
+    ``two_level=None`` picks that plan only when the log's size estimate is
+    not small; a small log takes one window per topic (fewer stages).
     """
     change = F.when(_is_change(), F.struct(_order().alias("ord"), "op", "library", "symbol"))
     subscribe = F.when(F.col("op") == S.OP_SUBSCRIBE, _order())
+    if two_level is None:
+        est = estimated_bytes(log)
+        two_level = est is None or est > ESTIMATE_ACCEPT_BYTES
+    if not two_level:
+        by_topic = Window.partitionBy("topic").orderBy(F.col("effective_at"), F.col("seq"))
+        upto_all = by_topic.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        staged = log.select(
+            "topic",
+            F.col("effective_at").cast("long").alias("valid_from"),
+            F.lead(F.col("effective_at").cast("long")).over(by_topic).alias("valid_to"),
+            F.last(change, ignorenulls=True).over(upto_all).alias("_c"),
+            F.last(subscribe, ignorenulls=True).over(upto_all).alias("_s"),
+        )
+        return _intervals(staged)
     keyed = floor_div(log, F.col("effective_at"), block_width, "_blk")
 
     summary = keyed.groupBy("topic", "_blk").agg(
@@ -122,6 +146,10 @@ def binding_intervals(
         F.coalesce(F.last(change, ignorenulls=True).over(upto), F.col("_in_c")).alias("_c"),
         F.coalesce(F.last(subscribe, ignorenulls=True).over(upto), F.col("_in_s")).alias("_s"),
     )
+    return _intervals(staged)
+
+
+def _intervals(staged: DataFrame) -> DataFrame:
     library, symbol = _state(F.col("_c"), F.col("_s"))
     return staged.select(
         "topic", "valid_from", "valid_to", library.alias("library"), symbol.alias("symbol")
@@ -138,6 +166,7 @@ def route_as_of(
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     bucket_width: int = DEFAULT_BUCKET,
     log_block: int = LOG_BLOCK,
+    two_level: bool | None = None,
 ) -> DataFrame:
     """Add ``decoder``: the symbol bound to the message's topic at time
     ``at`` (default ``timestamp_ms``; ``offset`` also works), by the log.
@@ -152,7 +181,7 @@ def route_as_of(
     bucket)`` plus the range, a shuffle join whose hot keys AQE can split.
     """
     at = at if at is not None else F.col("timestamp_ms")
-    iv = binding_intervals(log, log_block, max_broadcast_rows).select(
+    iv = binding_intervals(log, log_block, max_broadcast_rows, two_level).select(
         F.col("topic").alias("_iv_topic"), "valid_from", "valid_to", F.col("symbol").alias("_iv_symbol")
     )
     staged = envelopes.withColumn("_at", at.cast("long"))

@@ -53,6 +53,7 @@ def running_sums(
     value_cols: list[str],
     block: int = RATE_BLOCK,
     max_broadcast_rows: int | None = None,
+    two_level: bool | None = None,
 ) -> DataFrame:
     """Add ``<c>_run`` = sum of ``c`` over all rows with a key <= this row's
     key, for a table with a unique long ``key`` (a bucket table).
@@ -60,10 +61,25 @@ def running_sums(
     Two levels, so no single task sees the whole table: rows are grouped in
     blocks of ``block`` consecutive keys; a window over the small block table
     gives each block's starting sums; a window partitioned by block adds the
-    running sum inside it.
+    running sum inside it. ``two_level=None`` takes that plan only when the
+    table's size estimate is not small; a small table takes one window.
     """
-    from routecast.operators.broadcast import MAX_BROADCAST_ROWS, bounded_broadcast
+    from routecast.operators.broadcast import (
+        ESTIMATE_ACCEPT_BYTES,
+        MAX_BROADCAST_ROWS,
+        bounded_broadcast,
+        estimated_bytes,
+    )
 
+    if two_level is None:
+        est = estimated_bytes(df)
+        two_level = est is None or est > ESTIMATE_ACCEPT_BYTES
+    if not two_level:
+        upto = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = df
+        for c in value_cols:
+            out = out.withColumn(f"{c}_run", F.sum(c).over(upto).cast("long"))
+        return out
     keyed = floor_div(df, F.col(key), block, "_blk")
     sums = keyed.groupBy("_blk").agg(*[F.sum(c).alias(c) for c in value_cols])
     before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
@@ -78,10 +94,20 @@ def running_sums(
     return out.drop("_blk", *[f"_{c}_base" for c in value_cols])
 
 
-def dense_grid(per_bucket: DataFrame, key: str = "bucket", block: int = RATE_BLOCK) -> DataFrame:
+def dense_grid(
+    per_bucket: DataFrame, key: str = "bucket", block: int = RATE_BLOCK, two_level: bool | None = None
+) -> DataFrame:
     """Every key between the table's smallest and largest, generated block
-    by block in parallel (one row per block first, then the keys of each)."""
+    by block in parallel (one row per block first, then the keys of each);
+    a small table (by size estimate) is filled in one step."""
+    from routecast.operators.broadcast import ESTIMATE_ACCEPT_BYTES, estimated_bytes
+
     span = per_bucket.agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    if two_level is None:
+        est = estimated_bytes(per_bucket)
+        two_level = est is None or est > ESTIMATE_ACCEPT_BYTES
+    if not two_level:
+        return span.select(F.explode(F.sequence("lo", "hi")).alias(key))
     blocks = span.select(
         "lo",
         "hi",

@@ -78,15 +78,20 @@ def _messages(spark, times):
 
 
 @pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("max_rows,log_block", [(1_000_000, 3_600_000), (0, 3_600_000), (1_000_000, 7), (0, 25)])
-def test_route_as_of_equals_sequential_model(spark, seed, max_rows, log_block):
+@pytest.mark.parametrize(
+    "max_rows,log_block,two_level",
+    [(1_000_000, 3_600_000, None), (0, 3_600_000, True), (1_000_000, 7, True), (0, 25, True), (0, 25, False)],
+)
+def test_route_as_of_equals_sequential_model(spark, seed, max_rows, log_block, two_level):
     rows = random_log(seed)
     log = spark.createDataFrame(rows, S.BINDING_LOG_SCHEMA)
     rnd = random.Random(100 + seed)
     times = [(rnd.choice(TOPICS + ["zz"]), rnd.choice([-5, 0, 5, 10, 15, 20, 45, 80, 95])) for _ in range(120)]
     env = _messages(spark, times)
     # bucket width 7 forces many buckets on the large-log path
-    routed = route_as_of(env, log, max_broadcast_rows=max_rows, bucket_width=7, log_block=log_block)
+    routed = route_as_of(
+        env, log, max_broadcast_rows=max_rows, bucket_width=7, log_block=log_block, two_level=two_level
+    )
     got = {r["offset"]: r["decoder"] for r in routed.collect()}
     assert len(got) == len(times) and routed.count() == len(times)
     for i, (topic, t) in enumerate(times):
@@ -94,10 +99,12 @@ def test_route_as_of_equals_sequential_model(spark, seed, max_rows, log_block):
         assert got[i] == (exp[1] if exp else None), (i, topic, t)
 
 
-@pytest.mark.parametrize("block", [3_600_000, 10, 1])
-def test_intervals_do_not_overlap(spark, block):
+@pytest.mark.parametrize("block,two_level", [(3_600_000, False), (10, True), (1, True)])
+def test_intervals_do_not_overlap(spark, block, two_level):
     log = spark.createDataFrame(random_log(7), S.BINDING_LOG_SCHEMA)
-    iv = sorted(binding_intervals(log, block).collect(), key=lambda r: (r["topic"], r["valid_from"]))
+    iv = sorted(
+        binding_intervals(log, block, two_level=two_level).collect(), key=lambda r: (r["topic"], r["valid_from"])
+    )
     for a, b in zip(iv, iv[1:]):
         if a["topic"] == b["topic"]:
             assert a["valid_to"] is not None and a["valid_to"] <= b["valid_from"]

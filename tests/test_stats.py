@@ -9,13 +9,13 @@ from routecast.operators.stats import dense_grid, event_rate, event_totals, runn
 from routecast.sources.envelopes import kafka_to_envelope
 
 
-@pytest.mark.parametrize("block", [1, 3, 7, 4096])
-def test_running_sums_match_cumsum(spark, block):
+@pytest.mark.parametrize("block,two_level", [(1, True), (3, True), (7, True), (4096, True), (7, False), (7, None)])
+def test_running_sums_match_cumsum(spark, block, two_level):
     rnd = random.Random(block)
     keys = sorted(rnd.sample(range(-50, 500), 80))
     rows = [(k, rnd.randint(0, 9), rnd.randint(0, 3)) for k in keys]
     df = spark.createDataFrame(rows, "k long, a long, b long")
-    got = {r["k"]: (r["a_run"], r["b_run"]) for r in running_sums(df, "k", ["a", "b"], block=block).collect()}
+    got = {r["k"]: (r["a_run"], r["b_run"]) for r in running_sums(df, "k", ["a", "b"], block=block, two_level=two_level).collect()}
     acc_a = acc_b = 0
     for k, a, b in rows:
         acc_a += a
@@ -23,9 +23,10 @@ def test_running_sums_match_cumsum(spark, block):
         assert got[k] == (acc_a, acc_b), k
 
 
-def test_dense_grid_covers_span(spark):
+@pytest.mark.parametrize("two_level", [True, False])
+def test_dense_grid_covers_span(spark, two_level):
     df = spark.createDataFrame([(-5,), (3,), (17,)], "bucket long")
-    got = sorted(r["bucket"] for r in dense_grid(df, block=4).collect())
+    got = sorted(r["bucket"] for r in dense_grid(df, block=4, two_level=two_level).collect())
     assert got == list(range(-5, 18))
 
 
