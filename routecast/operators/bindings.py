@@ -348,3 +348,8 @@ def binding_ops(spark, ops, first_seq: int = 0) -> DataFrame:
             raise ValueError(f"unknown binding operation {op!r}")
         rows.append((int(at), first_seq + i, op, topic, library, symbol, True))
     return local_table(spark, rows, S.BINDING_LOG_SCHEMA)
+
+
+def read_binding_file(spark, path: str, library: str, catalog: DataFrame) -> DataFrame:
+    """D5 from a text file (or folder of files): one binding per line."""
+    return bindings_from_text(spark.read.text(path), library, catalog)

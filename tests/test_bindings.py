@@ -204,3 +204,15 @@ def test_persisted_check_path(spark, monkeypatch):
     for i, (topic, t) in enumerate([(t, x) for t in TOPICS for x in (0, 10, 35, 80)]):
         exp = model_state(rows, upto=t).get(topic)
         assert got[i] == (exp[1] if exp else None)
+
+
+def test_read_binding_file(spark, tmp_path):
+    from routecast.operators.bindings import read_binding_file
+
+    f = tmp_path / "bindings.txt"
+    f.write_text("orders exact\n# note\ntrades quote\n\nfx -\n")
+    catalog = spark.createDataFrame(
+        [("lib", 2, "exact"), ("lib", 2, "decode_quote"), ("lib", 2, S.ANCHOR_SYMBOL)], S.CATALOG_SCHEMA
+    )
+    got = {r["topic"]: r["symbol"] for r in read_binding_file(spark, str(f), "lib", catalog).collect()}
+    assert got == {"orders": "exact", "trades": "decode_quote", "fx": S.ANCHOR_SYMBOL}
