@@ -192,22 +192,40 @@ def route_as_of(
     if small:
         joined = staged.join(side, (F.col("topic") == F.col("_iv_topic")) & in_range, "left")
     else:
-        hi = staged.agg(F.max("_at")).first()[0]
-        hi = 0 if hi is None else int(hi)
-        bucketed = floor_div(iv, F.col("valid_from"), bucket_width, "_b_lo")
-        bucketed = floor_div(
-            bucketed,
-            F.coalesce(F.col("valid_to") - 1, F.greatest(F.lit(hi), F.col("valid_from"))),
-            bucket_width,
-            "_b_hi",
-        )
+        # Closed intervals: cut into time buckets, equi-join on (topic,
+        # bucket) + range. Open intervals (at most one per topic): joined on
+        # topic alone. No pass over the messages is needed to find their
+        # time range.
+        closed = iv.filter(F.col("valid_to").isNotNull())
+        bucketed = floor_div(closed, F.col("valid_from"), bucket_width, "_b_lo")
+        bucketed = floor_div(bucketed, F.col("valid_to") - 1, bucket_width, "_b_hi")
         exploded = bucketed.withColumn("_iv_b", F.explode(F.sequence("_b_lo", "_b_hi"))).drop("_b_lo", "_b_hi")
         keyed = floor_div(staged, F.col("_at"), bucket_width, "_b")
-        joined = keyed.join(
-            exploded,
+        first = keyed.join(
+            exploded.withColumn("_hit", F.lit(True)),
             (F.col("topic") == F.col("_iv_topic")) & (F.col("_b") == F.col("_iv_b")) & in_range,
             "left",
-        ).drop("_b", "_iv_b")
+        ).drop("_b", "_iv_b", "_iv_topic", "valid_from", "valid_to")
+        open_iv = iv.filter(F.col("valid_to").isNull()).select(
+            F.col("_iv_topic").alias("_op_topic"),
+            F.col("valid_from").alias("_op_from"),
+            F.col("_iv_symbol").alias("_op_symbol"),
+        )
+        open_side, _ = bounded_broadcast(open_iv, max_broadcast_rows)
+        joined = (
+            first.join(
+                open_side,
+                (F.col("topic") == F.col("_op_topic")) & (F.col("_at") >= F.col("_op_from")),
+                "left",
+            )
+            .withColumn(
+                "_iv_symbol", F.when(F.col("_hit"), F.col("_iv_symbol")).otherwise(F.col("_op_symbol"))
+            )
+            .drop("_hit", "_op_topic", "_op_from", "_op_symbol")
+            .withColumn("_iv_topic", F.lit(None).cast("string"))
+            .withColumn("valid_from", F.lit(None).cast("long"))
+            .withColumn("valid_to", F.lit(None).cast("long"))
+        )
     return joined.withColumn("decoder", F.col("_iv_symbol")).drop(
         "_at", "_iv_topic", "valid_from", "valid_to", "_iv_symbol"
     )
