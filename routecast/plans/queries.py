@@ -644,7 +644,7 @@ o AS (
          ELSE 'data' END AS kind,
     CASE topic
       WHEN 'en' THEN CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS VARCHAR)
-      WHEN 'de' THEN split_part(text, chr(10), 1)
+      WHEN 'de' THEN replace(text, chr(10), ' ')
       ELSE text END AS out_text,
     CASE WHEN topic = 'en' AND strlen(text) = 0 THEN 'empty payload'
          WHEN topic = 'de' AND strlen(text) > 4096

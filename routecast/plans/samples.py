@@ -90,11 +90,11 @@ def py_passthrough(env: PyEnvelope) -> DecodeOut:
 
 def py_strict(env: PyEnvelope) -> DecodeOut:
     """Raises on payloads over 4096 bytes (the error becomes an ERR row);
-    otherwise data = the payload's first line."""
+    otherwise data = the whole payload on one line (newlines become spaces)."""
     payload = env.payload or b""
     if len(payload) > S.INITIAL_CAPACITY:
         raise ValueError(f"payload has {len(payload)} bytes")
-    return DecodeOut(data=payload.split(b"\n", 1)[0])
+    return DecodeOut(data=payload.replace(b"\n", b" "))
 
 
 _REGISTRIES: dict[bool, DecoderRegistry] = {}
