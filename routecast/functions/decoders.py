@@ -234,9 +234,8 @@ class DecoderRegistry:
         """``dispatch`` over the standard envelope columns and ``decoder``,
         built once per (registry state, symbol set) and reused: micro-batches
         rebuild their plan each trigger, the expression need not be."""
-        from pyspark import SparkContext
-
-        key = (id(SparkContext._active_spark_context), capacity, symbols)
+        active = SparkSession.getActiveSession()
+        key = (id(active.sparkContext) if active is not None else None, capacity, symbols)
         col = self._answer_cache.get(key)
         if col is None:
             col = self.dispatch(F.col("decoder"), Env.of(F.col), capacity, symbols)

@@ -25,7 +25,9 @@ _persisted: deque[DataFrame] = deque()
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df``'s optimized plan, or None."""
+    """Catalyst's size estimate of ``df``'s optimized plan (the statistic
+    Spark's own broadcast decision reads), or None when it cannot be read;
+    callers then fall back to the exact, bounded count."""
     try:
         size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
         return int(size if isinstance(size, int) else size.toString())
