@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from routecast import schema as S
 from routecast.functions.contract import ingest_ns
-from routecast.functions.text import error_line, event_text
+from routecast.functions.text import error_line, event_text, stats_text
 from routecast.operators.bindings import (
     bindings_from_text,
     check_bindings,
@@ -950,3 +950,27 @@ def q_capacity_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.md5("data").alias("data_md5"),
         "err",
     )
+
+
+# ---------------------------------------------------------------------------
+# A2 + text: the running-statistics line per interval
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "rate_text",
+    _SQL_RATE_BUCKETS
+    + ",\nr AS ("
+    + _SQL_RATE_SELECT
+    + """FROM b)
+SELECT bucket_start_ms,
+       '[STATS] total=' || CAST(total AS VARCHAR) || ' data=' || CAST(data AS VARCHAR)
+       || ' error=' || CAST(error AS VARCHAR) || ' qps=' || printf('%g', qps) AS line
+FROM r""",
+)
+def q_rate_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rate = event_rate(event_events(spark, sf_dir), RATE_INTERVAL_S)
+    return rate.select(
+        "bucket_start_ms",
+        stats_text(F.col("total"), F.col("data"), F.col("error"), F.col("qps")).alias("line"),
+    )

@@ -68,6 +68,7 @@ OP_SUBSCRIBE = "subscribe"
 # Event text prefixes.
 TEXT_DATA_PREFIX = "[DATA]"
 TEXT_ERROR_PREFIX = "[ERROR]"
+TEXT_STATS_PREFIX = "[STATS]"
 
 # ---------------------------------------------------------------------------
 # Schemas

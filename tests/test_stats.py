@@ -71,3 +71,13 @@ def test_epoch_millis_ignores_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [1710037800500, 1704067207179, -1]
+
+
+def test_general_number_matches_c_g_format(spark):
+    from routecast.functions.text import general_number
+
+    values = [0.0, 5.0, 0.5, 2.7777777777, 0.00388888888, 1234567.0, 999999.5, 1.234e-05, 123456.0,
+              1e-05, 100.0, 0.0001, 99999.94, 3.0e-7, 42.125, 1e12, 7.0 / 3600]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in df.select(general_number(df["x"])).collect()]
+    assert got == ["%g" % v for v in values]
