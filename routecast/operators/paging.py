@@ -3,7 +3,10 @@
 Every message lands in exactly one page and every page holds at most
 ``limit`` messages, in the order ``(topic, partition, offset)``.
 
-No global sort and no single-task window over messages:
+Two plans, neither with a global sort nor a single-task window over
+messages. Without a shuffle (when input splits hold disjoint offset ranges
+per ``(topic, partition)``, as Kafka splits do): see ``local_positions``.
+Otherwise, one shuffle:
 
 1. each message gets a bucket ``offset div bucket_width`` inside its
    ``(topic, partition)``; offsets are unique there, so a bucket holds at
@@ -40,9 +43,32 @@ def drain_pages(
     limit: int | None = S.DRAIN_LIMIT_DEFAULT,
     bucket_width: int = DEFAULT_BUCKET_WIDTH,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    local: bool | None = None,
 ) -> DataFrame:
-    """Add ``pos`` (0-based global position) and ``page`` to each row."""
+    """Add ``pos`` (0-based global position) and ``page`` to each row.
+
+    ``local=None`` first tries the plan without a shuffle of the messages
+    (:func:`local_positions`), which applies when every input split holds
+    its own offset range of each ``(topic, partition)``, as Kafka splits and
+    offset-ordered files do; otherwise, or with ``local=False``, the bucketed
+    shuffle plan runs.
+    """
     lim = effective_limit(limit)
+    positioned = None
+    if local is not False:
+        positioned = local_positions(events, max_broadcast_rows)
+        if positioned is None and local:
+            raise ValueError("input splits interleave offsets; the local plan does not apply")
+    if positioned is None:
+        positioned = shuffled_positions(events, bucket_width, max_broadcast_rows)
+    return positioned.withColumn("page", F.expr(f"pos div {lim}"))
+
+
+def shuffled_positions(
+    events: DataFrame, bucket_width: int = DEFAULT_BUCKET_WIDTH, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Positions through one shuffle by ``(topic, partition, offset div
+    bucket_width)``; no key holds more than ``bucket_width`` messages."""
     keys = ["topic", "partition", "_bucket"]
     keyed = floor_div(events, F.col("offset"), bucket_width, "_bucket")
     counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -53,6 +79,57 @@ def drain_pages(
     side, _ = bounded_broadcast(bases, max_broadcast_rows)
     joined = numbered.join(side, keys, "left")
     pos = (F.col("_base") + F.col("_rn") - 1).cast("long")
-    return joined.withColumn("pos", pos).withColumn("page", F.expr(f"pos div {lim}")).drop(
-        "_bucket", "_rn", "_base"
+    return joined.withColumn("pos", pos).drop("_bucket", "_rn", "_base")
+
+
+def local_positions(events: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
+    """Positions without moving any message, or None when it cannot apply.
+
+    Each split is sorted locally by ``(topic, partition, offset)`` and its
+    rows numbered (``monotonically_increasing_id``: split index in the high
+    bits, row index below). A *piece* is the run of one ``(topic, partition)``
+    inside one split; a small table of pieces (count, offset range, first
+    row id) gets a running count in ``(topic, partition, first offset)``
+    order, and a message's position is its piece's base plus its distance
+    from the piece's first row. Pieces of one ``(topic, partition)`` must
+    not interleave in offsets: this is checked, and None returned otherwise.
+    """
+    if events.isStreaming:
+        return None
+    ordered = events.sortWithinPartitions("topic", "partition", "offset").withColumn(
+        "_rid", F.monotonically_increasing_id()
+    )
+    split = F.shiftright(F.col("_rid"), 33)
+    pieces = ordered.groupBy(split.alias("_split"), "topic", "partition").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("offset").alias("_lo"),
+        F.max("offset").alias("_hi"),
+        F.min("_rid").alias("_rid0"),
+    )
+    by_range = Window.partitionBy("topic", "partition").orderBy("_lo", "_split")
+    overlapping = (
+        pieces.select((F.lag("_hi").over(by_range) >= F.col("_lo")).alias("_ov"))
+        .filter(F.col("_ov"))
+        .limit(1)
+        .count()
+    )
+    if overlapping:
+        return None
+    before = Window.orderBy("topic", "partition", "_lo", "_split").rowsBetween(Window.unboundedPreceding, -1)
+    bases = pieces.select(
+        F.col("_split").alias("_p_split"),
+        F.col("topic").alias("_p_topic"),
+        F.col("partition").alias("_p_partition"),
+        "_rid0",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("_base"),
+    )
+    side, _ = bounded_broadcast(bases, max_broadcast_rows)
+    joined = ordered.join(
+        side,
+        (split == F.col("_p_split"))
+        & F.col("topic").eqNullSafe(F.col("_p_topic"))
+        & F.col("partition").eqNullSafe(F.col("_p_partition")),
+        "left",
     )
+    pos = (F.col("_base") + F.col("_rid") - F.col("_rid0")).cast("long")
+    return joined.withColumn("pos", pos).drop("_rid", "_p_split", "_p_topic", "_p_partition", "_rid0", "_base")

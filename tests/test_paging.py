@@ -45,3 +45,33 @@ def test_default_limit_pages(spark):
     )
     assert sizes == [(0, 4096), (1, 4096), (2, 1808)]
     assert S.DRAIN_LIMIT_DEFAULT == 4096
+
+
+def _positions(df):
+    return sorted((r["topic"], r["partition"], r["offset"], r["pos"], r["page"]) for r in df.collect())
+
+
+def test_local_plan_equals_shuffle_plan(spark):
+    from routecast.operators.paging import local_positions
+
+    env = read_events(spark, SF).select("topic", "partition", "offset")
+    # one split per (topic, partition) offset range, as Kafka splits are
+    ranged = env.repartitionByRange(4, "topic", "partition", "offset")
+    assert local_positions(ranged) is not None
+    local = drain_pages(ranged, limit=37, local=True)
+    shuffled = drain_pages(ranged, limit=37, local=False)
+    assert _positions(local) == _positions(shuffled)
+    # no window over the messages in the local plan (the shuffle plan has one)
+    assert "row_number" not in local._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" in shuffled._jdf.queryExecution().executedPlan().toString()
+
+
+def test_interleaved_splits_fall_back_to_shuffle(spark):
+    from routecast.operators.paging import local_positions
+
+    env = read_events(spark, SF).select("topic", "partition", "offset")
+    interleaved = env.repartition(4)  # round-robin: every split holds every range
+    assert local_positions(interleaved) is None
+    with pytest.raises(ValueError):
+        drain_pages(interleaved, local=True)
+    assert _positions(drain_pages(interleaved, limit=37)) == _positions(drain_pages(env, limit=37, local=False))
