@@ -974,3 +974,36 @@ def q_rate_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "bucket_start_ms",
         stats_text(F.col("total"), F.col("data"), F.col("error"), F.col("qps")).alias("line"),
     )
+
+
+# ---------------------------------------------------------------------------
+# D3 + D4: the whole decode contract over every event
+# ---------------------------------------------------------------------------
+
+EVENT_TYPES = ["click", "view", "error", "purchase", "signup"]
+
+
+@register(
+    "decode_contract",
+    "WITH" + SQL_EVENT_ENV + """,
+c AS (SELECT env.*, CAST(json_extract_string(payload, '$.k') AS BIGINT) % 8 AS cls FROM env)
+SELECT topic, "offset", 'contract_mix' AS tbl,
+       CASE WHEN cls IN (0, 6) THEN 'data' ELSE 'error' END AS kind,
+       CASE WHEN cls IN (0, 6) THEN hex(encode(payload)) ELSE '' END AS data_hex,
+       CASE cls WHEN 0 THEN '' WHEN 6 THEN ''
+                WHEN 2 THEN 'bad k=' || CAST(CAST(json_extract_string(payload, '$.k') AS BIGINT) AS VARCHAR)
+                WHEN 7 THEN repeat('w', 95)
+                ELSE 'decode failed' END AS err
+FROM c""",
+)
+def q_decode_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bindings = samples.bindings_df(spark, [(t, samples.SAMPLE_LIBRARY, "contract_mix") for t in EVENT_TYPES])
+    events = decode(read_events(spark, sf_dir), bindings, samples.sample_registry())
+    return events.select(
+        "topic",
+        "offset",
+        F.coalesce("decoder", "topic").alias("tbl"),
+        "kind",
+        F.hex("data").alias("data_hex"),
+        "err",
+    )

@@ -69,6 +69,35 @@ def grow_twice(env: Env) -> Column:
     )
 
 
+def contract_mix(env: Env) -> Column:
+    """Every row of the decode contract, chosen by the payload's ``k`` mod 8:
+    0 OK with a message (ignored), 1 rc != 0 with OK, 2 ERR whose message has
+    a NUL inside, 3 ERR without a message, 4 SKIP, 5 NEED_MORE with a need
+    that fits, 6 NEED_MORE that succeeds on the retry, 7 an unknown kind with
+    a 200-byte message."""
+    k = F.get_json_object(env.payload.cast("string"), "$.k").cast("long")
+    cls = F.pmod(k, F.lit(8))
+    payload = F.coalesce(env.payload, F.lit(b"").cast("binary"))
+    return (
+        F.when(cls == 0, decode_result(kind=S.KIND_OK, data=payload, err="ignored on success"))
+        .when(cls == 1, decode_result(rc=1, kind=S.KIND_OK, data=payload))
+        .when(
+            cls == 2,
+            decode_result(kind=S.KIND_ERR, err=F.concat(F.lit("bad k="), k.cast("string"), F.lit("\u0000hidden"))),
+        )
+        .when(cls == 3, decode_result(kind=S.KIND_ERR))
+        .when(cls == 4, decode_result(kind=S.KIND_SKIP))
+        .when(cls == 5, decode_result(kind=S.KIND_NEED_MORE, need=100))
+        .when(
+            cls == 6,
+            F.when(env.cap >= 5000, decode_result(kind=S.KIND_OK, data=payload)).otherwise(
+                decode_result(kind=S.KIND_NEED_MORE, need=5000)
+            ),
+        )
+        .otherwise(decode_result(kind="WAT", err="w" * 200))
+    )
+
+
 # -- Python decoders ---------------------------------------------------------
 
 
@@ -115,6 +144,7 @@ def build_sample_registry(with_python: bool) -> DecoderRegistry:
     reg.register_column("skip_all", skip_all, library=SAMPLE_LIBRARY)
     reg.register_column("short_only", short_only, library=SAMPLE_LIBRARY)
     reg.register_column("grow_twice", grow_twice, library=SAMPLE_LIBRARY, may_need_more=True)
+    reg.register_column("contract_mix", contract_mix, library=SAMPLE_LIBRARY, may_need_more=True)
     # Names a binding file resolves to: an alias target and the anchor.
     reg.register_column(S.ALIAS_PREFIX + "k", json_k, library=SAMPLE_LIBRARY)
     reg.register_column(S.ANCHOR_SYMBOL, json_k, library=SAMPLE_LIBRARY)
