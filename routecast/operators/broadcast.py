@@ -38,7 +38,11 @@ def estimated_bytes(df: DataFrame) -> int | None:
 def _remember(df: DataFrame) -> None:
     _persisted.append(df)
     while len(_persisted) > _KEEP_PERSISTED:
-        _persisted.popleft().unpersist()
+        old = _persisted.popleft()
+        try:
+            old.unpersist()
+        except Exception:  # its session may be gone; nothing left to free
+            pass
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
