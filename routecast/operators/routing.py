@@ -154,11 +154,11 @@ def decode(
     ``skip_policy="error"`` (faithful) turns SKIP into an error row;
     ``"drop"`` removes those rows instead.
     """
-    # Reading the bound symbols costs a small job; it pays when Python
-    # decoders are registered (an unbound one then leaves no UDF in the plan).
-    routed, symbols = _route_with_symbols(
-        envelopes, bindings, topics, max_broadcast_rows, read_symbols=bool(registry.python_symbols)
-    )
+    # Reading the bound symbols of the (small) binding table costs one small
+    # job and keeps the plan to the decoders that can occur: no Python UDF
+    # for an unbound Python decoder, and a short CASE whose generated method
+    # stays small enough for the JIT to compile.
+    routed, symbols = _route_with_symbols(envelopes, bindings, topics, max_broadcast_rows, read_symbols=True)
     return decode_routed(routed, registry, skip_policy, capacity, symbols)
 
 

@@ -62,3 +62,26 @@ def test_routed_sink_rebalances_before_the_write(spark):
     files = glob.glob(base + "/batch_id=0/kind=*/tbl=*/*.parquet")
     dirs = {f.rsplit("/", 1)[0] for f in files}
     assert len(dirs) == 6 and len(files) == len(dirs)  # one file per (kind, tbl) at this size
+
+
+def _max_method_size(spark, df):
+    import contextlib
+    import io
+    import re
+
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode="codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    return max(int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", buf.getvalue()))
+
+
+def test_decode_code_stays_jit_compilable(spark):
+    """Only bound decoders are planned, so the fused decode method stays
+    under the 8,000-byte size HotSpot compiles."""
+    assert _max_method_size(spark, queries.route_decode_drain(spark, SF)) < 8000
+    assert _max_method_size(spark, queries.passthrough_documents(spark, SF)) < 8000
