@@ -35,6 +35,12 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def remember_persisted(df: DataFrame) -> None:
+    """Keep a persisted control table among the last few; older ones are
+    released."""
+    _remember(df)
+
+
 def _remember(df: DataFrame) -> None:
     _persisted.append(df)
     while len(_persisted) > _KEEP_PERSISTED:

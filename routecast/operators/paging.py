@@ -85,27 +85,27 @@ def shuffled_positions(
 def local_positions(events: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
     """Positions without moving any message, or None when it cannot apply.
 
-    Each split is sorted locally by ``(topic, partition, offset)`` and its
-    rows numbered (``monotonically_increasing_id``: split index in the high
-    bits, row index below). A *piece* is the run of one ``(topic, partition)``
-    inside one split; a small table of pieces (count, offset range, first
-    row id) gets a running count in ``(topic, partition, first offset)``
-    order, and a message's position is its piece's base plus its distance
-    from the piece's first row. Pieces of one ``(topic, partition)`` must
-    not interleave in offsets: this is checked, and None returned otherwise.
+    A *piece* is the run of one ``(topic, partition)`` inside one input
+    split. A hash aggregation gives the small table of pieces (split,
+    count, offset range); pieces of one ``(topic, partition)`` must not
+    interleave in offsets, which is checked there, before anything is sorted.
+    Then each split is sorted locally by ``(topic, partition, offset)`` and
+    its rows numbered (``monotonically_increasing_id``: split index in the
+    high bits, row index below). A message's position is its piece's global
+    base (running count over pieces in ``(topic, partition, offset)`` order)
+    plus its row index minus the piece's first row index in the split
+    (running count over the split's earlier pieces).
     """
+    from routecast.operators.broadcast import remember_persisted
+
     if events.isStreaming:
         return None
-    ordered = events.sortWithinPartitions("topic", "partition", "offset").withColumn(
-        "_rid", F.monotonically_increasing_id()
-    )
-    split = F.shiftright(F.col("_rid"), 33)
-    pieces = ordered.groupBy(split.alias("_split"), "topic", "partition").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("offset").alias("_lo"),
-        F.max("offset").alias("_hi"),
-        F.min("_rid").alias("_rid0"),
+    pieces = (
+        events.groupBy(F.spark_partition_id().alias("_split"), "topic", "partition")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("offset").alias("_lo"), F.max("offset").alias("_hi"))
+        .persist()
     )
+    remember_persisted(pieces)
     by_range = Window.partitionBy("topic", "partition").orderBy("_lo", "_split")
     overlapping = (
         pieces.select((F.lag("_hi").over(by_range) >= F.col("_lo")).alias("_ov"))
@@ -115,15 +115,25 @@ def local_positions(events: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_R
     )
     if overlapping:
         return None
-    before = Window.orderBy("topic", "partition", "_lo", "_split").rowsBetween(Window.unboundedPreceding, -1)
+    global_before = Window.orderBy("topic", "partition", "_lo", "_split").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    split_before = (
+        Window.partitionBy("_split").orderBy("topic", "partition").rowsBetween(Window.unboundedPreceding, -1)
+    )
     bases = pieces.select(
         F.col("_split").alias("_p_split"),
         F.col("topic").alias("_p_topic"),
         F.col("partition").alias("_p_partition"),
-        "_rid0",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("_base"),
+        F.coalesce(F.sum("_n").over(global_before), F.lit(0)).cast("long").alias("_base"),
+        F.coalesce(F.sum("_n").over(split_before), F.lit(0)).cast("long").alias("_first"),
     )
     side, _ = bounded_broadcast(bases, max_broadcast_rows)
+    ordered = events.sortWithinPartitions("topic", "partition", "offset").withColumn(
+        "_rid", F.monotonically_increasing_id()
+    )
+    split = F.shiftright(F.col("_rid"), 33)
+    row_in_split = F.col("_rid") - F.shiftleft(split, 33)
     joined = ordered.join(
         side,
         (split == F.col("_p_split"))
@@ -131,5 +141,5 @@ def local_positions(events: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_R
         & F.col("partition").eqNullSafe(F.col("_p_partition")),
         "left",
     )
-    pos = (F.col("_base") + F.col("_rid") - F.col("_rid0")).cast("long")
-    return joined.withColumn("pos", pos).drop("_rid", "_p_split", "_p_topic", "_p_partition", "_rid0", "_base")
+    pos = (F.col("_base") + row_in_split - F.col("_first")).cast("long")
+    return joined.withColumn("pos", pos).drop("_rid", "_p_split", "_p_topic", "_p_partition", "_base", "_first")
