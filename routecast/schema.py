@@ -50,6 +50,7 @@ MSG_DECODE_FAILED = "decode failed"
 MSG_VERSION_MISMATCH = "decoder ABI version mismatch"
 MSG_SYMBOL_NOT_FOUND = "decoder symbol not found: "
 MSG_LIBRARY_MISSING_SUFFIX = ": cannot open shared object file: No such file or directory"
+MSG_VERSION_SYMBOL_MISSING = "symbol decoder_abi_version not found"
 
 # Symbols and names used by the built-in decoders and the binding file.
 DEFAULT_SYMBOL = "default_decoder"

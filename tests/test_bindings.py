@@ -135,7 +135,7 @@ def test_check_bindings_error_order(spark):
     )
     got = {r["topic"]: (r["ok"], r["err"]) for r in check_bindings(req, catalog).collect()}
     assert got["t1"] == (False, "gone" + S.MSG_LIBRARY_MISSING_SUFFIX)
-    assert got["t2"] == (False, f"symbol {S.VERSION_SYMBOL} not found")
+    assert got["t2"] == (False, S.MSG_VERSION_SYMBOL_MISSING)
     assert got["t3"] == (False, S.MSG_VERSION_MISMATCH)
     assert got["t4"] == (False, S.MSG_SYMBOL_NOT_FOUND + "nope")
     assert got["t5"] == (True, "")
