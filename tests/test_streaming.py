@@ -129,3 +129,37 @@ def test_live_rate_with_watermark_keeps_in_order_rows(spark):
     q.awaitTermination()
     got = latest_per_key(spark, base + "/out", ["window_start_ms"])
     assert got.agg(F.sum("total")).first()[0] == table.count()
+
+
+def test_kafka_shaped_stream_decodes_like_the_table(spark):
+    """P1 on a stream: rows shaped like the Kafka source (key, value, topic,
+    partition, offset, timestamp) give the same events as the table path."""
+    from routecast.sources.envelopes import epoch_millis_ntz, kafka_to_envelope
+
+    base = stream_checkpoint(spark, "test_kafka_shape")
+    table = read_table(spark, SF, "events")
+    kafka_rows = table.select(
+        F.col("user_id").cast("string").cast("binary").alias("key"),
+        F.col("props").cast("binary").alias("value"),
+        F.col("event_type").alias("topic"),
+        F.pmod(F.col("user_id"), F.lit(4)).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.timestamp_millis(epoch_millis_ntz("ts")).alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+    kafka_rows.repartition(2).write.parquet(base + "/src")
+    stream = kafka_to_envelope(file_stream(spark, base + "/src", kafka_rows.schema, max_files_per_trigger=1))
+    events = decode_stream(stream, samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS)
+    q = start_table_sink(
+        events.select("topic", "offset", "timestamp_ms", "ingest_ns", "kind", "data", "err"),
+        base + "/out",
+        base + "/ck",
+        "append",
+        available_now=True,
+    )
+    q.awaitTermination()
+    got = spark.read.parquet(base + "/out").drop("batch_id")
+    want = decode(events_envelopes(table), samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS)
+    cols = ["topic", "offset", "timestamp_ms", "ingest_ns", "kind", "data", "err"]
+    norm = lambda df: sorted(tuple(bytes(v) if isinstance(v, (bytes, bytearray)) else v for v in r) for r in df.select(*cols).collect())
+    assert norm(got) == norm(want)
