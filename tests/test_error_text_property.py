@@ -1,0 +1,30 @@
+"""D4 error text against a direct model, on random Unicode messages."""
+
+from hypothesis import example, given, settings
+from hypothesis import strategies as st
+
+from routecast import schema as S
+from routecast.functions.contract import err_text
+
+
+def model(message: str) -> str:
+    kept = message.split("\x00", 1)[0]
+    if kept == "":
+        kept = S.MSG_DECODE_FAILED
+    return kept.encode("utf-8")[: S.ERR_MAX_BYTES].decode("utf-8", errors="replace")
+
+
+messages = st.text(
+    alphabet=st.characters(blacklist_categories=("Cs",)),  # no lone surrogates
+    max_size=140,
+)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(messages, min_size=1, max_size=60))
+@example(["a" * 94 + "é" + "b", "a" * 93 + "€x", "a" * 94 + "€", "a" * 92 + "😀", "a" * 94 + "😀", "\x00x", "", "x\x00" + "y" * 200])
+def test_err_text_matches_model(spark, batch):
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(batch)], "i int, m string")
+    got = {r["i"]: r["e"] for r in df.select("i", err_text(df["m"]).alias("e")).collect()}
+    for i, m in enumerate(batch):
+        assert got[i] == model(m), (m, got[i], model(m))
