@@ -133,7 +133,8 @@ def event_rate(
     (the message time; 0 when unavailable). Per bucket: ``delta`` events,
     running ``total``/``data``/``error`` up to that bucket, and
     ``qps = delta / interval_seconds``. ``dense=True`` also reports idle
-    intervals between the first and last bucket with delta 0.
+    intervals between the first and last bucket with delta 0 (messages
+    without a time stay in bucket 0 and do not stretch that span).
 
     Output: ``bucket_start_ms, delta, total, data, error, qps``.
     """
@@ -144,13 +145,18 @@ def event_rate(
     per_bucket = (
         floor_div(events.select(t.alias("_t"), "kind"), F.col("_t"), width_ns, "bucket")
         .groupBy("bucket")
-        .agg(*_counters())
+        .agg(*_counters(), F.max(F.col("_t") > 0).alias("_timed"))
     )
     if dense:
-        per_bucket = dense_grid(per_bucket).join(per_bucket, "bucket", "left").select(
+        # Fill idle intervals only across messages that carry a time: those
+        # without one (ingest_ns 0) keep their own bucket instead of
+        # stretching the grid back to the epoch.
+        timed = per_bucket.filter(F.col("_timed"))
+        per_bucket = dense_grid(timed).join(per_bucket, "bucket", "full").select(
             "bucket",
             *[F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in ("total", "data", "error")],
         )
+    per_bucket = per_bucket.drop("_timed")
     # Running sums over the bucket table only (one row per interval), in two
     # levels so a long, fine-grained span is not one task.
     run = running_sums(per_bucket, "bucket", ["total", "data", "error"])

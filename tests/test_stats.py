@@ -81,3 +81,12 @@ def test_general_number_matches_c_g_format(spark):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     got = [r[0] for r in df.select(general_number(df["x"])).collect()]
     assert got == ["%g" % v for v in values]
+
+
+def test_dense_rate_is_not_stretched_by_untimed_messages(spark):
+    s = 1_000_000_000
+    rows = [(0, "error"), (1000 * s, "data"), (1003 * s, "data")]
+    ev = spark.createDataFrame(rows, "ingest_ns long, kind string")
+    dense = [tuple(r) for r in event_rate(ev, 1, dense=True).orderBy("bucket_start_ms").collect()]
+    assert [r[0] for r in dense] == [0, 1_000_000, 1_001_000, 1_002_000, 1_003_000]
+    assert dense[0][1:5] == (1, 1, 0, 1) and dense[-1][2] == 3
