@@ -172,7 +172,8 @@ def route_as_of(
     ``at`` (default ``timestamp_ms``; ``offset`` also works), by the log.
 
     A change at ``t`` applies to messages with ``at >= t``. Messages before
-    the topic's first log entry are unbound. Exactly one output row per
+    the topic's first log entry are unbound; a message without a time
+    (``timestamp_ms`` -1) gets the latest binding. Exactly one output row per
     message.
 
     Plan: intervals (small) are broadcast and joined on topic with a range
@@ -180,7 +181,11 @@ def route_as_of(
     are cut into ``bucket_width`` time buckets and joined on ``(topic,
     bucket)`` plus the range, a shuffle join whose hot keys AQE can split.
     """
-    at = at if at is not None else F.col("timestamp_ms")
+    if at is None:
+        # A message without a time (-1) is decoded with the latest binding,
+        # as a live decoder would do it now.
+        ts = F.col("timestamp_ms").cast("long")
+        at = F.when(ts >= 0, ts).otherwise(F.lit(9223372036854775807))
     iv = binding_intervals(log, log_block, max_broadcast_rows, two_level).select(
         F.col("topic").alias("_iv_topic"), "valid_from", "valid_to", F.col("symbol").alias("_iv_symbol")
     )

@@ -69,17 +69,23 @@ def shuffled_positions(
 ) -> DataFrame:
     """Positions through one shuffle by ``(topic, partition, offset div
     bucket_width)``; no key holds more than ``bucket_width`` messages."""
-    keys = ["topic", "partition", "_bucket"]
-    keyed = floor_div(events, F.col("offset"), bucket_width, "_bucket")
+    # Rows without an offset come first (nulls first) and are ordered and
+    # bucketed by a surrogate row id, so they cannot pile up in one key.
+    keys = ["topic", "partition", "_has_offset", "_bucket"]
+    has_offset = F.col("offset").isNotNull()
+    keyed = events.withColumn("_has_offset", has_offset).withColumn(
+        "_ord", F.when(has_offset, F.col("offset")).otherwise(F.monotonically_increasing_id())
+    )
+    keyed = floor_div(keyed, F.col("_ord"), bucket_width, "_bucket")
     counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("_base"))
-    in_bucket = Window.partitionBy(*keys).orderBy("offset")
+    in_bucket = Window.partitionBy(*keys).orderBy("_ord")
     numbered = keyed.withColumn("_rn", F.row_number().over(in_bucket))
     side, _ = bounded_broadcast(bases, max_broadcast_rows)
     joined = numbered.join(side, keys, "left")
     pos = (F.col("_base") + F.col("_rn") - 1).cast("long")
-    return joined.withColumn("pos", pos).drop("_bucket", "_rn", "_base")
+    return joined.withColumn("pos", pos).drop("_has_offset", "_ord", "_bucket", "_rn", "_base")
 
 
 def local_positions(events: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:

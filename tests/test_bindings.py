@@ -95,7 +95,8 @@ def test_route_as_of_equals_sequential_model(spark, seed, max_rows, log_block, t
     got = {r["offset"]: r["decoder"] for r in routed.collect()}
     assert len(got) == len(times) and routed.count() == len(times)
     for i, (topic, t) in enumerate(times):
-        exp = model_state(rows, upto=t).get(topic)
+        # a negative time means "unavailable": the latest binding applies
+        exp = model_state(rows, upto=t if t >= 0 else None).get(topic)
         assert got[i] == (exp[1] if exp else None), (i, topic, t)
 
 
@@ -216,3 +217,14 @@ def test_read_binding_file(spark, tmp_path):
     )
     got = {r["topic"]: r["symbol"] for r in read_binding_file(spark, str(f), "lib", catalog).collect()}
     assert got == {"orders": "exact", "trades": "decode_quote", "fx": S.ANCHOR_SYMBOL}
+
+
+def test_message_without_time_gets_latest_binding(spark):
+    log = spark.createDataFrame(
+        [(10, 0, S.OP_BIND, "a", "lib", "x", True), (20, 1, S.OP_REBIND, "a", "lib", "y", True)],
+        S.BINDING_LOG_SCHEMA,
+    )
+    env = _messages(spark, [("a", -1), ("a", 5), ("a", 15)])
+    for max_rows in (1_000_000, 0):
+        got = {r["offset"]: r["decoder"] for r in route_as_of(env, log, max_broadcast_rows=max_rows).collect()}
+        assert got == {0: "y", 1: None, 2: "x"}

@@ -75,3 +75,17 @@ def test_interleaved_splits_fall_back_to_shuffle(spark):
     with pytest.raises(ValueError):
         drain_pages(interleaved, local=True)
     assert _positions(drain_pages(interleaved, limit=37)) == _positions(drain_pages(env, limit=37, local=False))
+
+
+def test_rows_without_offsets_are_spread_and_paged(spark):
+    from pyspark.sql import functions as F2
+
+    env = read_events(spark, SF).withColumn("offset", F2.lit(None).cast("long"))
+    paged = drain_pages(env, limit=100, bucket_width=64, local=False)
+    rows = paged.select("topic", "partition", "pos", "page").collect()
+    assert sorted(r["pos"] for r in rows) == list(range(len(rows)))
+    by_key = {}
+    for r in rows:
+        by_key.setdefault((r["topic"], r["partition"]), []).append(r["pos"])
+    spans = sorted((min(v), max(v)) for v in by_key.values())
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))  # (topic, partition) order kept
