@@ -21,6 +21,8 @@ def display_bytes(data: Column) -> Column:
 
 def event_text(topic: Column, kind: Column, data: Column, err: Column) -> Column:
     """One log line per event."""
+    topic = F.coalesce(topic, F.lit(""))
+    err = F.coalesce(err, F.lit(""))
     size = F.octet_length(data)
     data_line = F.concat(
         F.lit(S.TEXT_DATA_PREFIX + " topic="),

@@ -265,10 +265,16 @@ def check_bindings(
     syms_side, _ = bounded_broadcast(syms, max_broadcast_rows)
     joined = requests.join(libs_side, "library", "left").join(syms_side, ["library", "symbol"], "left")
     err = (
-        F.when(F.col("_lib_ok").isNull(), F.concat(F.col("library"), F.lit(S.MSG_LIBRARY_MISSING_SUFFIX)))
+        F.when(
+            F.col("_lib_ok").isNull(),
+            F.concat(F.coalesce(F.col("library"), F.lit("")), F.lit(S.MSG_LIBRARY_MISSING_SUFFIX)),
+        )
         .when(F.col("_ver").isNull(), F.lit(S.MSG_VERSION_SYMBOL_MISSING))
         .when(F.col("_ver") != S.CONTRACT_VERSION, F.lit(S.MSG_VERSION_MISMATCH))
-        .when(F.col("_sym_ok").isNull(), F.concat(F.lit(S.MSG_SYMBOL_NOT_FOUND), F.col("symbol")))
+        .when(
+            F.col("_sym_ok").isNull(),
+            F.concat(F.lit(S.MSG_SYMBOL_NOT_FOUND), F.coalesce(F.col("symbol"), F.lit(""))),
+        )
         .otherwise(F.lit(""))
     )
     cols = [c for c in requests.columns]

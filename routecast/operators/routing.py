@@ -175,12 +175,12 @@ def to_drain(
     to reproduce a rebind/unbind between decode and drain.
     """
     if label_bindings is None:
-        tbl = F.coalesce(F.col("decoder"), F.col("topic"))
+        tbl = F.coalesce(F.col("decoder"), F.col("topic"), F.lit(""))
         return events.select(tbl.alias("tbl"), "topic", "kind", "data", "err")
     labels = unique_bindings(label_bindings).select("topic", F.col("symbol").alias("_label"))
     joined = _join_on_topic(events, labels, max_broadcast_rows)
     return joined.select(
-        F.coalesce(F.col("_label"), F.col("topic")).alias("tbl"), "topic", "kind", "data", "err"
+        F.coalesce(F.col("_label"), F.col("topic"), F.lit("")).alias("tbl"), "topic", "kind", "data", "err"
     )
 
 

@@ -167,3 +167,22 @@ def test_duplicate_bindings_never_multiply_rows(spark):
     env = env_rows(spark, [("t", {"kind": "OK", "data": "d"}, b"", 1)])
     b = spark.createDataFrame([("t", "lib", "scripted"), ("t", "lib", "zzz")], S.BINDING_SCHEMA)
     assert decode(env, b, registry()).count() == 1
+
+
+def test_null_topic_and_null_request_fields_give_text_not_null(spark):
+    from routecast.functions.text import event_text
+    from routecast.operators.bindings import check_bindings
+
+    env = env_rows(spark, [(None, b"x", b"", 1)])
+    b = spark.createDataFrame([], S.BINDING_SCHEMA)
+    drained = to_drain(decode(env, b, registry())).collect()[0]
+    assert drained["tbl"] == "" and drained["err"] == S.MSG_NOT_BOUND
+    line = decode(env, b, registry()).select(
+        event_text(F.col("topic"), F.col("kind"), F.col("data"), F.col("err"))
+    ).first()[0]
+    assert line == "[ERROR] topic= msg=decoder not bound"
+    catalog = spark.createDataFrame([("lib", 2, "x")], S.CATALOG_SCHEMA)
+    req = spark.createDataFrame([("t", None, "x"), ("u", "lib", None)], S.BINDING_SCHEMA)
+    got = {r["topic"]: (r["ok"], r["err"]) for r in check_bindings(req, catalog).collect()}
+    assert got["t"] == (False, S.MSG_LIBRARY_MISSING_SUFFIX)
+    assert got["u"] == (False, S.MSG_SYMBOL_NOT_FOUND)
