@@ -107,6 +107,13 @@ def _route_with_symbols(
     return envelopes.join(side, "topic", "left"), symbols
 
 
+def require_envelope(df: DataFrame, extra: Iterable[str] = ()) -> None:
+    """Fail early, naming them, when envelope columns are missing."""
+    missing = [c for c in list(S.ENVELOPE_COLUMNS) + list(extra) if c not in df.columns]
+    if missing:
+        raise ValueError(f"not an envelope DataFrame; missing columns: {', '.join(missing)}")
+
+
 def decode_routed(
     routed: DataFrame,
     registry: DecoderRegistry,
@@ -118,6 +125,7 @@ def decode_routed(
     ``symbols``: every symbol ``decoder`` can hold, when known."""
     if skip_policy not in ("error", "drop"):
         raise ValueError("skip_policy must be 'error' or 'drop'")
+    require_envelope(routed, ["decoder"])
     symbol = F.col("decoder")
     answer = registry.answer(capacity, symbols)
     staged = routed.withColumn("_ans", answer)
@@ -158,6 +166,7 @@ def decode(
     # job and keeps the plan to the decoders that can occur: no Python UDF
     # for an unbound Python decoder, and a short CASE whose generated method
     # stays small enough for the JIT to compile.
+    require_envelope(envelopes)
     routed, symbols = _route_with_symbols(envelopes, bindings, topics, max_broadcast_rows, read_symbols=True)
     return decode_routed(routed, registry, skip_policy, capacity, symbols)
 

@@ -186,3 +186,10 @@ def test_null_topic_and_null_request_fields_give_text_not_null(spark):
     got = {r["topic"]: (r["ok"], r["err"]) for r in check_bindings(req, catalog).collect()}
     assert got["t"] == (False, S.MSG_LIBRARY_MISSING_SUFFIX)
     assert got["u"] == (False, S.MSG_SYMBOL_NOT_FOUND)
+
+
+def test_missing_envelope_columns_are_named(spark):
+    df = spark.createDataFrame([("t", b"x")], "topic string, payload binary")
+    b = spark.createDataFrame([], S.BINDING_SCHEMA)
+    with pytest.raises(ValueError, match="partition, offset, timestamp_ms, key"):
+        decode(df, b, registry())
