@@ -168,6 +168,42 @@ def route_as_of(
     log_block: int = LOG_BLOCK,
     two_level: bool | None = None,
 ) -> DataFrame:
+    """Add ``decoder``; see :func:`_route_as_of`."""
+    routed, _ = _route_as_of(envelopes, log, at, max_broadcast_rows, bucket_width, log_block, two_level)
+    return routed
+
+
+def decode_as_of(
+    envelopes: DataFrame,
+    log: DataFrame,
+    registry,
+    at: Column | None = None,
+    skip_policy: str = "error",
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    bucket_width: int = DEFAULT_BUCKET,
+    log_block: int = LOG_BLOCK,
+    two_level: bool | None = None,
+) -> DataFrame:
+    """J2 + D3: decode every message with the decoder bound to its topic at
+    its time. When the interval table is small enough to broadcast, its
+    symbols are read back so only those decoders are planned (as ``decode``
+    does for a fixed binding table)."""
+    from routecast.operators.routing import bound_symbols, decode_routed
+
+    routed, intervals = _route_as_of(envelopes, log, at, max_broadcast_rows, bucket_width, log_block, two_level)
+    symbols = bound_symbols(intervals, "_iv_symbol") if intervals is not None else None
+    return decode_routed(routed, registry, skip_policy, symbols=symbols)
+
+
+def _route_as_of(
+    envelopes: DataFrame,
+    log: DataFrame,
+    at: Column | None,
+    max_broadcast_rows: int,
+    bucket_width: int,
+    log_block: int,
+    two_level: bool | None,
+) -> tuple[DataFrame, DataFrame | None]:
     """Add ``decoder``: the symbol bound to the message's topic at time
     ``at`` (default ``timestamp_ms``; ``offset`` also works), by the log.
 
@@ -196,6 +232,7 @@ def route_as_of(
     side, small = bounded_broadcast(iv, max_broadcast_rows)
     if small:
         joined = staged.join(side, (F.col("topic") == F.col("_iv_topic")) & in_range, "left")
+        small_side = side
     else:
         # Closed intervals: cut into time buckets, equi-join on (topic,
         # bucket) + range. Open intervals (at most one per topic): joined on
@@ -231,9 +268,11 @@ def route_as_of(
             .withColumn("valid_from", F.lit(None).cast("long"))
             .withColumn("valid_to", F.lit(None).cast("long"))
         )
-    return joined.withColumn("decoder", F.col("_iv_symbol")).drop(
+        small_side = None
+    routed = joined.withColumn("decoder", F.col("_iv_symbol")).drop(
         "_at", "_iv_topic", "valid_from", "valid_to", "_iv_symbol"
     )
+    return routed, small_side
 
 
 # ---------------------------------------------------------------------------

@@ -19,11 +19,11 @@ from routecast.operators.bindings import (
     bindings_from_text,
     check_bindings,
     current_bindings,
-    route_as_of,
+    decode_as_of,
     validate_log,
 )
 from routecast.operators.paging import drain_pages
-from routecast.operators.routing import decode, decode_routed, split_events, to_drain
+from routecast.operators.routing import decode, split_events, to_drain
 from routecast.operators.stats import dispatch_counts, event_rate, event_totals
 from routecast.plans import samples
 from routecast.streaming.stream import (
@@ -464,8 +464,7 @@ SELECT topic, "offset", tbl, kind, hex(data) AS data_hex, err FROM events_out"""
 )
 def q_route_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = read_table(spark, sf_dir, "events")
-    routed = route_as_of(events_envelopes(table), samples.daily_binding_log(table))
-    events = decode_routed(routed, samples.sample_registry())
+    events = decode_as_of(events_envelopes(table), samples.daily_binding_log(table), samples.sample_registry())
     return events.select(
         "topic",
         "offset",
