@@ -4,9 +4,9 @@ A *decoder* turns one envelope into one answer ``struct<rc, kind, data, err,
 need>`` (see :func:`routecast.functions.contract.decode_result`). Two kinds:
 
 * **column decoders** (U1, preferred): ``fn(env) -> Column`` built from
-  Spark expressions. All of them are combined into one ``CASE symbol WHEN ..``
-  so decoding stays a single codegen'd projection, whatever the number of
-  decoders.
+  Spark expressions. The decoders that can occur (the bound symbols, when
+  known) are combined into one ``CASE symbol WHEN ..`` so decoding stays a
+  single codegen'd projection.
 * **Python decoders** (U2): ``fn(PyEnvelope) -> DecodeOut | tuple`` called
   per message inside **one** Arrow UDF that dispatches by symbol. Inputs are
   masked to NULL unless the row is bound to a Python decoder, so rows bound to

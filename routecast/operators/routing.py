@@ -3,7 +3,7 @@
 ``decode`` is the heart of the engine:
 
     envelopes --(broadcast left join on topic: J1)--> + decoder symbol
-              --(one CASE over all decoders: U1/U2)--> decoder answer
+              --(one CASE over the bound decoders)---> decoder answer
               --(contract: D3/D4)--------------------> event rows
 
 It is one map-only stage over the messages: the only exchange is the
