@@ -32,6 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from routecast.functions.decoders import DecoderRegistry
+from routecast.operators.paging import drain_pages
 from routecast.operators.routing import decode, to_drain
 from routecast.operators.stats import event_totals
 from routecast.session import checkpoint_root
@@ -144,16 +145,34 @@ def routed_batch_writer(
     topics: Iterable[str] | None = None,
     skip_policy: str = "error",
     rebalance: bool = True,
+    drain_limit: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """T2 + S7: a ``foreachBatch`` function that re-reads the binding table
-    for each micro-batch, decodes, drains and writes the batch."""
+    for each micro-batch, decodes, drains and writes the batch.
+
+    ``drain_limit`` (S6 / W1 inside the batch) adds ``pos`` and ``page`` to
+    every row: pages of at most that many rows in ``(topic, partition,
+    offset)`` order within the batch, which a consumer can read one by one.
+    """
     topic_list = list(topics) if topics is not None else None
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         bindings = bindings_loader(spark, batch_id)
         events = decode(batch, bindings, registry, topics=topic_list, skip_policy=skip_policy)
-        write_routed(to_drain(events, label_bindings=None), path, batch_id, rebalance=rebalance)
+        drained = to_drain(events, label_bindings=None)
+        if drain_limit is not None:
+            paged = drain_pages(events, limit=drain_limit)
+            drained = paged.select(
+                F.coalesce(F.col("decoder"), F.col("topic"), F.lit("")).alias("tbl"),
+                "topic",
+                "kind",
+                "data",
+                "err",
+                "pos",
+                "page",
+            )
+        write_routed(drained, path, batch_id, rebalance=rebalance)
 
     return run
 
@@ -174,11 +193,13 @@ def start_routed(
     processing_time: str | None = None,
     query_name: str | None = None,
     rebalance: bool = True,
+    drain_limit: int | None = None,
 ) -> StreamingQuery:
     """Start T1 + T2 + S7: decode every micro-batch with the bindings of that
-    moment and write it to the routed sink."""
+    moment and write it to the routed sink (paged when ``drain_limit`` is
+    set)."""
     writer = envelopes.writeStream.foreachBatch(
-        routed_batch_writer(path, registry, bindings_loader, topics, rebalance=rebalance)
+        routed_batch_writer(path, registry, bindings_loader, topics, rebalance=rebalance, drain_limit=drain_limit)
     ).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)

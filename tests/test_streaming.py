@@ -163,3 +163,25 @@ def test_kafka_shaped_stream_decodes_like_the_table(spark):
     cols = ["topic", "offset", "timestamp_ms", "ingest_ns", "kind", "data", "err"]
     norm = lambda df: sorted(tuple(bytes(v) if isinstance(v, (bytes, bytearray)) else v for v in r) for r in df.select(*cols).collect())
     assert norm(got) == norm(want)
+
+
+def test_paged_stream_batches(spark):
+    base = stream_checkpoint(spark, "test_paged")
+    table, stream = _split_source(spark, base, n=3)
+    q = start_routed(
+        stream,
+        base + "/out",
+        samples.sample_registry(),
+        lambda s, b: samples.event_bindings(s),
+        base + "/ck",
+        topics=samples.EVENT_TOPICS,
+        available_now=True,
+        drain_limit=50,
+    )
+    q.awaitTermination()
+    out = read_routed(spark, base + "/out")
+    assert out.count() == table.count()
+    sizes = out.groupBy("batch_id", "page").count().collect()
+    assert max(r["count"] for r in sizes) <= 50
+    per_batch = out.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("pos").alias("d"), F.max("pos").alias("m")).collect()
+    assert all(r["n"] == r["d"] == r["m"] + 1 for r in per_batch)
