@@ -421,3 +421,37 @@ def binding_ops(spark, ops, first_seq: int = 0) -> DataFrame:
 def read_binding_file(spark, path: str, library: str, catalog: DataFrame) -> DataFrame:
     """D5 from a text file (or folder of files): one binding per line."""
     return bindings_from_text(spark.read.text(path), library, catalog)
+
+
+# ---------------------------------------------------------------------------
+# Control operations as an append-only table (bind / rebind / unbind /
+# subscribe while a stream runs)
+# ---------------------------------------------------------------------------
+
+
+def append_binding_ops(spark, path: str, ops, catalog: DataFrame | None = None) -> None:
+    """Append control operations ``(effective_at, op, topic, library,
+    symbol)`` to the binding log at ``path`` (parquet, shared storage).
+    ``seq`` continues after the operations already there, so the log keeps
+    one total order; with a ``catalog`` the binds are checked (J4) first and
+    a rejected one is recorded as invalid, leaving the old binding. One
+    writer at a time (the control plane), as with the reference's lock."""
+    try:
+        last = spark.read.parquet(path).agg(F.max("seq")).first()[0]
+    except Exception:  # no log yet
+        last = None
+    first_seq = 0 if last is None else int(last) + 1
+    new = binding_ops(spark, ops, first_seq=first_seq)
+    if catalog is not None:
+        new = validate_log(new, catalog).drop("err")
+    new.select([f.name for f in S.BINDING_LOG_SCHEMA.fields]).write.mode("append").parquet(path)
+
+
+def log_bindings_loader(path: str):
+    """A ``bindings_loader`` for the streaming sink: the binding table after
+    the whole log at ``path``, read again for every micro-batch."""
+
+    def load(spark, batch_id: int) -> DataFrame:
+        return current_bindings(spark.read.parquet(path))
+
+    return load

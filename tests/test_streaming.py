@@ -185,3 +185,42 @@ def test_paged_stream_batches(spark):
     assert max(r["count"] for r in sizes) <= 50
     per_batch = out.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("pos").alias("d"), F.max("pos").alias("m")).collect()
     assert all(r["n"] == r["d"] == r["m"] + 1 for r in per_batch)
+
+
+def test_control_log_drives_a_running_stream(spark):
+    from routecast import schema as S
+    from routecast.operators.bindings import append_binding_ops, log_bindings_loader
+
+    base = stream_checkpoint(spark, "test_control_log")
+    table = read_table(spark, SF, "events")
+    cut = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    log_path = base + "/log"
+    catalog = samples.check_catalog(spark)
+    append_binding_ops(spark, log_path, [(0, S.OP_BIND, "view", "samples", "json_k")], catalog)
+
+    def run():
+        q = start_routed(
+            events_envelopes(file_stream(spark, base + "/src", table.schema)),
+            base + "/out",
+            samples.sample_registry(),
+            log_bindings_loader(log_path),
+            base + "/ck",
+            available_now=True,
+        )
+        q.awaitTermination()
+
+    table.filter(cut).write.mode("append").parquet(base + "/src")
+    run()
+    append_binding_ops(
+        spark,
+        log_path,
+        [(1, S.OP_REBIND, "view", "samples", "short_only"), (2, S.OP_BIND, "view", "samples", "missing")],
+        catalog,
+    )
+    table.filter(~cut).write.mode("append").parquet(base + "/src")
+    run()
+    assert spark.read.parquet(log_path).filter(~F.col("valid")).count() == 1  # the rejected bind
+    out = read_routed(spark, base + "/out").filter(F.col("topic") == "view")
+    by_batch = {r["batch_id"]: r["tbl"] for r in out.select("batch_id", "tbl").distinct().collect()}
+    assert sorted(by_batch.values()) == ["json_k", "short_only"]
+    assert out.count() == table.filter(F.col("event_type") == "view").count()
