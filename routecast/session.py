@@ -18,6 +18,9 @@ _BASE_CONF = {
     # Python decoders see whole payloads; bound an Arrow batch by records so
     # large messages (documents reach ~130 KB) keep batches in the 100s of MB.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    # 64-bit offsets for strings and binaries in Arrow batches: 2,048 large
+    # messages (1 MB each is common on Kafka) would overflow 32-bit ones.
+    "spark.sql.execution.arrow.useLargeVarTypes": "true",
     # A generated method over 8,000 bytes of bytecode is never JIT-compiled by
     # HotSpot; past that size Spark should drop whole-stage fusion for the
     # plan (its per-operator code stays compilable) rather than interpret it.
