@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from routecast.llm import bpe, quality
+from routecast.llm import bpe, packing, quality
 
-_MODULES = (bpe, quality)
+_MODULES = (bpe, packing, quality)
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
