@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from routecast.llm import bpe, line_dedup, packing, quality
+from routecast.llm import bpe, language, line_dedup, packing, quality
 
-_MODULES = (bpe, line_dedup, packing, quality)
+_MODULES = (bpe, language, line_dedup, packing, quality)
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
