@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from routecast.llm import bpe, language, line_dedup, packing, quality, url_filter
+from routecast.llm import bpe, language, line_dedup, minhash, packing, quality, url_filter
 
-_MODULES = (bpe, language, line_dedup, packing, quality, url_filter)
+_MODULES = (bpe, language, line_dedup, minhash, packing, quality, url_filter)
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
