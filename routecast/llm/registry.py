@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
-from routecast.llm import bpe, language, line_dedup, minhash, multi_index, packing, quality, suffix_tree, url_filter
+from routecast.llm import (
+    bpe,
+    html_text,
+    language,
+    line_dedup,
+    minhash,
+    multi_index,
+    packing,
+    quality,
+    suffix_tree,
+    url_filter,
+)
 
-_MODULES = (bpe, language, line_dedup, minhash, multi_index, packing, quality, suffix_tree, url_filter)
+_MODULES = (bpe, html_text, language, line_dedup, minhash, multi_index, packing, quality, suffix_tree, url_filter)
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
