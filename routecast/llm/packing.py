@@ -149,15 +149,19 @@ def sequences(packed: DataFrame) -> DataFrame:
     return packed.groupBy("sequence_id").agg(joined.alias("ids"))
 
 
-def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pack_texts(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Packed pieces of doc_id and text, with the checksum of their ids."""
     import public_tokenizers
 
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the vocabulary of byte_bpe_50k.json
-    cut = pieces(table(spark, sf_dir, "documents"), ranks)
-    slim = cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
-    packed = pack(spark, written(spark, slim, "pieces"))
+    cut = pieces(df, ranks).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    packed = pack(spark, written(spark, cut, "pieces"))
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_texts(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {"op8_packing": op8_packing}
 ORACLES: dict[str, str] = {}

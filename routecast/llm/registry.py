@@ -15,7 +15,16 @@ from routecast.llm import (
     url_filter,
 )
 
+
+
+def _pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 _MODULES = (bpe, html_text, language, line_dedup, minhash, multi_index, packing, quality, suffix_tree, url_filter)
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
+QUERIES["pipeline"] = _pipeline
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
