@@ -33,10 +33,13 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def written(spark: SparkSession, df: DataFrame, name: str, slim: bool = False) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: lineage ends
     there, and later jobs read the columns they need. The files go when the
-    driver's JVM ends."""
+    driver's JVM ends. ``slim`` tables have few bytes a row: an eighth of the
+    usual number of files holds them."""
+    if slim:
+        df = df.coalesce(max(1, parts(spark) // 8))
     path = os.path.join(shared_dir(spark), f"llm-{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     jvm = spark._jvm
