@@ -26,16 +26,23 @@ from routecast.session import get_session  # noqa: E402
 HEADLINE = [
     "route_counts",
     "route_decode_drain",
+    "split_data",
     "passthrough_documents",
+    "decode_contract",
     "python_decoder",
     "route_as_of",
     "drain_pages",
     "current_bindings",
+    "validated_bindings",
     "check_bindings",
     "binding_file",
     "event_rate_dense",
     "event_text",
     "stream_decode",
+    "routed_sink",
+    "stream_totals",
+    "stream_rate",
+    "stream_rebind_per_batch",
 ]
 
 
@@ -46,14 +53,14 @@ def run_noop(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     spark = get_session(
         master=f"local[{cpus}]",
         app_name="routecast-bench",
         shuffle_partitions=cpus * 2,
-        conf={"spark.driver.memory": "16g", "spark.routecast.decodePartitions": str(cpus)},
+        conf={"spark.driver.memory": "16g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
 

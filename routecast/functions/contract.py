@@ -16,7 +16,7 @@ def empty_bytes() -> Column:
     return F.lit(b"").cast("binary")
 
 
-_ANSWER_FIELDS = (("rc", "INT"), ("kind", "STRING"), ("data", "BINARY"), ("err", "STRING"), ("need", "BIGINT"))
+_ANSWER_FIELDS = (("rc", "INT"), ("kind", "STRING"), ("data", "BINARY"), ("err", "STRING"))
 
 
 def _sql_literal(value, sql_type: str) -> str:
@@ -34,15 +34,14 @@ def decode_result(
     data: Column | bytes | None = None,
     err: Column | str = "",
     rc: Column | int = 0,
-    need: Column | int = 0,
 ) -> Column:
-    """Build a decoder answer ``struct<rc, kind, data, err, need>``.
+    """Build a decoder answer ``struct<rc, kind, data, err>``.
 
     Column decoders return this. Plain Python values become literals; the
     literal part is one SQL expression and each Column value is set with
     ``withField`` (both fold into a single struct in the optimized plan).
     """
-    values = {"rc": rc, "kind": kind, "data": b"" if data is None else data, "err": err, "need": need}
+    values = {"rc": rc, "kind": kind, "data": b"" if data is None else data, "err": err}
     parts = []
     for name, sql_type in _ANSWER_FIELDS:
         v = values[name]
@@ -73,28 +72,35 @@ def normalize_key(key: Column) -> Column:
     return F.coalesce(key.cast("binary"), empty_bytes())
 
 
-def err_text(message: Column) -> Column:
+def err_text(message: Column, max_bytes: int | None = None) -> Column:
     """The error text kept on an error event.
 
     The decoder's message when it is non-empty, else ``decode failed``; cut at
-    the first NUL; at most 95 *bytes*. A multi-byte character split by the
-    byte cut is replaced (``make_valid_utf8``) so the column stays valid text.
+    the first NUL, and whole unless ``max_bytes`` is given: then at most that
+    many bytes, ending before a character that would be split.
     """
-    msg = F.substring_index(F.coalesce(message.cast("string"), F.lit("")), "\u0000", 1)
+    msg = F.substring_index(F.make_valid_utf8(F.coalesce(message.cast("string"), F.lit(""))), "\u0000", 1)
     chosen = F.when(msg == "", F.lit(S.MSG_DECODE_FAILED)).otherwise(msg)
-    cut = F.substring(F.encode(chosen, "UTF-8"), 1, S.ERR_MAX_BYTES)
-    return F.make_valid_utf8(cut.cast("string"))
+    if max_bytes is None:
+        return chosen
+    raw = F.encode(chosen, "UTF-8")
+    # a character has at most four bytes: one of these cuts falls between two
+    cuts = [F.substring(raw, 1, max(0, max_bytes - back)).cast("string") for back in range(4)]
+    return F.coalesce(*[F.when(F.is_valid_utf8(c), c) for c in cuts], F.lit(""))
 
 
-def apply_contract(decoded: Column, bound: Column) -> tuple[Column, Column, Column]:
+def apply_contract(
+    decoded: Column, bound: Column, max_error_bytes: int | None = None
+) -> tuple[Column, Column, Column]:
     """D3: turn a decoder answer into the event's (kind, data, err).
 
     ``bound`` is false when the topic has no decoder at all. The first
     matching rule wins:
 
     * not bound                      -> error, ``decoder not bound``
-    * rc != 0, or kind != OK         -> error, D4 text (SKIP and a NEED_MORE
-                                        left after the one retry included)
+    * rc != 0, or kind != OK         -> error, D4 text (SKIP and NEED_MORE
+                                        included: output here has no capacity
+                                        to ask more of)
     * rc == 0 and kind == OK         -> data, decoder bytes, empty err
     """
     ok = (decoded["rc"] == 0) & (decoded["kind"] == S.KIND_OK)
@@ -104,6 +110,6 @@ def apply_contract(decoded: Column, bound: Column) -> tuple[Column, Column, Colu
     err = (
         F.when(~bound, F.lit(S.MSG_NOT_BOUND))
         .when(ok, F.lit(""))
-        .otherwise(err_text(decoded["err"]))
+        .otherwise(err_text(decoded["err"], max_error_bytes))
     )
     return kind, data, err

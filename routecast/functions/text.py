@@ -39,43 +39,3 @@ def error_line(topic: Column, err: Column, prefix: str = DEFAULT_ERROR_PREFIX) -
     """Short error notice ``<prefix> <topic> <err>`` shown for error rows of
     a drained batch."""
     return F.concat_ws(" ", F.lit(prefix), topic, err)
-
-
-def general_number(x: Column) -> Column:
-    """A double as C's default stream / ``%g`` output (6 significant digits,
-    trailing zeros dropped, scientific below 1e-4 and from 1e6 on), from
-    built-in functions: the exponent is read after rounding from ``%.5e``.
-
-    One known difference: when the shortest decimal form of the double ties
-    at the 6th significant digit (``99999.95``), Java's formatter rounds it
-    up while C rounds the exact binary value. Rates of whole counts over
-    whole seconds never hit this."""
-    sci = F.format_string("%.5e", x)
-    exp = F.regexp_extract(sci, r"e([+-]\d+)$", 1).cast("int")
-    fixed = None
-    for e in range(-4, 6):
-        text = F.format_string(f"%.{5 - e}f", x)
-        fixed = F.when(exp == e, text) if fixed is None else fixed.when(exp == e, text)
-    fixed = F.regexp_replace(F.regexp_replace(fixed, r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    sci_short = F.regexp_replace(sci, r"\.?0+e", "e")
-    return (
-        F.when(x.isNull(), F.lit(None))
-        .when(x == 0, F.lit("0"))
-        .when((exp < -4) | (exp >= 6), sci_short)
-        .otherwise(fixed)
-    )
-
-
-def stats_text(total: Column, data: Column, error: Column, qps: Column) -> Column:
-    """The running-statistics line: ``[STATS] total=<t> data=<d> error=<e>
-    qps=<rate>``, the rate printed as a C stream prints a double."""
-    return F.concat(
-        F.lit(S.TEXT_STATS_PREFIX + " total="),
-        total.cast("string"),
-        F.lit(" data="),
-        data.cast("string"),
-        F.lit(" error="),
-        error.cast("string"),
-        F.lit(" qps="),
-        general_number(qps.cast("double")),
-    )

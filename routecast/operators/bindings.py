@@ -22,12 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from routecast import schema as S
-from routecast.operators.broadcast import (
-    ESTIMATE_ACCEPT_BYTES,
-    MAX_BROADCAST_ROWS,
-    bounded_broadcast,
-    estimated_bytes,
-)
+from routecast.operators.broadcast import MAX_BROADCAST_ROWS, bounded_broadcast, within_bound
 from routecast.operators.stats import floor_div
 
 
@@ -54,19 +49,43 @@ def _state(last_change: Column, last_subscribe: Column) -> tuple[Column, Column]
 # ---------------------------------------------------------------------------
 
 
-def current_bindings(log: DataFrame) -> DataFrame:
+_SEQ_RANGE = "10000000000000000000"  # above every seq
+
+
+def order_key(at: Column, seq: Column) -> Column:
+    """``(at, seq)`` as one number of fixed width, so that its maximum is a
+    hash aggregation. ``seq`` must not be negative."""
+    return at.cast("decimal(19,0)") * F.lit(_SEQ_RANGE).cast("decimal(20,0)") + seq.cast("decimal(19,0)")
+
+
+def split_order_key(key: Column) -> tuple[Column, Column]:
+    """``at`` and ``seq`` of an :func:`order_key` with ``at`` >= 0."""
+    size = F.lit(_SEQ_RANGE).cast("decimal(20,0)")
+    seq = key % size
+    return ((key - seq) / size).cast("long"), seq.cast("long")
+
+
+def current_bindings(log: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """A4: the binding table after the whole log, ``(topic, library, symbol)``.
 
-    One grouped aggregation (``max_by`` / ``max``, both partial-aggregated
-    map-side), so a topic holding a third of the log costs no more than any
-    other.
+    One hash aggregation finds the last change and the last subscribe of each
+    topic (combined map-side, so a topic holding a third of the log costs no
+    more than any other); the changes found are then picked from the log.
     """
-    change = F.struct(_order().alias("ord"), "op", "library", "symbol")
-    agg = log.groupBy("topic").agg(
-        F.max_by(change, F.when(_is_change(), _order())).alias("_c"),
-        F.max(F.when(F.col("op") == S.OP_SUBSCRIBE, _order())).alias("_s"),
+    key = order_key(F.col("effective_at"), F.col("seq"))
+    last = log.groupBy("topic").agg(
+        F.max(F.when(_is_change(), key)).alias("_c"), F.max(F.when(F.col("op") == S.OP_SUBSCRIBE, key)).alias("_s")
     )
-    library, symbol = _state(F.col("_c"), F.col("_s"))
+    side, _ = bounded_broadcast(last.select(F.col("topic").alias("_t"), F.col("_c").alias("_k")), max_broadcast_rows)
+    changes = log.where(_is_change()).withColumn("_key", key)
+    found = changes.join(side, F.col("topic").eqNullSafe(F.col("_t")) & (F.col("_key") == F.col("_k")))
+    # operations with the same time and seq: the largest decides
+    found = found.groupBy(F.col("topic").alias("_t")).agg(F.max(F.struct("op", "library", "symbol")).alias("_l"))
+    agg = last.join(found, F.col("topic").eqNullSafe(F.col("_t")), "left")
+    bound = F.col("_l.op").isin(S.OP_BIND, S.OP_REBIND)
+    by_subscribe = F.col("_s").isNotNull() & (F.col("_c").isNull() | (F.col("_s") > F.col("_c")))
+    library = F.when(bound, F.col("_l.library")).when(by_subscribe, F.lit(S.BUILTIN_LIBRARY))
+    symbol = F.when(bound, F.col("_l.symbol")).when(by_subscribe, F.lit(S.DEFAULT_SYMBOL))
     return agg.select("topic", library.alias("library"), symbol.alias("symbol")).filter(F.col("symbol").isNotNull())
 
 
@@ -85,7 +104,6 @@ def binding_intervals(
     log: DataFrame,
     block_width: int = LOG_BLOCK,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    two_level: bool | None = None,
 ) -> DataFrame:
     """The log as non-overlapping ``[valid_from, valid_to)`` intervals per
     topic, ``(topic, valid_from, valid_to, library, symbol)``; ``valid_to``
@@ -101,20 +119,6 @@ def binding_intervals(
     """
     change = F.when(_is_change(), F.struct(_order().alias("ord"), "op", "library", "symbol"))
     subscribe = F.when(F.col("op") == S.OP_SUBSCRIBE, _order())
-    if two_level is None:
-        est = estimated_bytes(log)
-        two_level = est is None or est > ESTIMATE_ACCEPT_BYTES
-    if not two_level:
-        by_topic = Window.partitionBy("topic").orderBy(F.col("effective_at"), F.col("seq"))
-        upto_all = by_topic.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        staged = log.select(
-            "topic",
-            F.col("effective_at").cast("long").alias("valid_from"),
-            F.lead(F.col("effective_at").cast("long")).over(by_topic).alias("valid_to"),
-            F.last(change, ignorenulls=True).over(upto_all).alias("_c"),
-            F.last(subscribe, ignorenulls=True).over(upto_all).alias("_s"),
-        )
-        return _intervals(staged)
     keyed = floor_div(log, F.col("effective_at"), block_width, "_blk")
 
     summary = keyed.groupBy("topic", "_blk").agg(
@@ -157,6 +161,7 @@ def _intervals(staged: DataFrame) -> DataFrame:
 
 
 DEFAULT_BUCKET = 86_400_000  # width of the time buckets of the large-log path
+FAN = 64  # intervals, or nodes, below one node of the search tree
 
 
 def route_as_of(
@@ -166,11 +171,9 @@ def route_as_of(
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     bucket_width: int = DEFAULT_BUCKET,
     log_block: int = LOG_BLOCK,
-    two_level: bool | None = None,
 ) -> DataFrame:
-    """Add ``decoder``; see :func:`_route_as_of`."""
-    routed, _ = _route_as_of(envelopes, log, at, max_broadcast_rows, bucket_width, log_block, two_level)
-    return routed
+    """Add ``decoder_library`` and ``decoder``; see :func:`_route_as_of`."""
+    return _route_as_of(envelopes, log, at, max_broadcast_rows, bucket_width, log_block)[0]
 
 
 def decode_as_of(
@@ -182,17 +185,64 @@ def decode_as_of(
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     bucket_width: int = DEFAULT_BUCKET,
     log_block: int = LOG_BLOCK,
-    two_level: bool | None = None,
 ) -> DataFrame:
     """J2 + D3: decode every message with the decoder bound to its topic at
     its time. When the interval table is small enough to broadcast, its
-    symbols are read back so only those decoders are planned (as ``decode``
-    does for a fixed binding table)."""
-    from routecast.operators.routing import bound_symbols, decode_routed
-
-    routed, intervals = _route_as_of(envelopes, log, at, max_broadcast_rows, bucket_width, log_block, two_level)
-    symbols = bound_symbols(intervals, "_iv_symbol") if intervals is not None else None
-    return decode_routed(routed, registry, skip_policy, symbols=symbols)
+    decoders are read back so only those are planned (as ``decode`` does for
+    a fixed binding table)."""
+    from routecast.operators.routing import bound_decoders, decode_routed
+
+    routed, intervals = _route_as_of(envelopes, log, at, max_broadcast_rows, bucket_width, log_block)
+    bound = bound_decoders(intervals) if intervals is not None else None
+    return decode_routed(routed, registry, skip_policy, bound)
+
+
+def _search_tree(iv: DataFrame) -> list[DataFrame]:
+    """Tables ``(_topic, _node, _below)`` from the root to the leaves: a leaf
+    holds up to ``FAN`` consecutive intervals of a topic, a node above the
+    first times of up to ``FAN`` nodes."""
+    rank = F.row_number().over(Window.partitionBy("topic").orderBy("valid_from")) - 1
+    ranked = iv.withColumn("_rank", rank).select(
+        F.col("topic").alias("_topic"),
+        F.expr(f"_rank div {FAN}").alias("_node"),
+        F.struct("valid_from", "valid_to", "library", "symbol").alias("_entry"),
+    )
+    leaves = ranked.groupBy("_topic", "_node").agg(F.sort_array(F.collect_list("_entry")).alias("_below"))
+    levels, starts = [leaves], leaves.select("_topic", "_node", F.col("_below")[0]["valid_from"].alias("_start"))
+    last = leaves.agg(F.max("_node")).first()[0] or 0
+    while last > 0:
+        above = starts.select("_topic", F.expr(f"_node div {FAN}").alias("_node"), "_start")
+        level = above.groupBy("_topic", "_node").agg(F.sort_array(F.collect_list("_start")).alias("_below"))
+        levels.insert(0, level)
+        starts = level.select("_topic", "_node", F.col("_below")[0].alias("_start"))
+        last //= FAN
+    return levels
+
+
+def _search(staged: DataFrame, iv: DataFrame) -> DataFrame:
+    """The interval of each message by descending the tree: one exact lookup
+    and at most ``FAN`` comparisons a level, a number of levels that grows
+    with the logarithm of the intervals of the largest topic."""
+    levels = _search_tree(iv)
+    found = staged.withColumn("_at_node", F.lit(0).cast("long"))
+    for i, level in enumerate(levels):
+        on = F.col("topic").eqNullSafe(F.col("_topic")) & (F.col("_at_node") == F.col("_node"))
+        found = found.join(F.broadcast(level), on, "left")
+        leaf = i == len(levels) - 1
+        begin = (lambda x: x["valid_from"]) if leaf else (lambda x: x)
+        last = F.size(F.filter("_below", lambda x: begin(x) <= F.col("_at"))) - 1
+        if leaf:
+            found = found.withColumn("_entry", F.when(last >= 0, F.get("_below", F.greatest(last, F.lit(0)))))
+        else:
+            found = found.withColumn("_at_node", F.when(last >= 0, F.col("_at_node") * FAN + last))
+        found = found.drop("_topic", "_node", "_below")
+    open_ = F.col("_entry.valid_to").isNull() | (F.col("_at") < F.col("_entry.valid_to"))
+    return found.withColumns(
+        {
+            "decoder_library": F.when(open_, F.col("_entry.library")),
+            "decoder": F.when(open_, F.col("_entry.symbol")),
+        }
+    ).drop("_at", "_at_node", "_entry")
 
 
 def _route_as_of(
@@ -202,9 +252,8 @@ def _route_as_of(
     max_broadcast_rows: int,
     bucket_width: int,
     log_block: int,
-    two_level: bool | None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Add ``decoder``: the symbol bound to the message's topic at time
+    """Add the library and symbol bound to the message's topic at time
     ``at`` (default ``timestamp_ms``; ``offset`` also works), by the log.
 
     A change at ``t`` applies to messages with ``at >= t``. Messages before
@@ -212,67 +261,60 @@ def _route_as_of(
     (``timestamp_ms`` -1) gets the latest binding. Exactly one output row per
     message.
 
-    Plan: intervals (small) are broadcast and joined on topic with a range
-    condition. When the interval table is over the broadcast bound, intervals
-    are cut into ``bucket_width`` time buckets and joined on ``(topic,
-    bucket)`` plus the range, a shuffle join whose hot keys AQE can split.
+    Plan: intervals (few) are broadcast as a search tree. When the interval
+    table is over the broadcast bound, closed intervals are cut into
+    ``bucket_width`` time buckets and joined on ``(topic, bucket)`` plus the
+    range, a shuffle join whose hot keys AQE can split; messages without a
+    time take no part in that and look up the open interval only.
     """
+    timeless = F.lit(9223372036854775807)
     if at is None:
         # A message without a time (-1) is decoded with the latest binding,
         # as a live decoder would do it now.
         ts = F.col("timestamp_ms").cast("long")
-        at = F.when(ts >= 0, ts).otherwise(F.lit(9223372036854775807))
-    iv = binding_intervals(log, log_block, max_broadcast_rows, two_level).select(
-        F.col("topic").alias("_iv_topic"), "valid_from", "valid_to", F.col("symbol").alias("_iv_symbol")
-    )
+        at = F.when(ts >= 0, ts).otherwise(timeless)
+    iv, small = within_bound(binding_intervals(log, log_block, max_broadcast_rows), max_broadcast_rows)
     staged = envelopes.withColumn("_at", at.cast("long"))
-    in_range = (F.col("_at") >= F.col("valid_from")) & (
-        F.col("valid_to").isNull() | (F.col("_at") < F.col("valid_to"))
-    )
-    side, small = bounded_broadcast(iv, max_broadcast_rows)
     if small:
-        joined = staged.join(side, (F.col("topic") == F.col("_iv_topic")) & in_range, "left")
-        small_side = side
-    else:
-        # Closed intervals: cut into time buckets, equi-join on (topic,
-        # bucket) + range. Open intervals (at most one per topic): joined on
-        # topic alone. No pass over the messages is needed to find their
-        # time range.
-        closed = iv.filter(F.col("valid_to").isNotNull())
-        bucketed = floor_div(closed, F.col("valid_from"), bucket_width, "_b_lo")
-        bucketed = floor_div(bucketed, F.col("valid_to") - 1, bucket_width, "_b_hi")
-        exploded = bucketed.withColumn("_iv_b", F.explode(F.sequence("_b_lo", "_b_hi"))).drop("_b_lo", "_b_hi")
-        keyed = floor_div(staged, F.col("_at"), bucket_width, "_b")
-        first = keyed.join(
-            exploded.withColumn("_hit", F.lit(True)),
-            (F.col("topic") == F.col("_iv_topic")) & (F.col("_b") == F.col("_iv_b")) & in_range,
-            "left",
-        ).drop("_b", "_iv_b", "_iv_topic", "valid_from", "valid_to")
-        open_iv = iv.filter(F.col("valid_to").isNull()).select(
-            F.col("_iv_topic").alias("_op_topic"),
-            F.col("valid_from").alias("_op_from"),
-            F.col("_iv_symbol").alias("_op_symbol"),
-        )
-        open_side, _ = bounded_broadcast(open_iv, max_broadcast_rows)
-        joined = (
-            first.join(
-                open_side,
-                (F.col("topic") == F.col("_op_topic")) & (F.col("_at") >= F.col("_op_from")),
-                "left",
-            )
-            .withColumn(
-                "_iv_symbol", F.when(F.col("_hit"), F.col("_iv_symbol")).otherwise(F.col("_op_symbol"))
-            )
-            .drop("_hit", "_op_topic", "_op_from", "_op_symbol")
-            .withColumn("_iv_topic", F.lit(None).cast("string"))
-            .withColumn("valid_from", F.lit(None).cast("long"))
-            .withColumn("valid_to", F.lit(None).cast("long"))
-        )
-        small_side = None
-    routed = joined.withColumn("decoder", F.col("_iv_symbol")).drop(
-        "_at", "_iv_topic", "valid_from", "valid_to", "_iv_symbol"
+        return _search(staged, iv), iv
+    iv = iv.select(
+        F.col("topic").alias("_iv_topic"),
+        "valid_from",
+        "valid_to",
+        F.col("library").alias("_iv_library"),
+        F.col("symbol").alias("_iv_symbol"),
+    )
+    # Closed intervals: cut into time buckets, equi-join on (topic, bucket) +
+    # range. Open intervals (at most one per topic): joined on topic alone.
+    # No pass over the messages is needed to find their time range.
+    closed = iv.filter(F.col("valid_to").isNotNull())
+    bucketed = floor_div(closed, F.col("valid_from"), bucket_width, "_b_lo")
+    bucketed = floor_div(bucketed, F.col("valid_to") - 1, bucket_width, "_b_hi")
+    exploded = bucketed.withColumn("_iv_b", F.explode(F.sequence("_b_lo", "_b_hi"))).drop("_b_lo", "_b_hi")
+    keyed = floor_div(staged.filter(F.col("_at") < timeless), F.col("_at"), bucket_width, "_b")
+    in_range = (F.col("_at") >= F.col("valid_from")) & (F.col("_at") < F.col("valid_to"))
+    first = keyed.join(
+        exploded.withColumn("_hit", F.lit(True)),
+        (F.col("topic") == F.col("_iv_topic")) & (F.col("_b") == F.col("_iv_b")) & in_range,
+        "left",
+    ).drop("_b", "_iv_b", "_iv_topic", "valid_from", "valid_to")
+    first = first.unionByName(staged.filter(F.coalesce(F.col("_at") >= timeless, F.lit(True))), allowMissingColumns=True)
+    open_iv = iv.filter(F.col("valid_to").isNull()).select(
+        F.col("_iv_topic").alias("_op_topic"),
+        F.col("valid_from").alias("_op_from"),
+        F.col("_iv_library").alias("_op_library"),
+        F.col("_iv_symbol").alias("_op_symbol"),
+    )
+    open_side, _ = bounded_broadcast(open_iv, max_broadcast_rows)
+    joined = first.join(open_side, (F.col("topic") == F.col("_op_topic")) & (F.col("_at") >= F.col("_op_from")), "left")
+    routed = joined.withColumns(
+        {
+            "decoder_library": F.when(F.col("_hit"), F.col("_iv_library")).otherwise(F.col("_op_library")),
+            "decoder": F.when(F.col("_hit"), F.col("_iv_symbol")).otherwise(F.col("_op_symbol")),
+        }
     )
-    return routed, small_side
+    gone = ["_at", "_hit", "_iv_library", "_iv_symbol", "_op_topic", "_op_from", "_op_library", "_op_symbol"]
+    return routed.drop(*gone), None
 
 
 # ---------------------------------------------------------------------------
@@ -436,10 +478,10 @@ def append_binding_ops(spark, path: str, ops, catalog: DataFrame | None = None)
     one total order; with a ``catalog`` the binds are checked (J4) first and
     a rejected one is recorded as invalid, leaving the old binding. One
     writer at a time (the control plane), as with the reference's lock."""
-    try:
-        last = spark.read.parquet(path).agg(F.max("seq")).first()[0]
-    except Exception:  # no log yet
-        last = None
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    # only a folder that is not there is a log not begun; other errors rise
+    begun = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    last = spark.read.parquet(path).agg(F.max("seq")).first()[0] if begun else None
     first_seq = 0 if last is None else int(last) + 1
     new = binding_ops(spark, ops, first_seq=first_seq)
     if catalog is not None:
@@ -447,11 +489,13 @@ def append_binding_ops(spark, path: str, ops, catalog: DataFrame | None = None)
     new.select([f.name for f in S.BINDING_LOG_SCHEMA.fields]).write.mode("append").parquet(path)
 
 
-def log_bindings_loader(path: str):
+def log_bindings_loader(path: str, catalog: DataFrame | None = None):
     """A ``bindings_loader`` for the streaming sink: the binding table after
-    the whole log at ``path``, read again for every micro-batch."""
+    the whole log at ``path``, read again for every micro-batch. With a
+    ``catalog``, binds that it rejects leave the earlier binding in place."""
 
     def load(spark, batch_id: int) -> DataFrame:
-        return current_bindings(spark.read.parquet(path))
+        log = spark.read.parquet(path)
+        return current_bindings(log if catalog is None else validate_log(log, catalog))
 
     return load

@@ -8,15 +8,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count we broadcast. Control tables (bindings, binding
-# intervals, drain-page prefix tables) are far below it; past it the caller
-# falls back to a shuffle plan that AQE can split for skew.
+# Most rows, and most bytes in memory, that are broadcast. Control tables
+# (bindings, binding intervals, drain-page prefix tables) are far below; past
+# either the caller falls back to a shuffle plan that AQE can split for skew.
 MAX_BROADCAST_ROWS = 2_000_000
-
-# Plans whose optimizer size estimate is under this many bytes are accepted
-# without running the exact count (the estimate of an in-memory table is
-# exact; that of a file scan is its on-disk size).
-ESTIMATE_ACCEPT_BYTES = 8 * 1024 * 1024
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 # Control tables persisted by a size check, newest last; the oldest are
 # released so repeated checks (one per micro-batch) do not pile up.
@@ -24,21 +20,10 @@ _KEEP_PERSISTED = 16
 _persisted: deque[DataFrame] = deque()
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df``'s optimized plan (the statistic
-    Spark's own broadcast decision reads), or None when it cannot be read;
-    callers then fall back to the exact, bounded count."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else size.toString())
-    except Exception:
-        return None
-
-
-def remember_persisted(df: DataFrame) -> None:
-    """Keep a persisted control table among the last few; older ones are
-    released."""
-    _remember(df)
+def _bytes_in_memory(cached: DataFrame) -> int:
+    """Size of a cached, counted table: what its partitions hold."""
+    size = cached._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
 
 
 def _remember(df: DataFrame) -> None:
@@ -51,27 +36,30 @@ def _remember(df: DataFrame) -> None:
             pass
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(broadcast(df), True)`` when ``df`` has at most ``max_rows``
-    rows, else ``(df, False)``.
+def within_bound(
+    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> tuple[DataFrame, bool]:
+    """``(df, True)``, persisted, when it has at most ``max_rows`` rows (always
+    counted) and ``max_bytes`` bytes; else ``(df, False)``.
 
-    A plan whose size estimate is tiny (an in-memory control table, a small
-    file) is accepted at once. Otherwise the table is persisted and counted
-    with ``limit(max_rows + 1).count()``: the count is bounded by the limit,
-    and a table derived from large inputs (a log aggregated from messages) is
-    computed once for the check and the join alike (cached partitions and the
-    shuffle output behind them are reused). A table over the bound is
-    released again and left to the caller's shuffle plan.
+    The count is bounded by a limit, and the table is computed once for the
+    check and for its use. A table that the caller has cached stays as it is.
     """
     if df.isStreaming:
         return df, False
-    est = estimated_bytes(df)
-    if est is not None and est <= ESTIMATE_ACCEPT_BYTES and max_rows > 0:
-        return F.broadcast(df), True
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.limit(max_rows + 1).count()
-    if n <= max_rows:
-        _remember(cached)
-        return F.broadcast(cached), True
-    cached.unpersist()
+    own = not (df.storageLevel.useMemory or df.storageLevel.useDisk)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK) if own else df
+    if cached.limit(max_rows + 1).count() <= max_rows and _bytes_in_memory(cached) <= max_bytes:
+        if own:
+            _remember(cached)
+        return cached, True
+    if own:
+        cached.unpersist()
     return df, False
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """Return ``(broadcast(df), True)`` when ``df`` is :func:`within_bound`,
+    else ``(df, False)``."""
+    cached, small = within_bound(df, max_rows)
+    return (F.broadcast(cached), True) if small else (df, False)

@@ -1,26 +1,32 @@
 """Drain pages (W1, batch form of the bounded drain S6).
 
 Every message lands in exactly one page and every page holds at most
-``limit`` messages, in the order ``(topic, partition, offset)``.
+``limit`` messages, in the order ``(topic, partition, offset)``; messages
+without an offset come first in their ``(topic, partition)``, in an order
+derived from their content.
 
-Two plans, neither with a global sort nor a single-task window over
-messages. Without a shuffle (when input splits hold disjoint offset ranges
-per ``(topic, partition)``, as Kafka splits do): see ``local_positions``.
-Otherwise, one shuffle:
+Neither a global sort nor a window over more than one bucket of messages:
 
 1. each message gets a bucket ``offset div bucket_width`` inside its
    ``(topic, partition)``; offsets are unique there, so a bucket holds at
-   most ``bucket_width`` messages whatever the skew between topics;
+   most ``bucket_width`` messages whatever the skew between topics (those
+   without an offset are spread by their content's hash);
 2. messages are counted per bucket (partial aggregation; small table);
-3. a running sum over the *bucket table* gives each bucket's first global
-   position;
-4. that table is broadcast back (size-checked) and a ``row_number`` inside
-   each bucket gives the message's global position ``pos``;
+3. running counts give each bucket's first global position: over the
+   ``(topic, partition)`` totals, within one over blocks of buckets, and
+   within a block over its buckets;
+4. that table is joined back (broadcast when within its bound) and a
+   ``row_number`` inside each bucket gives the message's position ``pos``;
 5. ``page = pos div limit``.
+
+Counting and numbering use the same keys, which depend on a message's columns
+alone: where a message lies, and how often it is computed, changes nothing.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +34,9 @@ from routecast import schema as S
 from routecast.operators.broadcast import MAX_BROADCAST_ROWS, bounded_broadcast
 from routecast.operators.stats import floor_div
 
-DEFAULT_BUCKET_WIDTH = 1 << 20
+DEFAULT_BUCKET_WIDTH = 1 << 14  # messages, with their payloads, in one sort
+HASH_BUCKET = 1 << 44  # hashes of one bucket, for messages without an offset
+BLOCK = 4096  # buckets of one block
 
 
 def effective_limit(limit: int | None) -> int:
@@ -38,114 +46,51 @@ def effective_limit(limit: int | None) -> int:
     return max(S.DRAIN_LIMIT_MIN, int(limit))
 
 
+_PART = ["topic", "partition", "_has_offset"]
+
+
+def _before(table: DataFrame, within: list[str], order: list[str], name: str) -> DataFrame:
+    """Rows counted before each row of its group."""
+    upto = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return table.withColumn(name, F.coalesce(F.sum("_n").over(upto), F.lit(0)).cast("long"))
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    renamed = right.withColumnsRenamed({k: f"_r{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r{k}")) for k in keys])
+    return left.join(renamed, on, how).drop(*[f"_r{k}" for k in keys])
+
+
+def bucket_bases(counts: DataFrame) -> DataFrame:
+    """First global position (``_base``) of each bucket."""
+    counts = floor_div(counts, F.col("_bucket"), BLOCK, "_block")
+    blocks = counts.groupBy(*_PART, "_block").agg(F.sum("_n").alias("_n"))
+    whole = blocks.groupBy(*_PART).agg(F.sum("_n").alias("_n"))  # one row per (topic, partition)
+    whole = _before(whole, [], _PART, "_b0").drop("_n")
+    blocks = _before(blocks, _PART, ["_block"], "_b1").drop("_n")
+    buckets = _before(counts, [*_PART, "_block"], ["_bucket"], "_b2").drop("_n")
+    joined = _null_safe(_null_safe(buckets, blocks, [*_PART, "_block"], "inner"), whole, _PART, "inner")
+    return joined.select(*_PART, "_bucket", (F.col("_b0") + F.col("_b1") + F.col("_b2")).alias("_base"))
+
+
 def drain_pages(
     events: DataFrame,
     limit: int | None = S.DRAIN_LIMIT_DEFAULT,
     bucket_width: int = DEFAULT_BUCKET_WIDTH,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    local: bool | None = None,
 ) -> DataFrame:
-    """Add ``pos`` (0-based global position) and ``page`` to each row.
-
-    ``local=None`` first tries the plan without a shuffle of the messages
-    (:func:`local_positions`), which applies when every input split holds
-    its own offset range of each ``(topic, partition)``, as Kafka splits and
-    offset-ordered files do; otherwise, or with ``local=False``, the bucketed
-    shuffle plan runs.
-    """
+    """Add ``pos`` (0-based global position) and ``page`` to each row."""
     lim = effective_limit(limit)
-    positioned = None
-    if local is not False:
-        positioned = local_positions(events, max_broadcast_rows)
-        if positioned is None and local:
-            raise ValueError("input splits interleave offsets; the local plan does not apply")
-    if positioned is None:
-        positioned = shuffled_positions(events, bucket_width, max_broadcast_rows)
-    return positioned.withColumn("page", F.expr(f"pos div {lim}"))
-
-
-def shuffled_positions(
-    events: DataFrame, bucket_width: int = DEFAULT_BUCKET_WIDTH, max_broadcast_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
-    """Positions through one shuffle by ``(topic, partition, offset div
-    bucket_width)``; no key holds more than ``bucket_width`` messages."""
-    # Rows without an offset come first (nulls first) and are ordered and
-    # bucketed by a surrogate row id, so they cannot pile up in one key.
-    keys = ["topic", "partition", "_has_offset", "_bucket"]
-    has_offset = F.col("offset").isNotNull()
-    keyed = events.withColumn("_has_offset", has_offset).withColumn(
-        "_ord", F.when(has_offset, F.col("offset")).otherwise(F.monotonically_increasing_id())
-    )
-    keyed = floor_div(keyed, F.col("_ord"), bucket_width, "_bucket")
+    keys = [*_PART, "_bucket"]
+    keyed = events.withColumns({"_has_offset": F.col("offset").isNotNull(), "_content": F.xxhash64(*events.columns)})
+    keyed = floor_div(keyed, F.col("offset"), bucket_width, "_by_offset")
+    keyed = floor_div(keyed, F.col("_content"), HASH_BUCKET, "_by_content")
+    keyed = keyed.withColumn("_bucket", F.coalesce("_by_offset", "_by_content")).drop("_by_offset", "_by_content")
     counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("_base"))
-    in_bucket = Window.partitionBy(*keys).orderBy("_ord")
+    side, _ = bounded_broadcast(bucket_bases(counts), max_broadcast_rows)
+    in_bucket = Window.partitionBy(*keys).orderBy("offset", "_content")
     numbered = keyed.withColumn("_rn", F.row_number().over(in_bucket))
-    side, _ = bounded_broadcast(bases, max_broadcast_rows)
-    joined = numbered.join(side, keys, "left")
+    joined = _null_safe(numbered, side, keys, "left")
     pos = (F.col("_base") + F.col("_rn") - 1).cast("long")
-    return joined.withColumn("pos", pos).drop("_has_offset", "_ord", "_bucket", "_rn", "_base")
-
-
-def local_positions(events: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
-    """Positions without moving any message, or None when it cannot apply.
-
-    A *piece* is the run of one ``(topic, partition)`` inside one input
-    split. A hash aggregation gives the small table of pieces (split,
-    count, offset range); pieces of one ``(topic, partition)`` must not
-    interleave in offsets, which is checked there, before anything is sorted.
-    Then each split is sorted locally by ``(topic, partition, offset)`` and
-    its rows numbered (``monotonically_increasing_id``: split index in the
-    high bits, row index below). A message's position is its piece's global
-    base (running count over pieces in ``(topic, partition, offset)`` order)
-    plus its row index minus the piece's first row index in the split
-    (running count over the split's earlier pieces).
-    """
-    from routecast.operators.broadcast import remember_persisted
-
-    if events.isStreaming:
-        return None
-    pieces = (
-        events.groupBy(F.spark_partition_id().alias("_split"), "topic", "partition")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("offset").alias("_lo"), F.max("offset").alias("_hi"))
-        .persist()
-    )
-    remember_persisted(pieces)
-    by_range = Window.partitionBy("topic", "partition").orderBy("_lo", "_split")
-    overlapping = (
-        pieces.select((F.lag("_hi").over(by_range) >= F.col("_lo")).alias("_ov"))
-        .filter(F.col("_ov"))
-        .limit(1)
-        .count()
-    )
-    if overlapping:
-        return None
-    global_before = Window.orderBy("topic", "partition", "_lo", "_split").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    split_before = (
-        Window.partitionBy("_split").orderBy("topic", "partition").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    bases = pieces.select(
-        F.col("_split").alias("_p_split"),
-        F.col("topic").alias("_p_topic"),
-        F.col("partition").alias("_p_partition"),
-        F.coalesce(F.sum("_n").over(global_before), F.lit(0)).cast("long").alias("_base"),
-        F.coalesce(F.sum("_n").over(split_before), F.lit(0)).cast("long").alias("_first"),
-    )
-    side, _ = bounded_broadcast(bases, max_broadcast_rows)
-    ordered = events.sortWithinPartitions("topic", "partition", "offset").withColumn(
-        "_rid", F.monotonically_increasing_id()
-    )
-    split = F.shiftright(F.col("_rid"), 33)
-    row_in_split = F.col("_rid") - F.shiftleft(split, 33)
-    joined = ordered.join(
-        side,
-        (split == F.col("_p_split"))
-        & F.col("topic").eqNullSafe(F.col("_p_topic"))
-        & F.col("partition").eqNullSafe(F.col("_p_partition")),
-        "left",
-    )
-    pos = (F.col("_base") + row_in_split - F.col("_first")).cast("long")
-    return joined.withColumn("pos", pos).drop("_rid", "_p_split", "_p_topic", "_p_partition", "_base", "_first")
+    paged = joined.withColumn("pos", pos).withColumn("page", F.expr(f"pos div {lim}"))
+    return paged.drop("_has_offset", "_bucket", "_content", "_rn", "_base")

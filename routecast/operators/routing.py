@@ -69,13 +69,17 @@ def _join_on_topic(big: DataFrame, small: DataFrame, max_rows: int) -> DataFrame
 MAX_SYMBOLS_TO_READ = 10_000
 
 
-def bound_symbols(table: DataFrame, column: str = "symbol") -> frozenset[str] | None:
-    """The distinct non-null symbols of a small control table, or None when
+def bound_decoders(
+    table: DataFrame, library: str = "library", symbol: str = "symbol"
+) -> frozenset[tuple[str, str]] | None:
+    """The distinct (library, symbol) of a small control table, or None when
     there are too many to read back (then no decoder is left out)."""
-    rows = table.select(column).where(F.col(column).isNotNull()).distinct().limit(MAX_SYMBOLS_TO_READ + 1).collect()
+    lib = F.coalesce(F.col(library), F.lit(S.BUILTIN_LIBRARY))
+    named = table.select(lib, F.col(symbol)).where(F.col(symbol).isNotNull()).distinct()
+    rows = named.limit(MAX_SYMBOLS_TO_READ + 1).collect()
     if len(rows) > MAX_SYMBOLS_TO_READ:
         return None
-    return frozenset(r[0] for r in rows)
+    return frozenset((r[0], r[1]) for r in rows)
 
 
 def route(
@@ -84,27 +88,30 @@ def route(
     topics: Iterable[str] | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Add ``decoder`` (bound symbol, NULL when unbound) to each envelope.
+    """Add ``decoder_library`` and ``decoder`` (the bound library and
+    symbol, NULL when unbound) to each envelope.
 
     Exact-match lookup by topic through a broadcast left join; unbound
     messages are kept (they become ``decoder not bound`` errors), never
     dropped.
     """
-    table = binding_table(bindings, topics).select("topic", F.col("symbol").alias("decoder"))
-    return _join_on_topic(envelopes, table, max_broadcast_rows)
+    routed, _ = _route(envelopes, bindings, topics, max_broadcast_rows, read_bound=False)
+    return routed
 
 
-def _route_with_symbols(
+def _route(
     envelopes: DataFrame,
     bindings: DataFrame,
     topics: Iterable[str] | None,
     max_broadcast_rows: int,
-    read_symbols: bool,
-) -> tuple[DataFrame, frozenset[str] | None]:
-    table = binding_table(bindings, topics).select("topic", F.col("symbol").alias("decoder"))
+    read_bound: bool,
+) -> tuple[DataFrame, frozenset[tuple[str, str]] | None]:
+    table = binding_table(bindings, topics).select(
+        "topic", F.col("library").alias("decoder_library"), F.col("symbol").alias("decoder")
+    )
     side, small = bounded_broadcast(table, max_broadcast_rows)
-    symbols = bound_symbols(table, "decoder") if small and read_symbols else None
-    return envelopes.join(side, "topic", "left"), symbols
+    bound = bound_decoders(table, "decoder_library", "decoder") if small and read_bound else None
+    return envelopes.join(side, "topic", "left"), bound
 
 
 def require_envelope(df: DataFrame, extra: Iterable[str] = ()) -> None:
@@ -118,20 +125,21 @@ def decode_routed(
     routed: DataFrame,
     registry: DecoderRegistry,
     skip_policy: str = "error",
-    capacity: int = S.INITIAL_CAPACITY,
-    symbols: frozenset[str] | None = None,
+    bound: frozenset[tuple[str, str]] | None = None,
+    max_error_bytes: int | None = None,
 ) -> DataFrame:
-    """D3 on envelopes that already carry a ``decoder`` column (J1 or J2).
-    ``symbols``: every symbol ``decoder`` can hold, when known."""
+    """D3 on envelopes that already carry ``decoder_library`` and ``decoder``
+    (J1 or J2). ``bound``: every (library, symbol) they can hold, when known.
+    Error texts are whole unless ``max_error_bytes`` is given."""
     if skip_policy not in ("error", "drop"):
         raise ValueError("skip_policy must be 'error' or 'drop'")
-    require_envelope(routed, ["decoder"])
+    require_envelope(routed, ["decoder_library", "decoder"])
     symbol = F.col("decoder")
-    answer = registry.answer(capacity, symbols)
+    answer = registry.answer(bound)
     staged = routed.withColumn("_ans", answer)
     if skip_policy == "drop":
         staged = staged.filter(F.coalesce(F.col("_ans.kind") != S.KIND_SKIP, F.lit(True)))
-    kind, data, err = apply_contract(F.col("_ans"), symbol.isNotNull())
+    kind, data, err = apply_contract(F.col("_ans"), symbol.isNotNull(), max_error_bytes)
     return staged.select(
         "topic",
         "partition",
@@ -152,7 +160,7 @@ def decode(
     registry: DecoderRegistry,
     topics: Iterable[str] | None = None,
     skip_policy: str = "error",
-    capacity: int = S.INITIAL_CAPACITY,
+    max_error_bytes: int | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """T1 core: envelopes -> events (one row per message).
@@ -162,34 +170,36 @@ def decode(
     ``skip_policy="error"`` (faithful) turns SKIP into an error row;
     ``"drop"`` removes those rows instead.
     """
-    # Reading the bound symbols of the (small) binding table costs one small
+    # Reading the bound decoders of the (small) binding table costs one small
     # job and keeps the plan to the decoders that can occur: no Python UDF
     # for an unbound Python decoder, and a short CASE whose generated method
     # stays small enough for the JIT to compile.
     require_envelope(envelopes)
-    routed, symbols = _route_with_symbols(envelopes, bindings, topics, max_broadcast_rows, read_symbols=True)
-    return decode_routed(routed, registry, skip_policy, capacity, symbols)
+    routed, bound = _route(envelopes, bindings, topics, max_broadcast_rows, read_bound=True)
+    return decode_routed(routed, registry, skip_policy, bound, max_error_bytes)
 
 
 def to_drain(
     events: DataFrame,
     label_bindings: DataFrame | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    keep: Iterable[str] = (),
 ) -> DataFrame:
     """P3 + J3: events -> ``(tbl, topic, kind, data, err)``.
 
     ``tbl`` is the symbol of the binding current *at drain* for the topic,
     else the topic itself. By default that is the binding the event was
     decoded with; pass ``label_bindings`` (the table as it stands at drain)
-    to reproduce a rebind/unbind between decode and drain.
+    to reproduce a rebind/unbind between decode and drain. Columns of
+    ``events`` named in ``keep`` follow.
     """
     if label_bindings is None:
         tbl = F.coalesce(F.col("decoder"), F.col("topic"), F.lit(""))
-        return events.select(tbl.alias("tbl"), "topic", "kind", "data", "err")
+        return events.select(tbl.alias("tbl"), "topic", "kind", "data", "err", *keep)
     labels = unique_bindings(label_bindings).select("topic", F.col("symbol").alias("_label"))
     joined = _join_on_topic(events, labels, max_broadcast_rows)
     return joined.select(
-        F.coalesce(F.col("_label"), F.col("topic"), F.lit("")).alias("tbl"), "topic", "kind", "data", "err"
+        F.coalesce(F.col("_label"), F.col("topic"), F.lit("")).alias("tbl"), "topic", "kind", "data", "err", *keep
     )
 
 

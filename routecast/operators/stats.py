@@ -52,73 +52,55 @@ def running_sums(
     key: str,
     value_cols: list[str],
     block: int = RATE_BLOCK,
-    max_broadcast_rows: int | None = None,
-    two_level: bool | None = None,
 ) -> DataFrame:
     """Add ``<c>_run`` = sum of ``c`` over all rows with a key <= this row's
     key, for a table with a unique long ``key`` (a bucket table).
 
     Two levels, so no single task sees the whole table: rows are grouped in
-    blocks of ``block`` consecutive keys; a window over the small block table
-    gives each block's starting sums; a window partitioned by block adds the
-    running sum inside it. ``two_level=None`` takes that plan only when the
-    table's size estimate is not small; a small table takes one window.
+    blocks of ``block`` consecutive keys; a window over the block table gives
+    each block's starting sums, itself cut once more into blocks of blocks;
+    a window partitioned by block adds the running sum inside it.
     """
-    from routecast.operators.broadcast import (
-        ESTIMATE_ACCEPT_BYTES,
-        MAX_BROADCAST_ROWS,
-        bounded_broadcast,
-        estimated_bytes,
-    )
 
-    if two_level is None:
-        est = estimated_bytes(df)
-        two_level = est is None or est > ESTIMATE_ACCEPT_BYTES
-    if not two_level:
-        upto = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = df
-        for c in value_cols:
-            out = out.withColumn(f"{c}_run", F.sum(c).over(upto).cast("long"))
-        return out
+    def totals(t: DataFrame, by: str, cols: dict[str, str]) -> DataFrame:
+        return t.groupBy(by).agg(*[F.sum(c).alias(new) for c, new in cols.items()])
+
+    def starts(t: DataFrame, within: list[str], order: str, cols: dict[str, str]) -> DataFrame:
+        w = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return t.withColumns({new: F.coalesce(F.sum(c).over(w), F.lit(0)).cast("long") for c, new in cols.items()})
+
     keyed = floor_div(df, F.col(key), block, "_blk")
-    sums = keyed.groupBy("_blk").agg(*[F.sum(c).alias(c) for c in value_cols])
-    before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select(
-        "_blk", *[F.coalesce(F.sum(c).over(before), F.lit(0)).cast("long").alias(f"_{c}_base") for c in value_cols]
-    )
-    side, _ = bounded_broadcast(bases, max_broadcast_rows or MAX_BROADCAST_ROWS)
+    own = {c: f"_{c}" for c in value_cols}
+    blocks = floor_div(totals(keyed, "_blk", own), F.col("_blk"), block, "_top")
+    top = starts(totals(blocks, "_top", {x: x for x in own.values()}), [], "_top", {x: f"{x}_t" for x in own.values()})
+    blocks = starts(blocks, ["_top"], "_blk", {x: f"{x}_b" for x in own.values()}).drop(*own.values())
+    bases = blocks.join(top.drop(*own.values()), "_top").drop("_top")
     inside = Window.partitionBy("_blk").orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = keyed.join(side, "_blk", "left")
-    for c in value_cols:
-        out = out.withColumn(f"{c}_run", (F.col(f"_{c}_base") + F.sum(c).over(inside)).cast("long"))
-    return out.drop("_blk", *[f"_{c}_base" for c in value_cols])
+    out = keyed.join(bases, "_blk", "left")  # the window below needs this partitioning, too
+    out = out.withColumns(
+        {f"{c}_run": (F.col(f"_{c}_t") + F.col(f"_{c}_b") + F.sum(c).over(inside)).cast("long") for c in value_cols}
+    )
+    return out.drop("_blk", *[f"_{c}_{x}" for c in value_cols for x in "tb"])
 
 
-def dense_grid(
-    per_bucket: DataFrame, key: str = "bucket", block: int = RATE_BLOCK, two_level: bool | None = None
-) -> DataFrame:
-    """Every key between the table's smallest and largest, generated block
-    by block in parallel (one row per block first, then the keys of each);
-    a small table (by size estimate) is filled in one step."""
-    from routecast.operators.broadcast import ESTIMATE_ACCEPT_BYTES, estimated_bytes
-
-    span = per_bucket.agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
-    if two_level is None:
-        est = estimated_bytes(per_bucket)
-        two_level = est is None or est > ESTIMATE_ACCEPT_BYTES
-    if not two_level:
-        return span.select(F.explode(F.sequence("lo", "hi")).alias(key))
-    blocks = span.select(
-        "lo",
-        "hi",
-        F.explode(
-            F.sequence(F.expr(f"(lo - pmod(lo, {block})) div {block}"), F.expr(f"(hi - pmod(hi, {block})) div {block}"))
-        ).alias("_blk"),
-    )
+def dense_grid(per_bucket: DataFrame, key: str = "bucket", block: int = RATE_BLOCK) -> DataFrame:
+    """Every key between the table's smallest and largest, generated in
+    parallel from one row: blocks of blocks first, then the blocks of each,
+    then their keys. No array is longer than ``block``, up to a span of
+    ``block`` cubed."""
     n = int(per_bucket.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    start = F.greatest(F.col("lo"), F.col("_blk") * block)
-    stop = F.least(F.col("hi"), F.col("_blk") * block + (block - 1))
-    return blocks.repartition(n, "_blk").select(F.explode(F.sequence(start, stop)).alias(key))
+    span = per_bucket.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).where("lo IS NOT NULL")
+
+    def level(df: DataFrame, name: str, width: int, of: str | None, spread: bool) -> DataFrame:
+        low = F.col("lo") if of is None else F.greatest("lo", F.col(of) * width * block)
+        high = F.col("hi") if of is None else F.least("hi", F.col(of) * width * block + (width * block - 1))
+        df = df.withColumns({"_a": low, "_z": high})
+        df = floor_div(floor_div(df, F.col("_a"), width, "_from"), F.col("_z"), width, "_to")
+        df = df.select("lo", "hi", F.explode(F.sequence("_from", "_to")).alias(name))
+        return df.repartition(n, name) if spread else df
+
+    top = level(span, "_top", block * block, None, True)
+    return level(level(top, "_blk", block, "_top", True), key, 1, "_blk", False).select(key)
 
 
 def event_rate(

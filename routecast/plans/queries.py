@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from routecast import schema as S
 from routecast.functions.contract import ingest_ns
-from routecast.functions.text import error_line, event_text, stats_text
+from routecast.functions.text import error_line, event_text
 from routecast.operators.bindings import (
     bindings_from_text,
     check_bindings,
@@ -26,6 +26,7 @@ from routecast.operators.paging import drain_pages
 from routecast.operators.routing import decode, split_events, to_drain
 from routecast.operators.stats import dispatch_counts, event_rate, event_totals
 from routecast.plans import samples
+from routecast.sources.local import local_table
 from routecast.streaming.stream import (
     decode_stream,
     file_stream,
@@ -35,11 +36,12 @@ from routecast.streaming.stream import (
     read_routed,
     start_routed,
     start_table_sink,
-    stream_checkpoint,
-    table_stream,
+    scratch_folder,
 )
 from routecast.sources.envelopes import (
+    epoch_millis_ntz,
     events_envelopes,
+    kafka_to_envelope,
     read_conversations,
     read_documents,
     read_events,
@@ -87,22 +89,22 @@ dec AS (
       WHEN decoder IS NULL THEN 'error'
       WHEN decoder = 'default_decoder' THEN 'data'
       WHEN decoder = 'json_k' THEN CASE WHEN json_extract_string(payload, '$.k') IS NULL THEN 'error' ELSE 'data' END
-      WHEN decoder = 'short_only' THEN CASE WHEN strlen(payload) > 8 THEN 'error' ELSE 'data' END
+      WHEN decoder = 'even_k' THEN CASE WHEN TRY_CAST(json_extract_string(payload, '$.k') AS BIGINT) % 2 = 0 THEN 'data' ELSE 'error' END
       ELSE 'error'
     END AS kind,
     CASE
       WHEN decoder = 'default_decoder' THEN encode(payload)
       WHEN decoder = 'json_k' THEN encode(coalesce(json_extract_string(payload, '$.k'), ''))
-      WHEN decoder = 'short_only' AND strlen(payload) <= 8 THEN encode(payload)
+      WHEN decoder = 'even_k' THEN encode(payload)
       ELSE encode('')
     END AS raw_data,
     CASE
       WHEN decoder IS NULL THEN 'decoder not bound'
       WHEN decoder = 'skip_all' THEN 'decode failed'
       WHEN decoder = 'json_k' AND json_extract_string(payload, '$.k') IS NULL THEN 'field k missing'
-      WHEN decoder = 'short_only' AND strlen(payload) > 8
-        THEN left(rpad('payload too long: ' || CAST(strlen(payload) AS VARCHAR) || ' bytes', 120, '-'), 95)
-      WHEN decoder IN ('default_decoder', 'json_k', 'short_only') THEN ''
+      WHEN decoder = 'even_k'
+        THEN rpad('field k is not even: ' || coalesce(json_extract_string(payload, '$.k'), 'missing'), 120, '-')
+      WHEN decoder IN ('default_decoder', 'json_k') THEN ''
       ELSE 'decoder symbol not found: ' || decoder
     END AS err
   FROM routed
@@ -124,7 +126,7 @@ routed AS (
   SELECT env.*, CASE topic WHEN 'click' THEN 'default_decoder'
                            WHEN 'view' THEN 'json_k'
                            WHEN 'error' THEN 'skip_all'
-                           WHEN 'purchase' THEN 'short_only' END AS decoder
+                           WHEN 'purchase' THEN 'even_k' END AS decoder
   FROM env
 )"""
 
@@ -169,6 +171,29 @@ def envelope_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "kafka_projection",
+    "WITH" + SQL_EVENT_ENV + """
+SELECT topic, "partition", "offset", timestamp_ms, hex("key") AS key_hex, hex(encode(payload)) AS payload_hex
+FROM env""",
+)
+def q_kafka_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`events` as rows of the Kafka source, projected to envelopes."""
+    rows = read_table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").cast("binary").alias("key"),
+        F.col("props").cast("binary").alias("value"),
+        F.col("event_type").alias("topic"),
+        F.pmod(F.col("user_id"), F.lit(4)).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.timestamp_millis(epoch_millis_ntz("ts")).alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+    env = kafka_to_envelope(rows)
+    return env.select(
+        "topic", "partition", "offset", "timestamp_ms", F.hex("key").alias("key_hex"), F.hex("payload").alias("payload_hex")
+    )
+
+
 # ---------------------------------------------------------------------------
 # Passthrough under the default symbol
 # ---------------------------------------------------------------------------
@@ -184,9 +209,10 @@ FROM documents""",
 def passthrough_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     env = read_documents(spark, sf_dir, topic="lang")
     # Every language is subscribed and none is bound: all get the default.
-    langs = ["en", "fr", "de", "es"]
-    empty = samples.bindings_df(spark, [])
-    events = decode(env, empty, samples.sample_registry(), topics=langs)
+    langs = env.select("topic").distinct().select(
+        "topic", F.lit(S.BUILTIN_LIBRARY).alias("library"), F.lit(S.DEFAULT_SYMBOL).alias("symbol")
+    )
+    events = decode(env, langs, samples.sample_registry())
     return events.select(
         F.coalesce("decoder", "topic").alias("tbl"),
         "topic",
@@ -344,9 +370,6 @@ def q_dispatch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Event text
 # ---------------------------------------------------------------------------
 
-CONVERSATION_TOPICS = ["user", "assistant", "system"]
-
-
 @register(
     "event_text",
     """
@@ -362,8 +385,13 @@ FROM c""",
 )
 def q_event_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     env = read_conversations(spark, sf_dir)
-    bindings = samples.bindings_df(spark, [("system", samples.SAMPLE_LIBRARY, "skip_all")])
-    events = decode(env, bindings, samples.sample_registry(), topics=CONVERSATION_TOPICS)
+    system = F.col("topic") == "system"
+    bindings = env.select("topic").distinct().select(
+        "topic",
+        F.when(system, F.lit(samples.SAMPLE_LIBRARY)).otherwise(F.lit(S.BUILTIN_LIBRARY)).alias("library"),
+        F.when(system, F.lit("skip_all")).otherwise(F.lit(S.DEFAULT_SYMBOL)).alias("symbol"),
+    )
+    events = decode(env, bindings, samples.sample_registry())
     return events.select(
         "topic",
         "offset",
@@ -434,7 +462,7 @@ log AS (
   SELECT effective_at, seq, topic,
          CASE day % 5 WHEN 0 THEN 'bind' WHEN 1 THEN 'rebind' WHEN 2 THEN 'unbind'
                       WHEN 3 THEN 'subscribe' ELSE 'bind' END AS op,
-         CASE day % 5 WHEN 0 THEN 'json_k' WHEN 1 THEN 'short_only' WHEN 4 THEN 'skip_all' END AS symbol,
+         CASE day % 5 WHEN 0 THEN 'json_k' WHEN 1 THEN 'even_k' WHEN 4 THEN 'skip_all' END AS symbol,
          day % 5 <> 4 AS valid
   FROM first_ev
 ),
@@ -504,8 +532,8 @@ req AS (
          CASE user_id % 5 WHEN 0 THEN 'samples' WHEN 1 THEN 'pysamples' WHEN 2 THEN 'lib_old'
                           WHEN 3 THEN 'lib_nover' ELSE 'lib_gone' END AS library,
          CASE CAST(json_extract_string(props, '$.k') AS BIGINT) % 4
-              WHEN 0 THEN 'json_k' WHEN 1 THEN 'skip_all' WHEN 2 THEN 'py_line_count'
-              ELSE 'short_only' END AS symbol
+              WHEN 0 THEN 'json_k' WHEN 1 THEN 'skip_all' WHEN 2 THEN 'py_checksum'
+              ELSE 'even_k' END AS symbol
   FROM events
 ),
 libs AS (SELECT library, max(contract_version) AS ver FROM cat GROUP BY library),
@@ -636,19 +664,17 @@ def q_drain_page_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH d AS (SELECT lang AS topic, doc_id AS "offset", text FROM documents),
 o AS (
   SELECT topic, "offset",
-    CASE topic WHEN 'en' THEN 'py_line_count' WHEN 'fr' THEN 'py_passthrough'
-               WHEN 'de' THEN 'py_strict' WHEN 'es' THEN 'default_decoder' END AS tbl,
-    CASE WHEN topic = 'en' AND strlen(text) = 0 THEN 'error'
-         WHEN topic = 'de' AND strlen(text) > 4096 THEN 'error'
-         ELSE 'data' END AS kind,
-    CASE topic
-      WHEN 'en' THEN CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS VARCHAR)
-      WHEN 'de' THEN replace(text, chr(10), ' ')
-      ELSE text END AS out_text,
-    CASE WHEN topic = 'en' AND strlen(text) = 0 THEN 'empty payload'
-         WHEN topic = 'de' AND strlen(text) > 4096
-           THEN 'ValueError: payload has ' || CAST(strlen(text) AS VARCHAR) || ' bytes'
-         ELSE '' END AS err
+    CASE topic WHEN 'en' THEN 'py_strict' WHEN 'fr' THEN 'py_normal_form' WHEN 'es' THEN 'default_decoder'
+               ELSE topic END AS tbl,
+    CASE WHEN topic = 'fr' AND strlen(text) = 0 THEN 'error'
+         WHEN topic = 'en' AND contains(text, '!!') THEN 'error'
+         WHEN topic IN ('en', 'fr', 'es') THEN 'data' ELSE 'error' END AS kind,
+    CASE topic WHEN 'en' THEN replace(text, chr(10), ' ')
+               WHEN 'fr' THEN nfc_normalize(text) ELSE text END AS out_text,
+    CASE WHEN topic = 'fr' AND strlen(text) = 0 THEN 'empty payload'
+         WHEN topic = 'en' AND contains(text, '!!')
+           THEN 'ValueError: payload shouts ' || CAST((strlen(text) - strlen(replace(text, '!!', ''))) // 2 AS VARCHAR) || ' times'
+         WHEN topic IN ('en', 'fr', 'es') THEN '' ELSE 'decoder not bound' END AS err
   FROM d
 )
 SELECT topic, "offset", tbl, kind,
@@ -659,8 +685,9 @@ FROM o""",
 )
 def q_python_decoder(spark: SparkSession, sf_dir: str) -> DataFrame:
     env = read_documents(spark, sf_dir, topic="lang")
-    bindings = samples.bindings_df(spark, samples.DOCUMENT_BINDINGS)
-    events = decode(env, bindings, samples.sample_registry(with_python=True))
+    # no SQL has the checksum of `de`, whose binding stays out here
+    rows = [r for r in samples.DOCUMENT_BINDINGS if r[0] != "de"]
+    events = decode(env, samples.bindings_df(spark, rows), samples.sample_registry(with_python=True))
     return events.select(
         "topic",
         "offset",
@@ -678,8 +705,22 @@ def q_python_decoder(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    return events_envelopes(table_stream(spark, sf_dir, "events", max_files))
+STREAM_PARTS = 3
+
+
+def _write_part(table: DataFrame, part: int, src: str) -> None:
+    """Append one part of `events` (by event_id) to the folder of a stream, in
+    as many files as the scan has tasks."""
+    table.filter(F.pmod("event_id", F.lit(STREAM_PARTS)) == part).write.mode("append").parquet(src)
+
+
+def _event_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    """`events`, which is one file, as a stream of several: at least
+    `STREAM_PARTS` micro-batches."""
+    table = read_table(spark, sf_dir, "events")
+    for part in range(STREAM_PARTS):
+        _write_part(table, part, base + "/src")
+    return events_envelopes(file_stream(spark, base + "/src", table.schema, max_files_per_trigger=1))
 
 
 def _constant_bindings(spark: SparkSession, batch_id: int) -> DataFrame:
@@ -689,9 +730,9 @@ def _constant_bindings(spark: SparkSession, batch_id: int) -> DataFrame:
 @register("stream_decode", SQL_EVENT_DECODE + """
 SELECT tbl, topic, kind, hex(data) AS data_hex, err FROM events_out""")
 def q_stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = stream_checkpoint(spark, "stream_decode")
+    base = scratch_folder(spark, "stream_decode")
     events = decode_stream(
-        _event_stream(spark, sf_dir), samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS
+        _event_stream(spark, sf_dir, base), samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS
     )
     q = start_table_sink(to_drain(events), base + "/out", base + "/ck", "append", available_now=True)
     q.awaitTermination()
@@ -702,9 +743,9 @@ def q_stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("routed_sink", SQL_EVENT_DECODE + """
 SELECT tbl, topic, kind, hex(data) AS data_hex, err FROM events_out""")
 def q_routed_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = stream_checkpoint(spark, "routed_sink")
+    base = scratch_folder(spark, "routed_sink")
     q = start_routed(
-        _event_stream(spark, sf_dir),
+        _event_stream(spark, sf_dir, base),
         base + "/out",
         samples.sample_registry(),
         _constant_bindings,
@@ -722,9 +763,9 @@ SELECT count(*) AS total,
        count(*) FILTER (WHERE kind = 'error') AS error
 FROM events_out""")
 def q_stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = stream_checkpoint(spark, "stream_totals")
+    base = scratch_folder(spark, "stream_totals")
     events = decode_stream(
-        _event_stream(spark, sf_dir), samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS
+        _event_stream(spark, sf_dir, base), samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS
     )
     q = start_table_sink(live_totals(events), base + "/out", base + "/ck", "complete", available_now=True)
     q.awaitTermination()
@@ -738,9 +779,9 @@ SELECT (ingest_ns // {RATE_INTERVAL_S * 1_000_000_000}) * {RATE_INTERVAL_S * 100
        count(*) FILTER (WHERE kind = 'error') AS error
 FROM events_out GROUP BY 1""")
 def q_stream_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = stream_checkpoint(spark, "stream_rate")
+    base = scratch_folder(spark, "stream_rate")
     events = decode_stream(
-        _event_stream(spark, sf_dir), samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS
+        _event_stream(spark, sf_dir, base), samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS
     )
     q = start_table_sink(
         live_rate(events, RATE_INTERVAL_S), base + "/out", base + "/ck", "update", available_now=True
@@ -749,41 +790,78 @@ def q_stream_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(spark, base + "/out", ["window_start_ms"])
 
 
-# Binding versions by micro-batch (T2): version = batch_id mod 3.
+# Binding versions (T2), one for each part of the stream.
 REBIND_VERSIONS = [
     samples.EVENT_BINDINGS,
-    [("view", samples.SAMPLE_LIBRARY, "short_only")] + samples.EVENT_BINDINGS[1:],
+    [("view", samples.SAMPLE_LIBRARY, "even_k")] + samples.EVENT_BINDINGS[1:],
     samples.EVENT_BINDINGS[1:],
 ]
-REBIND_FILES = 4
 
 
-def rebind_loader(spark: SparkSession, batch_id: int) -> DataFrame:
-    return samples.bindings_df(spark, REBIND_VERSIONS[batch_id % len(REBIND_VERSIONS)])
-
-
-@register("stream_rebind_per_batch")
+@register(
+    "stream_rebind_per_batch",
+    "WITH" + SQL_EVENT_ENV + f""",
+routed AS (
+  SELECT env.*, CASE topic WHEN 'click' THEN 'default_decoder' WHEN 'error' THEN 'skip_all' WHEN 'purchase' THEN 'even_k'
+                           WHEN 'view' THEN CASE "offset" % {STREAM_PARTS} WHEN 0 THEN 'json_k' WHEN 1 THEN 'even_k'
+                                                                        ELSE 'default_decoder' END END AS decoder
+  FROM env
+),""" + SQL_DECODE_BODY + f"""
+SELECT "offset" % {STREAM_PARTS} AS part, tbl, topic, kind, hex(data) AS data_hex, err FROM events_out""",
+)
 def q_stream_rebind(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Several micro-batches; each sees the binding version of its
-    batch. Batch membership depends on file arrival, so there is no SQL
-    twin; tests check every row against its batch's version."""
-    base = stream_checkpoint(spark, "stream_rebind")
-    src = base + "/src"
+    """One stream, never restarted. Before each part arrives the binding
+    table is rewritten; every micro-batch reads it anew, so the part is decoded
+    by its own version."""
+    base = scratch_folder(spark, "stream_rebind_per_batch")
+    src, out, held = base + "/src", base + "/out", base + "/bindings"
     table = read_table(spark, sf_dir, "events")
-    table.repartition(REBIND_FILES).write.parquet(src)
-    stream = events_envelopes(file_stream(spark, src, table.schema, max_files_per_trigger=1))
-    q = start_routed(
-        stream,
-        base + "/out",
-        samples.sample_registry(),
-        rebind_loader,
-        base + "/ck",
-        topics=samples.EVENT_TOPICS,
-        available_now=True,
+    rows = [(part, *row) for part, version in enumerate(REBIND_VERSIONS) for row in version]
+    versions = local_table(spark, rows, "part int, topic string, library string, symbol string")
+
+    def load(s: SparkSession, batch_id: int) -> DataFrame:
+        now = s.read.parquet(held)
+        last = now.agg(F.max("part")).first()[0]
+        return now.filter(F.col("part") == last).drop("part")
+
+    query = None
+    for part in range(STREAM_PARTS):
+        versions.filter(F.col("part") == part).write.mode("append").parquet(held)
+        _write_part(table, part, src)
+        if query is None:
+            stream = events_envelopes(file_stream(spark, src, table.schema, max_files_per_trigger=1))
+            query = start_routed(
+                stream, out, samples.sample_registry(), load, base + "/ck", topics=samples.EVENT_TOPICS, keep=["offset"]
+            )
+        query.processAllAvailable()
+    query.stop()
+    routed = read_routed(spark, out)
+    return routed.select(
+        (F.col("offset") % STREAM_PARTS).alias("part"), "tbl", "topic", "kind", F.hex("data").alias("data_hex"), "err"
     )
-    q.awaitTermination()
-    out = read_routed(spark, base + "/out")
-    return out.select("batch_id", "tbl", "topic", "kind", F.hex("data").alias("data_hex"), "err")
+
+
+@register("stream_restart", SQL_EVENT_DECODE + """
+SELECT tbl, topic, kind, hex(data) AS data_hex, err FROM events_out""")
+def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + S7: the stream is stopped after each part and started again on its
+    checkpoint and sink; no row is lost or doubled."""
+    base = scratch_folder(spark, "stream_restart")
+    table = read_table(spark, sf_dir, "events")
+    for part in range(STREAM_PARTS):
+        _write_part(table, part, base + "/src")
+        stream = events_envelopes(file_stream(spark, base + "/src", table.schema, max_files_per_trigger=1))
+        query = start_routed(
+            stream,
+            base + "/out",
+            samples.sample_registry(),
+            _constant_bindings,
+            base + "/ck",
+            topics=samples.EVENT_TOPICS,
+            available_now=True,
+        )
+        query.awaitTermination()
+    return _drain_hex(read_routed(spark, base + "/out"))
 
 
 # ---------------------------------------------------------------------------
@@ -801,8 +879,8 @@ req AS (
          CASE user_id % 5 WHEN 0 THEN 'samples' WHEN 1 THEN 'pysamples' WHEN 2 THEN 'lib_old'
                           WHEN 3 THEN 'lib_nover' ELSE 'lib_gone' END AS library,
          CASE CAST(json_extract_string(props, '$.k') AS BIGINT) % 4
-              WHEN 0 THEN 'json_k' WHEN 1 THEN 'skip_all' WHEN 2 THEN 'py_line_count'
-              ELSE 'short_only' END AS symbol
+              WHEN 0 THEN 'json_k' WHEN 1 THEN 'skip_all' WHEN 2 THEN 'py_checksum'
+              ELSE 'even_k' END AS symbol
   FROM events
 ),
 libs AS (SELECT library, max(contract_version) AS ver FROM cat GROUP BY library),
@@ -828,7 +906,7 @@ def q_validated_bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 SOURCE_SUBSCRIBED = [f"src{i}" for i in range(0, 10)]
-SOURCE_BINDINGS = [(f"src{i}", samples.SAMPLE_LIBRARY, "short_only") for i in range(10, 15)]
+SOURCE_BINDINGS = [(f"src{i}", samples.SAMPLE_LIBRARY, "one_line") for i in range(10, 15)]
 
 
 @register(
@@ -837,13 +915,13 @@ SOURCE_BINDINGS = [(f"src{i}", samples.SAMPLE_LIBRARY, "short_only") for i in ra
 WITH d AS (
   SELECT source AS topic, text,
          CASE WHEN CAST(substr(source, 4) AS INTEGER) < 10 THEN 'default_decoder'
-              WHEN CAST(substr(source, 4) AS INTEGER) < 15 THEN 'short_only' END AS decoder
+              WHEN CAST(substr(source, 4) AS INTEGER) < 15 THEN 'one_line' END AS decoder
   FROM documents
 ),
 o AS (
   SELECT coalesce(decoder, topic) AS tbl, topic,
          CASE WHEN decoder = 'default_decoder' THEN 'data'
-              WHEN decoder = 'short_only' AND strlen(text) <= 8 THEN 'data'
+              WHEN decoder = 'one_line' AND NOT contains(text, chr(10)) THEN 'data'
               ELSE 'error' END AS kind,
          text, decoder
   FROM d
@@ -852,12 +930,12 @@ SELECT tbl, topic, kind, count(*) AS n_rows,
        CAST(sum(CASE WHEN kind = 'data' THEN strlen(text) ELSE 0 END) AS BIGINT) AS data_bytes,
        CAST(max(CASE WHEN kind = 'data' THEN 0
                      WHEN decoder IS NULL THEN strlen('decoder not bound')
-                     ELSE 95 END) AS INTEGER) AS max_err_bytes
+                     ELSE strlen('more than one line') END) AS INTEGER) AS max_err_bytes
 FROM o GROUP BY tbl, topic, kind""",
 )
 def q_source_routing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by source: ten subscribed (default decoder), five bound to
-    `short_only`, five neither (`decoder not bound`)."""
+    `one_line`, five neither (`decoder not bound`)."""
     env = read_documents(spark, sf_dir, topic="source")
     events = decode(
         env, samples.bindings_df(spark, SOURCE_BINDINGS), samples.sample_registry(), topics=SOURCE_SUBSCRIBED
@@ -869,135 +947,74 @@ def q_source_routing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# T2 with a deterministic cut: the binding table is rewritten between two
-# runs of the same stream (same checkpoint); messages arriving after the
-# change are decoded with the new table.
-REBIND_CUT = "2024-01-16 00:00:00"
-REBIND_CUT_MS = 1705363200000
-REBIND_BEFORE = samples.EVENT_BINDINGS
-REBIND_AFTER = [("view", samples.SAMPLE_LIBRARY, "short_only"), ("error", samples.SAMPLE_LIBRARY, "skip_all")]
-
-
-@register(
-    "stream_rebind",
-    "WITH" + SQL_EVENT_ENV + f""",
-routed AS (
-  SELECT env.*,
-         CASE WHEN timestamp_ms < {REBIND_CUT_MS}
-              THEN CASE topic WHEN 'click' THEN 'default_decoder' WHEN 'view' THEN 'json_k'
-                              WHEN 'error' THEN 'skip_all' WHEN 'purchase' THEN 'short_only' END
-              ELSE CASE topic WHEN 'click' THEN 'default_decoder' WHEN 'view' THEN 'short_only'
-                              WHEN 'error' THEN 'skip_all' WHEN 'purchase' THEN 'default_decoder' END
-         END AS decoder
-  FROM env
-),""" + SQL_DECODE_BODY + """
-SELECT tbl, topic, kind, hex(data) AS data_hex, err FROM events_out""",
-)
-def q_stream_rebind_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A running stream picks up a rewritten binding table without a
-    restart of its logic; rows that arrive after the rewrite use it."""
-    base = stream_checkpoint(spark, "stream_rebind")
-    src, table_path_, out, ck = base + "/src", base + "/bindings", base + "/out", base + "/ck"
-    table = read_table(spark, sf_dir, "events")
-    before = F.col("ts") < F.lit(REBIND_CUT).cast("timestamp_ntz")
-
-    def loader(s: SparkSession, batch_id: int) -> DataFrame:
-        return s.read.parquet(table_path_)
-
-    def run() -> None:
-        stream = events_envelopes(file_stream(spark, src, table.schema))
-        q = start_routed(
-            stream, out, samples.sample_registry(), loader, ck, topics=samples.EVENT_TOPICS, available_now=True
-        )
-        q.awaitTermination()
-
-    samples.bindings_df(spark, REBIND_BEFORE).write.mode("overwrite").parquet(table_path_)
-    table.filter(before).write.mode("append").parquet(src)
-    run()
-    samples.bindings_df(spark, REBIND_AFTER).write.mode("overwrite").parquet(table_path_)
-    table.filter(~before).write.mode("append").parquet(src)
-    run()
-    return _drain_hex(read_routed(spark, out))
-
-
 # ---------------------------------------------------------------------------
-# D3: the output-capacity handshake on whole documents
+# D3 + D4: the whole decode contract over every event
 # ---------------------------------------------------------------------------
 
+EVENT_TYPES = ["click", "view", "error", "purchase", "signup"]
+
 
 @register(
-    "capacity_retry",
-    """
-WITH d AS (SELECT lang AS topic, doc_id AS "offset", text, strlen(text) AS n FROM documents)
-SELECT topic, "offset", 'grow_twice' AS tbl,
-       CASE WHEN n <= 8192 THEN 'data' ELSE 'error' END AS kind,
-       CAST(CASE WHEN n <= 8192 THEN n ELSE 0 END AS BIGINT) AS data_len,
-       CASE WHEN n <= 8192 THEN md5(text) ELSE md5('') END AS data_md5,
-       CASE WHEN n <= 8192 THEN '' ELSE 'decode failed' END AS err
-FROM d""",
-)
-def q_capacity_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    env = read_documents(spark, sf_dir, topic="lang")
-    bindings = samples.bindings_df(spark, [(t, samples.SAMPLE_LIBRARY, "grow_twice") for t in ["en", "fr", "de", "es"]])
-    events = decode(env, bindings, samples.sample_registry())
+    "decode_contract",
+    "WITH" + SQL_EVENT_ENV + """,
+c AS (SELECT env.*, CAST(json_extract_string(payload, '$.k') AS BIGINT) % 7 AS cls FROM env)
+SELECT topic, "offset", 'contract_mix' AS tbl,
+       CASE WHEN cls = 0 THEN 'data' ELSE 'error' END AS kind,
+       CASE WHEN cls = 0 THEN hex(encode(payload)) ELSE '' END AS data_hex,
+       CASE cls WHEN 0 THEN ''
+                WHEN 2 THEN 'bad k=' || CAST(CAST(json_extract_string(payload, '$.k') AS BIGINT) AS VARCHAR)
+                WHEN 6 THEN repeat('w', 200)
+                ELSE 'decode failed' END AS err
+FROM c""",
+)
+def q_decode_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bindings = samples.bindings_df(spark, [(t, samples.SAMPLE_LIBRARY, "contract_mix") for t in EVENT_TYPES])
+    events = decode(read_events(spark, sf_dir), bindings, samples.sample_registry())
     return events.select(
         "topic",
         "offset",
         F.coalesce("decoder", "topic").alias("tbl"),
         "kind",
-        F.octet_length("data").cast("long").alias("data_len"),
-        F.md5("data").alias("data_md5"),
+        F.hex("data").alias("data_hex"),
         "err",
     )
 
 
 # ---------------------------------------------------------------------------
-# A2 + text: the running-statistics line per interval
+# J1 + U1: one symbol in two libraries
 # ---------------------------------------------------------------------------
 
 
 @register(
-    "rate_text",
-    _SQL_RATE_BUCKETS
-    + ",\nr AS ("
-    + _SQL_RATE_SELECT
-    + """FROM b)
-SELECT bucket_start_ms,
-       '[STATS] total=' || CAST(total AS VARCHAR) || ' data=' || CAST(data AS VARCHAR)
-       || ' error=' || CAST(error AS VARCHAR) || ' qps=' || printf('%g', qps) AS line
-FROM r""",
-)
-def q_rate_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rate = event_rate(event_events(spark, sf_dir), RATE_INTERVAL_S)
-    return rate.select(
-        "bucket_start_ms",
-        stats_text(F.col("total"), F.col("data"), F.col("error"), F.col("qps")).alias("line"),
-    )
-
-
-# ---------------------------------------------------------------------------
-# D3 + D4: the whole decode contract over every event
-# ---------------------------------------------------------------------------
-
-EVENT_TYPES = ["click", "view", "error", "purchase", "signup"]
-
-
-@register(
-    "decode_contract",
+    "two_libraries",
     "WITH" + SQL_EVENT_ENV + """,
-c AS (SELECT env.*, CAST(json_extract_string(payload, '$.k') AS BIGINT) % 8 AS cls FROM env)
-SELECT topic, "offset", 'contract_mix' AS tbl,
-       CASE WHEN cls IN (0, 6) THEN 'data' ELSE 'error' END AS kind,
-       CASE WHEN cls IN (0, 6) THEN hex(encode(payload)) ELSE '' END AS data_hex,
-       CASE cls WHEN 0 THEN '' WHEN 6 THEN ''
-                WHEN 2 THEN 'bad k=' || CAST(CAST(json_extract_string(payload, '$.k') AS BIGINT) AS VARCHAR)
-                WHEN 7 THEN repeat('w', 95)
-                ELSE 'decode failed' END AS err
-FROM c""",
+k AS (SELECT env.*, json_extract_string(payload, '$.k') AS k FROM env),
+o AS (
+  SELECT topic, "offset",
+         CASE WHEN topic IN ('click', 'error') THEN k
+              WHEN topic = 'view' THEN CAST(2 * TRY_CAST(k AS BIGINT) AS VARCHAR) END AS out_text
+  FROM k
 )
-def q_decode_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bindings = samples.bindings_df(spark, [(t, samples.SAMPLE_LIBRARY, "contract_mix") for t in EVENT_TYPES])
-    events = decode(read_events(spark, sf_dir), bindings, samples.sample_registry())
+SELECT topic, "offset",
+       CASE topic WHEN 'click' THEN 'decoder_entry' WHEN 'view' THEN 'decoder_entry' WHEN 'purchase' THEN 'decoder_entry'
+                  WHEN 'error' THEN 'json_k' ELSE topic END AS tbl,
+       CASE WHEN out_text IS NULL THEN 'error' ELSE 'data' END AS kind,
+       coalesce(hex(encode(out_text)), '') AS data_hex,
+       CASE WHEN topic = 'purchase' THEN 'decoder symbol not found: decoder_entry'
+            WHEN topic = 'signup' THEN 'decoder not bound'
+            WHEN out_text IS NULL THEN 'field k missing' ELSE '' END AS err
+FROM o""",
+)
+def q_two_libraries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`click` and `view` are bound to the anchor symbol of two libraries,
+    `purchase` to that of a library that is not there."""
+    rows = [
+        ("click", samples.SAMPLE_LIBRARY, S.ANCHOR_SYMBOL),
+        ("view", samples.OTHER_LIBRARY, S.ANCHOR_SYMBOL),
+        ("purchase", "lib_gone", S.ANCHOR_SYMBOL),
+        ("error", samples.SAMPLE_LIBRARY, "json_k"),
+    ]
+    events = decode(read_events(spark, sf_dir), samples.bindings_df(spark, rows), samples.sample_registry())
     return events.select(
         "topic",
         "offset",

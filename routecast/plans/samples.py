@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from routecast import schema as S
 from routecast.functions.contract import decode_result
-from routecast.functions.decoders import DecodeOut, DecoderRegistry, Env, PyEnvelope
+from routecast.functions.decoders import BatchOut, DecodeOut, DecoderRegistry, Env, PyBatch, PyEnvelope
 from routecast.sources.envelopes import epoch_millis_ntz
 from routecast.sources.local import local_table
 
 SAMPLE_LIBRARY = "samples"
 PY_LIBRARY = "pysamples"
+OTHER_LIBRARY = "others"
 
 # Subscription of the events topics; `signup` is deliberately not
 # subscribed and not bound, so it yields `decoder not bound`.
@@ -26,11 +27,10 @@ EVENT_TOPICS = ["click", "view", "error", "purchase"]
 EVENT_BINDINGS = [
     ("view", SAMPLE_LIBRARY, "json_k"),
     ("error", SAMPLE_LIBRARY, "skip_all"),
-    ("purchase", SAMPLE_LIBRARY, "short_only"),
+    ("purchase", SAMPLE_LIBRARY, "even_k"),
 ]
 
-SHORT_LIMIT = 8
-SHORT_MESSAGE_WIDTH = 120
+ODD_MESSAGE_WIDTH = 120
 
 
 # -- column decoders ---------------------------------------------------------
@@ -49,85 +49,99 @@ def skip_all(env: Env) -> Column:
     return decode_result(kind=S.KIND_SKIP)
 
 
-def short_only(env: Env) -> Column:
-    """Passthrough for payloads of at most 8 bytes; longer ones are ERR with
-    a 120-character message (longer than the 95 bytes an event keeps)."""
-    size = F.octet_length(env.payload)
-    message = F.rpad(F.concat(F.lit("payload too long: "), size.cast("string"), F.lit(" bytes")), SHORT_MESSAGE_WIDTH, "-")
-    return F.when(size > SHORT_LIMIT, decode_result(kind=S.KIND_ERR, err=message)).otherwise(
-        decode_result(kind=S.KIND_OK, data=F.coalesce(env.payload, F.lit(b"").cast("binary")))
+def _k_of(env: Env) -> Column:
+    return F.get_json_object(env.payload.cast("string"), "$.k").try_cast("long")
+
+
+def even_k(env: Env) -> Column:
+    """Passthrough for payloads whose JSON field ``k`` is an even whole number;
+    others are ERR with a 120-character message."""
+    k = F.coalesce(F.get_json_object(env.payload.cast("string"), "$.k"), F.lit("missing"))
+    message = F.rpad(F.concat(F.lit("field k is not even: "), k), ODD_MESSAGE_WIDTH, "-")
+    return F.when(F.pmod(_k_of(env), F.lit(2)) == 0, decode_result(kind=S.KIND_OK, data=env.payload)).otherwise(
+        decode_result(kind=S.KIND_ERR, err=message)
+    )
+
+
+def one_line(env: Env) -> Column:
+    """Passthrough for payloads without a line break, else ERR."""
+    payload = F.coalesce(env.payload, F.lit(b"").cast("binary"))
+    broken = F.contains(payload, F.lit(b"\n").cast("binary"))
+    return F.when(broken, decode_result(kind=S.KIND_ERR, err="more than one line")).otherwise(
+        decode_result(kind=S.KIND_OK, data=payload)
     )
 
 
-def grow_twice(env: Env) -> Column:
-    """Passthrough that asks for twice its capacity when the payload does
-    not fit: up to 4096 bytes succeed at once, up to 8192 after the one
-    retry, larger payloads stay NEED_MORE and become errors."""
-    size = F.octet_length(env.payload).cast("long")
-    return F.when(size > env.cap, decode_result(kind=S.KIND_NEED_MORE, need=env.cap * 2)).otherwise(
-        decode_result(kind=S.KIND_OK, data=F.coalesce(env.payload, F.lit(b"").cast("binary")))
+def k_doubled(env: Env) -> Column:
+    """Data = twice the JSON field ``k``; ERR when it is no whole number. Other
+    libraries export it under a symbol that the samples also use."""
+    k = F.try_multiply(_k_of(env), F.lit(2).cast("long"))
+    return F.when(k.isNull(), decode_result(kind=S.KIND_ERR, err="field k missing")).otherwise(
+        decode_result(kind=S.KIND_OK, data=k.cast("string").cast("binary"))
     )
 
 
 def contract_mix(env: Env) -> Column:
-    """Every row of the decode contract, chosen by the payload's ``k`` mod 8:
+    """Every row of the decode contract, chosen by the payload's ``k`` mod 7:
     0 OK with a message (ignored), 1 rc != 0 with OK, 2 ERR whose message has
-    a NUL inside, 3 ERR without a message, 4 SKIP, 5 NEED_MORE with a need
-    that fits, 6 NEED_MORE that succeeds on the retry, 7 an unknown kind with
-    a 200-byte message. Written field by field (one small CASE per answer
-    field, one struct), which keeps the generated code compact."""
-    k = F.get_json_object(env.payload.cast("string"), "$.k").cast("long")
-    cls = F.pmod(k, F.lit(8))
-    grown = (cls == 6) & (env.cap >= 5000)
+    a NUL inside, 3 ERR without a message, 4 SKIP, 5 NEED_MORE, 6 an unknown
+    kind with a 200-byte message. Written field by field (one small CASE per
+    answer field, one struct), which keeps the generated code compact."""
+    k = _k_of(env)
+    cls = F.pmod(k, F.lit(7))
     payload = F.coalesce(env.payload, F.lit(b"").cast("binary"))
     kind = (
-        F.when(cls.isin(0, 1) | grown, F.lit(S.KIND_OK))
+        F.when(cls.isin(0, 1), F.lit(S.KIND_OK))
         .when(cls.isin(2, 3), F.lit(S.KIND_ERR))
         .when(cls == 4, F.lit(S.KIND_SKIP))
-        .when(cls.isin(5, 6), F.lit(S.KIND_NEED_MORE))
+        .when(cls == 5, F.lit(S.KIND_NEED_MORE))
         .otherwise(F.lit("WAT"))
     )
     err = (
         F.when(cls == 0, F.lit("ignored on success"))
         .when(cls == 2, F.concat(F.lit("bad k="), k.cast("string"), F.lit("\u0000hidden")))
-        .when(cls == 7, F.lit("w" * 200))
+        .when(cls == 6, F.lit("w" * 200))
         .otherwise(F.lit(""))
     )
-    need = F.when(cls == 5, F.lit(100)).when((cls == 6) & ~grown, F.lit(5000)).otherwise(F.lit(0))
     return decode_result(
         rc=F.when(cls == 1, F.lit(1)).otherwise(F.lit(0)),
         kind=kind,
-        data=F.when(cls.isin(0, 1) | grown, payload).otherwise(F.lit(b"").cast("binary")),
+        data=F.when(cls.isin(0, 1), payload).otherwise(F.lit(b"").cast("binary")),
         err=err,
-        need=need,
     )
 
 
-# -- Python decoders ---------------------------------------------------------
+# -- batch and Python decoders -------------------------------------------------
 
 
-def py_line_count(env: PyEnvelope) -> DecodeOut:
-    """Data = number of lines of the payload, as text; ERR on an empty one."""
-    payload = env.payload or b""
-    if not payload:
-        return DecodeOut(kind=S.KIND_ERR, err="empty payload")
-    return DecodeOut(data=str(payload.count(b"\n") + 1).encode())
+def py_normal_form(batch: PyBatch) -> BatchOut:
+    """Data = the text in Unicode normal form C, which Spark has no function
+    for; ERR on an empty payload."""
+    import unicodedata
+
+    import pyarrow as pa
+
+    texts = [(p or b"").decode("utf-8", "replace") for p in batch.payload.to_pylist()]
+    return BatchOut(
+        pa.array([unicodedata.normalize("NFC", t) for t in texts], pa.large_string()),
+        pa.array([None if t else "empty payload" for t in texts], pa.large_string()),
+    )
+
 
+def py_checksum(env: PyEnvelope) -> DecodeOut:
+    """Data = the payload behind its Adler-32 checksum in decimal and a blank."""
+    import zlib
 
-def py_passthrough(env: PyEnvelope) -> DecodeOut:
-    """Passthrough written in Python, honouring the capacity handshake."""
     payload = env.payload or b""
-    if len(payload) > env.cap:
-        return DecodeOut(kind=S.KIND_NEED_MORE, need=len(payload))
-    return DecodeOut(data=payload)
+    return DecodeOut(data=f"{zlib.adler32(payload)} ".encode() + payload)
 
 
 def py_strict(env: PyEnvelope) -> DecodeOut:
-    """Raises on payloads over 4096 bytes (the error becomes an ERR row);
-    otherwise data = the whole payload on one line (newlines become spaces)."""
+    """Raises on payloads that shout (the error becomes an ERR row); otherwise
+    data = the whole payload on one line (newlines become spaces)."""
     payload = env.payload or b""
-    if len(payload) > S.INITIAL_CAPACITY:
-        raise ValueError(f"payload has {len(payload)} bytes")
+    if b"!!" in payload:
+        raise ValueError(f"payload shouts {payload.count(b'!!')} times")
     return DecodeOut(data=payload.replace(b"\n", b" "))
 
 
@@ -147,24 +161,27 @@ def build_sample_registry(with_python: bool) -> DecoderRegistry:
     reg = DecoderRegistry()
     reg.register_column("json_k", json_k, library=SAMPLE_LIBRARY)
     reg.register_column("skip_all", skip_all, library=SAMPLE_LIBRARY)
-    reg.register_column("short_only", short_only, library=SAMPLE_LIBRARY)
-    reg.register_column("grow_twice", grow_twice, library=SAMPLE_LIBRARY, may_need_more=True)
-    reg.register_column("contract_mix", contract_mix, library=SAMPLE_LIBRARY, may_need_more=True)
+    reg.register_column("even_k", even_k, library=SAMPLE_LIBRARY)
+    reg.register_column("one_line", one_line, library=SAMPLE_LIBRARY)
+    reg.register_column("contract_mix", contract_mix, library=SAMPLE_LIBRARY)
     # Names a binding file resolves to: an alias target and the anchor.
     reg.register_column(S.ALIAS_PREFIX + "k", json_k, library=SAMPLE_LIBRARY)
     reg.register_column(S.ANCHOR_SYMBOL, json_k, library=SAMPLE_LIBRARY)
+    # A second library with the same anchor and one more shared name.
+    reg.register_column(S.ANCHOR_SYMBOL, k_doubled, library=OTHER_LIBRARY)
+    reg.register_column("json_k", k_doubled, library=OTHER_LIBRARY)
     if with_python:
-        reg.register_python("py_line_count", py_line_count, library=PY_LIBRARY)
-        reg.register_python("py_passthrough", py_passthrough, library=PY_LIBRARY)
+        reg.register_batch("py_normal_form", py_normal_form, library=PY_LIBRARY)
+        reg.register_python("py_checksum", py_checksum, library=PY_LIBRARY)
         reg.register_python("py_strict", py_strict, library=PY_LIBRARY)
     return reg
 
 
-# Documents by language: three Python decoders and one column decoder.
+# Documents by language: a batch, two Python and one column decoder.
 DOCUMENT_BINDINGS = [
-    ("en", PY_LIBRARY, "py_line_count"),
-    ("fr", PY_LIBRARY, "py_passthrough"),
-    ("de", PY_LIBRARY, "py_strict"),
+    ("en", PY_LIBRARY, "py_strict"),
+    ("fr", PY_LIBRARY, "py_normal_form"),
+    ("de", PY_LIBRARY, "py_checksum"),
     ("es", S.BUILTIN_LIBRARY, S.DEFAULT_SYMBOL),
 ]
 
@@ -226,7 +243,7 @@ DAY_MS = 86_400_000
 # Daily cycle of the as-of log: (op, symbol, valid) by day number mod 5.
 DAILY_CYCLE = [
     (S.OP_BIND, "json_k", True),
-    (S.OP_REBIND, "short_only", True),
+    (S.OP_REBIND, "even_k", True),
     (S.OP_UNBIND, None, True),
     (S.OP_SUBSCRIBE, None, True),
     (S.OP_BIND, "skip_all", False),
@@ -273,7 +290,7 @@ EXTRA_CATALOG = [
     ("lib_nover", None, "json_k"),
 ]
 REQUEST_LIBRARIES = [SAMPLE_LIBRARY, PY_LIBRARY, "lib_old", "lib_nover", "lib_gone"]
-REQUEST_SYMBOLS = ["json_k", "skip_all", "py_line_count", "short_only"]
+REQUEST_SYMBOLS = ["json_k", "skip_all", "py_checksum", "even_k"]
 
 
 def check_catalog(spark: SparkSession) -> DataFrame:

@@ -3,7 +3,7 @@
 A message travels through four shapes:
 
     envelope  (topic, partition, offset, timestamp_ms, key, payload)
-    decoded   struct<rc, kind, data, err, need>      -- a decoder's answer
+    decoded   struct<rc, kind, data, err>            -- a decoder's answer
     event     envelope columns + (ingest_ns, decoder, kind, data, err)
     drain     (tbl, topic, kind, data, err)
 
@@ -33,12 +33,9 @@ EVENT_ERROR = "error"
 # Decoder contract version accepted by the binding check.
 CONTRACT_VERSION = 2
 
-# Output capacity offered to a decoder on the first call (bytes); a decoder
-# answering NEED_MORE with a larger `need` is called exactly once more.
-INITIAL_CAPACITY = 4096
-
-# Error text keeps at most this many bytes (96-byte field with a terminator).
-ERR_MAX_BYTES = 95
+# Bytes of a 96-byte error field without its terminator, for callers that want
+# error texts cut to it; whole texts are kept unless asked.
+ERR_FIELD_BYTES = 95
 
 # Drain batch: default and minimum limit.
 DRAIN_LIMIT_DEFAULT = 4096
@@ -56,7 +53,6 @@ MSG_VERSION_SYMBOL_MISSING = "symbol decoder_abi_version not found"
 DEFAULT_SYMBOL = "default_decoder"
 PASSTHROUGH_SYMBOL = "passthrough_decoder"
 BUILTIN_LIBRARY = "builtin"
-VERSION_SYMBOL = "decoder_abi_version"
 ANCHOR_SYMBOL = "decoder_entry"
 ALIAS_PREFIX = "decode_"
 
@@ -69,7 +65,6 @@ OP_SUBSCRIBE = "subscribe"
 # Event text prefixes.
 TEXT_DATA_PREFIX = "[DATA]"
 TEXT_ERROR_PREFIX = "[ERROR]"
-TEXT_STATS_PREFIX = "[STATS]"
 
 # ---------------------------------------------------------------------------
 # Schemas
@@ -87,29 +82,6 @@ ENVELOPE_SCHEMA = T.StructType(
 )
 ENVELOPE_COLUMNS = [f.name for f in ENVELOPE_SCHEMA.fields]
 
-DECODED_TYPE = T.StructType(
-    [
-        T.StructField("rc", T.IntegerType(), True),
-        T.StructField("kind", T.StringType(), True),
-        T.StructField("data", T.BinaryType(), True),
-        T.StructField("err", T.StringType(), True),
-        T.StructField("need", T.LongType(), True),
-    ]
-)
-
-EVENT_COLUMNS = [
-    "topic",
-    "partition",
-    "offset",
-    "timestamp_ms",
-    "key",
-    "ingest_ns",
-    "decoder",
-    "kind",
-    "data",
-    "err",
-]
-
 DRAIN_COLUMNS = ["tbl", "topic", "kind", "data", "err"]
 
 BINDING_SCHEMA = T.StructType(

@@ -18,6 +18,7 @@ _BASE_CONF = {
     # Python decoders see whole payloads; bound an Arrow batch by records so
     # large messages (documents reach ~130 KB) keep batches in the 100s of MB.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     # 64-bit offsets for strings and binaries in Arrow batches: 2,048 large
     # messages (1 MB each is common on Kafka) would overflow 32-bit ones.
     "spark.sql.execution.arrow.useLargeVarTypes": "true",
@@ -46,6 +47,7 @@ def get_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
+    ship_package(spark)
     return spark
 
 
@@ -54,8 +56,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Reads ``spark.sql.streaming.checkpointLocation`` then
     ``spark.checkpoint.dir`` from the session, i.e. the folder the cluster
-    names. Only when neither is set (local tests) a scratch folder is created
-    and written back into ``spark.checkpoint.dir`` so later calls agree.
+    names. A local session (tests) with neither gets a scratch folder, written
+    back into ``spark.checkpoint.dir`` so later calls agree; on a cluster that
+    is an error, as a folder of the driver's machine is not shared.
     """
     for key in ("spark.sql.streaming.checkpointLocation", "spark.checkpoint.dir"):
         value = spark.conf.get(key, None)
@@ -65,11 +68,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="routecast-ckpt-")
-    sc.setCheckpointDir(local)
+    spark.conf.set("spark.checkpoint.dir", local)
     return local
 
 
-def checkpoint_path(spark: SparkSession, name: str) -> str:
-    """A named sub-folder under :func:`checkpoint_root`."""
-    return os.path.join(checkpoint_root(spark), name)
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: for a driver
+    that runs from a source folder the workers do not have on their path (an
+    installed package needs no shipping)."""
+    import zipfile
+
+    if getattr(spark.sparkContext, "_routecast_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="routecast-code-"), "routecast.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(here)))
+    spark.sparkContext.addPyFile(target)
+    spark.sparkContext._routecast_shipped = True

@@ -144,12 +144,10 @@ def decode_partitions(spark: SparkSession) -> int | None:
 
 
 def with_decode_partitions(df: DataFrame, partitions: int | None) -> DataFrame:
-    """Spread a scan that yields fewer than ``partitions`` splits (e.g. one
-    file of one row group) over ``partitions`` tasks, round-robin."""
+    """Spread a scan over ``partitions`` tasks, round-robin: for a scan of few
+    splits (e.g. one file of one row group), when the setting asks for it."""
     if not partitions or df.isStreaming:
         return df
-    if df.rdd.getNumPartitions() >= partitions:
-        return df
     return df.repartition(partitions)
 
 
@@ -169,6 +167,3 @@ def read_documents(spark: SparkSession, sf_dir: str, topic: str = "lang") -> Dat
 def read_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations_envelopes(read_table(spark, sf_dir, "conversations"))
 
-
-def envelope_schema():
-    return ENVELOPE_SCHEMA

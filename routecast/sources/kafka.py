@@ -123,8 +123,9 @@ def source_options(cfg: Mapping[str, Any] | None, default_start: str = "earliest
       ``default_start``; applies only when no checkpoint exists)
     * ``enable.auto.commit`` -> recorded, not passed (checkpoint instead)
     * ``decode_threads`` -> ``minPartitions`` when given (min 1)
-    * ``raw_queue_size`` -> ``maxOffsetsPerTrigger`` when given (min 1)
-    * ``evt_queue_size`` -> accepted, no Spark equivalent
+    * ``raw_queue_size``, ``evt_queue_size`` -> accepted, no Spark equivalent
+      (a buffer's size is no limit on the rows of a trigger; that is
+      ``maxOffsetsPerTrigger``, which passes unchanged)
     * any other key -> ``kafka.<key>`` stringified; Spark option names and
       ``kafka.``-prefixed keys pass unchanged
     """
@@ -137,7 +138,7 @@ def source_options(cfg: Mapping[str, Any] | None, default_start: str = "earliest
         reader["minPartitions"] = str(out.decode_threads)
     if "raw_queue_size" in cfg:
         out.raw_queue_size = _count("raw_queue_size", cfg["raw_queue_size"], DEFAULT_QUEUE_SIZE)
-        reader["maxOffsetsPerTrigger"] = str(out.raw_queue_size)
+        out.notes.append("raw_queue_size has no Spark equivalent; limit a trigger with maxOffsetsPerTrigger")
     if "evt_queue_size" in cfg:
         out.evt_queue_size = _count("evt_queue_size", cfg["evt_queue_size"], DEFAULT_QUEUE_SIZE)
         out.notes.append("evt_queue_size has no Spark equivalent; ignored")

@@ -17,7 +17,10 @@
   No watermark: no row is ever dropped as late; the state holds one row per
   interval seen.
 * **S5** progress lives in the checkpoint under the cluster's shared
-  checkpoint folder (``spark.checkpoint.dir``).
+  checkpoint folder (``spark.checkpoint.dir``), one per stream name, so that a
+  restart goes on where the last run ended. A sink belongs to the checkpoint
+  that first wrote it and refuses any other, whose batch numbers would start
+  over and replace its output.
 """
 
 from __future__ import annotations
@@ -26,17 +29,20 @@ import os
 import uuid
 from collections.abc import Callable, Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from routecast.functions.decoders import DecoderRegistry
+from routecast.operators.bindings import check_bindings
 from routecast.operators.paging import drain_pages
 from routecast.operators.routing import decode, to_drain
 from routecast.operators.stats import event_totals
 from routecast.session import checkpoint_root
 from routecast.sources.envelopes import table_path
+from routecast.sources.local import local_table
 
 BindingsLoader = Callable[[SparkSession, int], DataFrame]
 
@@ -146,40 +152,71 @@ def routed_batch_writer(
     skip_policy: str = "error",
     rebalance: bool = True,
     drain_limit: int | None = None,
+    label_bindings: BindingsLoader | None = None,
+    catalog: DataFrame | None = None,
+    keep: Iterable[str] = (),
 ) -> Callable[[DataFrame, int], None]:
     """T2 + S7: a ``foreachBatch`` function that re-reads the binding table
     for each micro-batch, decodes, drains and writes the batch.
 
+    ``catalog`` (J4): bindings that it rejects count as not made.
+    ``label_bindings`` (J3): the binding table as it stands at drain, loaded
+    after the decode is planned; by default the table of the decode.
     ``drain_limit`` (S6 / W1 inside the batch) adds ``pos`` and ``page`` to
     every row: pages of at most that many rows in ``(topic, partition,
     offset)`` order within the batch, which a consumer can read one by one.
+    Columns of the events named in ``keep`` are written, too. The decoded batch is then kept for as long as it is counted and written.
     """
     topic_list = list(topics) if topics is not None else None
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         bindings = bindings_loader(spark, batch_id)
+        if catalog is not None:
+            bindings = check_bindings(bindings, catalog).where("ok").select("topic", "library", "symbol")
         events = decode(batch, bindings, registry, topics=topic_list, skip_policy=skip_policy)
-        drained = to_drain(events, label_bindings=None)
+        kept = None
         if drain_limit is not None:
-            paged = drain_pages(events, limit=drain_limit)
-            drained = paged.select(
-                F.coalesce(F.col("decoder"), F.col("topic"), F.lit("")).alias("tbl"),
-                "topic",
-                "kind",
-                "data",
-                "err",
-                "pos",
-                "page",
-            )
-        write_routed(drained, path, batch_id, rebalance=rebalance)
+            kept = events.persist(StorageLevel.MEMORY_AND_DISK)
+            events = drain_pages(kept, limit=drain_limit)
+        labels = None if label_bindings is None else label_bindings(spark, batch_id)
+        more = [*keep, *(("pos", "page") if drain_limit is not None else ())]
+        write_routed(to_drain(events, label_bindings=labels, keep=more), path, batch_id, rebalance=rebalance)
+        if kept is not None:
+            kept.unpersist()
 
     return run
 
 
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
-    """A fresh checkpoint folder under the shared checkpoint root."""
-    return os.path.join(checkpoint_root(spark), "routecast", name, uuid.uuid4().hex)
+    """The checkpoint folder of the stream ``name``, the same at every
+    start."""
+    return os.path.join(checkpoint_root(spark), "routecast", name)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for one run (checkpoint and output of a query that starts
+    from nothing), removed when the driver ends."""
+    path = os.path.join(checkpoint_root(spark), "routecast-scratch", f"{name}-{uuid.uuid4().hex}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
+def claim_sink(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Record that the sink at ``path`` belongs to ``checkpoint``; an error if
+    it belongs to another, or holds batches of an unknown one."""
+    jvm = spark._jvm
+    owner = jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_owner"))
+    files = owner.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(owner):
+        found = spark.read.text(owner.toString()).first()
+        if found is None or found[0] != checkpoint:
+            raise ValueError(f"the sink {path} belongs to the checkpoint {found and found[0]}")
+        return
+    if files.exists(owner.getParent()) and len(files.listStatus(owner.getParent())):
+        raise ValueError(f"the sink {path} holds output of another run")
+    local_table(spark, [(checkpoint,)], "value string").coalesce(1).write.text(owner.toString())
 
 
 def start_routed(
@@ -194,13 +231,19 @@ def start_routed(
     query_name: str | None = None,
     rebalance: bool = True,
     drain_limit: int | None = None,
+    skip_policy: str = "error",
+    label_bindings: BindingsLoader | None = None,
+    catalog: DataFrame | None = None,
+    keep: Iterable[str] = (),
 ) -> StreamingQuery:
     """Start T1 + T2 + S7: decode every micro-batch with the bindings of that
     moment and write it to the routed sink (paged when ``drain_limit`` is
-    set)."""
-    writer = envelopes.writeStream.foreachBatch(
-        routed_batch_writer(path, registry, bindings_loader, topics, rebalance=rebalance, drain_limit=drain_limit)
-    ).option("checkpointLocation", checkpoint)
+    set); see :func:`routed_batch_writer`."""
+    claim_sink(envelopes.sparkSession, path, checkpoint)
+    run = routed_batch_writer(
+        path, registry, bindings_loader, topics, skip_policy, rebalance, drain_limit, label_bindings, catalog, keep
+    )
+    writer = envelopes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
     if available_now:
@@ -257,6 +300,7 @@ def start_table_sink(
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(batch_path(path, batch_id))
 
+    claim_sink(df.sparkSession, path, checkpoint)
     writer = (
         df.writeStream.outputMode(output_mode)
         .foreachBatch(run)

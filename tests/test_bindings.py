@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from routecast import schema as S
+from routecast.operators import bindings
 from routecast.operators.bindings import (
     binding_intervals,
     bindings_from_text,
@@ -79,10 +80,11 @@ def _messages(spark, times):
 
 @pytest.mark.parametrize("seed", range(4))
 @pytest.mark.parametrize(
-    "max_rows,log_block,two_level",
-    [(1_000_000, 3_600_000, None), (0, 3_600_000, True), (1_000_000, 7, True), (0, 25, True), (0, 25, False)],
+    "max_rows,log_block,fan",
+    [(1_000_000, 3_600_000, 64), (0, 3_600_000, 64), (1_000_000, 7, 2), (1_000_000, 7, 3), (0, 25, 64)],
 )
-def test_route_as_of_equals_sequential_model(spark, seed, max_rows, log_block, two_level):
+def test_route_as_of_equals_sequential_model(spark, monkeypatch, seed, max_rows, log_block, fan):
+    monkeypatch.setattr(bindings, "FAN", fan)
     rows = random_log(seed)
     log = spark.createDataFrame(rows, S.BINDING_LOG_SCHEMA)
     rnd = random.Random(100 + seed)
@@ -90,7 +92,7 @@ def test_route_as_of_equals_sequential_model(spark, seed, max_rows, log_block, t
     env = _messages(spark, times)
     # bucket width 7 forces many buckets on the large-log path
     routed = route_as_of(
-        env, log, max_broadcast_rows=max_rows, bucket_width=7, log_block=log_block, two_level=two_level
+        env, log, max_broadcast_rows=max_rows, bucket_width=7, log_block=log_block
     )
     got = {r["offset"]: r["decoder"] for r in routed.collect()}
     assert len(got) == len(times) and routed.count() == len(times)
@@ -100,17 +102,62 @@ def test_route_as_of_equals_sequential_model(spark, seed, max_rows, log_block, t
         assert got[i] == (exp[1] if exp else None), (i, topic, t)
 
 
-@pytest.mark.parametrize("block,two_level", [(3_600_000, False), (10, True), (1, True)])
-def test_intervals_do_not_overlap(spark, block, two_level):
+@pytest.mark.parametrize("block", [3_600_000, 10, 1])
+def test_intervals_do_not_overlap(spark, block):
     log = spark.createDataFrame(random_log(7), S.BINDING_LOG_SCHEMA)
     iv = sorted(
-        binding_intervals(log, block, two_level=two_level).collect(), key=lambda r: (r["topic"], r["valid_from"])
+        binding_intervals(log, block).collect(), key=lambda r: (r["topic"], r["valid_from"])
     )
     for a, b in zip(iv, iv[1:]):
         if a["topic"] == b["topic"]:
             assert a["valid_to"] is not None and a["valid_to"] <= b["valid_from"]
 
 
+def test_many_intervals_on_one_topic(spark):
+    """100,000 rebinds of one topic: each message descends a tree of 64-way
+    nodes, none is compared with all intervals."""
+    log = spark.range(100_000).select(
+        (F.col("id") * 10).alias("effective_at"), F.col("id").alias("seq"), F.lit(S.OP_REBIND).alias("op"),
+        F.lit("a").alias("topic"), F.lit("lib").alias("library"), F.concat(F.lit("s"), F.col("id").cast("string")).alias("symbol"),
+        F.lit(True).alias("valid"),
+    )
+    times = [("a", t) for t in (0, 9, 10, 15, 640, 639, 409_599, 409_600, 999_989, 999_990, 5_000_000, -1)] + [("b", 5), (None, 5)]
+    got = {r["offset"]: r["decoder"] for r in route_as_of(_messages(spark, times), log).collect()}
+    for i, (topic, t) in enumerate(times):
+        assert got[i] == (None if topic != "a" else f"s{min(t if t >= 0 else 10**9, 999_990) // 10}")
+    plan = route_as_of(_messages(spark, times), log)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "valid_from#" not in plan.split("BroadcastHashJoin")[1].split("\n")[0]
+
+
+def test_current_bindings_hashes_the_log(spark):
+    log = spark.createDataFrame(random_log(3), S.BINDING_LOG_SCHEMA)
+    first = log.groupBy("topic").agg(F.max(bindings.order_key(F.col("effective_at"), F.col("seq"))))
+    assert "SortAggregate" not in first._jdf.queryExecution().executedPlan().toString()
+    key = bindings.order_key(F.lit(1_700_000_000_123), F.lit(9_000_000_000_000_000_000))
+    at, seq = spark.range(1).select(*bindings.split_order_key(key)).first()
+    assert (at, seq) == (1_700_000_000_123, 9_000_000_000_000_000_000)
+
+
+def test_a_table_the_user_cached_stays_cached(spark):
+    from routecast.operators.broadcast import bounded_broadcast
+
+    df = spark.range(100).cache()
+    assert bounded_broadcast(df, 10)[1] is False and df.storageLevel.useMemory
+    assert bounded_broadcast(df, 1000)[1] is True and df.storageLevel.useMemory
+    df.unpersist()
+
+
+def test_a_storage_error_does_not_restart_the_log(spark, tmp_path):
+    path = str(tmp_path / "log")
+    bindings.append_binding_ops(spark, path, [(0, S.OP_BIND, "a", "lib", "x")])
+    bindings.append_binding_ops(spark, path, [(1, S.OP_UNBIND, "a", None, None)])
+    assert sorted(r.seq for r in spark.read.parquet(path).collect()) == [0, 1]
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        bindings.append_binding_ops(spark, str(tmp_path / "broken"), [(0, S.OP_BIND, "a", "lib", "x")])
+
+
 def test_single_early_bind_equals_plain_route(spark):
     log = spark.createDataFrame([(0, 0, S.OP_BIND, "a", "lib", "x", True)], S.BINDING_LOG_SCHEMA)
     env = _messages(spark, [("a", 5), ("a", 100), ("b", 5)])
@@ -190,12 +237,11 @@ def test_control_log_feeds_check_results(spark):
     assert [tuple(r) for r in current_bindings(log).collect()] == [("a", "lib", "x")]
 
 
-def test_persisted_check_path(spark, monkeypatch):
-    """A table whose estimate is not small is persisted, counted and then
+def test_persisted_check_path(spark):
+    """A control table is persisted, counted and then
     broadcast from the cache; results are unchanged."""
     from routecast.operators import broadcast as B
 
-    monkeypatch.setattr(B, "ESTIMATE_ACCEPT_BYTES", -1)
     rows = random_log(3)
     log = spark.createDataFrame(rows, S.BINDING_LOG_SCHEMA)
     env = _messages(spark, [(t, x) for t in TOPICS for x in (0, 10, 35, 80)])

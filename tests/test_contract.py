@@ -15,26 +15,22 @@ from routecast.functions.contract import decode_result
 from routecast.functions.decoders import DecoderRegistry
 from routecast.operators.routing import decode, to_drain
 
-SPEC = "rc int, kind string, data string, err string, need long, ok_at long"
+SPEC = "rc int, kind string, data string, err string"
 
 
 def scripted(env):
     spec = F.from_json(env.payload.cast("string"), SPEC)
-    ok_now = spec["ok_at"].isNotNull() & (env.cap >= spec["ok_at"])
-    return F.when(ok_now, decode_result(kind=S.KIND_OK, data=F.encode(spec["data"], "UTF-8"))).otherwise(
-        decode_result(
-            rc=F.coalesce(spec["rc"], F.lit(0)),
-            kind=spec["kind"],
-            data=F.encode(F.coalesce(spec["data"], F.lit("")), "UTF-8"),
-            err=F.coalesce(spec["err"], F.lit("")),
-            need=F.coalesce(spec["need"], F.lit(0)),
-        )
+    return decode_result(
+        rc=F.coalesce(spec["rc"], F.lit(0)),
+        kind=spec["kind"],
+        data=F.encode(F.coalesce(spec["data"], F.lit("")), "UTF-8"),
+        err=F.coalesce(spec["err"], F.lit("")),
     )
 
 
 def registry():
     reg = DecoderRegistry()
-    reg.register_column("scripted", scripted, may_need_more=True)
+    reg.register_column("scripted", scripted, library="lib")
     return reg
 
 
@@ -48,10 +44,10 @@ def env_rows(spark, rows):
     return spark.createDataFrame(data, S.ENVELOPE_SCHEMA)
 
 
-def run(spark, rows, bindings, topics=None, skip_policy="error"):
+def run(spark, rows, bindings, topics=None, skip_policy="error", max_error_bytes=None):
     env = env_rows(spark, rows)
     b = spark.createDataFrame(bindings, S.BINDING_SCHEMA)
-    ev = decode(env, b, registry(), topics=topics, skip_policy=skip_policy)
+    ev = decode(env, b, registry(), topics=topics, skip_policy=skip_policy, max_error_bytes=max_error_bytes)
     return {r["offset"]: r for r in ev.orderBy("offset").collect()}
 
 
@@ -63,32 +59,32 @@ def test_truth_table(spark):
         ("t", {"rc": 0, "kind": "ERR", "err": "bad thing"}, b"k", 5),  # 2 err message
         ("t", {"rc": 0, "kind": "ERR"}, b"k", 5),  # 3 err without message
         ("t", {"rc": 0, "kind": "SKIP"}, b"k", 5),  # 4 skip is an error
-        ("t", {"rc": 0, "kind": "NEED_MORE", "need": 10000, "ok_at": 10000, "data": "big"}, b"k", 5),  # 5 retry ok
-        ("t", {"rc": 0, "kind": "NEED_MORE", "need": 100}, b"k", 5),  # 6 need <= cap: no retry
-        ("t", {"rc": 0, "kind": "NEED_MORE", "need": 10000, "ok_at": 20000}, b"k", 5),  # 7 still need more
+        ("t", {"rc": 0, "kind": "NEED_MORE", "data": "big"}, b"k", 5),  # 5 asks for more
+        ("t", {"rc": 0, "kind": "NEED_MORE", "err": "why"}, b"k", 5),  # 6 with a message
+        ("t", {"rc": 7, "kind": "NEED_MORE"}, b"k", 5),  # 7 and rc
         ("t", {"rc": 0, "kind": "WAT"}, b"k", 5),  # 8 unknown kind
         ("t", {"rc": 0, "kind": "ERR", "err": "abc\u0000def"}, b"k", 5),  # 9 NUL cut
         ("t", {"rc": 0, "kind": "ERR", "err": long_err}, b"k", 5),  # 10 long message
         ("u", {"rc": 0, "kind": "OK", "data": "abc"}, b"k", 5),  # 11 unbound topic
         ("v", {"rc": 0, "kind": "OK", "data": "abc"}, b"k", 5),  # 12 bound to a missing symbol
-        ("t", {"rc": -1, "kind": "NEED_MORE", "need": 10000, "ok_at": 10000, "data": "z"}, b"k", 5),  # 13 rc!=0: no retry
+        ("w", {"rc": 0, "kind": "OK", "data": "z"}, b"k", 5),  # 13 the symbol, but of another library
     ]
-    out = run(spark, rows, [("t", "lib", "scripted"), ("v", "lib", "nope")])
+    out = run(spark, rows, [("t", "lib", "scripted"), ("v", "lib", "nope"), ("w", "other", "scripted")])
     exp = {
         0: ("data", b"abc", ""),
         1: ("error", b"", S.MSG_DECODE_FAILED),
         2: ("error", b"", "bad thing"),
         3: ("error", b"", S.MSG_DECODE_FAILED),
         4: ("error", b"", S.MSG_DECODE_FAILED),
-        5: ("data", b"big", ""),
-        6: ("error", b"", S.MSG_DECODE_FAILED),
+        5: ("error", b"", S.MSG_DECODE_FAILED),
+        6: ("error", b"", "why"),
         7: ("error", b"", S.MSG_DECODE_FAILED),
         8: ("error", b"", S.MSG_DECODE_FAILED),
         9: ("error", b"", "abc"),
-        10: ("error", b"", "x" * 95),
+        10: ("error", b"", long_err),
         11: ("error", b"", S.MSG_NOT_BOUND),
         12: ("error", b"", S.MSG_SYMBOL_NOT_FOUND + "nope"),
-        13: ("error", b"", S.MSG_DECODE_FAILED),
+        13: ("error", b"", S.MSG_SYMBOL_NOT_FOUND + "scripted"),
     }
     for i, (kind, data, err) in exp.items():
         r = out[i]
@@ -96,17 +92,48 @@ def test_truth_table(spark):
 
 
 @pytest.mark.parametrize("n", [94, 95, 96, 255])
-def test_error_text_is_at_most_95_bytes(spark, n):
-    out = run(spark, [("t", {"kind": "ERR", "err": "m" * n}, b"", 1)], [("t", "lib", "scripted")])
-    assert out[0]["err"] == "m" * min(n, 95)
+def test_error_text_is_whole_unless_a_limit_is_asked(spark, n):
+    rows, bindings = [("t", {"kind": "ERR", "err": "m" * n}, b"", 1)], [("t", "lib", "scripted")]
+    assert run(spark, rows, bindings)[0]["err"] == "m" * n
+    assert run(spark, rows, bindings, max_error_bytes=S.ERR_FIELD_BYTES)[0]["err"] == "m" * min(n, 95)
 
 
-def test_multibyte_character_cut_at_byte_95(spark):
-    msg = "a" * 94 + "é" + "b"
-    out = run(spark, [("t", {"kind": "ERR", "err": msg}, b"", 1)], [("t", "lib", "scripted")])
-    err = out[0]["err"]
-    assert err.startswith("a" * 94)
-    assert err[94:] == "�"
+def test_limit_falls_before_a_split_character(spark):
+    rows = [("t", {"kind": "ERR", "err": "a" * 94 + "é" + "b"}, b"", 1)]
+    out = run(spark, rows, [("t", "lib", "scripted")], max_error_bytes=95)
+    assert out[0]["err"] == "a" * 94
+
+
+def test_malformed_payloads_give_error_rows_not_failures(spark):
+    from routecast.plans import samples
+
+    payloads = [b'{"k":"x"}', b"{", b"", None, b'{"k":1e400}', b'{"k":9223372036854775807}', b'{"k":[1]}']
+    env = env_rows(spark, [("t", p, b"", 1) for p in payloads])
+    for symbol in ("contract_mix", "even_k", "json_k", "one_line"):
+        b = spark.createDataFrame([("t", samples.SAMPLE_LIBRARY, symbol)], S.BINDING_SCHEMA)
+        assert decode(env, b, samples.sample_registry()).count() == len(payloads)
+        assert all(r["kind"] in ("data", "error") for r in decode(env, b, samples.sample_registry()).collect())
+    b = spark.createDataFrame([("t", samples.OTHER_LIBRARY, S.ANCHOR_SYMBOL)], S.BINDING_SCHEMA)
+    assert {r["kind"] for r in decode(env, b, samples.sample_registry()).collect()} == {"error"}
+
+
+def test_two_libraries_export_one_symbol(spark):
+    reg = DecoderRegistry()
+    reg.register_column("entry", lambda env: decode_result(data=b"A"), library="libA")
+    reg.register_column("entry", lambda env: decode_result(data=b"B"), library="libB")
+    env = env_rows(spark, [("ta", b"x", b"", 1), ("tb", b"x", b"", 1)])
+    b = spark.createDataFrame([("ta", "libA", "entry"), ("tb", "libB", "entry")], S.BINDING_SCHEMA)
+    got = {r["topic"]: (bytes(r["data"]), r["decoder"]) for r in decode(env, b, reg).collect()}
+    assert got == {"ta": (b"A", "entry"), "tb": (b"B", "entry")}
+    from routecast.operators.bindings import check_bindings, decode_as_of
+
+    assert all(r["ok"] for r in check_bindings(b, reg.catalog(spark)).collect())
+    log = spark.createDataFrame(
+        [(0, 0, S.OP_BIND, "ta", "libA", "entry", True), (0, 1, S.OP_BIND, "tb", "libB", "entry", True)], S.BINDING_LOG_SCHEMA
+    )
+    for most in (10, 0):
+        got = {r["topic"]: bytes(r["data"]) for r in decode_as_of(env, log, reg, max_broadcast_rows=most).collect()}
+        assert got == {"ta": b"A", "tb": b"B"}
 
 
 def test_envelope_edge_rows(spark):

@@ -51,37 +51,44 @@ def _positions(df):
     return sorted((r["topic"], r["partition"], r["offset"], r["pos"], r["page"]) for r in df.collect())
 
 
-def test_local_plan_equals_shuffle_plan(spark):
-    from routecast.operators.paging import local_positions
+def _check(df, limit=37, **kw):
+    rows = drain_pages(df, limit=limit, **kw).collect()
+    assert len(rows) == df.count()
+    assert sorted(r["pos"] for r in rows) == list(range(len(rows)))
+    assert all(r["page"] == r["pos"] // limit for r in rows)
+    order = lambda r: (r["topic"] or "", r["partition"] or -1, r["offset"] is not None, r["offset"] or 0)
+    keys = [order(r) for r in sorted(rows, key=lambda r: r["pos"])]
+    assert keys == sorted(keys)
+
 
+def test_positions_do_not_depend_on_where_rows_lie(spark):
     env = read_events(spark, SF).select("topic", "partition", "offset")
-    # one split per (topic, partition) offset range, as Kafka splits are
-    ranged = env.repartitionByRange(4, "topic", "partition", "offset")
-    assert local_positions(ranged) is not None
-    local = drain_pages(ranged, limit=37, local=True)
-    shuffled = drain_pages(ranged, limit=37, local=False)
-    assert _positions(local) == _positions(shuffled)
-    # no window over the messages in the local plan (the shuffle plan has one)
-    assert "row_number" not in local._jdf.queryExecution().executedPlan().toString()
-    assert "row_number" in shuffled._jdf.queryExecution().executedPlan().toString()
+    shuffled = env.repartition(4)
+    assert _positions(drain_pages(shuffled, limit=37)) == _positions(drain_pages(env, limit=37))
+    by_aqe = env.join(env.groupBy("topic").count(), "topic")
+    assert _positions(drain_pages(by_aqe, limit=37)) == _positions(drain_pages(env, limit=37))
 
 
-def test_interleaved_splits_fall_back_to_shuffle(spark):
-    from routecast.operators.paging import local_positions
+def test_many_topics_of_one_message_after_a_repartition(spark):
+    df = spark.range(200).select(F.concat(F.lit("t"), "id").alias("topic"), F.lit(0).alias("partition"), F.lit(0).cast("long").alias("offset"))
+    _check(df.repartition(4))
+    _check(df.repartition(4).withColumn("more", F.lit("x")), bucket_width=1)
 
-    env = read_events(spark, SF).select("topic", "partition", "offset")
-    interleaved = env.repartition(4)  # round-robin: every split holds every range
-    assert local_positions(interleaved) is None
-    with pytest.raises(ValueError):
-        drain_pages(interleaved, local=True)
-    assert _positions(drain_pages(interleaved, limit=37)) == _positions(drain_pages(env, limit=37, local=False))
+
+def test_rows_without_offset_after_a_repartition(spark):
+    df = spark.range(400).select(
+        F.when(F.col("id") % 3 > 0, F.lit("t")).alias("topic"), F.lit(0).alias("partition"),
+        F.when(F.col("id") % 2 > 0, F.col("id")).alias("offset"), F.col("id").cast("string").cast("binary").alias("payload"),
+    )
+    _check(df.repartition(4))
+    _check(df.unionByName(df).repartition(4), max_broadcast_rows=0)  # repeated rows, plain joins
 
 
 def test_rows_without_offsets_are_spread_and_paged(spark):
     from pyspark.sql import functions as F2
 
     env = read_events(spark, SF).withColumn("offset", F2.lit(None).cast("long"))
-    paged = drain_pages(env, limit=100, bucket_width=64, local=False)
+    paged = drain_pages(env, limit=100, bucket_width=64)
     rows = paged.select("topic", "partition", "pos", "page").collect()
     assert sorted(r["pos"] for r in rows) == list(range(len(rows)))
     by_key = {}

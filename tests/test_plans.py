@@ -48,14 +48,14 @@ def test_unbound_python_decoders_stay_out_of_the_plan(spark):
     b = samples.bindings_df(spark, [("en", "builtin", "default_decoder")])
     plan = plan_text(decode(env, b, samples.sample_registry(with_python=True)))
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
-    assert "py_line_count" not in plan and "json_k" not in plan
+    assert "py_checksum" not in plan and "json_k" not in plan
 
 
 def test_routed_sink_rebalances_before_the_write(spark):
-    from routecast.streaming.stream import stream_checkpoint, write_routed
+    from routecast.streaming.stream import scratch_folder, write_routed
 
     drained = to_drain(queries.event_events(spark, SF))
-    base = stream_checkpoint(spark, "test_rebalance")
+    base = scratch_folder(spark, "test_rebalance")
     write_routed(drained, base, 0)
     import glob
 

@@ -29,7 +29,8 @@ def test_hot_topic_decode_shuffles_no_messages(spark):
     drained = to_drain(decode(env, bindings, samples.sample_registry(), samples.EVENT_TOPICS))
     plan = plan_text(drained)
     # one hash exchange: the aggregation that builds the (tiny) binding table
-    assert plan.count("Exchange hashpartitioning") == 1 and "SinglePartition" not in plan
+    messages = plan.split("BroadcastExchange")[0]
+    assert "Exchange" not in messages and "SinglePartition" not in plan
     counts = {r["tbl"]: r["count"] for r in drained.groupBy("tbl").count().collect()}
     assert counts["json_k"] >= env.count() // 3
 
@@ -54,4 +55,4 @@ def test_hot_key_aggregations_combine_map_side(spark):
     log = samples.events_control_log(
         read_table(spark, SF, "events").withColumn("user_id", F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id")))
     )
-    assert "partial_max_by" in plan_text(current_bindings(log))
+    assert "partial_max(" in plan_text(current_bindings(log))

@@ -15,6 +15,7 @@ from routecast.streaming.stream import (
     read_routed,
     start_routed,
     start_table_sink,
+    scratch_folder,
     stream_checkpoint,
     write_routed,
 )
@@ -36,7 +37,7 @@ def _drain_multiset(df):
 
 
 def test_stream_equals_batch_and_restart_adds_nothing(spark):
-    base = stream_checkpoint(spark, "test_stream")
+    base = scratch_folder(spark, "test_stream")
     table, stream = _split_source(spark, base)
     reg = samples.sample_registry()
     loader = lambda s, b: samples.event_bindings(s)
@@ -62,7 +63,7 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark):
 
 
 def test_replayed_batch_is_idempotent(spark):
-    base = stream_checkpoint(spark, "test_replay")
+    base = scratch_folder(spark, "test_replay")
     env = events_envelopes(read_table(spark, SF, "events"))
     drained = to_drain(decode(env, samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS))
     write_routed(drained, base, 7)
@@ -73,24 +74,55 @@ def test_replayed_batch_is_idempotent(spark):
 
 
 def test_rebinding_reaches_later_batches(spark):
-    out = queries.QUERIES["stream_rebind_per_batch"](spark, SF)
-    rows = out.collect()
+    rows = queries.QUERIES["stream_rebind_per_batch"](spark, SF).collect()
     assert len(rows) == read_table(spark, SF, "events").count()
-    for r in rows:
-        version = dict((t, s) for t, _, s in queries.REBIND_VERSIONS[r["batch_id"] % 3])
-        if r["topic"] == "click":
-            assert r["tbl"] == "default_decoder"
-        elif r["topic"] == "view":
-            # version 2 unbinds view; view is subscribed, so it falls back to the default
-            assert r["tbl"] == version.get("view", "default_decoder")
-        elif r["topic"] == "signup":
-            assert r["tbl"] == "signup" and r["err"] == "decoder not bound"
-        else:
-            assert r["tbl"] == version[r["topic"]]
+    seen = {(r["part"], r["tbl"]) for r in rows if r["topic"] == "view"}
+    assert seen == {(0, "json_k"), (1, "even_k"), (2, "default_decoder")}
+
+
+def test_checkpoint_of_a_name_is_stable_and_owns_its_sink(spark):
+    import pytest
+
+    assert stream_checkpoint(spark, "quotes") == stream_checkpoint(spark, "quotes")
+    base = scratch_folder(spark, "test_owner")
+    table, stream = _split_source(spark, base, n=2)
+    loader = lambda s, b: samples.event_bindings(s)
+    start = lambda ck: start_routed(stream, base + "/out", samples.sample_registry(), loader, ck, available_now=True)
+    start(base + "/ck").awaitTermination()
+    n = read_routed(spark, base + "/out").count()
+    assert n == table.count()
+    start(base + "/ck").awaitTermination()
+    with pytest.raises(ValueError, match="belongs to the checkpoint"):
+        start(base + "/other")
+    assert read_routed(spark, base + "/out").count() == n
+    write_routed(to_drain(decode(events_envelopes(table), samples.event_bindings(spark), samples.sample_registry())), base + "/old", 0)
+    with pytest.raises(ValueError, match="output of another run"):
+        start_routed(stream, base + "/old", samples.sample_registry(), loader, base + "/ck2", available_now=True)
+
+
+def test_labels_skips_and_catalog_on_a_stream(spark):
+    base = scratch_folder(spark, "test_labels")
+    table, stream = _split_source(spark, base, n=2)
+    q = start_routed(
+        stream,
+        base + "/out",
+        samples.sample_registry(),
+        lambda s, b: samples.bindings_df(s, samples.EVENT_BINDINGS + [("click", "lib_gone", "x")]),
+        base + "/ck",
+        available_now=True,
+        skip_policy="drop",
+        label_bindings=lambda s, b: samples.bindings_df(s, [("view", "samples", "json_k_v2")]),
+        catalog=samples.check_catalog(spark),
+    )
+    q.awaitTermination()
+    out = read_routed(spark, base + "/out")
+    assert out.filter("topic = 'error'").count() == 0  # skipped
+    assert {r["tbl"] for r in out.filter("topic = 'view'").collect()} == {"json_k_v2"}
+    assert {r["err"] for r in out.filter("topic = 'click'").collect()} == {"decoder not bound"}  # a bind that was refused
 
 
 def test_live_totals_complete_mode(spark):
-    base = stream_checkpoint(spark, "test_totals")
+    base = scratch_folder(spark, "test_totals")
     table, stream = _split_source(spark, base, n=3)
     events = decode_stream(stream, samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS)
     q = start_table_sink(live_totals(events), base + "/out", base + "/ck", "complete", available_now=True)
@@ -108,7 +140,7 @@ def test_sink_files_are_bounded(spark):
     import pyarrow.parquet as pq
     import glob
 
-    base = stream_checkpoint(spark, "test_bounded_files")
+    base = scratch_folder(spark, "test_bounded_files")
     env = events_envelopes(read_table(spark, SF, "events"))
     drained = to_drain(decode(env, samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS))
     write_routed(drained, base, 0, max_records_per_file=100)
@@ -120,7 +152,7 @@ def test_sink_files_are_bounded(spark):
 def test_live_rate_with_watermark_keeps_in_order_rows(spark):
     from routecast.streaming.stream import latest_per_key, live_rate
 
-    base = stream_checkpoint(spark, "test_rate_wm")
+    base = scratch_folder(spark, "test_rate_wm")
     table, stream = _split_source(spark, base, n=2)
     events = decode_stream(stream, samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS)
     q = start_table_sink(
@@ -136,7 +168,7 @@ def test_kafka_shaped_stream_decodes_like_the_table(spark):
     partition, offset, timestamp) give the same events as the table path."""
     from routecast.sources.envelopes import epoch_millis_ntz, kafka_to_envelope
 
-    base = stream_checkpoint(spark, "test_kafka_shape")
+    base = scratch_folder(spark, "test_kafka_shape")
     table = read_table(spark, SF, "events")
     kafka_rows = table.select(
         F.col("user_id").cast("string").cast("binary").alias("key"),
@@ -166,7 +198,7 @@ def test_kafka_shaped_stream_decodes_like_the_table(spark):
 
 
 def test_paged_stream_batches(spark):
-    base = stream_checkpoint(spark, "test_paged")
+    base = scratch_folder(spark, "test_paged")
     table, stream = _split_source(spark, base, n=3)
     q = start_routed(
         stream,
@@ -191,7 +223,7 @@ def test_control_log_drives_a_running_stream(spark):
     from routecast import schema as S
     from routecast.operators.bindings import append_binding_ops, log_bindings_loader
 
-    base = stream_checkpoint(spark, "test_control_log")
+    base = scratch_folder(spark, "test_control_log")
     table = read_table(spark, SF, "events")
     cut = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     log_path = base + "/log"
@@ -214,7 +246,7 @@ def test_control_log_drives_a_running_stream(spark):
     append_binding_ops(
         spark,
         log_path,
-        [(1, S.OP_REBIND, "view", "samples", "short_only"), (2, S.OP_BIND, "view", "samples", "missing")],
+        [(1, S.OP_REBIND, "view", "samples", "even_k"), (2, S.OP_BIND, "view", "samples", "missing")],
         catalog,
     )
     table.filter(~cut).write.mode("append").parquet(base + "/src")
@@ -222,5 +254,5 @@ def test_control_log_drives_a_running_stream(spark):
     assert spark.read.parquet(log_path).filter(~F.col("valid")).count() == 1  # the rejected bind
     out = read_routed(spark, base + "/out").filter(F.col("topic") == "view")
     by_batch = {r["batch_id"]: r["tbl"] for r in out.select("batch_id", "tbl").distinct().collect()}
-    assert sorted(by_batch.values()) == ["json_k", "short_only"]
+    assert sorted(by_batch.values()) == ["even_k", "json_k"]
     assert out.count() == table.filter(F.col("event_type") == "view").count()
