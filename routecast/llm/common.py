@@ -177,14 +177,15 @@ SALTS = 32
 def small_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Null-safe join of ``left`` with a ``right`` of distinct ``keys``. Up to
     ``max_rows`` (counted) ``right`` is broadcast; beyond, a key's rows on the
-    left are spread over ``SALTS`` partitions, each with a copy of the right
-    row. ``right``'s other columns must not occur in ``left``."""
+    left are spread over ``SALTS`` partitions by a hash of their columns (the
+    same when a task is run again), each with a copy of the right row.
+    ``right``'s other columns must not occur in ``left``."""
     renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     if right.limit(max_rows + 1).count() <= max_rows:
         on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
         return left.join(F.broadcast(renamed), on, how).drop(*[f"_r_{k}" for k in keys])
     salt = fresh(left, "_salt")
-    salted = left.withColumn(salt, F.floor(F.rand(7) * SALTS).cast("int"))
+    salted = left.withColumn(salt, F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int"))
     renamed = renamed.withColumn("_r_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys] + [F.col(salt) == F.col("_r_salt")]
     return salted.join(renamed, on, how).drop(salt, "_r_salt", *[f"_r_{k}" for k in keys])
