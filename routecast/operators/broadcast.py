@@ -36,6 +36,14 @@ def _remember(df: DataFrame) -> None:
             pass
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """A small derived table (one row per interval, bucket or the like) that a
+    plan reads more than once, persisted when first computed."""
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _remember(cached)
+    return cached
+
+
 def within_bound(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> tuple[DataFrame, bool]:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from routecast import schema as S
-from routecast.operators.broadcast import MAX_BROADCAST_ROWS, bounded_broadcast
+from routecast.operators.broadcast import MAX_BROADCAST_ROWS, bounded_broadcast, computed_once
 from routecast.operators.stats import floor_div
 
 DEFAULT_BUCKET_WIDTH = 1 << 14  # messages, with their payloads, in one sort
@@ -86,7 +86,7 @@ def drain_pages(
     keyed = floor_div(keyed, F.col("offset"), bucket_width, "_by_offset")
     keyed = floor_div(keyed, F.col("_content"), HASH_BUCKET, "_by_content")
     keyed = keyed.withColumn("_bucket", F.coalesce("_by_offset", "_by_content")).drop("_by_offset", "_by_content")
-    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = computed_once(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
     side, _ = bounded_broadcast(bucket_bases(counts), max_broadcast_rows)
     in_bucket = Window.partitionBy(*keys).orderBy("offset", "_content")
     numbered = keyed.withColumn("_rn", F.row_number().over(in_bucket))

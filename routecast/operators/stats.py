@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from routecast import schema as S
+from routecast.operators.broadcast import computed_once
 
 _NS_PER_SEC = 1_000_000_000
 
@@ -129,6 +130,7 @@ def event_rate(
         .groupBy("bucket")
         .agg(*_counters(), F.max(F.col("_t") > 0).alias("_timed"))
     )
+    per_bucket = computed_once(per_bucket)  # one row per interval
     if dense:
         # Fill idle intervals only across messages that carry a time: those
         # without one (ingest_ns 0) keep their own bucket instead of
