@@ -15,7 +15,8 @@ what reaches the driver is ``DIM`` numbers per language.
 Defined results: null texts and texts without a letter get ``und`` and score
 0, as does every text when nothing was learned; scores are the cosine, at
 least 0; every input row gives one row, repeated rows and null ids included;
-other columns are ignored; an empty table gives an empty table.
+other columns pass through, also those named like the result's; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from routecast.llm.common import bucket_of_id, mix64, row_slices, string_buffers, table
+from routecast.llm.common import bucket_of_id, fresh, mix64, row_slices, string_buffers, table
 
 DIM = 512
 UNKNOWN = "und"
@@ -131,14 +132,12 @@ def prototypes(df: DataFrame, text_col: str, lang_col: str, dim: int = DIM) -> t
 def identify(
     df: DataFrame, langs: list[str], protos: np.ndarray, text_col: str = "text", keep: list[str] | None = None
 ) -> DataFrame:
-    """``keep`` (all columns, unless given) with lang_pred and score."""
+    """``keep`` (all columns, unless given), then lang_pred and score; each gets
+    an underscore more where ``df`` has such a column."""
     keep = list(df.columns) if keep is None else keep
     dim = protos.shape[1] if len(langs) else DIM
     unit = protos / np.linalg.norm(protos, axis=1, keepdims=True) if len(langs) else protos
     shared = df.sparkSession.sparkContext.broadcast(unit)
-    clash = {c.lower() for c in keep} & {"lang_pred", "score"}
-    if clash:
-        raise ValueError(f"rename {sorted(clash)} first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = shared.value
@@ -167,7 +166,8 @@ def identify(
         [own.schema[n] for n in names] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     )
     out = own.mapInArrow(run, schema)
-    return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], "lang_pred", "score")
+    found = [F.col(c).alias(fresh(df, c)) for c in ("lang_pred", "score")]
+    return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], *found)
 
 
 def held_out(id_col: str) -> Column:

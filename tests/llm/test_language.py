@@ -42,6 +42,8 @@ def test_edges(spark):
     for r in got:
         want = {1: "und", 2: "und", 3: "und", 5: "b"}.get(r.doc_id, "a")
         assert r.lang_pred == want and 0 <= r.score <= 1 and (r.score == 0) == (want == "und")
+    clash = language.identify(df.withColumn("score", F.lit(7)), langs, protos)
+    assert clash.columns[-3:] == ["score", "lang_pred", "score_"] and {r.score for r in clash.collect()} == {7}
     none = language.identify(df, *language.prototypes(df.where("false"), "text", "lang"))
     assert {r.lang_pred for r in none.collect()} == {"und"}
     assert language.identify(df.where("false"), langs, protos).collect() == []
