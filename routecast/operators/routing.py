@@ -59,9 +59,21 @@ def unique_bindings(bindings: DataFrame) -> DataFrame:
     return binding_table(bindings, None)
 
 
-def _join_on_topic(big: DataFrame, small: DataFrame, max_rows: int) -> DataFrame:
-    side, _ = bounded_broadcast(small, max_rows)
-    return big.join(side, "topic", "left")
+# Partitions that a topic's messages are spread over when the binding table is
+# too large to broadcast.
+SALTS = 16
+
+
+def _join_on_topic(big: DataFrame, small: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+    """Left join with a table of distinct topics, and whether it was small
+    enough to broadcast. If not, a topic's messages are spread over ``SALTS``
+    keys by a hash of their columns, each with a copy of the topic's row."""
+    side, within = bounded_broadcast(small, max_rows)
+    if within or big.isStreaming:
+        return big.join(side, "topic", "left"), within
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int"))
+    return spread.join(copies, ["topic", "_salt"], "left").drop("_salt"), False
 
 
 # Up to this many distinct symbols are read back to the driver to trim the
@@ -109,9 +121,9 @@ def _route(
     table = binding_table(bindings, topics).select(
         "topic", F.col("library").alias("decoder_library"), F.col("symbol").alias("decoder")
     )
-    side, small = bounded_broadcast(table, max_broadcast_rows)
+    routed, small = _join_on_topic(envelopes, table, max_broadcast_rows)
     bound = bound_decoders(table, "decoder_library", "decoder") if small and read_bound else None
-    return envelopes.join(side, "topic", "left"), bound
+    return routed, bound
 
 
 def require_envelope(df: DataFrame, extra: Iterable[str] = ()) -> None:
@@ -197,7 +209,7 @@ def to_drain(
         tbl = F.coalesce(F.col("decoder"), F.col("topic"), F.lit(""))
         return events.select(tbl.alias("tbl"), "topic", "kind", "data", "err", *keep)
     labels = unique_bindings(label_bindings).select("topic", F.col("symbol").alias("_label"))
-    joined = _join_on_topic(events, labels, max_broadcast_rows)
+    joined, _ = _join_on_topic(events, labels, max_broadcast_rows)
     return joined.select(
         F.coalesce(F.col("_label"), F.col("topic"), F.lit("")).alias("tbl"), "topic", "kind", "data", "err", *keep
     )

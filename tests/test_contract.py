@@ -239,3 +239,8 @@ def test_route_without_broadcast_gives_the_same_events(spark):
     small = decode(env, b, reg, topics=samples.EVENT_TOPICS)
     big = decode(env, b, reg, topics=samples.EVENT_TOPICS, max_broadcast_rows=0)
     assert rows(small) == rows(big)
+    plan = big._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan  # a hot topic is spread over several keys
+    labels = samples.event_bindings(spark)
+    label_rows = [sorted(map(str, to_drain(small, labels, n).collect())) for n in (10, 0)]
+    assert label_rows[0] == label_rows[1]
