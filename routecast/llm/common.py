@@ -26,7 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     named = tempfile.mkdtemp(prefix="routecast-llm-")
     spark.conf.set("spark.checkpoint.dir", named)
