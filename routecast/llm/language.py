@@ -107,7 +107,7 @@ def prototypes(df: DataFrame, text_col: str, lang_col: str, dim: int = DIM) -> t
         for b in batches:
             raw, offs = string_buffers(b.column("text"))
             langs = np.asarray(b.column("lang").to_pylist(), dtype=object)
-            for i, j in row_slices(offs, SLICE_BYTES * 16):
+            for i, j in row_slices(offs, SLICE_BYTES * 4):
                 names, groups = np.unique(langs[i:j].astype(str), return_inverse=True)
                 part = profiles(raw[offs[i] : offs[j]], offs[i : j + 1] - offs[i], groups, len(names), dim)
                 for name, vec in zip(names.tolist(), part):
