@@ -3,10 +3,11 @@
 A rule names a host, which also stands for its subdomains, and a path prefix;
 of the rules that fit, the longest decides. URLs that no rule decides are
 judged by boosted trees on lexical features (lengths, depths, digit ratio,
-character entropy, parameters, hyphens) and on suffix statistics: the share of
-blocked URLs among the labelled ones below the same last label, and the last
-two labels, of the host. The labelled URLs are those that rules decide; the
-trees are fitted on about ``MAX_TRAIN`` of them, chosen by hash. Only
+character entropy, parameters, hyphens) and on suffix statistics: the number
+of labelled URLs below the same last label, and the last two labels, of the
+host, and the share of blocked ones among them. The labelled URLs are those
+that rules decide; the statistics are taken over all of them, the trees are
+fitted on about ``MAX_TRAIN``, chosen by hash per verdict. Only
 DataFrame functions and the DataFrame-based ``pyspark.ml`` trees run.
 
 Defined results: a null URL, or one without ``://``, has an empty host and
@@ -87,23 +88,27 @@ def _entropy(url: Column) -> Column:
     )
 
 
+def _suffixes(df: DataFrame) -> DataFrame:
+    """``df`` with the last label, and the last two labels, of the host."""
+    labels = F.split("host", r"\.", -1)
+    two = F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), F.lit(2)), ".")
+    return df.withColumns({"one_label": F.element_at(labels, -1), "two_label": two})
+
+
 def lexical(df: DataFrame, url_col: str) -> DataFrame:
     url = F.coalesce(F.col(url_col), F.lit(""))
-    labels = F.split("host", r"\.", -1)
     n = F.greatest(F.length(url), F.lit(1))
-    return df.withColumns(
+    return _suffixes(df).withColumns(
         {
             "url_length": F.length(url).cast("double"),
             "host_length": F.length("host").cast("double"),
             "path_length": F.length("path").cast("double"),
-            "host_depth": F.size(labels).cast("double"),
+            "host_depth": F.size(F.split("host", r"\.", -1)).cast("double"),
             "path_depth": F.regexp_count(F.col("path"), F.lit("/")).cast("double"),
             "digit_ratio": F.regexp_count(url, F.lit("[0-9]")) / n,
             "entropy": _entropy(url),
             "params": F.regexp_count(F.regexp_extract(url, r"\?([^#]*)", 1), F.lit("[^&]+")).cast("double"),
             "hyphens": F.regexp_count(F.col("host"), F.lit("-")).cast("double"),
-            "one_label": F.element_at(labels, -1),
-            "two_label": F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), F.lit(2)), "."),
         }
     )
 
@@ -114,6 +119,20 @@ def _with_suffixes(df: DataFrame, stats: dict[str, DataFrame]) -> DataFrame:
     return df
 
 
+def _sample(labelled: DataFrame, rows: dict[float, int], max_train: int) -> DataFrame:
+    """About ``max_train`` rows, of each verdict its share but a quarter at
+    least, or all it has; ``weight`` restores the verdicts' shares."""
+    lot = F.pmod(F.xxhash64("_id", "_url"), F.lit(1 << 40))
+    taken = []
+    for label, n in rows.items():
+        rate = min(1.0, max(max_train * n / sum(rows.values()), max_train / 4) / n)
+        own = labelled.where((F.col("label") == label) & (lot < int(rate * (1 << 40))))
+        if own.isEmpty():  # its rows share a few hashes
+            own, rate = labelled.where(F.col("label") == label).limit(1), 1 / n
+        taken.append(own.withColumn("weight", F.lit(1 / rate)))
+    return taken[0].unionByName(taken[1])
+
+
 def judge(df: DataFrame, id_col: str, url_col: str, rules: list[Rule] = RULES, max_train: int = MAX_TRAIN) -> DataFrame:
     """``id_col``, host, path, rule, verdict and, for URLs that the trees
     judge, their probability of a block."""
@@ -126,26 +145,29 @@ def judge(df: DataFrame, id_col: str, url_col: str, rules: list[Rule] = RULES, m
     text, verdict = decide(rules)
     own = own.withColumns({"rule": text, "ruled": verdict})
     labelled = own.where("rule IS NOT NULL")
-    share = min(1.0, max_train / max(1, labelled.count()))
-    sample = labelled.where(F.pmod(F.xxhash64("_id", "_url"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    sample = sample.withColumn("label", (F.col("ruled") == "block").cast("double"))
-    sample = written(spark, lexical(sample, "_url"), "labelled")  # bounded by max_train
-    counts = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
+    labelled = _suffixes(labelled.withColumn("label", (F.col("ruled") == "block").cast("double")))
+    total = labelled.groupBy("one_label", "two_label").agg(F.sum("label").alias("blocked"), F.count(F.lit(1)).alias("rows"))
+    total = written(spark, total, "suffixes")
+    both = total.agg(F.sum("blocked").alias("blocked"), F.sum("rows").alias("rows")).first()
+    rows = {1.0: int(both.blocked or 0), 0.0: int((both.rows or 0) - (both.blocked or 0))}
     out = ["_id", "host", "path", "rule"]
-    if len(counts) < 2:
-        default = F.lit("block" if counts.get(1.0) else "allow")
+    if not all(rows.values()):
+        default = F.lit("block" if rows[1.0] else "allow")
         judged = own.select(*out, F.coalesce("ruled", default).alias("verdict"), F.lit(None).cast("double").alias("p_block"))
         return judged.withColumnRenamed("_id", id_col)
+    sample = written(spark, lexical(_sample(labelled, rows, max_train), "_url"), "labelled")
     stats = {
-        name: sample.groupBy(name).agg(
-            ((F.sum("label") + 1) / (F.count(F.lit(1)) + 2)).alias(f"{name}_share"),
-            F.count(F.lit(1)).cast("double").alias(f"{name}_n"),
+        name: total.groupBy(name).agg(
+            ((F.sum("blocked") + 1) / (F.sum("rows") + 2)).alias(f"{name}_share"),
+            F.sum("rows").cast("double").alias(f"{name}_n"),
         )
         for name in ("one_label", "two_label")
     }
     to_vector = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    trees = GBTClassifier(labelCol="label", featuresCol="features", maxIter=ROUNDS, maxDepth=DEPTH, seed=SEED)
-    model = trees.fit(to_vector.transform(_with_suffixes(sample, stats)).select("features", "label"))
+    trees = GBTClassifier(
+        labelCol="label", featuresCol="features", weightCol="weight", maxIter=ROUNDS, maxDepth=DEPTH, seed=SEED
+    )
+    model = trees.fit(to_vector.transform(_with_suffixes(sample, stats)).select("features", "label", "weight"))
     scored = model.transform(to_vector.transform(_with_suffixes(lexical(own, "_url"), stats)))
     by_trees = F.when(F.col("prediction") > 0.5, F.lit("block")).otherwise(F.lit("allow"))
     p = F.when(F.col("rule").isNull(), F.get(vector_to_array("probability"), F.lit(1)))

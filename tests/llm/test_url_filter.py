@@ -72,3 +72,21 @@ def test_trees_learn_a_lexical_rule(spark):
     got = u.judge(spark.createDataFrame(rows, "page_id long, url string"), "page_id", "url").where("rule IS NULL").collect()
     right = sum((r.verdict == "block") == bool(r.page_id % 2) for r in got)
     assert len(got) == 99 and right >= 90
+
+
+def test_suffix_statistics_use_all_labelled_urls(spark):
+    """Only a host's own labelled URLs tell its verdict."""
+    rules = [u.Rule("block", "net", "/b/"), u.Rule("allow", "net", "/a/")]
+    hosts = [f"h{chr(97 + i // 26)}{chr(97 + i % 26)}.net" for i in range(200)]
+    urls = [(f"http://{h}/{'ab'[i % 2]}/", i) for i, h in enumerate(hosts) for _ in range(15)]
+    urls += [(f"http://{h}/c/", i) for i, h in enumerate(hosts)]
+    df = spark.createDataFrame([(k, x, i % 2) for k, (x, i) in enumerate(urls)], "page_id long, url string, want int")
+    got = u.judge(df, "page_id", "url", rules, max_train=200).where("rule IS NULL").join(df, "page_id").collect()
+    assert len(got) == 200
+    assert sum((r.verdict == "block") == bool(r.want) for r in got) >= 198
+
+
+def test_rare_verdict_is_learned(spark):
+    rows = [(i, f"http://a{i}.com/p") for i in range(3000)] + [(5000, "http://b.net/es/"), (5001, "http://c.org/")]
+    got = u.judge(spark.createDataFrame(rows, "page_id long, url string"), "page_id", "url", max_train=20)
+    assert got.where("rule IS NULL").first().p_block is not None
