@@ -1,7 +1,9 @@
 """Best-fit decreasing packing of tokenised texts into windows.
 
 A text's ids (and the end id) longer than a window are first cut into full
-windows and a rest. Pieces go, longest first, to the tightest open window with
+windows and a rest. Added tokens of the vocabulary's json (``<|endoftext|>``)
+that stand in a text are cut out first and have their own ids, as in the
+``tokenizers`` library. Pieces go, longest first, to the tightest open window with
 room, which a segment tree over remaining capacities finds; without one, a new
 window opens. Pieces are dealt by hash into shards of about ``SHARD_PIECES``,
 each sorted by Spark and packed in one pass that holds only the open windows.
@@ -14,6 +16,8 @@ empty table gives an empty table.
 
 from __future__ import annotations
 
+import json
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from routecast.llm.bpe import vocabulary
+from routecast.llm.bpe import read_ranks
 from routecast.llm.common import table, written
 
 WINDOW = 2048
@@ -30,6 +34,27 @@ END_ID = 1
 SHARD_PIECES = 1 << 16
 
 
+_loaded: dict[str, object] = {}
+
+
+def vocabulary(ranks_path: str):
+    """The encoder of a rank file with the added tokens of the json file
+    beside it, if any; one per Python worker."""
+    if ranks_path not in _loaded:
+        import public_tokenizers
+        import tiktoken
+
+        added, beside = {}, os.path.splitext(ranks_path)[0] + ".json"
+        if os.path.exists(beside):
+            with open(beside, encoding="utf-8") as f:
+                added = {x["content"]: x["id"] for x in json.load(f)["added_tokens"]}
+        ranks = {k: v for k, v in read_ranks(ranks_path).items() if v not in added.values()}
+        _loaded[ranks_path] = tiktoken.Encoding(
+            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added
+        )
+    return _loaded[ranks_path]
+
+
 class OpenWindows:
     """Open windows by remaining capacity. A heap-shaped tree over capacities
     0..window marks which subtrees hold any."""
@@ -84,7 +109,7 @@ def pieces(
             for at in range(0, b.num_rows, 256):
                 row, start, length, total, ids = [], [], [], [], []
                 for i, t in enumerate(texts.slice(at, 256).to_pylist(), at):
-                    own = np.asarray([*(enc.encode_ordinary(t) if t else ()), end_id], "<u4")
+                    own = np.asarray([*(enc.encode(t, allowed_special="all") if t else ()), end_id], "<u4")
                     for s in range(0, len(own), window):
                         cut = own[s : s + window]
                         row.append(i)

@@ -64,6 +64,16 @@ def test_edges(spark):
     assert packing.pack(spark, empty).collect() == []
 
 
+def test_added_tokens_in_a_text(spark):
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [end, f"a {end} b", f"{end}{end}", f"a  {end}\n\n  b{end}", f"x<|{end}|>é", "<|endoftext", f" {end} "]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in packing.pieces(df, RANKS).collect()}
+    assert got == {i: [*t.encode(x, add_special_tokens=False).ids, 1] for i, x in enumerate(texts)}
+    assert got[1] == [64, 220, 50256, 275, 1]
+
+
 def test_query(spark):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
