@@ -3,11 +3,11 @@
 A text's ids (and the end id) longer than a window are first cut into full
 windows and a rest. Added tokens of the vocabulary's json (``<|endoftext|>``)
 that stand in a text are cut out first and have their own ids, as in the
-``tokenizers`` library. Pieces go, longest first, to the tightest open window with
-room, which a segment tree over remaining capacities finds; without one, a new
-window opens. Pieces are dealt by hash into shards of about ``SHARD_PIECES``,
-each sorted by Spark and packed in one pass that holds only the open windows.
-Only lengths move, never ids.
+``tokenizers`` library. Pieces go, longest first, to the tightest open window
+with room, which a segment tree over remaining capacities finds; without one,
+a new window opens. Pieces are dealt by a hash of their place in the written
+table into shards of about ``SHARD_PIECES``, whatever their ids, each sorted by
+Spark and packed in one pass that holds only the open windows. Only lengths move, never ids.
 
 Defined results: a null or empty text is the end id alone; every input row is
 packed, repeated rows and null ids included; other columns are ignored; an
@@ -158,7 +158,7 @@ def pack(
             )
 
     dealt = (
-        cut.withColumn("_shard", F.pmod(F.xxhash64(id_col, "start"), F.lit(shards)))
+        cut.withColumn("_shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
         .repartition(shards, "_shard")
         .sortWithinPartitions("_shard", F.desc("length"), id_col, "start")
     )

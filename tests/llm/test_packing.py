@@ -74,6 +74,16 @@ def test_added_tokens_in_a_text(spark):
     assert got[1] == [64, 220, 50256, 275, 1]
 
 
+def test_shards_of_rows_without_an_id(spark):
+    df = spark.createDataFrame([(None, "word")] * 400, "doc_id long, text string")
+    cut = written(spark, packing.pieces(df, RANKS, window=16), "t")
+    got = packing.pack(spark, cut, window=16, shard_pieces=100).collect()
+    whole(got, 16)
+    assert len(got) == 400
+    per = [sum(r.sequence_id >> 40 == s for r in got) for s in range(4)]
+    assert sum(per) == 400 and max(per) <= 200
+
+
 def test_query(spark):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
