@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from routecast.llm import (
     bpe,
+    fill_middle,
     html_text,
     language,
     line_dedup,
@@ -11,19 +12,32 @@ from routecast.llm import (
     multi_index,
     packing,
     quality,
+    spelling,
     suffix_tree,
     url_filter,
 )
 
 
-
 def _pipeline(spark, sf_dir):
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-_MODULES = (bpe, html_text, language, line_dedup, minhash, multi_index, packing, quality, suffix_tree, url_filter)
+_MODULES = (
+    bpe,
+    fill_middle,
+    html_text,
+    language,
+    line_dedup,
+    minhash,
+    multi_index,
+    packing,
+    quality,
+    spelling,
+    suffix_tree,
+    url_filter,
+)
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 QUERIES["pipeline"] = _pipeline
