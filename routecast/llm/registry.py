@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from routecast.llm import (
     bpe,
+    cap_filters,
     fill_middle,
     html_text,
     language,
@@ -26,6 +27,7 @@ def _pipeline(spark, sf_dir):
 
 _MODULES = (
     bpe,
+    cap_filters,
     fill_middle,
     html_text,
     language,
