@@ -18,7 +18,8 @@ chunks and grams of a key would make more than ``most`` pairs a row, the key
 is made finer: what the two words do not share yet still holds at most one
 edit, so of its two halves one is the same again and joins the key. That goes
 on down to a single open place, where at most as many words meet as there are
-letters. Pairs stay in proportion to words, and none is lost.
+letters. Pairs stay in proportion to words, and none is lost. A pair whose
+chunks, or halves, are both the same counts where the first one is.
 
 Defined results: null texts have no words; a null id counts as an empty one;
 repeated rows are counted as often as they occur; other columns are ignored;
@@ -45,7 +46,8 @@ SLICE_BYTES = 1 << 20
 FLUSH_BYTES = 1 << 24
 TYPO_EVERY = 97
 MIN_LENGTH, MIN_COUNT = 5, 3
-MOST = 16  # pairs a row of a key
+MOST = 32  # pairs a row of a key
+HOT = 50_000  # rows of a key that a join deals to one task
 
 
 def slices(text: bytes) -> Iterator[tuple[int, int]]:
@@ -119,7 +121,7 @@ def chunks(words: DataFrame) -> DataFrame:
     last = F.struct(
         F.xxhash64("size", F.lit(1), _piece("x", F.col("size") - q, F.col("size"))).alias("key"),
         zero.alias("a"),
-        (F.col("size") - q).cast("int").alias("b"),
+        q.cast("int").alias("b"),
     )
     return own.select("x", "n_x", F.explode(F.array(first, last)).alias("c")).select("c.key", "x", "n_x", "c.a", "c.b")
 
@@ -136,7 +138,7 @@ def grams(words: DataFrame) -> DataFrame:
     last = F.struct(
         F.xxhash64("size", F.lit(1), _piece("y", F.col("own") - q, F.col("own"))).alias("key"),
         zero.alias("a"),
-        (F.col("size") - q).cast("int").alias("b"),
+        q.cast("int").alias("b"),
     )
     return own.select("y", "n_y", "d", F.explode(F.array(first, last)).alias("c")).select("c.key", "y", "n_y", "d", "c.a", "c.b")
 
@@ -163,24 +165,31 @@ def near_pairs(words: DataFrame, most: int = MOST) -> DataFrame:
     spark = words.sparkSession
     left, right, found = chunks(words), grams(words), []
     while True:
-        left, right = written(spark, left, "chunks"), written(spark, right, "grams")
         load = left.groupBy("key").agg(F.count(F.lit(1)).alias("l"), F.first(F.col("b") - F.col("a")).alias("open"))
         load = load.join(right.groupBy("key").agg(F.count(F.lit(1)).alias("r")), "key")
         crowded = F.col("l").cast("double") * F.col("r") > most * (F.col("l") + F.col("r"))
-        load = written(spark, load.select("key", (crowded & (F.col("open") > 1)).alias("again")), "load", slim=True)
-        again = load.where("again").select("key")
-        cold = small_join(left, again, ["key"], "left_anti")
-        met = cold.select("key", "x", "n_x").join(right.select("key", "y", "n_y", "d"), "key")
-        near = ((F.col("d") == 1) | (F.col("x") < F.col("y"))) & (F.levenshtein("x", "y", 1) == 1)
+        load = load.select("key", (crowded & (F.col("open") > 1)).alias("again"), (F.col("l") + F.col("r")).alias("rows"))
+        load = written(spark, load, "load", slim=True)
+        # the few keys with very many rows never meet in a task: their rows are found by a broadcast of at most rows / HOT keys
+        hot = F.broadcast(load.where(F.col("again") & (F.col("rows") > HOT)).select("key"))
+        others = load.where(~F.col("again") | (F.col("rows") <= HOT))
+        cool = [side.join(hot, "key", "left_anti") for side in (left, right)]
+        met = [side.join(others.where("NOT again").select("key"), "key") for side in cool]
+        met = met[0].join(met[1].select("key", "y", "n_y", "d"), "key")
+        # both chunks, or halves, may be the same: the pair counts where the first one is
+        first = (F.col("b") == F.char_length("x")) | (F.substr("x", F.lit(1), F.col("b")) != F.substr("y", F.lit(1), F.col("b")))
+        near = ((F.col("d") == 1) | (F.col("x") < F.col("y"))) & first & (F.levenshtein("x", "y", 1) == 1)
         found.append(written(spark, met.where(near).select("x", "n_x", "y", "n_y"), "near"))
-        if again.isEmpty():
+        if load.where("again").isEmpty():
             break
-        left = finer(small_join(left, again, ["key"], "inner"), "x", F.lit(0))
-        right = finer(small_join(right, again, ["key"], "inner"), "y", F.col("d"))
+        again = [side.join(others.where("again").select("key"), "key") for side in cool]
+        again = [a.unionByName(side.join(hot, "key", "left_semi")) for a, side in zip(again, (left, right))]
+        left = written(spark, finer(again[0], "x", F.lit(0)), "chunks")
+        right = written(spark, finer(again[1], "y", F.col("d")), "grams")
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    return pairs.distinct()
+    return pairs
 
 
 def roots(spark: SparkSession, forms: DataFrame) -> DataFrame:
