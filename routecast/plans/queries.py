@@ -23,10 +23,12 @@ from routecast.operators.bindings import (
     validate_log,
 )
 from routecast.operators.paging import drain_pages
-from routecast.operators.routing import decode, split_events, to_drain
+from routecast.operators.routing import decode, decode_routed, split_events, to_drain
 from routecast.operators.stats import dispatch_counts, event_rate, event_totals
 from routecast.plans import samples
 from routecast.sources.local import local_table
+from routecast.sources.segments import append_segments, read_segments
+from routecast.streaming.state import CLOCK_OP, RATE_COLUMNS, live_rate_totals, rocksdb_state, route_as_of_stream
 from routecast.streaming.stream import (
     decode_stream,
     file_stream,
@@ -864,6 +866,177 @@ def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drain_hex(read_routed(spark, base + "/out"))
 
 
+# ---------------------------------------------------------------------------
+# The segmented log as a source
+# ---------------------------------------------------------------------------
+
+SUBSCRIBED = ["click", "purchase", "view"]
+
+
+def _log_part(spark: SparkSession, sf_dir: str, part: int) -> DataFrame:
+    """One part of `events` (of consecutive offsets) as envelopes."""
+    env = read_events(spark, sf_dir)
+    span = env.agg((F.max("offset") + 1).alias("n")).first()["n"] or 1
+    at = F.expr(f"(offset * {STREAM_PARTS}) div {span}")
+    return env.where(at == part)
+
+
+def _append_part(spark: SparkSession, sf_dir: str, path: str, part: int) -> None:
+    append_segments(_log_part(spark, sf_dir, part), path, width=4096)
+
+
+def _envelope_hex(df: DataFrame) -> DataFrame:
+    return df.select(
+        "topic", "partition", "offset", "timestamp_ms", F.hex("key").alias("key_hex"), F.hex("payload").alias("payload_hex")
+    )
+
+
+_SQL_ENVELOPE_HEX = "WITH" + SQL_EVENT_ENV + """
+SELECT topic, "partition", "offset", timestamp_ms, hex("key") AS key_hex, hex(encode(payload)) AS payload_hex
+FROM env WHERE topic IN ('click', 'purchase', 'view')"""
+
+
+def _sunk(spark: SparkSession, base: str) -> DataFrame:
+    out = spark.read.option("basePath", base + "/out").schema(S.ENVELOPE_SCHEMA).parquet(base + "/out")
+    return _envelope_hex(out)
+
+
+@register("segment_source", _SQL_ENVELOPE_HEX)
+def q_segment_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly the named topics, from the earliest offset, with a
+    consumer's configuration; each part of the log arrives while it runs."""
+    base = scratch_folder(spark, "segment_source")
+    _append_part(spark, sf_dir, base + "/log", 0)
+    cfg = {"group.id": "routecast", "auto.offset.reset": "beginning", "enable.auto.commit": True, "decode_threads": 4}
+    df = read_segments(spark, base + "/log", SUBSCRIBED, cfg)
+    q = start_table_sink(df, base + "/out", base + "/ck", "append", processing_time="0 seconds")
+    try:
+        q.processAllAvailable()
+        for part in range(1, STREAM_PARTS):
+            _append_part(spark, sf_dir, base + "/log", part)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    return _sunk(spark, base)
+
+
+@register("segment_source_latest", _SQL_ENVELOPE_HEX + f"""
+AND "offset" * {STREAM_PARTS} // (SELECT max("offset") + 1 FROM env) = {STREAM_PARTS - 1}""")
+def q_segment_source_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that starts at the latest offset reads the last part only,
+    which arrives after it started."""
+    base = scratch_folder(spark, "segment_source_latest")
+    for part in range(STREAM_PARTS - 1):
+        _append_part(spark, sf_dir, base + "/log", part)
+    df = read_segments(spark, base + "/log", SUBSCRIBED, {"auto.offset.reset": "latest"})
+    q = start_table_sink(df, base + "/out", base + "/ck", "append", processing_time="0 seconds")
+    try:
+        q.processAllAvailable()
+        _append_part(spark, sf_dir, base + "/log", STREAM_PARTS - 1)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return _sunk(spark, base)
+
+
+@register("segment_source_offsets", _SQL_ENVELOPE_HEX + """
+AND CASE WHEN topic = 'click' THEN "offset" >= (SELECT max("offset") // 2 FROM env) + 100 * "partition"
+         WHEN topic = 'view' AND "partition" = 1 THEN "offset" < (SELECT max("offset") // 2 FROM env)
+         ELSE topic <> 'purchase' OR "partition" <> 0 END""")
+def q_segment_source_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bounded read between given offsets of single partitions."""
+    base = scratch_folder(spark, "segment_source_offsets")
+    for part in range(STREAM_PARTS):
+        _append_part(spark, sf_dir, base + "/log", part)
+    half = (read_events(spark, sf_dir).agg(F.max("offset")).first()[0] or 0) // 2
+    start = {"click": {str(p): half + 100 * p for p in range(4)}}
+    end = {topic: {str(p): -1 for p in range(4)} for topic in SUBSCRIBED}
+    end["view"]["1"], end["purchase"]["0"] = half, 0
+    return _envelope_hex(
+        read_segments(spark, base + "/log", SUBSCRIBED, stream=False, starting_offsets=start, ending_offsets=end)
+    )
+
+
+@register("segment_source_bounded", _SQL_ENVELOPE_HEX)
+def q_segment_source_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches of at most a third of a part's offsets, stopped
+    after each part and started again on the same checkpoint."""
+    base = scratch_folder(spark, "segment_source_bounded")
+    for part in range(STREAM_PARTS):
+        _append_part(spark, sf_dir, base + "/log", part)
+        ends = _log_part(spark, sf_dir, part).groupBy("topic", "partition").agg((F.max("offset") - F.min("offset") + 1).alias("n"))
+        n = ends.where(F.col("topic").isin(SUBSCRIBED)).agg(F.sum("n")).first()[0] or 1
+        cfg = {"auto.offset.reset": "earliest", "maxOffsetsPerTrigger": max(1, n // 3 + 1)}
+        df = read_segments(spark, base + "/log", SUBSCRIBED, cfg, progress=base + "/progress")
+        q = start_table_sink(df, base + "/out", base + "/ck", "append", processing_time="0 seconds")
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+    return _sunk(spark, base)
+
+
+# ---------------------------------------------------------------------------
+# T3 and J2 with state
+# ---------------------------------------------------------------------------
+
+
+@register("stream_rate_totals", ORACLES["event_rate_dense"])
+def q_stream_rate_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running totals, rate and idle intervals, live; the stream is stopped
+    after each part and started again."""
+    base = scratch_folder(spark, "stream_rate_totals")
+    table = read_table(spark, sf_dir, "events")
+    for part in range(STREAM_PARTS):
+        _write_part(table, part, base + "/src")
+        env = events_envelopes(file_stream(spark, base + "/src", table.schema, max_files_per_trigger=4))
+        events = decode_stream(env, samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS)
+        with rocksdb_state(spark):
+            q = start_table_sink(
+                live_rate_totals(events, RATE_INTERVAL_S), base + "/out", base + "/ck", "update", available_now=True
+            )
+        q.awaitTermination()
+    return latest_per_key(spark, base + "/out", ["bucket_start_ms"]).select(*RATE_COLUMNS)
+
+
+@register("stream_route_as_of", ORACLES["route_as_of"])
+def q_stream_route_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 on two streams: each part of the messages comes before the part of
+    the control log that it needs, and the stream is restarted between. A last
+    clock row lets go of what still waits."""
+    base = scratch_folder(spark, "stream_route_as_of")
+    table = read_table(spark, sf_dir, "events")
+    log = samples.daily_binding_log(table)
+    order = log.agg(F.min("effective_at").alias("lo"), F.max("effective_at").alias("hi")).first()
+    lo, hi = order.lo or 0, order.hi or 0
+    part_of = F.least(F.expr(f"((effective_at - {lo}) * {STREAM_PARTS}) div {max(1, hi - lo)}"), F.lit(STREAM_PARTS - 1))
+    last = local_table(spark, [(hi + 10 * 86_400_000, 0, CLOCK_OP, "", None, None, True)], S.BINDING_LOG_SCHEMA)
+    for part in range(STREAM_PARTS + 1):
+        if part < STREAM_PARTS:
+            _write_part(table, part, base + "/src")
+            operations = log.where(part_of == part)
+        else:
+            operations = last
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in S.BINDING_LOG_SCHEMA]
+        operations.select(*columns).write.mode("append").parquet(base + "/control")
+        env = events_envelopes(file_stream(spark, base + "/src", table.schema))
+        control = file_stream(spark, base + "/control", S.BINDING_LOG_SCHEMA)
+        with rocksdb_state(spark):
+            q = start_table_sink(
+                route_as_of_stream(env, control, "1 day", hold_ms=86_400_000), base + "/out", base + "/ck", "append", available_now=True
+            )
+        q.awaitTermination()
+    events = decode_routed(spark.read.parquet(base + "/out").drop("batch_id"), samples.sample_registry(), "error", None)
+    return events.select(
+        "topic",
+        "offset",
+        F.coalesce("decoder", "topic").alias("tbl"),
+        "kind",
+        F.hex("data").alias("data_hex"),
+        "err",
+    )
+
+
 # ---------------------------------------------------------------------------
 # J4 + A4: bind requests checked, then the last valid one per topic
 # ---------------------------------------------------------------------------
