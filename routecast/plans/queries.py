@@ -420,7 +420,7 @@ WITH log AS (
          'user_' || CAST(user_id AS VARCHAR) AS topic,
          CASE WHEN event_type IN ('click', 'view', 'error') THEN 'samples' END AS library,
          CASE WHEN event_type IN ('click', 'view', 'error')
-              THEN 'dec_' || CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) AS VARCHAR) END AS symbol,
+              THEN 'dec_' || CAST(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS VARCHAR) END AS symbol,
          event_type <> 'error' AS valid
   FROM events
 ),
@@ -533,7 +533,7 @@ req AS (
   SELECT event_id AS "offset", event_type AS topic,
          CASE user_id % 5 WHEN 0 THEN 'samples' WHEN 1 THEN 'pysamples' WHEN 2 THEN 'lib_old'
                           WHEN 3 THEN 'lib_nover' ELSE 'lib_gone' END AS library,
-         CASE CAST(json_extract_string(props, '$.k') AS BIGINT) % 4
+         CASE TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) % 4
               WHEN 0 THEN 'json_k' WHEN 1 THEN 'skip_all' WHEN 2 THEN 'py_checksum'
               ELSE 'even_k' END AS symbol
   FROM events
@@ -568,7 +568,7 @@ def q_check_bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
     "WITH "
     + _catalog_values_sql()
     + """,
-ks AS (SELECT event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+ks AS (SELECT event_type, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
 lines AS (
   SELECT CASE WHEN k % 10 = 9 THEN '# ' || event_type
               ELSE event_type || ' ' || CASE k % 4 WHEN 0 THEN '-' WHEN 1 THEN 'k' WHEN 2 THEN 'json_k'
@@ -663,20 +663,21 @@ def q_drain_page_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "python_decoder",
     """
-WITH d AS (SELECT lang AS topic, doc_id AS "offset", text FROM documents),
+WITH d AS (SELECT lang AS topic, doc_id AS "offset", coalesce(text, '') AS text FROM documents),
 o AS (
   SELECT topic, "offset",
-    CASE topic WHEN 'en' THEN 'py_strict' WHEN 'fr' THEN 'py_normal_form' WHEN 'es' THEN 'default_decoder'
+    CASE topic WHEN 'en' THEN 'py_strict' WHEN 'fr' THEN 'py_normal_form' WHEN 'de' THEN 'py_checksum' WHEN 'es' THEN 'default_decoder'
                ELSE topic END AS tbl,
     CASE WHEN topic = 'fr' AND strlen(text) = 0 THEN 'error'
          WHEN topic = 'en' AND contains(text, '!!') THEN 'error'
-         WHEN topic IN ('en', 'fr', 'es') THEN 'data' ELSE 'error' END AS kind,
+         WHEN topic IN ('en', 'fr', 'de', 'es') THEN 'data' ELSE 'error' END AS kind,
     CASE topic WHEN 'en' THEN replace(text, chr(10), ' ')
+               WHEN 'de' THEN left(md5(text), 16) || ' ' || text
                WHEN 'fr' THEN nfc_normalize(text) ELSE text END AS out_text,
     CASE WHEN topic = 'fr' AND strlen(text) = 0 THEN 'empty payload'
          WHEN topic = 'en' AND contains(text, '!!')
            THEN 'ValueError: payload shouts ' || CAST((strlen(text) - strlen(replace(text, '!!', ''))) // 2 AS VARCHAR) || ' times'
-         WHEN topic IN ('en', 'fr', 'es') THEN '' ELSE 'decoder not bound' END AS err
+         WHEN topic IN ('en', 'fr', 'de', 'es') THEN '' ELSE 'decoder not bound' END AS err
   FROM d
 )
 SELECT topic, "offset", tbl, kind,
@@ -687,9 +688,7 @@ FROM o""",
 )
 def q_python_decoder(spark: SparkSession, sf_dir: str) -> DataFrame:
     env = read_documents(spark, sf_dir, topic="lang")
-    # no SQL has the checksum of `de`, whose binding stays out here
-    rows = [r for r in samples.DOCUMENT_BINDINGS if r[0] != "de"]
-    events = decode(env, samples.bindings_df(spark, rows), samples.sample_registry(with_python=True))
+    events = decode(env, samples.bindings_df(spark, samples.DOCUMENT_BINDINGS), samples.sample_registry(with_python=True))
     return events.select(
         "topic",
         "offset",
@@ -1051,7 +1050,7 @@ req AS (
   SELECT epoch_us(ts) // 1000 AS effective_at, event_id AS seq, event_type AS topic,
          CASE user_id % 5 WHEN 0 THEN 'samples' WHEN 1 THEN 'pysamples' WHEN 2 THEN 'lib_old'
                           WHEN 3 THEN 'lib_nover' ELSE 'lib_gone' END AS library,
-         CASE CAST(json_extract_string(props, '$.k') AS BIGINT) % 4
+         CASE TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) % 4
               WHEN 0 THEN 'json_k' WHEN 1 THEN 'skip_all' WHEN 2 THEN 'py_checksum'
               ELSE 'even_k' END AS symbol
   FROM events
@@ -1130,12 +1129,12 @@ EVENT_TYPES = ["click", "view", "error", "purchase", "signup"]
 @register(
     "decode_contract",
     "WITH" + SQL_EVENT_ENV + """,
-c AS (SELECT env.*, CAST(json_extract_string(payload, '$.k') AS BIGINT) % 7 AS cls FROM env)
+c AS (SELECT env.*, TRY_CAST(json_extract_string(payload, '$.k') AS BIGINT) % 7 AS cls FROM env)
 SELECT topic, "offset", 'contract_mix' AS tbl,
        CASE WHEN cls = 0 THEN 'data' ELSE 'error' END AS kind,
        CASE WHEN cls = 0 THEN hex(encode(payload)) ELSE '' END AS data_hex,
        CASE cls WHEN 0 THEN ''
-                WHEN 2 THEN 'bad k=' || CAST(CAST(json_extract_string(payload, '$.k') AS BIGINT) AS VARCHAR)
+                WHEN 2 THEN 'bad k=' || CAST(TRY_CAST(json_extract_string(payload, '$.k') AS BIGINT) AS VARCHAR)
                 WHEN 6 THEN repeat('w', 200)
                 ELSE 'decode failed' END AS err
 FROM c""",

@@ -129,11 +129,11 @@ def py_normal_form(batch: PyBatch) -> BatchOut:
 
 
 def py_checksum(env: PyEnvelope) -> DecodeOut:
-    """Data = the payload behind its Adler-32 checksum in decimal and a blank."""
-    import zlib
+    """Data = the payload behind the first half of its MD5 checksum and a blank."""
+    import hashlib
 
     payload = env.payload or b""
-    return DecodeOut(data=f"{zlib.adler32(payload)} ".encode() + payload)
+    return DecodeOut(data=f"{hashlib.md5(payload).hexdigest()[:16]} ".encode() + payload)
 
 
 def py_strict(env: PyEnvelope) -> DecodeOut:
@@ -199,7 +199,7 @@ def event_bindings(spark: SparkSession) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _k() -> Column:
-    return F.get_json_object(F.col("props"), "$.k").cast("long")
+    return F.get_json_object(F.col("props"), "$.k").try_cast("long")
 
 
 def events_control_log(events_table: DataFrame) -> DataFrame:

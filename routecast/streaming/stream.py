@@ -26,10 +26,8 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable, Iterable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -40,7 +38,7 @@ from routecast.operators.bindings import check_bindings
 from routecast.operators.paging import drain_pages
 from routecast.operators.routing import decode, to_drain
 from routecast.operators.stats import event_totals
-from routecast.session import checkpoint_root
+from routecast.session import checkpoint_root, scratch_folder
 from routecast.sources.envelopes import table_path
 from routecast.sources.local import local_table
 
@@ -165,8 +163,9 @@ def routed_batch_writer(
     ``drain_limit`` (S6 / W1 inside the batch) adds ``pos`` and ``page`` to
     every row: pages of at most that many rows in ``(topic, partition,
     offset)`` order within the batch, which a consumer can read one by one.
-    Columns of the events named in ``keep`` are written, too. The decoded batch is then kept for as long as it is counted and written.
+    Columns of the events named in ``keep`` are written, too.
     """
+    stored: list[str] = []
     topic_list = list(topics) if topics is not None else None
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -175,15 +174,14 @@ def routed_batch_writer(
         if catalog is not None:
             bindings = check_bindings(bindings, catalog).where("ok").select("topic", "library", "symbol")
         events = decode(batch, bindings, registry, topics=topic_list, skip_policy=skip_policy)
-        kept = None
         if drain_limit is not None:
-            kept = events.persist(StorageLevel.MEMORY_AND_DISK)
-            events = drain_pages(kept, limit=drain_limit)
+            # the batch before is done: its stored events make room
+            if not stored:
+                stored.append(scratch_folder(spark, "drain"))
+            events = drain_pages(events, limit=drain_limit, stored=stored[0])
         labels = None if label_bindings is None else label_bindings(spark, batch_id)
         more = [*keep, *(("pos", "page") if drain_limit is not None else ())]
         write_routed(to_drain(events, label_bindings=labels, keep=more), path, batch_id, rebalance=rebalance)
-        if kept is not None:
-            kept.unpersist()
 
     return run
 
@@ -194,15 +192,6 @@ def stream_checkpoint(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "routecast", name)
 
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for one run (checkpoint and output of a query that starts
-    from nothing), removed when the driver ends."""
-    path = os.path.join(checkpoint_root(spark), "routecast-scratch", f"{name}-{uuid.uuid4().hex}")
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return path
-
-
 def claim_sink(spark: SparkSession, path: str, checkpoint: str) -> None:
     """Record that the sink at ``path`` belongs to ``checkpoint``; an error if
     it belongs to another, or holds batches of an unknown one."""

@@ -274,3 +274,17 @@ def test_message_without_time_gets_latest_binding(spark):
     for max_rows in (1_000_000, 0):
         got = {r["offset"]: r["decoder"] for r in route_as_of(env, log, max_broadcast_rows=max_rows).collect()}
         assert got == {0: "y", 1: None, 2: "x"}
+
+
+@pytest.mark.parametrize("props", ['{"k":"x"}', '{"k":1e99}', "{}", "not json", None])
+def test_sample_control_tables_of_malformed_rows(spark, props):
+    """A field that is no number leaves a null, and the job runs."""
+    import datetime
+
+    from routecast.plans import samples
+
+    ts = datetime.datetime(2024, 1, 1, 5)
+    rows = [(i, ts, i, kind, 1.0, props) for i, kind in enumerate(["click", "view", "purchase", "signup", "error"])]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    for make in (samples.bind_requests, samples.binding_file_lines, samples.events_control_log, samples.bind_request_log):
+        assert make(events).count() >= 0 and make(events).collect() is not None

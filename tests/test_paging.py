@@ -96,3 +96,42 @@ def test_rows_without_offsets_are_spread_and_paged(spark):
         by_key.setdefault((r["topic"], r["partition"]), []).append(r["pos"])
     spans = sorted((min(v), max(v)) for v in by_key.values())
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))  # (topic, partition) order kept
+
+
+def test_a_decoder_that_is_not_repeatable(spark):
+    """Each message is decoded once, so fresh answers change no position."""
+    import uuid
+
+    from routecast.functions.decoders import DecodeOut, DecoderRegistry
+    from routecast.operators.routing import decode
+    from routecast.plans.samples import bindings_df
+
+    reg = DecoderRegistry()
+
+    @reg.python("fresh", library="lib")
+    def fresh(env):
+        return DecodeOut(data=uuid.uuid4().bytes)
+
+    env = read_events(spark, SF).withColumn("offset", F.lit(None).cast("long"))
+    topics = [r.topic for r in env.select("topic").distinct().collect()]
+    events = decode(env, bindings_df(spark, [(t, "lib", "fresh") for t in topics]), reg)
+    paged = drain_pages(events, limit=16)
+    assert "ArrowEvalPython" not in paged._jdf.queryExecution().toString()
+    rows = paged.collect()
+    assert sorted(r["pos"] for r in rows) == list(range(env.count()))
+    assert len({bytes(r["data"]) for r in rows}) == len(rows)
+
+
+def test_equal_rows_without_an_offset_are_spread(spark):
+    """20,000 equal messages: no bucket holds more than its width, and a page
+    has exactly its limit."""
+    from routecast.operators.paging import stored_events
+
+    equal = spark.range(20_000).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.lit(None).cast("long").alias("offset"))
+    paged = drain_pages(equal.repartition(3), limit=100, bucket_width=512)
+    sizes = paged.groupBy("page").count().collect()
+    assert len(sizes) == 200 and {r["count"] for r in sizes} == {100}
+    assert paged.agg(F.count_distinct("pos")).first()[0] == 20_000
+    rows = stored_events(equal.repartition(3))
+    assert rows.select("_file", "_place").distinct().count() == 20_000
+    assert rows.groupBy("_file", F.expr("_place div 512")).count().agg(F.max("count")).first()[0] <= 512

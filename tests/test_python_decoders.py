@@ -112,8 +112,8 @@ def test_mixed_column_and_python_decoders(spark):
     b = samples.bindings_df(spark, samples.DOCUMENT_BINDINGS)
     rows = decode(env, b, samples.sample_registry(with_python=True)).collect()
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(SF + "/documents.parquet").collect()}
+    import hashlib
     import unicodedata
-    import zlib
 
     for r in rows:
         text = texts[r["offset"]].encode()
@@ -122,7 +122,7 @@ def test_mixed_column_and_python_decoders(spark):
         elif r["topic"] == "fr":
             assert bytes(r["data"]).decode() == unicodedata.normalize("NFC", text.decode())
         elif r["topic"] == "de":
-            assert bytes(r["data"]) == f"{zlib.adler32(text)} ".encode() + text
+            assert bytes(r["data"]) == f"{hashlib.md5(text).hexdigest()[:16]} ".encode() + text
         elif b"!!" in text:
             assert r["kind"] == "error" and r["err"] == f"ValueError: payload shouts {text.count(b'!!')} times"
         else:
