@@ -7,7 +7,15 @@ vector permuted twice, the second's permuted once, and the third's. A text's
 vector is the sum over its n-grams; a language's prototype is the sum over its
 training texts. A text takes the language whose prototype has the largest
 cosine with it; ties go to the smaller language name. Sums are of whole
-numbers, hence the same in any order.
+numbers, hence the same in any order. Texts longer than ``PIECE_BYTES`` are
+summed up piece by piece and distinct n-grams are bound ``BLOCK`` at a time, so
+memory follows neither the length of a text nor the size of its alphabet.
+
+``confident`` compares a text's cosine with those of learned texts: quantile
+sketches per language and class of length give the lower quartile, of which a
+text has to reach ``BAR_SHARE``. A class with fewer than ``LEAST_LEARNED``
+learned texts takes the quartile of its length over all languages, and no bar
+where that has too few as well.
 
 Prototypes are summed by Spark from one partial sum per task and language;
 what reaches the driver is ``DIM`` numbers per language.
@@ -30,11 +38,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from routecast.llm.common import bucket_of_id, fresh, mix64, row_slices, string_buffers, table
+from routecast.llm.common import bucket_of_id, fresh, mix64, row_slices, small_join, string_buffers, table, written
 
-DIM = 512
+DIM = 2048
 UNKNOWN = "und"
 SLICE_BYTES = 1 << 18
+PIECE_BYTES = 1 << 20
+BLOCK = 2048
+BAR_SHARE, LEAST_LEARNED, SKETCH_K = 0.15, 50, 800
+LONGEST_CLASS = 12  # texts of 2^12 characters or more are one class
 
 _letters: dict[str, np.ndarray] = {}
 
@@ -77,25 +89,63 @@ def trigrams(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return low, doc, np.arange(max(0, len(low) - 2))
 
 
-def profiles(raw: np.ndarray, offs: np.ndarray, groups: np.ndarray, n_groups: int, dim: int) -> np.ndarray:
-    """Sum of n-gram vectors per group; ``groups`` names each text's."""
+def profiles(
+    raw: np.ndarray, offs: np.ndarray, groups: np.ndarray, n_groups: int, dim: int, before: bool = False, after: bool = False
+) -> np.ndarray:
+    """Sum of n-gram vectors per group; ``groups`` names each text's. With
+    ``before`` (``after``) the first (last) character is there for its
+    neighbour's n-gram alone."""
+    out = np.zeros((n_groups, dim))
+    if len(offs) == 2 and len(raw) > 2 * PIECE_BYTES and not (before or after):
+        for piece, first, last in pieces(raw):
+            out += profiles(piece, np.array([0, len(piece)]), groups, n_groups, dim, not first, not last)
+        return out
     low, doc, at = trigrams(raw, offs)
     # the blank that ends a text may be the one that begins the next: an
     # n-gram belongs to the text of its middle letter, and has one
-    at = at[low[1:-1] != 0]
+    middle = low[1:-1] != 0
+    if before and len(middle) and letter_table()[ord(_first(raw))]:
+        middle[0] = False
+    if after and len(middle) and letter_table()[ord(_last(raw))]:
+        middle[-1] = False
+    at = at[middle]
     if len(at) == 0:
-        return np.zeros((n_groups, dim))
+        return out
     alphabet, code = np.unique(low, return_inverse=True)
     k = len(alphabet)
-    gram = (code[at] * k + code[at + 1]) * k + code[at + 2]
-    grams, which = np.unique(gram, return_inverse=True)
-    counts = np.bincount(groups[doc[at + 1]] * len(grams) + which, minlength=n_groups * len(grams))
-    v = letter_vectors(alphabet, dim)
-    bound = np.roll(v, 2, axis=1)[grams // (k * k)] * np.roll(v, 1, axis=1)[grams // k % k] * v[grams % k]
-    # whole numbers far below 2^24 per text stay exact in single precision;
-    # sums over many texts use double
-    exact = np.float32 if counts.max() * len(grams) < 1 << 24 else np.float64
-    return (counts.reshape(n_groups, -1).astype(exact) @ bound.astype(exact)).astype(np.float64)
+    grams, which = np.unique((code[at] * k + code[at + 1]) * k + code[at + 2], return_inverse=True)
+    pairs, counts = np.unique(which * n_groups + groups[doc[at + 1]], return_counts=True)
+    # whole numbers below 2^24 stay exact in single precision
+    exact = np.float32 if len(at) < 1 << 24 else np.float64
+    for i in range(0, len(grams), BLOCK):
+        own = grams[i : i + BLOCK]
+        letters, place = np.unique(np.concatenate([own // (k * k), own // k % k, own % k]), return_inverse=True)
+        v, (x, y, z) = letter_vectors(alphabet[letters], dim), place.reshape(3, -1)
+        bound = np.roll(v, 2, axis=1)[x] * np.roll(v, 1, axis=1)[y] * v[z]
+        lo, hi = np.searchsorted(pairs, [i * n_groups, (i + len(own)) * n_groups])
+        times = np.zeros((n_groups, len(own)), exact)
+        times[pairs[lo:hi] % n_groups, pairs[lo:hi] // n_groups - i] = counts[lo:hi]
+        out += times @ bound.astype(exact)
+    return out
+
+
+def _first(raw: np.ndarray) -> str:
+    return raw[:4].tobytes().decode("utf-8", "ignore")[0]
+
+
+def _last(raw: np.ndarray) -> str:
+    return raw[-4:].tobytes().decode("utf-8", "ignore")[-1]
+
+
+def pieces(raw: np.ndarray) -> Iterator[tuple[np.ndarray, bool, bool]]:
+    """Pieces of a long text, each with one character more on both sides, and
+    whether it is the first or the last."""
+    start = lambda p: p - next(i for i in range(4) if p == i or p >= len(raw) or raw[p - i] & 0xC0 != 0x80)
+    cuts = [0, *(start(p) for p in range(PIECE_BYTES, len(raw) - PIECE_BYTES, PIECE_BYTES)), len(raw)]
+    for a, b in zip(cuts, cuts[1:]):
+        first, last = a == 0, b == len(raw)
+        end = b if last else next(b + i for i in range(1, 5) if b + i >= len(raw) or raw[b + i] & 0xC0 != 0x80)
+        yield raw[a if first else start(a - 1) : end], first, last
 
 
 def prototypes(df: DataFrame, text_col: str, lang_col: str, dim: int = DIM) -> tuple[list[str], np.ndarray]:
@@ -170,6 +220,31 @@ def identify(
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], *found)
 
 
+def confident(found: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``found`` (with lang_pred and score, and no column whose name
+    begins with ``bar_``) whose cosine reaches the bar of their language and
+    length. ``found`` is read twice."""
+    spark = found.sparkSession
+    size = F.floor(F.log2(F.greatest(F.length(text_col), F.lit(1)))).cast("int")
+    rows = found.where(F.col("lang_pred") != UNKNOWN)
+    rows = rows.withColumn("bar_size", F.least(size, F.lit(LONGEST_CLASS)))
+    learned = rows.where(F.col(lang_col).isNotNull()).groupBy(F.col("lang_pred").alias("bar_lang"), "bar_size")
+    own = learned.agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("score", F.lit(SKETCH_K)).alias("sketch"))
+    own = written(spark, own, "bars", slim=True)
+    over = own.groupBy("bar_size").agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(SKETCH_K)).alias("sketch"))
+
+    def bar(df: DataFrame, name: str, *keys: str) -> DataFrame:
+        quartile = F.kll_sketch_get_quantile_double("sketch", F.lit(0.25))
+        enough = df.where(F.col("n") >= LEAST_LEARNED).select(*keys, (BAR_SHARE * quartile).alias(name))
+        return written(spark, enough, "bars", slim=True)
+
+    own = bar(own, "bar_own", "bar_lang", "bar_size")
+    rows = small_join(rows.withColumn("bar_lang", F.col("lang_pred")), own, ["bar_lang", "bar_size"], "left")
+    rows = small_join(rows, bar(over, "bar_over", "bar_size"), ["bar_size"], "left")
+    kept = rows.where(F.col("score") >= F.coalesce("bar_own", "bar_over", F.lit(0.0)))
+    return kept.select(*[F.col(f"`{c}`") for c in found.columns])
+
+
 def held_out(id_col: str) -> Column:
     """A null id is never held out."""
     return F.coalesce(bucket_of_id(id_col, 4) == 2, F.lit(False))
