@@ -6,9 +6,15 @@ length. KLL quantile sketches of the measures are built per language and
 source from the documents that pass the fixed base rules, and merge upwards
 (language, then all); a group of fewer than ``MIN_GROUP`` documents takes the
 thresholds of the next level that has as many. A document fails a rule when a
-measure lies more than ``REACH`` spreads from its group's median, the spread
-being the distance from the lower quartile to the median but at least the
-measure's floor. Only DataFrame functions run.
+measure lies more than ``REACH`` spreads above its group's median (for the word
+length, below it, too). The spread has two parts, added as variances: the
+group's, from the lower quartile to the median, and that of counting, which
+follows from the document's own number of words, lines or letters: with a
+median rate r and events that come ``CLUMP`` at a time, n units scatter by
+r * CLUMP / n + (CLUMP / n)^2, and a mean word length by a quarter of its square
+/ n. So there is no fixed cutoff, and a measure that is 0 for most of a group
+still allows a document the few events that chance brings. Only DataFrame
+functions run.
 
 Defined results: null text counts as empty; a document without words fails the
 base rules; null languages and sources are groups of their own; every input
@@ -29,8 +35,9 @@ MIN_WORDS = 50
 MIN_GROUP = 50
 REACH = 5.0
 SKETCH_K = 800
-# measure: least spread; the word length is judged on both sides
-FLOORS = {"symbols": 0.02, "dup_lines": 0.12, "repeats": 0.08, "capitals": 0.05, "word_length": 0.3}
+# measure: events that come together (a repeated sentence has about 20 words)
+CLUMP = {"symbols": 1, "dup_lines": 1, "repeats": 20, "capitals": 1}
+NAMES = [*CLUMP, "word_length"]
 TWO_SIDED = {"word_length"}
 
 
@@ -121,9 +128,17 @@ def measures(c: Column) -> dict[str, Column]:
     }
 
 
+def reach(c: Column, name: str, mid: Column, spread: Column) -> Column:
+    """How far from ``mid`` a measure of a document with the counts ``c`` may
+    lie."""
+    n = F.greatest(c[{"dup_lines": "n_lines", "capitals": "word_chars"}.get(name, "n_words")], F.lit(1))
+    chance = mid * mid / (4 * n) if name == "word_length" else CLUMP[name] / n * (mid + CLUMP[name] / n)
+    return REACH * F.sqrt(spread * spread + chance)
+
+
 def thresholds(measured: DataFrame, counts: str, lang_col: str, source_col: str) -> DataFrame:
-    """Per (lang, source): lowest and highest value of each measure."""
-    names = list(FLOORS)
+    """Per (lang, source): median and spread of each measure."""
+    names = NAMES
     good = measured.where(~base_failed(F.col(counts)))
     values = good.select(
         F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), *[m.alias(n) for n, m in measures(F.col(counts)).items()]
@@ -141,9 +156,8 @@ def thresholds(measured: DataFrame, counts: str, lang_col: str, source_col: str)
         out = []
         for n in names:
             mid = F.kll_sketch_get_quantile_double(n, F.lit(0.5))
-            spread = F.greatest(mid - F.kll_sketch_get_quantile_double(n, F.lit(0.25)), F.lit(FLOORS[n]))
-            low = mid - REACH * spread if n in TWO_SIDED else F.lit(float("-inf"))
-            out += [low.alias(f"{n}_lo"), (mid + REACH * spread).alias(f"{n}_hi")]
+            spread = mid - F.kll_sketch_get_quantile_double(n, F.lit(0.25))
+            out += [mid.alias(f"{n}_mid"), spread.alias(f"{n}_spread")]
         return df.where(F.col("n") > 0).select(*keys, "n", *out)
 
     # sketches of each level are written: they are random beyond SKETCH_K
@@ -155,7 +169,7 @@ def thresholds(measured: DataFrame, counts: str, lang_col: str, source_col: str)
     by_lang = written(spark, limits(by_lang, "lang"), "limits")
     own = limits(by_source, "lang", "source")
 
-    cols = [f"{n}_{side}" for n in names for side in ("lo", "hi")]
+    cols = [f"{n}_{side}" for n in names for side in ("mid", "spread")]
     as_of = lambda df, p: df.select(
         *[c for c in ("lang",) if c in df.columns], F.col("n").alias(f"{p}_n"), *[F.col(c).alias(f"{p}_{c}") for c in cols]
     )
@@ -188,7 +202,10 @@ def judge(
     )
     joined = small_join(measured, packed, [lang_col, source_col], "left")
     c, lim = F.col(verdict), F.col(limits_col)
-    within = [m.between(lim[f"{n}_lo"], lim[f"{n}_hi"]) for n, m in measures(c).items()]
+    within = []
+    for n, m in measures(c).items():
+        off = m - lim[f"{n}_mid"]
+        within.append((F.abs(off) if n in TWO_SIDED else off) <= reach(c, n, lim[f"{n}_mid"], lim[f"{n}_spread"]))
     failed = base_failed(c)
     kept = ~failed & F.coalesce(reduce(lambda a, b: a & b, within), F.lit(True))
     out = F.struct(f"{verdict}.*", failed.alias("base_failed"), kept.alias("kept"))

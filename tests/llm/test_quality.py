@@ -63,16 +63,17 @@ def test_junk_goes_and_clean_stays(spark):
     got = [r for r in quality.op5_quality_rules(spark, sf).collect() if r.doc_id in labels and not r.base_failed]
     clean = [r.kept for r in got if labels[r.doc_id] == 1]
     junk = [r.kept for r in got if labels[r.doc_id] == 0]
-    assert sum(clean) >= 0.98 * len(clean)
-    assert sum(junk) <= 0.1 * len(junk)
+    assert sum(clean) >= 0.99 * len(clean)
+    assert sum(junk) <= 0.02 * len(junk)
 
 
 def test_thresholds_follow_the_group(spark):
     plain = " ".join(f"w{i}" for i in range(60))
     marked = " ".join(f"w{i} #" for i in range(60))
     rows = [(i, marked, "xx", "code") for i in range(100)] + [(1000 + i, plain, "xx", "web") for i in range(100)]
-    rows += [(2000, marked, "xx", "web"), (2001, plain, "xx", "code")]
+    rows += [(2000, marked, "xx", "web"), (2001, plain, "xx", "code"), (2002, plain + " #", "xx", "web")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     got, v = quality.judge(df)
     kept = {r.doc_id: r.kept for r in got.select("doc_id", f"{v}.kept").collect()}
-    assert kept[0] and kept[1000] and not kept[2000]
+    # one symbol may come by chance, sixty don't
+    assert kept[0] and kept[1000] and not kept[2000] and kept[2002]
