@@ -28,6 +28,7 @@ from routecast.operators.stats import dispatch_counts, event_rate, event_totals
 from routecast.plans import samples
 from routecast.sources.local import local_table
 from routecast.sources.segments import append_segments, read_segments
+from routecast.streaming.dispatch import Dispatcher, dispatched
 from routecast.streaming.state import CLOCK_OP, RATE_COLUMNS, live_rate_totals, rocksdb_state, route_as_of_stream
 from routecast.streaming.stream import (
     decode_stream,
@@ -792,6 +793,32 @@ def q_stream_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Binding versions (T2), one for each part of the stream.
+@register("dispatch_targets", SQL_EVENT_DECODE + """
+SELECT CASE kind WHEN 'data' THEN tbl END AS tbl, CASE kind WHEN 'error' THEN topic END AS topic,
+       CASE kind WHEN 'data' THEN hex(data) END AS data_hex, CASE kind WHEN 'error' THEN err END AS err
+FROM events_out""")
+def q_dispatch_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data rows go to a function per target, error rows to the side
+    channel. The receiver stores what it gets with the token; the tokens that
+    count are the records'."""
+    base = scratch_folder(spark, "dispatch_targets")
+    dispatcher = Dispatcher(base + "/sent", *samples.storing_receiver(base + "/got"))
+    q = start_routed(
+        _event_stream(spark, sf_dir, base),
+        base + "/sent",
+        samples.sample_registry(),
+        _constant_bindings,
+        base + "/ck",
+        topics=samples.EVENT_TOPICS,
+        available_now=True,
+        sink=dispatcher,
+    )
+    q.awaitTermination()
+    got = spark.read.schema("token string, tbl string, topic string, data binary, err string").parquet(base + "/got")
+    counted = dispatched(spark, base + "/sent").select("token").distinct()
+    return got.join(counted, "token", "left_semi").select("tbl", "topic", F.hex("data").alias("data_hex"), "err")
+
+
 REBIND_VERSIONS = [
     samples.EVENT_BINDINGS,
     [("view", samples.SAMPLE_LIBRARY, "even_k")] + samples.EVENT_BINDINGS[1:],

@@ -6,6 +6,11 @@ the built-ins. The queries bind them to topics of the provided tables.
 
 from __future__ import annotations
 
+import uuid
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -345,3 +350,39 @@ def binding_file_lines(events_table: DataFrame) -> DataFrame:
         F.pmod(k, F.lit(10)) == 9, F.concat(F.lit("# "), F.col("event_type"))
     ).otherwise(F.concat(F.col("event_type"), F.lit(" "), target))
     return events_table.select(line.alias("value"))
+
+
+# -- a receiver of dispatched rows -------------------------------------------
+
+
+def storing_receiver(folder: str):
+    """``(upd, on_error, undo)`` that store what they get below ``folder``, a
+    file a call, named by the token."""
+    files, root = fs.FileSystem.from_uri(folder)
+    files.create_dir(root, recursive=True)
+
+    def store(token: str, **columns) -> None:
+        files, root = fs.FileSystem.from_uri(folder)
+        n = max(len(c) for c in columns.values() if isinstance(c, pa.Array))
+        types = {"token": pa.string(), "tbl": pa.string(), "topic": pa.string(), "data": pa.binary(), "err": pa.string()}
+        columns["token"] = token
+        values = {
+            name: columns[name].cast(kind) if isinstance(columns.get(name), pa.Array) else pa.array([columns.get(name)] * n, kind)
+            for name, kind in types.items()
+        }
+        with files.open_output_stream(f"{root}/{token}-{uuid.uuid4().hex}.parquet") as out:
+            pq.write_table(pa.table(values), out)
+
+    def upd(tbl: str | None, data: pa.Array, token: str) -> None:
+        store(token, tbl=tbl, data=data)
+
+    def on_error(topics: pa.Array, errs: pa.Array, token: str) -> None:
+        store(token, topic=topics, err=errs)
+
+    def undo(token: str) -> None:
+        files, root = fs.FileSystem.from_uri(folder)
+        for f in files.get_file_info(fs.FileSelector(root)):
+            if f.base_name.startswith(token + "-"):
+                files.delete_file(f.path)
+
+    return upd, on_error, undo

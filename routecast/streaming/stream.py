@@ -5,10 +5,12 @@
 * **S6** bounded intake: ``maxFilesPerTrigger`` for file streams
   (``maxOffsetsPerTrigger`` for Kafka, see ``sources.kafka``).
 * **S7** routed sink: every micro-batch is written once, partitioned by
-  ``kind`` and ``tbl``, to ``<path>/batch_id=<n>`` in overwrite mode. A batch
-  replayed after a failure rewrites the same folder, so output is
-  idempotent; data rows sit under ``kind=data/tbl=<t>``, error rows under
-  ``kind=error``.
+  ``kind`` and ``tbl``, to ``<path>/batch_id=<n>/attempt=<fresh name>``, and
+  then published by one small record (``streaming.published``). A reader
+  (``read_routed``) sees a batch as its last published attempt left it, whole
+  or not at all: a replayed batch replaces its rows in one step. Data rows sit
+  under ``kind=data/tbl=<t>``, error rows under ``kind=error``. Or the batch
+  goes to a function per target (``streaming.dispatch``).
 * **T2** live rebinding: the binding table is re-read at the start of every
   micro-batch (``foreachBatch``), so a change reaches every later batch
   without a restart. Use ``route_as_of`` when the cut-over must fall on an
@@ -26,6 +28,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,8 +44,10 @@ from routecast.operators.stats import event_totals
 from routecast.session import checkpoint_root, scratch_folder
 from routecast.sources.envelopes import table_path
 from routecast.sources.local import local_table
+from routecast.streaming.published import BatchRecords
 
 BindingsLoader = Callable[[SparkSession, int], DataFrame]
+BatchSink = Callable[[DataFrame, int], object]
 
 
 # ---------------------------------------------------------------------------
@@ -111,7 +116,8 @@ def write_routed(
     rebalance: bool = True,
     max_records_per_file: int | None = None,
 ) -> None:
-    """Write one drained batch, data and error rows in one pass.
+    """Write one drained batch, data and error rows in one pass, and
+    publish it. An attempt that fails leaves nothing that is read.
 
     ``rebalance`` (default) asks AQE to group rows by ``(kind, tbl)`` into
     evenly sized partitions before the write: one batch then makes a few
@@ -123,23 +129,40 @@ def write_routed(
     a bounded drain: a consumer reading file by file never gets more than
     that many rows at once).
     """
+    own = [f.jsonValue() for f in drained.schema.fields if f.name not in ("kind", "tbl")]
+    attempt = uuid.uuid4().hex
     if rebalance:
         drained = drained.hint("rebalance", "kind", "tbl")
     writer = drained.write
     if max_records_per_file is not None:
         writer = writer.option("maxRecordsPerFile", str(max(1, int(max_records_per_file))))
-    (
-        writer.mode("overwrite")
-        .partitionBy("kind", "tbl")
-        .format(fmt)
-        .save(batch_path(path, batch_id))
-    )
+    writer.partitionBy("kind", "tbl").format(fmt).save(attempt_path(path, batch_id, attempt))
+    BatchRecords(path).publish(batch_id, {"attempt": attempt, "fields": own})
+
+
+def attempt_path(path: str, batch_id: int, attempt: str) -> str:
+    return os.path.join(batch_path(path, batch_id), f"attempt={attempt}")
 
 
 def read_routed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Everything a routed sink holds: ``(data, err, topic, batch_id, kind,
-    tbl)``."""
-    return spark.read.format(fmt).option("basePath", path).load(path)
+    """The published batches of a routed sink: ``(data, err, topic, batch_id,
+    kind, tbl)``, and the columns kept. A column that some batches lack is null
+    there. Without any batch, no rows."""
+    found = BatchRecords(path).read()
+    fields = {f["name"]: f for record in found.values() for f in record["fields"]}
+    if not found:
+        return local_table(spark, [], "topic string, data binary, err string, batch_id long, kind string, tbl string")
+    schema = StructType.fromJson({"type": "struct", "fields": list(fields.values())})
+    for name, kind in (("batch_id", "long"), ("attempt", "string"), ("kind", "string"), ("tbl", "string")):
+        schema = schema.add(name, kind)
+    folders = [attempt_path(path, n, record["attempt"]) for n, record in found.items()]
+    return spark.read.schema(schema).format(fmt).option("basePath", path).load(folders).drop("attempt")
+
+
+def vacuum_routed(path: str, older_than_seconds: float = 7 * 86_400) -> list[str]:
+    """Delete attempts that failed or were replaced, once they are older than
+    any reader or writer that may still use them."""
+    return BatchRecords(path).remove_unpublished(older_than_seconds)
 
 
 def routed_batch_writer(
@@ -153,6 +176,7 @@ def routed_batch_writer(
     label_bindings: BindingsLoader | None = None,
     catalog: DataFrame | None = None,
     keep: Iterable[str] = (),
+    sink: BatchSink | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """T2 + S7: a ``foreachBatch`` function that re-reads the binding table
     for each micro-batch, decodes, drains and writes the batch.
@@ -164,6 +188,8 @@ def routed_batch_writer(
     every row: pages of at most that many rows in ``(topic, partition,
     offset)`` order within the batch, which a consumer can read one by one.
     Columns of the events named in ``keep`` are written, too.
+    ``sink``: takes the drained batch in place of the folder, for example a
+    ``streaming.dispatch.Dispatcher``.
     """
     stored: list[str] = []
     topic_list = list(topics) if topics is not None else None
@@ -181,7 +207,11 @@ def routed_batch_writer(
             events = drain_pages(events, limit=drain_limit, stored=stored[0])
         labels = None if label_bindings is None else label_bindings(spark, batch_id)
         more = [*keep, *(("pos", "page") if drain_limit is not None else ())]
-        write_routed(to_drain(events, label_bindings=labels, keep=more), path, batch_id, rebalance=rebalance)
+        drained = to_drain(events, label_bindings=labels, keep=more)
+        if sink is not None:
+            sink(drained, batch_id)
+        else:
+            write_routed(drained, path, batch_id, rebalance=rebalance)
 
     return run
 
@@ -224,13 +254,14 @@ def start_routed(
     label_bindings: BindingsLoader | None = None,
     catalog: DataFrame | None = None,
     keep: Iterable[str] = (),
+    sink: BatchSink | None = None,
 ) -> StreamingQuery:
     """Start T1 + T2 + S7: decode every micro-batch with the bindings of that
     moment and write it to the routed sink (paged when ``drain_limit`` is
     set); see :func:`routed_batch_writer`."""
     claim_sink(envelopes.sparkSession, path, checkpoint)
     run = routed_batch_writer(
-        path, registry, bindings_loader, topics, skip_policy, rebalance, drain_limit, label_bindings, catalog, keep
+        path, registry, bindings_loader, topics, skip_policy, rebalance, drain_limit, label_bindings, catalog, keep, sink
     )
     writer = envelopes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if query_name:

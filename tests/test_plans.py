@@ -59,7 +59,7 @@ def test_routed_sink_rebalances_before_the_write(spark):
     write_routed(drained, base, 0)
     import glob
 
-    files = glob.glob(base + "/batch_id=0/kind=*/tbl=*/*.parquet")
+    files = glob.glob(base + "/batch_id=0/attempt=*/kind=*/tbl=*/*.parquet")
     dirs = {f.rsplit("/", 1)[0] for f in files}
     assert len(dirs) == 6 and len(files) == len(dirs)  # one file per (kind, tbl) at this size
 

@@ -144,7 +144,7 @@ def test_sink_files_are_bounded(spark):
     env = events_envelopes(read_table(spark, SF, "events"))
     drained = to_drain(decode(env, samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS))
     write_routed(drained, base, 0, max_records_per_file=100)
-    files = glob.glob(base + "/batch_id=0/kind=*/tbl=*/*.parquet")
+    files = glob.glob(base + "/batch_id=0/attempt=*/kind=*/tbl=*/*.parquet")
     sizes = [pq.ParquetFile(f).metadata.num_rows for f in files]
     assert max(sizes) <= 100 and sum(sizes) == env.count()
 
