@@ -81,12 +81,37 @@ def current_bindings(log: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROW
     found = changes.join(side, F.col("topic").eqNullSafe(F.col("_t")) & (F.col("_key") == F.col("_k")))
     # operations with the same time and seq: the largest decides
     found = found.groupBy(F.col("topic").alias("_t")).agg(F.max(F.struct("op", "library", "symbol")).alias("_l"))
-    agg = last.join(found, F.col("topic").eqNullSafe(F.col("_t")), "left")
+    return bindings_of(last.join(found, F.col("topic").eqNullSafe(F.col("_t")), "left"))
+
+
+def bindings_of(state: DataFrame) -> DataFrame:
+    """The binding table of a state: per topic the last change's key ``_c`` and
+    operation ``_l``, and the last subscribe's key ``_s``."""
     bound = F.col("_l.op").isin(S.OP_BIND, S.OP_REBIND)
     by_subscribe = F.col("_s").isNotNull() & (F.col("_c").isNull() | (F.col("_s") > F.col("_c")))
     library = F.when(bound, F.col("_l.library")).when(by_subscribe, F.lit(S.BUILTIN_LIBRARY))
     symbol = F.when(bound, F.col("_l.symbol")).when(by_subscribe, F.lit(S.DEFAULT_SYMBOL))
-    return agg.select("topic", library.alias("library"), symbol.alias("symbol")).filter(F.col("symbol").isNotNull())
+    return state.select("topic", library.alias("library"), symbol.alias("symbol")).filter(F.col("symbol").isNotNull())
+
+
+def _last_of(rows: DataFrame, change: Column, subscribe: Column) -> DataFrame:
+    last = rows.groupBy("topic").agg(F.max(change).alias("_m"), F.max(subscribe).alias("_s"))
+    operation = F.when(F.col("_m").isNotNull(), F.struct("_m.op", "_m.library", "_m.symbol"))
+    return last.select("topic", F.col("_m._c").alias("_c"), operation.alias("_l"), "_s")
+
+
+def binding_state(log: DataFrame) -> DataFrame:
+    """A4 that can be continued: what :func:`bindings_of` needs of a part of
+    the log, one row per topic, in one aggregation (combined map-side)."""
+    key = order_key(F.col("effective_at"), F.col("seq"))
+    change = F.when(_is_change(), F.struct(key.alias("_c"), "op", "library", "symbol"))
+    return _last_of(log, change, F.when(F.col("op") == S.OP_SUBSCRIBE, key))
+
+
+def merge_states(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The state of two parts of a log together."""
+    change = F.when(F.col("_c").isNotNull(), F.struct("_c", "_l.op", "_l.library", "_l.symbol"))
+    return _last_of(a.unionByName(b), change, F.col("_s"))
 
 
 # ---------------------------------------------------------------------------
@@ -471,6 +496,12 @@ def read_binding_file(spark, path: str, library: str, catalog: DataFrame) -> Dat
 # ---------------------------------------------------------------------------
 
 
+def log_begun(spark, path: str) -> bool:
+    """Only a folder that is not there is a log not begun; other errors rise."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def append_binding_ops(spark, path: str, ops, catalog: DataFrame | None = None) -> None:
     """Append control operations ``(effective_at, op, topic, library,
     symbol)`` to the binding log at ``path`` (parquet, shared storage).
@@ -478,15 +509,13 @@ def append_binding_ops(spark, path: str, ops, catalog: DataFrame | None = None)
     one total order; with a ``catalog`` the binds are checked (J4) first and
     a rejected one is recorded as invalid, leaving the old binding. One
     writer at a time (the control plane), as with the reference's lock."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    # only a folder that is not there is a log not begun; other errors rise
-    begun = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-    last = spark.read.parquet(path).agg(F.max("seq")).first()[0] if begun else None
+    last = spark.read.parquet(path).agg(F.max("seq")).first()[0] if log_begun(spark, path) else None
     first_seq = 0 if last is None else int(last) + 1
     new = binding_ops(spark, ops, first_seq=first_seq)
     if catalog is not None:
         new = validate_log(new, catalog).drop("err")
-    new.select([f.name for f in S.BINDING_LOG_SCHEMA.fields]).write.mode("append").parquet(path)
+    # one file, so that a reader sees the append whole or not at all
+    new.select([f.name for f in S.BINDING_LOG_SCHEMA.fields]).coalesce(1).write.mode("append").parquet(path)
 
 
 def log_bindings_loader(path: str, catalog: DataFrame | None = None):

@@ -28,6 +28,7 @@ from routecast.operators.stats import dispatch_counts, event_rate, event_totals
 from routecast.plans import samples
 from routecast.sources.local import local_table
 from routecast.sources.segments import append_segments, read_segments
+from routecast.streaming.control import IncrementalBindings
 from routecast.streaming.dispatch import Dispatcher, dispatched
 from routecast.streaming.state import CLOCK_OP, RATE_COLUMNS, live_rate_totals, rocksdb_state, route_as_of_stream
 from routecast.streaming.stream import (
@@ -819,6 +820,22 @@ def q_dispatch_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.join(counted, "token", "left_semi").select("tbl", "topic", F.hex("data").alias("data_hex"), "err")
 
 
+@register("incremental_bindings", ORACLES["current_bindings"])
+def q_incremental_bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: the control log arrives in parts; after each, the loader folds what
+    is new into the state it keeps. A new loader goes on after the second."""
+    base = scratch_folder(spark, "incremental_bindings")
+    log = samples.events_control_log(read_table(spark, sf_dir, "events"))
+    first, last = log.agg(F.min("seq"), F.max("seq")).first()
+    part = F.floor((F.col("seq") - F.lit(first or 0)) * STREAM_PARTS / F.lit((last or 0) - (first or 0) + 1))
+    for p in range(STREAM_PARTS):
+        log.where(part == p).write.mode("append").parquet(base + "/log")
+        if p != 1:
+            loader = IncrementalBindings(base + "/log", base + "/state")
+        bindings = loader(spark, p)
+    return bindings
+
+
 REBIND_VERSIONS = [
     samples.EVENT_BINDINGS,
     [("view", samples.SAMPLE_LIBRARY, "even_k")] + samples.EVENT_BINDINGS[1:],
