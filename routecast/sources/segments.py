@@ -21,8 +21,10 @@ envelopes. Options:
   before the engine notes the offset, so it is never behind; after a crash
   between the two, one batch may hold up to twice as much.
 
-Each overlapping segment is one task, read in Arrow batches. Files are reached
-by Arrow's file systems (local or mounted folders, HDFS, S3, GCS).
+A task reads neighbouring segments of about ``TASK_ROWS`` rows in all (a larger
+one is a task of its own) in Arrow batches, so the number of tasks follows the
+rows, however short the segments are. Files are reached by Arrow's file systems
+(local or mounted folders, HDFS, S3, GCS).
 """
 
 from __future__ import annotations
@@ -55,6 +57,7 @@ FORMAT = "segment_log"
 EARLIEST, LATEST = -2, -1
 SEGMENT_WIDTH = 1 << 18  # offsets of a segment
 BATCH_ROWS = 2048
+TASK_ROWS = 1 << 15
 _FILE_SCHEMA = pa.schema(
     [("offset", pa.int64()), ("timestamp_ms", pa.int64()), ("key", pa.binary()), ("payload", pa.binary())]
 )
@@ -157,21 +160,30 @@ def resolve(option: str, begins: Offsets, ends: Offsets) -> Offsets:
     return out
 
 
-class Slice(InputPartition):
-    """The offsets [begin, end) of one segment."""
+class Slices(InputPartition):
+    """Segments, each with its offsets [begin, end), that one task reads."""
 
-    def __init__(self, segment: Segment, begin: int, end: int):
-        super().__init__((tuple(segment), begin, end))
+    def __init__(self, own: list[tuple[Segment, int, int]]):
+        super().__init__([(tuple(s), begin, end) for s, begin, end in own])
 
 
-def slices(segments: list[Segment], start: Offsets, end: Offsets) -> list[Slice]:
-    out = []
+def slices(segments: list[Segment], start: Offsets, end: Offsets) -> list[Slices]:
+    """The offsets from ``start`` to ``end``, dealt to tasks in order."""
+    out: list[Slices] = []
+    own: list[tuple[Segment, int, int]] = []
+    held = 0
     for s in segments:
         key = (s.topic, s.partition)
         begin, stop = max(s.first, start.get(key, s.first)), min(s.last + 1, end.get(key, 0))
-        if begin < stop:
-            out.append(Slice(s, begin, stop))
-    return out
+        if begin >= stop:
+            continue
+        rows = min(s.rows, stop - begin)
+        if own and held + rows > TASK_ROWS:
+            out.append(Slices(own))
+            own, held = [], 0
+        own.append((s, begin, stop))
+        held += rows
+    return [*out, Slices(own)] if own else out
 
 
 class _Base:
@@ -186,20 +198,21 @@ class _Base:
         self.progress = options.get("progressLocation")
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        own, begin, end = partition.value
-        segment, log = Segment(*own), Log(self.path)
-        with log.files.open_input_file(log.data_path(segment.name)) as f:
-            for batch in pq.ParquetFile(f).iter_batches(batch_size=BATCH_ROWS):
-                offsets = batch.column("offset").to_numpy()
-                a, b = offsets.searchsorted([begin, end])
-                if a == b:
-                    continue
-                batch = batch.slice(a, b - a)
-                n = batch.num_rows
-                topic = pa.array([segment.topic] * n, pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [topic, pa.array([segment.partition] * n, pa.int32()), *batch.columns], schema=_OUT_SCHEMA
-                )
+        log = Log(self.path)
+        for own, begin, end in partition.value:
+            segment = Segment(*own)
+            with log.files.open_input_file(log.data_path(segment.name)) as f:
+                for batch in pq.ParquetFile(f).iter_batches(batch_size=BATCH_ROWS):
+                    offsets = batch.column("offset").to_numpy()
+                    a, b = offsets.searchsorted([begin, end])
+                    if a == b:
+                        continue
+                    batch = batch.slice(a, b - a)
+                    n = batch.num_rows
+                    topic = pa.array([segment.topic] * n, pa.string())
+                    yield pa.RecordBatch.from_arrays(
+                        [topic, pa.array([segment.partition] * n, pa.int32()), *batch.columns], schema=_OUT_SCHEMA
+                    )
 
 
 class SegmentReader(_Base, DataSourceReader):
@@ -209,10 +222,10 @@ class SegmentReader(_Base, DataSourceReader):
         if self.starting.strip().lower() == "latest":
             raise ValueError("a batch read cannot start at 'latest'")
         found = slices(segments, resolve(self.starting, begins, ends), resolve(self.ending, begins, ends))
-        return found or [Slice(Segment("", 0, 0, 0, 0, ""), 0, 0)]  # an empty read has a task, too
+        return found or [Slices([])]  # an empty read has a task, too
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        if partition.value[1] == partition.value[2]:
+        if not partition.value:
             return iter([pa.RecordBatch.from_pylist([], _OUT_SCHEMA)])
         return super().read(partition)
 

@@ -143,3 +143,18 @@ def test_appends_are_whole_or_absent(spark, tmp_path):
 def test_offsets_round_trip():
     offsets = {("b", 11): 4, ("a", 2): 0}
     assert M.from_json(json.loads(json.dumps(M.to_json(offsets)))) == offsets
+
+
+def test_short_segments_share_tasks(spark, tmp_path):
+    own = [M.Segment("a", p, i * 10, i * 10 + 9, 10, f"{p}-{i}") for p in range(2) for i in range(10_000)]
+    tasks = M.slices(own, {("a", 0): 15}, {("a", 0): 100_000, ("a", 1): 99_995})
+    assert len(tasks) == 7 and all(sum(e - b for _, b, e in t.value) <= M.TASK_ROWS for t in tasks)
+    dealt = [s for t in tasks for s in t.value]
+    assert len(dealt) == 19_999 and sum(e - b for _, b, e in dealt) == 200_000 - 15 - 5
+    assert dealt[0] == (tuple(own[1]), 15, 20) and dealt[-1] == (tuple(own[-1]), 99_990, 99_995)
+    assert len(M.slices([M.Segment("a", 0, 0, 999_999, 10**6, "x")] * 2, {}, {("a", 0): 10**6})) == 2
+    path = str(tmp_path / "log")
+    put(spark, path, rows(0, 50), width=1)
+    whole = M.read_segments(spark, path, ["a", "b"], stream=False)
+    assert whole.rdd.getNumPartitions() == 1 and got(whole) == sorted(rows(0, 50), key=str)
+    assert run(spark, path, tmp_path)[0] == sorted(rows(0, 50), key=str)
