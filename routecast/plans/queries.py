@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from routecast import schema as S
 from routecast.functions.contract import ingest_ns
@@ -717,13 +718,21 @@ def _write_part(table: DataFrame, part: int, src: str) -> None:
     table.filter(F.pmod("event_id", F.lit(STREAM_PARTS)) == part).write.mode("append").parquet(src)
 
 
+def _part_stream(spark: SparkSession, src: str, schema: StructType, parts: int) -> DataFrame:
+    """The ``parts`` parts in the folder ``src`` as a stream of about as many
+    micro-batches, however many files they have: a micro-batch costs the same
+    whatever it holds."""
+    files = len(spark.read.schema(schema).parquet(src).inputFiles())
+    return events_envelopes(file_stream(spark, src, schema, max_files_per_trigger=-(-files // parts)))
+
+
 def _event_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
-    """`events`, which is one file, as a stream of several: at least
-    `STREAM_PARTS` micro-batches."""
+    """`events`, which is one file, as a stream of `STREAM_PARTS`
+    micro-batches."""
     table = read_table(spark, sf_dir, "events")
     for part in range(STREAM_PARTS):
         _write_part(table, part, base + "/src")
-    return events_envelopes(file_stream(spark, base + "/src", table.schema, max_files_per_trigger=1))
+    return _part_stream(spark, base + "/src", table.schema, STREAM_PARTS)
 
 
 def _constant_bindings(spark: SparkSession, batch_id: int) -> DataFrame:
@@ -874,7 +883,7 @@ def q_stream_rebind(spark: SparkSession, sf_dir: str) -> DataFrame:
         versions.filter(F.col("part") == part).write.mode("append").parquet(held)
         _write_part(table, part, src)
         if query is None:
-            stream = events_envelopes(file_stream(spark, src, table.schema, max_files_per_trigger=1))
+            stream = _part_stream(spark, src, table.schema, 1)
             query = start_routed(
                 stream, out, samples.sample_registry(), load, base + "/ck", topics=samples.EVENT_TOPICS, keep=["offset"]
             )
@@ -895,7 +904,7 @@ def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = read_table(spark, sf_dir, "events")
     for part in range(STREAM_PARTS):
         _write_part(table, part, base + "/src")
-        stream = events_envelopes(file_stream(spark, base + "/src", table.schema, max_files_per_trigger=1))
+        stream = _part_stream(spark, base + "/src", table.schema, part + 1)
         query = start_routed(
             stream,
             base + "/out",
@@ -1032,7 +1041,7 @@ def q_stream_rate_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = read_table(spark, sf_dir, "events")
     for part in range(STREAM_PARTS):
         _write_part(table, part, base + "/src")
-        env = events_envelopes(file_stream(spark, base + "/src", table.schema, max_files_per_trigger=4))
+        env = _part_stream(spark, base + "/src", table.schema, part + 1)
         events = decode_stream(env, samples.event_bindings(spark), samples.sample_registry(), samples.EVENT_TOPICS)
         with rocksdb_state(spark):
             q = start_table_sink(

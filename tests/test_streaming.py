@@ -256,3 +256,16 @@ def test_control_log_drives_a_running_stream(spark):
     by_batch = {r["batch_id"]: r["tbl"] for r in out.select("batch_id", "tbl").distinct().collect()}
     assert sorted(by_batch.values()) == ["even_k", "json_k"]
     assert out.count() == table.filter(F.col("event_type") == "view").count()
+
+
+def test_micro_batches_follow_parts_not_files(spark, tmp_path):
+    table = spark.read.parquet(f"{SF}/events.parquet")
+    table.repartition(6).write.parquet(str(tmp_path / "events.parquet"))
+    stream = queries._event_stream(spark, str(tmp_path), str(tmp_path / "s"))
+    files = list((tmp_path / "s" / "src").glob("*.parquet"))
+    assert len(files) > queries.STREAM_PARTS
+    q = start_table_sink(stream, str(tmp_path / "out"), str(tmp_path / "ck"), "append", available_now=True)
+    q.awaitTermination()
+    out = spark.read.option("basePath", str(tmp_path / "out")).parquet(str(tmp_path / "out"))
+    assert out.select("batch_id").distinct().count() == queries.STREAM_PARTS
+    assert out.count() == table.count() == out.select("offset").distinct().count()
