@@ -8,14 +8,20 @@ its words.
 
 Counts of all (context, symbol) pairs of the training texts are summed by
 Spark, the longest order from the texts and each shorter one from the order
-above. A pair stays when its relative frequency is at least ``LEAST_SHARE``,
-which bounds the pairs of each order by 1 / ``LEAST_SHARE``, whatever the
-corpus. A context is retained when its pairs gain enough over its longest
-retained suffix: count times Kullback-Leibler divergence above the cost of its
-parameters, ``distinct / 2 * ln(count)``. A retained context's distribution is
-smoothed with its suffix's by the Witten-Bell rule, where ``distinct`` pseudo
-counts go to the suffix, as do the counts of pairs that didn't stay; the empty
-context has a uniform share of ``ALPHA`` a byte. A symbol is scored by the longest retained context before it.
+above; every pair stays. A context is retained when its pairs gain enough over
+its longest retained suffix: count times Kullback-Leibler divergence above the
+cost of its parameters, ``distinct / 2 * ln(count)``. A retained context's
+distribution is smoothed with its suffix's by the Witten-Bell rule, where
+``distinct`` pseudo counts go to the suffix; the empty context has a uniform
+share of ``ALPHA`` a byte. A symbol is scored by the longest retained context
+before it. (``least_share`` leaves out pairs below that relative frequency, for
+a smaller tree; their counts go to the suffix, too. It is 0 unless given.)
+
+The tree stays a table. A pair of the longest order that was learned has its
+final probability there. The pairs that make up at least ``HEAD_SHARE`` of all
+symbols each, at most 1 / ``HEAD_SHARE`` of them, are broadcast; the others
+that a text holds are joined with the table, and pairs that were never learned
+go down the orders, once each, by joins as well.
 
 The base score needs the count of every word. The words that make up at least
 ``HEAD_SHARE`` of all tokens each, at most 1 / ``HEAD_SHARE`` of them, are
@@ -41,7 +47,7 @@ from pyspark.sql import functions as F
 from routecast.llm.common import bucket_of_id, lowered, mix64, row_slices, string_buffers, table, word_hashes, words, written
 
 DEPTH = 5
-LEAST_SHARE = 1e-7
+LEAST_SHARE = 0.0
 ALPHA = 0.1
 HEAD_SHARE = 1e-7
 SLICE_BYTES = 1 << 20
@@ -139,11 +145,14 @@ def count(df: DataFrame, text_col: str) -> DataFrame:
 
 
 class Tree(NamedTuple):
-    """Per order: sorted pair keys with log10 probabilities, and sorted
-    retained contexts with the log10 weight of their suffix."""
+    """Per order from 1: pairs (key, n, lp: log10 of the final probability)
+    and the log10 weight of the suffix of retained contexts (context, w). Of
+    order 0, log10 of every byte's probability. And the symbols learned."""
 
-    pairs: list[tuple[np.ndarray, np.ndarray]]
-    contexts: list[tuple[np.ndarray, np.ndarray]]
+    pairs: list[DataFrame]
+    contexts: list[DataFrame]
+    empty: np.ndarray
+    total: int
 
 
 def _numpy(df: DataFrame, cols: list[str]) -> list[np.ndarray]:
@@ -169,42 +178,53 @@ def grow(spark: SparkSession, longest: DataFrame, least_share: float = LEAST_SHA
     for r in orders[0].collect():  # at most 256 rows
         p0[r.key] = (r.n + ALPHA) / (total + 256 * ALPHA)
     share = orders[0].withColumn("p", (F.col("n") + ALPHA) / (total + 256 * ALPHA)).select("key", "p")
-    pairs, contexts = [(np.arange(256), np.log10(p0))], [(np.zeros(1, np.int64), np.zeros(1))]
+    pairs, contexts = [], []
     for d in range(1, DEPTH + 1):
-        own = orders[d].withColumns(
-            {"context": F.shiftrightunsigned("key", 8), "suffix": F.col("key").bitwiseAND(F.lit(_mask(d - 1)))}
+        suffix = F.col("key").bitwiseAND(F.lit(_mask(d - 1)))
+        own = orders[d].withColumns({"context": F.shiftrightunsigned("key", 8), "suffix": suffix})
+        own = own.join(share.withColumnsRenamed({"key": "suffix", "p": "p_suffix"}), "suffix", "left")
+        keep = F.col("n") >= F.lit(least_share * total)
+        stats = own.groupBy("context").agg(
+            F.sum("n").alias("total"),
+            F.sum(F.when(keep, F.col("n"))).alias("held"),
+            F.count_if(keep).alias("distinct"),
+            F.sum(F.when(keep, F.col("n") * F.ln("n"))).alias("n_ln_n"),
+            F.sum(F.when(keep, F.col("n") * F.ln("p_suffix"))).alias("n_ln_p"),
+            F.least(F.sum(F.when(keep, F.col("p_suffix"))), F.lit(1 - 1e-12)).alias("p_held"),
         )
-        total_of = own.groupBy("context").agg(F.sum("n").alias("total"))
-        kept = own.where(F.col("n") >= least_share * total)
-        kept = kept.join(share.withColumnsRenamed({"key": "suffix", "p": "p_suffix"}), "suffix")
-        stats = kept.groupBy("context").agg(
-            F.sum("n").alias("held"),
-            F.count(F.lit(1)).alias("distinct"),
-            F.sum(F.col("n") * F.ln("n")).alias("n_ln_n"),
-            F.sum(F.col("n") * F.ln("p_suffix")).alias("n_ln_p"),
-            F.least(F.sum("p_suffix"), F.lit(1 - 1e-12)).alias("p_held"),
-        )
-        stats = stats.join(total_of, "context").withColumn("rest", F.col("total") - F.col("held"))
+        stats = stats.withColumn("rest", F.col("total") - F.col("held"))
         rest = F.when(F.col("rest") > 0, F.col("rest") * (F.ln("rest") - F.ln(1 - F.col("p_held")))).otherwise(0.0)
         gain = F.col("n_ln_n") + rest - F.col("total") * F.ln("total") - F.col("n_ln_p")
-        stats = stats.select(
-            "context",
-            "total",
-            "distinct",
-            (F.col("distinct") + F.col("rest")).alias("pseudo"),
-            (gain > F.col("distinct") / 2 * F.ln(F.col("total") + 1)).alias("retained"),
-        )
-        smoothed = (F.col("n") + F.col("pseudo") * F.col("p_suffix")) / (F.col("total") + F.col("distinct"))
-        level = kept.join(stats, "context").withColumn("p", F.when(F.col("retained"), smoothed).otherwise(F.col("p_suffix")))
-        level = written(spark, level.select("key", "context", "p", "retained", "total", "distinct", "pseudo"), "level")
+        # null where the context isn't retained
+        pseudo = F.when(gain > F.col("distinct") / 2 * F.ln(F.col("total") + 1), F.col("distinct") + F.col("rest"))
+        stats = stats.select("context", (F.col("total") + F.col("distinct")).alias("all"), pseudo.alias("pseudo"))
+        smoothed = (F.col("n") + F.col("pseudo") * F.col("p_suffix")) / F.col("all")
+        level = own.where(keep).join(stats, "context").withColumn("p", F.coalesce(smoothed, "p_suffix"))
+        weight = F.log10(F.col("pseudo") / F.col("all"))
+        level = written(spark, level.select("key", "n", "p", weight.alias("w")), "level")
         share = level.select("key", "p")
-        retained = level.where("retained")
-        keys, lp = _numpy(retained.withColumn("lp", F.log10("p")), ["key", "lp"])
-        weight = F.log10(F.first("pseudo") / (F.first("total") + F.first("distinct")))
-        cs, lam = _numpy(retained.groupBy("context").agg(weight.alias("w")), ["context", "w"])
-        pairs.append((keys, lp))
-        contexts.append((cs, lam))
-    return Tree(pairs, contexts)
+        pairs.append(level.select("key", "n", F.log10("p").alias("lp")))
+        context = F.shiftrightunsigned("key", 8).alias("context")
+        contexts.append(level.where("w IS NOT NULL").groupBy(context).agg(F.first("w").alias("w")))
+    return Tree(pairs, contexts, np.log10(p0), total)
+
+
+def unseen(spark: SparkSession, tree: Tree, codes: DataFrame) -> DataFrame:
+    """key and lp of distinct codes (key) that the longest order doesn't hold:
+    the weights of the retained contexts on the way to the longest order that
+    holds the pair, and its probability there."""
+    empty = F.array(*[F.lit(float(x)) for x in tree.empty])
+    out = codes.select("key", F.lit(None).cast("double").alias("lp"), F.lit(0.0).alias("above"))
+    for d in range(DEPTH, 0, -1):
+        if d < DEPTH:
+            own = tree.pairs[d - 1].select(F.col("key").alias("pair"), F.col("lp").alias("own"))
+            out = out.join(own, F.col("key").bitwiseAND(F.lit(_mask(d))) == F.col("pair"), "left")
+            out = out.select("key", F.coalesce("lp", F.col("above") + F.col("own")).alias("lp"), "above")
+        context = F.shiftrightunsigned("key", 8).bitwiseAND(F.lit(_mask(d - 1)))
+        out = out.join(tree.contexts[d - 1], context == F.col("context"), "left")
+        out = out.select("key", "lp", (F.col("above") + F.coalesce("w", F.lit(0.0))).alias("above"))
+    last = F.get(empty, F.col("key").bitwiseAND(F.lit(255)).cast("int"))
+    return out.select("key", F.coalesce("lp", F.col("above") + last).alias("lp"))
 
 
 def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,44 +234,29 @@ def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.nda
     return at, sorted_keys[at] == keys
 
 
-def log_probabilities(tree: Tree, codes: np.ndarray) -> np.ndarray:
-    """log10 probability of the last byte of each code after the others."""
-    codes = codes.astype(np.int64)
-    out, open_ = np.zeros(len(codes)), np.arange(len(codes))
-    for d in range(DEPTH, 0, -1):
-        own = codes[open_]
-        at, known = _find(tree.contexts[d][0], (own >> 8) & _mask(d - 1))
-        hit, seen = _find(tree.pairs[d][0], own & _mask(d))
-        seen &= known
-        out[open_[seen]] += tree.pairs[d][1][hit[seen]]
-        back = known & ~seen
-        out[open_[back]] += tree.contexts[d][1][at[back]]
-        open_ = open_[~seen]
-    out[open_] += tree.pairs[0][1][codes[open_] & 255]
-    return out
-
-
-def text_scores(tree: Tree, codes: np.ndarray, index: np.ndarray, n: int) -> np.ndarray:
-    """Sum of log probabilities of each text: equal symbols of a text are
-    looked up once."""
-    out = np.zeros(n)
-    for i in range(0, len(codes), 1 << 22):
-        both = (codes[i : i + (1 << 22)] << np.uint64(16)) | index[i : i + (1 << 22)].astype(np.uint64)
-        both.sort()
-        first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
-        times = np.diff(np.append(first, len(both)))
-        own = both[first]
-        code, doc = own >> np.uint64(16), (own & np.uint64(0xFFFF)).astype(np.int64)
-        new = np.concatenate([[True], code[1:] != code[:-1]])
-        lp = log_probabilities(tree, code[new])
-        out += np.bincount(doc, weights=lp[np.cumsum(new) - 1] * times, minlength=n)
-    return out
+def text_scores(
+    head: tuple[np.ndarray, np.ndarray], codes: np.ndarray, index: np.ndarray, n: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sum of the log probabilities of each text's codes that ``head`` holds,
+    and for the others text, code and number, in order of text: equal symbols
+    of a text are looked up once."""
+    both = (index.astype(np.uint64) << np.uint64(48)) | codes
+    both.sort()
+    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+    times = np.diff(np.append(first, len(both)))
+    own = both[first]
+    code, doc = (own & np.uint64((1 << 48) - 1)).astype(np.int64), (own >> np.uint64(48)).astype(np.int64)
+    at, known = _find(head[0], code)
+    lp = np.where(known, head[1][at], 0.0) if len(head[0]) else np.zeros(len(code))
+    rare = ~known
+    return np.bincount(doc, weights=lp * times, minlength=n), doc[rare], code[rare], times[rare]
 
 
 class Model(NamedTuple):
     tree: Tree
     vocabulary: DataFrame  # key, n of every training token
     head: tuple[np.ndarray, np.ndarray]  # the frequent ones
+    head_pairs: tuple[np.ndarray, np.ndarray]  # key and lp of the frequent pairs of the longest order
     tokens: int
     distinct: int
 
@@ -263,17 +268,22 @@ def train(df: DataFrame, text_col: str = "text", head_share: float = HEAD_SHARE,
     tree = grow(spark, counts.where(F.col("order") == DEPTH), least_share)
     row = vocabulary.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     keys, n = _numpy(vocabulary.where(F.col("n") >= head_share * (row.n or 0)), ["key", "n"])
-    return Model(tree, vocabulary, (keys, n), row.n or 0, row.v)
+    often = tree.pairs[-1].where(F.col("n") >= head_share * tree.total)
+    return Model(tree, vocabulary, (keys, n), tuple(_numpy(often, ["key", "lp"])), row.n or 0, row.v)
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, n_tokens, n_known, train_tokens, base_score and score of
     every row."""
     spark = df.sparkSession
-    shared = spark.sparkContext.broadcast((model.tree, *model.head))
+    shared = spark.sparkContext.broadcast((model.head_pairs, *model.head))
+
+    def lists(doc: np.ndarray, m: int, *values: np.ndarray) -> list[pa.Array]:
+        cut = pa.array(np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=m))]).astype(np.int32))
+        return [pa.ListArray.from_arrays(cut, pa.array(v.astype(np.int64))) for v in values]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, keys, n = shared.value
+        head, keys, n = shared.value
         logs = np.log10(n + 0.1)
         for b in batches:
             raw, offs = string_buffers(b.column("text"))
@@ -291,48 +301,58 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
                 n_known = np.bincount(of, weights=known[inverse], minlength=m).astype(np.int64)
                 rare = ~known[inverse]
                 pair, times = np.unique(np.stack([of[rare], inverse[rare]]), axis=1, return_counts=True)
-                cut = np.concatenate([[0], np.cumsum(np.bincount(pair[0], minlength=m))]).astype(np.int32)
                 codes, index = spell(low, s, e, doc, m)
+                scores, *more = text_scores(head, codes, index, m)
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column("id").slice(i, m),
-                        b.column("version").slice(i, m),
                         pa.array(np.bincount(of, minlength=m)),
                         pa.array(n_known),
                         pa.array(base),
-                        pa.array(text_scores(tree, codes, index, m)),
-                        pa.ListArray.from_arrays(pa.array(cut), pa.array(u[pair[1]])),
-                        pa.ListArray.from_arrays(pa.array(cut), pa.array(times.astype(np.int64))),
+                        pa.array(scores),
+                        *lists(pair[0], m, u[pair[1]], times),
+                        *lists(more[0], m, *more[1:]),
                     ],
-                    names=["id", "version", "n_tokens", "n_known", "base", "score", "rare", "times"],
+                    names=["id", "n_tokens", "n_known", "base", "score", "rare", "times", "codes", "code_times"],
                 )
 
-    own = df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
+    own = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = (
-        f"id {own.schema['id'].dataType.simpleString()}, version long, n_tokens long, n_known long, base double, "
-        "score double, rare array<long>, times array<long>"
-    )
-    scored = written(spark, own.mapInArrow(run, schema), "scored")
-    rest = scored.where(F.size("rare") > 0).select("id", "version", F.explode(F.arrays_zip("rare", "times")).alias("r"))
-    # repeated rows have the same words: one of them stands for all
-    rest = rest.select("id", "version", F.col("r.rare").alias("key"), F.col("r.times").alias("times")).distinct()
-    joined = rest.join(model.vocabulary, "key", "left")
-    sums = joined.groupBy("id", "version").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.1)).alias("more"),
+        f"id {own.schema['id'].dataType.simpleString()}, n_tokens long, n_known long, base double, score double, "
+        "rare array<long>, times array<long>, codes array<long>, code_times array<long>"
     )
-    sums = sums.withColumnsRenamed({"id": "id_", "version": "version_"})
-    out = scored.drop("rare", "times").join(
-        sums, F.col("id").eqNullSafe(F.col("id_")) & (F.col("version") == F.col("version_")), "left"
+    scored = own.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
+    scored = written(spark, scored, "scored")  # ids and rows may repeat, row doesn't
+
+    def listed(word: bool, keys: str, times: str) -> DataFrame:
+        each = scored.select("row", F.explode(F.arrays_zip(F.col(keys).alias("key"), F.col(times).alias("times"))).alias("r"))
+        return each.select("row", F.lit(word).alias("word"), F.col("r.key").alias("key"), F.col("r.times").alias("times"))
+
+    rest = listed(True, "rare", "times").unionByName(listed(False, "codes", "code_times"))
+    words_known = model.vocabulary.select(F.lit(True).alias("word"), "key", F.log10(F.col("n") + 0.1).alias("lp"))
+    known = words_known.unionByName(model.tree.pairs[-1].select(F.lit(False).alias("word"), "key", "lp"))
+    lp = F.coalesce("lp", F.lit(float(np.log10(0.1))))
+    # the pairs never learned stay beside their text, so that the join runs once
+    sums = rest.join(known, ["word", "key"], "left").groupBy("row").agg(
+        F.sum(F.when(F.col("word") & F.col("lp").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"),
+        F.sum(F.when(F.col("word"), F.col("times") * lp)).alias("more"),
+        F.sum(F.when(~F.col("word"), F.col("times") * F.col("lp"))).alias("more_score"),
+        F.collect_list(F.when(~F.col("word") & F.col("lp").isNull(), F.struct("key", "times"))).alias("lost"),
     )
+    sums = written(spark, sums, "sums")
+    lost = sums.select("row", F.explode("lost").alias("r")).select("row", "r.key", "r.times")
+    found = written(spark, unseen(spark, model.tree, lost.select("key").distinct()), "unseen")
+    lost = lost.join(found, "key").groupBy("row").agg(F.sum(F.col("times") * F.col("lp")).alias("unseen_score"))
+    out = scored.drop("rare", "times", "codes", "code_times").join(sums.drop("lost"), "row", "left").join(lost, "row", "left")
     z = float(np.log10(model.tokens + 0.1 * (model.distinct + 1)))
+    none = F.lit(0.0)
     return out.select(
         F.col("id").alias(id_col),
         "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * z).alias("base_score"),
-        "score",
+        (F.col("base") + F.coalesce("more", none) - F.col("n_tokens") * z).alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", none) + F.coalesce("unseen_score", none)).alias("score"),
     )
 
 

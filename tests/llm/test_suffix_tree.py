@@ -123,3 +123,28 @@ def test_held_out_texts(spark):
     per = [sum(getattr(r, k) for r in held) / sum(r.n_tokens for r in held) for k in ("base_score", "score")]
     print("per token", per)
     assert per[1] > per[0] + 0.1
+
+
+def test_rare_pairs_of_a_large_corpus_stay(spark):
+    """Pairs far below 1e-7 of the symbols count as those of a small corpus."""
+    text = "the cat sat on the mat " * 20
+    counts = Counter()
+    for t, times in ((text, 100_000), ("a quokka ran", 2)):
+        x = spelled(t)
+        for i in range(st.DEPTH, len(x)):
+            counts[int.from_bytes(x[i - st.DEPTH : i + 1], "big")] += times
+    assert sum(counts.values()) * 1e-7 > 2
+    tree = st.grow(spark, spark.createDataFrame(list(counts.items()), "key long, n long"))
+    assert tree.pairs[-1].count() == len(counts)
+    lp = {r.key: r.lp for r in tree.pairs[-1].collect()}
+    assert lp[int.from_bytes(b"quokka", "big")] > math.log10(0.5)
+
+
+@pytest.mark.parametrize("head", [0, 0.01, 2])
+def test_head_changes_no_score(spark, head):
+    learn = [t for t in TEXTS if t] + ["zyx wvu"]
+    df = spark.createDataFrame([(1, t) for t in [*TEXTS, "quite other words, zyx cats", "zyx"]], "doc_id long, text string")
+    got = st.score(df, st.train(spark.createDataFrame([(t,) for t in learn], "text string"), head_share=head)).collect()
+    brute = Brute(learn)
+    want = sorted(brute.score(r.text) for r in df.collect())
+    assert sorted(r.score for r in got) == pytest.approx(want, rel=1e-9)
