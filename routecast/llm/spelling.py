@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from routecast.llm.common import small_join, string_buffers, table, written
+from routecast.llm.common import string_buffers, table, written
 
 # Latin letters as UTF-8: U+00C0 to U+00FF are C3 80 to C3 BF.
 RUN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\xbf])+")
@@ -199,7 +199,8 @@ def roots(spark: SparkSession, forms: DataFrame) -> DataFrame:
     state = written(spark, forms.select("word", F.col("form").alias("root")), "roots", slim=True)
     while True:
         to = state.select(F.col("word").alias("root"), F.col("root").alias("to"))
-        moved = small_join(state, to, ["root"], "left")
+        # a plain join: a root's rows are few beside a task's, and copies of a side would outweigh the words
+        moved = state.join(to, "root", "left")
         moved = moved.select("word", F.coalesce("to", "root").alias("root"), F.col("to").isNotNull().alias("moved"))
         moved = written(spark, moved, "roots", slim=True)
         state = moved.select("word", "root")

@@ -141,3 +141,17 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([(1, "seltene Wörter"), (2, None)], "doc_id long, text string").write.parquet(str(other / "documents.parquet"))
     assert M.op12_spelling_variants(spark, str(other)).collect() == []
     assert M.variants(spark.range(0).select(F.lit("w").alias("word"), "id").withColumnRenamed("id", "n")).collect() == []
+
+
+def test_roots_copy_no_side_of_a_join(spark, monkeypatch):
+    """Beyond any bound on small tables, too, a round of the pointers joins
+    each row once."""
+    from routecast.llm import common
+
+    plans, write = [], M.written
+    monkeypatch.setattr(common.small_join, "__defaults__", (0,))
+    monkeypatch.setattr(M, "written", lambda s, df, *a, **k: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), write(s, df, *a, **k))[1])
+    chain = [(f"w{i:03d}", f"w{i + 1:03d}") for i in range(40)]
+    found = M.roots(spark, spark.createDataFrame(chain, "word string, form string"))
+    assert {r.word: r.root for r in found.collect()} == {w: "w040" for w, _ in chain}
+    assert len(plans) > 3 and not any("Generate" in p for p in plans)
